@@ -32,3 +32,132 @@ SELECT CAST(count(*) AS BIGINT) AS total,
        {r("CAST(count_if(NOT bad AND coalesce(outl, false)) AS DOUBLE) / CAST(count(*) - count_if(bad) AS DOUBLE)", 6)} AS outlier_share
 FROM flags
 """
+
+
+# ------------------------------------------------------------ distributions
+from .oracle import auto_bins_sql, bin_sql, box_sql, clean_cols, histogram_sql, linear  # noqa: E402,F401
+
+_merged = ("CASE WHEN event_type IN ('view', 'click', 'signup') THEN 'engaged' ELSE event_type END")
+
+ORACLE["histogram_auto"] = histogram_sql(I.SQL["measures"], I.MEASURES)
+ORACLE["histogram_by_label"] = histogram_sql(
+    f"SELECT value, {_merged} AS event_group FROM events", ["value"], bins=30, by="event_group")
+
+ORACLE["kde_curve"] = f"""
+WITH s AS (SELECT value AS x FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+st AS (SELECT count(x) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) AS sd,
+              {linear('x', 0.75)} - {linear('x', 0.25)} AS iqr FROM s),
+p AS (SELECT n, lo, hi, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, (hi - lo) / 199.0 AS step,
+             (hi - lo) / CAST({auto_bins_sql('n', 'lo', 'hi', 'iqr')} AS DOUBLE) AS binw FROM st),
+g AS (SELECT CAST(range AS INTEGER) AS i,
+             CASE WHEN range = 199 THEN hi ELSE lo + CAST(range AS DOUBLE) * step END AS gx FROM p, range(0, 200)),
+d AS (SELECT g.i, any_value(g.gx) AS gx, sum(exp(-0.5 * pow((g.gx - s.x) / p.bw, 2))) AS sm
+      FROM g CROSS JOIN s CROSS JOIN p GROUP BY g.i)
+SELECT 'value' AS column, d.i, {r('d.gx', 6)} AS x,
+       {r('d.sm * (1.0 / (p.n * p.bw * sqrt(2 * pi())))', 10)} AS density,
+       {r('d.sm * ((1.0 / (p.n * p.bw * sqrt(2 * pi()))) * p.n * p.binw)', 4)} AS count_scaled
+FROM d CROSS JOIN p
+"""
+
+ORACLE["box_summary"] = box_sql(I.SQL["measures"], I.MEASURES)
+
+_prio_parts = []
+for _i, _p in enumerate(I.PRIORITIES):
+    _prio_parts.append(
+        f"SELECT '{_p}' AS o_orderpriority, {_i + 1} AS rank, * EXCLUDE (\"column\") FROM ("
+        + box_sql(f"SELECT o_totalprice AS v FROM orders WHERE o_orderpriority = '{_p}'", ["v"]) + ") b")
+ORACLE["box_summary_by_priority"] = " UNION ALL ".join(_prio_parts)
+
+ORACLE["ecdf"] = f"""
+WITH d AS (SELECT value, count(*) AS n FROM events WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY value)
+SELECT value, CAST(n AS BIGINT) AS n, CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS cum_n,
+       {r('CAST(sum(n) OVER (ORDER BY value) AS DOUBLE) / (SELECT sum(n) FROM d)', 8)} AS ecdf
+FROM d
+"""
+
+ORACLE["binned_scatter"] = f"""
+WITH s AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem
+           WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+m AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM s)
+SELECT {bin_sql('x', 'xl', 'xh', '50')} AS xbin, {bin_sql('y', 'yl', 'yh', '50')} AS ybin, count(*) AS n
+FROM s CROSS JOIN m GROUP BY ALL
+"""
+
+ORACLE["scatter_points"] = """
+SELECT 'user_id' AS other, value AS x, CAST(user_id AS DOUBLE) AS y FROM events
+UNION ALL SELECT 'event_id', value, CAST(event_id AS DOUBLE) FROM events
+"""
+
+ORACLE["mercator_points"] = f"""
+SELECT c_custkey, c_mktsegment,
+       {r('6378137.0 * radians(c_acctbal / 100.0)', 2)} AS x_m,
+       {r('6378137.0 * ln(tan(pi() / 4 + radians(CAST(c_custkey % 170 - 85 AS DOUBLE)) / 2))', 2)} AS y_m
+FROM customer
+"""
+
+
+# ------------------------------------------------------ columns and filters
+_gsrc = I.SQL["measures_with_gaps"]
+ORACLE["describe_bad_rows"] = describe_sql(
+    f"SELECT * FROM ({_gsrc}) g WHERE {_gap_bad}", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+ORACLE["complete_rows"] = f"SELECT * FROM ({_gsrc}) g WHERE NOT {_gap_bad}"
+ORACLE["non_null_rows_by_flag"] = f"""
+SELECT l_returnflag, count(*) AS n FROM ({_gsrc}) g
+WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL AND l_discount IS NOT NULL
+  AND l_tax IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY l_returnflag"""
+_types = ", ".join(f"'{t}'" for t in I.EVENT_TYPES)
+ORACLE["category_guard"] = f"""
+SELECT event_id, event_type, CAST(list_position([{_types}], event_type) AS INTEGER) AS type_rank,
+       event_type IN ('view', 'click', 'signup') AS is_engaged, event_type = 'purchase' AS is_purchase
+FROM events"""
+ORACLE["category_merge"] = f"""
+SELECT event_id, {_merged} AS event_group,
+       CAST(list_position(['error', 'engaged', 'purchase'], {_merged}) AS INTEGER) AS group_rank
+FROM events"""
+ORACLE["level_counts_row"] = """
+SELECT count_if(event_type = 'view') AS view, count_if(event_type = 'click') AS click,
+       count_if(event_type = 'signup') AS signup FROM events"""
+ORACLE["level_frequency"] = f"""
+WITH d(l_returnflag, rank) AS (VALUES ('A', 1), ('N', 2), ('R', 3)),
+c AS (SELECT l_returnflag, count(*) AS n FROM ({_gsrc}) g WHERE {_gap_bad} GROUP BY l_returnflag)
+SELECT d.l_returnflag, CAST(d.rank AS INTEGER) AS rank, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM d LEFT JOIN c USING (l_returnflag)"""
+ORACLE["level_share"] = f"""
+WITH d(event_group, rank) AS (VALUES ('error', 1), ('engaged', 2), ('purchase', 3)),
+c AS (SELECT {_merged} AS event_group, count(*) AS n FROM events GROUP BY 1),
+f AS (SELECT d.event_group, CAST(d.rank AS INTEGER) AS rank, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+      FROM d LEFT JOIN c USING (event_group))
+SELECT event_group, rank, n, {r('n * 100.0 / sum(n) OVER ()', 6)} AS share_pct FROM f WHERE n > 0"""
+ORACLE["select_by_type"] = """
+SELECT o_custkey, o_totalprice AS total_price, o_totalprice AS total_price_copy, 'orders' AS source FROM orders"""
+ORACLE["ratio_columns"] = f"""
+SELECT l_orderkey, l_linenumber,
+       {r('l_extendedprice / nullif(l_quantity, 0)', 6)} AS price_per_unit,
+       {r('l_tax / nullif(l_discount, 0)', 6)} AS tax_per_discount,
+       {r('l_extendedprice * l_discount / nullif(l_quantity, 0)', 6)} AS discount_per_unit
+FROM lineitem"""
+ORACLE["log_columns"] = f"""
+SELECT l_orderkey, l_linenumber,
+       {r('CASE WHEN l_quantity > 0 THEN ln(l_quantity) END', 6)} AS l_quantity_ln,
+       {r('CASE WHEN l_discount > 0 THEN ln(l_discount) END', 6)} AS l_discount_ln,
+       {r('CASE WHEN l_tax > 0 THEN ln(l_tax) END', 6)} AS l_tax_ln
+FROM lineitem"""
+ORACLE["signed_values"] = f"SELECT event_id, -value AS neg_value, {r('abs(value - 100.0)', 6)} AS dist_100 FROM events"
+_o3 = ["target", "x_quantity", "x_tax_ratio"]
+ORACLE["outlier_free_rows"] = f"""
+WITH {quartile_cte(I.SQL['regression_table'], _o3)}, t AS ({I.SQL['regression_table']})
+SELECT t.row_key, t.target FROM t CROSS JOIN qt
+WHERE NOT coalesce({' OR '.join(f'(t.{c} < qt.{c}__lo OR t.{c} > qt.{c}__hi)' for c in _o3)}, false)"""
+ORACLE["target_summary"] = f"""
+SELECT min(value) AS minimum, {r('avg(value)', 6)} AS mean, max(value) AS maximum, count(value) AS rows FROM events"""
+_ccols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_cpairs = []
+for _i, _a in enumerate(_ccols):
+    for _b in _ccols[:_i]:
+        _cpairs.append(
+            f"SELECT '{_a}' AS column_a, '{_b}' AS column_b, "
+            f"{r(f'covar_samp({_a}, {_b}) / nullif(stddev_samp({_a}) * stddev_samp({_b}), 0)', 6)} AS r FROM c")
+ORACLE["correlation_pairs"] = (
+    f"WITH c AS (SELECT * FROM ({_gsrc}) g WHERE l_quantity IS NOT NULL AND NOT isnan(l_quantity) "
+    f"AND l_extendedprice IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL) "
+    + " UNION ALL ".join(_cpairs))

@@ -47,3 +47,210 @@ def quality_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = I.measures_with_gaps(spark, sf_dir)
     q = D.quality_counts(df, ["l_extendedprice", "l_quantity", "l_discount"])
     return q.select("total", "bad", "used", "outliers", rnd("outlier_share", 6).alias("outlier_share"))
+
+
+# ------------------------------------------------------ columns and filters
+
+from ..functions import categories as C  # noqa: E402
+from ..functions import columns as K  # noqa: E402
+
+
+@register("describe_bad_rows")
+def describe_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-17 + O-39: statistics of the rows holding a null or NaN (N3, N4, N12)."""
+    bad = K.keep_bad_rows(I.measures_with_gaps(spark, sf_dir))
+    long = D.describe(bad, exclude=["l_returnflag"])
+    return long.select("statistic", "column", rnd("value").alias("value"))
+
+
+@register("complete_rows")
+def complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-18: rows without null or NaN."""
+    return K.keep_complete_rows(I.measures_with_gaps(spark, sf_dir))
+
+
+@register("non_null_rows_by_flag")
+def non_null_rows_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-18 (nulls-only variant, NaN rows kept) counted per flag."""
+    kept = K.keep_complete_rows(I.measures_with_gaps(spark, sf_dir), nulls_only=True)
+    return kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("category_guard")
+def category_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-02 + O-19 + O-20: domain check, rank, membership and equality predicates."""
+    ev = C.enforce_domain(I.events(spark, sf_dir), "event_type", I.EVENT_TYPES)
+    return ev.select("event_id", "event_type",
+                     C.category_rank("event_type", I.EVENT_TYPES).alias("type_rank"),
+                     K.is_in("event_type", I.ENGAGED_LEVELS).alias("is_engaged"),
+                     K.equals("event_type", "purchase").alias("is_purchase"))
+
+
+@register("category_merge")
+def category_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-26 + O-27: merge three levels into one, re-rank in the merged domain."""
+    ev = I.events(spark, sf_dir)
+    merged = C.merge_levels("event_type", I.ENGAGED_LEVELS, "engaged")
+    return ev.select("event_id", merged.alias("event_group"),
+                     C.category_rank(merged, I.EVENT_TYPES_MERGED).alias("group_rank"))
+
+
+@register("level_counts_row")
+def level_counts_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-40: composition of the merged level, one row."""
+    return C.level_counts_row(I.events(spark, sf_dir), "event_type", I.ENGAGED_LEVELS)
+
+
+@register("level_frequency")
+def level_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-41 + O-42: counts per level of the bad rows, zero-filled, domain order."""
+    bad = K.keep_bad_rows(I.measures_with_gaps(spark, sf_dir))
+    return C.level_frequency(bad, "l_returnflag", I.RETURN_FLAGS)
+
+
+@register("level_share")
+def level_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-43: share of each non-empty merged level."""
+    ev = I.events(spark, sf_dir).select(
+        C.merge_levels("event_type", I.ENGAGED_LEVELS, "engaged").alias("event_group"))
+    sh = C.level_share(C.level_frequency(ev, "event_group", I.EVENT_TYPES_MERGED))
+    return sh.select("event_group", "rank", "n", rnd("share_pct", 6).alias("share_pct"))
+
+
+@register("select_by_type")
+def select_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-10..O-15: numeric selector, drop, rename, suffix, constant column."""
+    orders = I.table(spark, sf_dir, "orders")
+    num = K.select_numeric(orders, exclude=["o_orderkey"])
+    num = K.rename_columns(num, {"o_totalprice": "total_price"})
+    num = num.select(*num.columns, *K.suffix_columns(["total_price"], "_copy"))
+    return K.with_constant(num, "source", "orders")
+
+
+@register("ratio_columns")
+def ratio_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-24: ratios, NULL on a zero denominator (N5, N6)."""
+    li = I.table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        rnd(K.ratio("l_extendedprice", "l_quantity"), 6).alias("price_per_unit"),
+        rnd(K.ratio("l_tax", "l_discount"), 6).alias("tax_per_discount"),
+        rnd(K.ratio(F.col("l_extendedprice") * F.col("l_discount"), "l_quantity"), 6).alias("discount_per_unit"))
+
+
+@register("log_columns")
+def log_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-25 + O-14: natural logs with a name suffix (NULL for x <= 0, N7)."""
+    li = I.table(spark, sf_dir, "lineitem")
+    cols = K.log_columns(["l_quantity", "l_discount", "l_tax"], "_ln")
+    names = ["l_quantity_ln", "l_discount_ln", "l_tax_ln"]
+    return li.select("l_orderkey", "l_linenumber", *cols).select(
+        "l_orderkey", "l_linenumber", *[rnd(n, 6).alias(n) for n in names])
+
+
+@register("signed_values")
+def signed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-28: absolute value and sign flip."""
+    ev = I.events(spark, sf_dir)
+    return ev.select("event_id", K.negate("value").alias("neg_value"),
+                     rnd(K.abs_value(F.col("value") - 100.0), 6).alias("dist_100"))
+
+
+@register("outlier_free_rows")
+def outlier_free_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-21 + O-22: drop rows that are a Tukey outlier in any of three columns."""
+    df = I.regression_table(spark, sf_dir)
+    kept = D.drop_outlier_rows(df, ["target", "x_quantity", "x_tax_ratio"])
+    return kept.select("row_key", "target")
+
+
+@register("target_summary")
+def target_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-45 (O-30, O-35): min, mean, max of the target."""
+    s = D.target_summary(I.events(spark, sf_dir), "value")
+    return s.select("minimum", rnd("mean", 6).alias("mean"), "maximum", "rows")
+
+
+@register("correlation_pairs")
+def correlation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-44: Pearson r of every column pair below the diagonal, complete rows."""
+    from ..operators.distribution import correlation_long
+    df = K.keep_complete_rows(I.measures_with_gaps(spark, sf_dir).drop("l_returnflag"), nulls_only=True)
+    df = df.withColumn("l_quantity", K.nan_to_null("l_quantity")).na.drop()
+    out = correlation_long(df, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return out.select("column_a", "column_b", rnd("r", 6).alias("r"))
+
+
+# ------------------------------------------------------------ distributions
+
+from ..operators import distribution as V  # noqa: E402
+
+
+@register("histogram_auto")
+def histogram_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-48: automatic-width histograms of the measures (empty bins included)."""
+    h = V.histogram(I.measures(spark, sf_dir), I.MEASURES)
+    return h.select("column", "bin", rnd("bin_lo", 6).alias("bin_lo"), rnd("bin_hi", 6).alias("bin_hi"), "n")
+
+
+@register("histogram_by_label")
+def histogram_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-49: 30 fixed bins of the event value, stacked by merged event group."""
+    ev = I.events(spark, sf_dir).select(
+        "value", C.merge_levels("event_type", I.ENGAGED_LEVELS, "engaged").alias("event_group"))
+    h = V.histogram(ev, ["value"], bins=V.FIXED_BINS, by="event_group")
+    return h.select("column", "event_group", "bin", rnd("bin_lo", 6).alias("bin_lo"),
+                    rnd("bin_hi", 6).alias("bin_hi"), "n")
+
+
+@register("kde_curve")
+def kde_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-50: Gaussian density curve of the event value."""
+    k = V.kde_curve(I.events(spark, sf_dir), "value")
+    return k.select("column", "i", rnd("x", 6).alias("x"), rnd("density", 10).alias("density"),
+                    rnd("count_scaled", 4).alias("count_scaled"))
+
+
+@register("box_summary")
+def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-51: box-plot numbers of each measure."""
+    return V.box_summary(I.measures(spark, sf_dir), I.MEASURES).select(
+        "column", *[rnd(c, 6).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]], "fliers")
+
+
+@register("box_summary_by_priority")
+def box_summary_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-52: box-plot numbers of the order total by order priority, in priority order."""
+    o = I.table(spark, sf_dir, "orders")
+    return V.box_summary_by(o, "o_totalprice", "o_orderpriority", I.PRIORITIES).select(
+        "o_orderpriority", "rank",
+        *[rnd(c, 6).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]], "fliers")
+
+
+@register("ecdf")
+def ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-53: empirical CDF of the event value at each distinct value."""
+    e = V.ecdf(I.events(spark, sf_dir), "value")
+    return e.select("value", "n", "cum_n", rnd("ecdf", 8).alias("ecdf"))
+
+
+@register("binned_scatter")
+def binned_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-54: 50 x 50 binned counts of extended price against quantity."""
+    return V.binned_scatter(I.measures(spark, sf_dir), "l_quantity", "l_extendedprice", 50)
+
+
+@register("scatter_points")
+def scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-54 exact form: event value against user id and event id."""
+    return V.scatter_points(I.events(spark, sf_dir), "value", ["user_id", "event_id"])
+
+
+@register("mercator_points")
+def mercator_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-55: Web-Mercator metres of derived lon/lat, per market segment, empty segments skipped."""
+    cu = I.table(spark, sf_dir, "customer")
+    lon = F.col("c_acctbal") / 100.0
+    lat = (F.col("c_custkey") % 170 - 85).cast("double")
+    x, y = K.web_mercator(lon, lat)
+    return cu.select("c_custkey", "c_mktsegment", rnd(x, 2).alias("x_m"), rnd(y, 2).alias("y_m"))
