@@ -161,3 +161,30 @@ ORACLE["correlation_pairs"] = (
     f"WITH c AS (SELECT * FROM ({_gsrc}) g WHERE l_quantity IS NOT NULL AND NOT isnan(l_quantity) "
     f"AND l_extendedprice IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL) "
     + " UNION ALL ".join(_cpairs))
+
+
+# ------------------------------------------------------------ sampling
+_pos = """
+e AS (SELECT event_id, event_type, value, md5(concat(CAST(event_id AS VARCHAR), '|', '42')) AS h FROM events),
+c AS (SELECT event_type, count(*) AS n FROM e GROUP BY 1),
+st AS (SELECT event_type, sum(n) OVER (ORDER BY event_type ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS start FROM c),
+rk AS (SELECT e.*, st.start + row_number() OVER (PARTITION BY e.event_type ORDER BY h, event_id) - 1 AS pos,
+              row_number() OVER (PARTITION BY e.event_type ORDER BY h, event_id) AS rn
+       FROM e JOIN st USING (event_type))"""
+_alloc = """
+tot AS (SELECT sum(n) AS total, CAST(floor(0.1 * sum(n)) AS BIGINT) AS draws FROM c),
+a AS (SELECT event_type, n * draws / total AS cont FROM c, tot),
+q0 AS (SELECT event_type, floor(cont) AS fl,
+              row_number() OVER (ORDER BY cont - floor(cont) DESC, event_type) AS ord FROM a),
+q AS (SELECT event_type, fl + CASE WHEN ord <= (SELECT draws FROM tot) - (SELECT sum(fl) FROM q0) THEN 1 ELSE 0 END AS quota
+      FROM q0)"""
+ORACLE["stratified_sample"] = f"""WITH {_pos}, {_alloc}
+SELECT event_id, event_type, value FROM rk JOIN q USING (event_type) WHERE rn <= quota"""
+ORACLE["sample_complement"] = f"""WITH {_pos}, {_alloc}
+SELECT event_id, event_type FROM rk JOIN q USING (event_type) WHERE rn > quota"""
+ORACLE["stratified_folds"] = f"""WITH {_pos}
+SELECT event_id, event_type, CAST(pos % 10 AS INTEGER) AS fold FROM rk"""
+ORACLE["inner_folds"] = f"""WITH {_pos}
+SELECT event_id, CAST(j.range AS INTEGER) AS outer_fold,
+       CAST((pos - floor((pos + 9 - j.range) / 10)) % 10 AS INTEGER) AS inner_fold
+FROM rk CROSS JOIN range(0, 10) j WHERE pos % 10 <> j.range"""

@@ -254,3 +254,40 @@ def mercator_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat = (F.col("c_custkey") % 170 - 85).cast("double")
     x, y = K.web_mercator(lon, lat)
     return cu.select("c_custkey", "c_mktsegment", rnd(x, 2).alias("x_m"), rnd(y, 2).alias("y_m"))
+
+
+# ------------------------------------------------------------ sampling
+
+from ..operators import sampling as S  # noqa: E402
+
+
+def _sampled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.stratified_sample(I.events(spark, sf_dir), ["event_id"], "event_type", 0.10)
+
+
+@register("stratified_sample")
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-65: exact 10 % stratified sample of events (by event type)."""
+    return _sampled_events(spark, sf_dir).filter("in_sample").select("event_id", "event_type", "value")
+
+
+@register("sample_complement")
+def sample_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-66: the rows left out of the sample."""
+    return _sampled_events(spark, sf_dir).filter(~F.col("in_sample")).select("event_id", "event_type")
+
+
+@register("stratified_folds")
+def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-70: 10 stratified folds of events."""
+    return S.stratified_folds(I.events(spark, sf_dir), ["event_id"], "event_type").select(
+        "event_id", "event_type", "fold")
+
+
+@register("inner_folds")
+def inner_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-71: folds inside each outer training part, one row per (row, outer fold)."""
+    f = S.stratified_folds(I.events(spark, sf_dir), ["event_id"], "event_type", inner="inner")
+    return (f.select("event_id", "fold", F.posexplode("inner").alias("outer_fold", "inner_fold"))
+            .filter(F.col("inner_fold").isNotNull())
+            .select("event_id", F.col("outer_fold").cast("int").alias("outer_fold"), "inner_fold"))
