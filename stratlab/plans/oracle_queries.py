@@ -188,3 +188,45 @@ ORACLE["inner_folds"] = f"""WITH {_pos}
 SELECT event_id, CAST(j.range AS INTEGER) AS outer_fold,
        CAST((pos - floor((pos + 9 - j.range) / 10)) % 10 AS INTEGER) AS inner_fold
 FROM rk CROSS JOIN range(0, 10) j WHERE pos % 10 <> j.range"""
+
+
+# ------------------------------------------------------------ clustering
+_single = """
+d AS (SELECT value AS x, CAST(count(*) AS DOUBLE) AS n, value * CAST(count(*) AS DOUBLE) AS s
+      FROM events WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY value),
+g AS (SELECT lag(x) OVER (ORDER BY x) AS boundary, x - lag(x) OVER (ORDER BY x) AS height FROM d),
+top AS (SELECT boundary, height, row_number() OVER (ORDER BY height DESC, boundary) AS rk
+        FROM g WHERE boundary IS NOT NULL),
+ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(2, 11)),
+thr AS (SELECT k, (SELECT height FROM top WHERE rk = k) AS h FROM ks),
+cuts AS (SELECT thr.k, top.boundary FROM thr JOIN top ON top.rk <= 10 AND (thr.h IS NULL OR top.height > thr.h))"""
+ORACLE["dendrogram_single"] = f"""WITH {_single}
+SELECT boundary, {r('height', 6)} AS height FROM g WHERE boundary IS NOT NULL"""
+ORACLE["single_linkage_labels"] = f"""WITH {_single}
+SELECT e.event_id, ks.k, CAST(1 + (SELECT count(*) FROM cuts c WHERE c.k = ks.k AND c.boundary < e.value) AS INTEGER) AS cluster
+FROM events e CROSS JOIN ks"""
+ORACLE["cluster_sizes_single"] = f"""WITH {_single}
+SELECT cluster, count(*) AS n FROM (
+  SELECT CAST(1 + (SELECT count(*) FROM cuts c WHERE c.k = 4 AND c.boundary < e.value) AS INTEGER) AS cluster
+  FROM events e) t GROUP BY cluster"""
+ORACLE["silhouette_single"] = f"""WITH {_single},
+lab AS (SELECT ks.k, d.x, d.n, d.s,
+               CAST(1 + (SELECT count(*) FROM cuts c WHERE c.k = ks.k AND c.boundary < d.x) AS INTEGER) AS label
+        FROM d CROSS JOIN ks),
+cl AS (SELECT k, label, sum(n) AS C_n, sum(s) AS C_s FROM lab GROUP BY k, label),
+cl2 AS (SELECT k, label, C_n, C_s,
+               lag(C_s) OVER (PARTITION BY k ORDER BY label) / lag(C_n) OVER (PARTITION BY k ORDER BY label) AS m_prev,
+               lead(C_s) OVER (PARTITION BY k ORDER BY label) / lead(C_n) OVER (PARTITION BY k ORDER BY label) AS m_next
+        FROM cl),
+pt AS (SELECT lab.*, cl2.C_n, cl2.C_s, cl2.m_prev, cl2.m_next,
+              sum(lab.n) OVER (PARTITION BY lab.k, lab.label ORDER BY lab.x) AS cnt_le,
+              sum(lab.s) OVER (PARTITION BY lab.k, lab.label ORDER BY lab.x) AS sum_le
+       FROM lab JOIN cl2 USING (k, label)),
+ab AS (SELECT k, label, n,
+              CASE WHEN C_n > 1 THEN (x * cnt_le - sum_le + (C_s - sum_le) - x * (C_n - cnt_le)) / (C_n - 1) END AS a,
+              least(abs(x - m_prev), abs(x - m_next)) AS b, C_n FROM pt),
+sv AS (SELECT k, label, n, CASE WHEN C_n <= 1 THEN 0.0
+                                ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END AS sil FROM ab)
+SELECT 'single' AS linkage, k, {r('sum(sil * n) / sum(n)', 6)} AS silhouette,
+       CAST(count(DISTINCT label) AS INTEGER) AS clusters
+FROM sv GROUP BY k"""

@@ -291,3 +291,74 @@ def inner_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (f.select("event_id", "fold", F.posexplode("inner").alias("outer_fold", "inner_fold"))
             .filter(F.col("inner_fold").isNotNull())
             .select("event_id", F.col("outer_fold").cast("int").alias("outer_fold"), "inner_fold"))
+
+
+# ------------------------------------------------------------ clustering
+
+from ..operators import linkage1d as L  # noqa: E402
+
+
+def _single_settings(spark: SparkSession, sf_dir: str):
+    d = L.distinct_weighted(I.events(spark, sf_dir), "value")
+    top = L.top_boundaries(L.linkage_boundaries(d, "single"))
+    return d, {("single", k): L.cuts_for(top, k) for k in L.CLUSTER_COUNTS}
+
+
+@register("dendrogram_single")
+def dendrogram_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-59 (single linkage): merge boundaries and heights of the event value."""
+    d = L.distinct_weighted(I.events(spark, sf_dir), "value")
+    b = L.linkage_boundaries(d, "single")
+    return b.select("boundary", rnd("height", 6).alias("height"))
+
+
+@register("single_linkage_labels")
+def single_linkage_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-60 + O-61 + O-62: cluster label of every event for k = 2..10."""
+    _, settings = _single_settings(spark, sf_dir)
+    ev = I.events(spark, sf_dir)
+    arr = F.array(*[F.struct(F.lit(k).alias("k"), L.label_expr("value", settings[("single", k)]).alias("cluster"))
+                    for k in L.CLUSTER_COUNTS])
+    return ev.select("event_id", F.inline(arr))
+
+
+@register("silhouette_single")
+def silhouette_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-63 + O-56: exact silhouette per k for single linkage."""
+    d, settings = _single_settings(spark, sf_dir)
+    s = L.silhouette_scores(d, settings)
+    return s.select("linkage", "k", rnd("silhouette", 6).alias("silhouette"), "clusters")
+
+
+@register("cluster_sizes_single")
+def cluster_sizes_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-47: cluster sizes of the single-linkage cut into 4 clusters."""
+    _, settings = _single_settings(spark, sf_dir)
+    ev = L.add_cluster_label(I.events(spark, sf_dir), "value", settings[("single", 4)])
+    return D.group_sizes(ev, "cluster")
+
+
+@register("dendrogram_linkages")
+def dendrogram_linkages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-59 (complete, average, ward): merge rounds, every boundary with its height."""
+    d = L.distinct_weighted(I.events(spark, sf_dir), "value")
+    parts = [L.linkage_boundaries(d, l).withColumn("linkage", F.lit(l)) for l in ["complete", "average", "ward"]]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("linkage", "boundary", rnd("height", 6).alias("height"))
+
+
+@register("silhouette_sweep")
+def silhouette_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-61 + O-63 + O-56 + O-64: score by k for all four linkages, best k flagged."""
+    scores, _, _ = L.cluster_study(I.events(spark, sf_dir), "value")
+    return L.best_per_linkage(scores).select("linkage", "k", rnd("silhouette", 6).alias("silhouette"),
+                                             "clusters", "is_best")
+
+
+@register("best_clustering")
+def best_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-64 + O-16 + O-47: best (linkage, k) overall, events labelled, cluster sizes."""
+    scores, (link, k, cuts), _ = L.cluster_study(I.events(spark, sf_dir), "value")
+    ev = L.add_cluster_label(I.events(spark, sf_dir), "value", cuts)
+    return (D.group_sizes(ev, "cluster")
+            .select(F.lit(link).alias("linkage"), F.lit(k).alias("k"), "cluster", "n"))
