@@ -64,6 +64,7 @@ def regression_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("target"),
         F.col("l_quantity").alias("x_quantity"),
         F.try_divide(F.col("l_tax"), F.col("l_discount")).alias("x_tax_ratio"),
+        F.col("l_tax").alias("x_tax"),
         F.col("l_returnflag").alias("category"),
         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("stratum"),
     ).na.drop()
@@ -83,10 +84,10 @@ SQL = {
         SELECT * FROM (
           SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key,
                  l_extendedprice AS target, l_quantity AS x_quantity,
-                 l_tax / nullif(l_discount, 0) AS x_tax_ratio,
+                 l_tax / nullif(l_discount, 0) AS x_tax_ratio, l_tax AS x_tax,
                  l_returnflag AS category,
                  CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS stratum
           FROM lineitem) t
         WHERE row_key IS NOT NULL AND target IS NOT NULL AND x_quantity IS NOT NULL
-          AND x_tax_ratio IS NOT NULL AND category IS NOT NULL""",
+          AND x_tax_ratio IS NOT NULL AND x_tax IS NOT NULL AND category IS NOT NULL""",
 }

@@ -230,3 +230,78 @@ sv AS (SELECT k, label, n, CASE WHEN C_n <= 1 THEN 0.0
 SELECT 'single' AS linkage, k, {r('sum(sil * n) / sum(n)', 6)} AS silhouette,
        CAST(count(DISTINCT label) AS INTEGER) AS clusters
 FROM sv GROUP BY k"""
+
+
+# ------------------------------------------------------------ features, models, results
+ORACLE["one_hot_category"] = f"""
+SELECT row_key, category, CAST(category = 'A' AS DOUBLE) AS category_A, CAST(category = 'N' AS DOUBLE) AS category_N,
+       CAST(category = 'R' AS DOUBLE) AS category_R, 2 AS linear_levels FROM ({I.SQL['regression_table']}) t"""
+ORACLE["standardized_features"] = f"""
+WITH t AS ({I.SQL['regression_table']}),
+m AS (SELECT avg(x_quantity) AS mq, stddev_pop(x_quantity) AS sq, avg(x_tax_ratio) AS mr, stddev_pop(x_tax_ratio) AS sr FROM t)
+SELECT row_key, {r('(x_quantity - mq) / sq', 6)} AS x_quantity, {r('(x_tax_ratio - mr) / sr', 6)} AS x_tax_ratio
+FROM t CROSS JOIN m"""
+_fm = f"""
+{quartile_cte(I.SQL['regression_table'], ['target', 'x_quantity', 'x_tax_ratio'])},
+base AS ({I.SQL['regression_table']}),
+wo AS (SELECT b.* FROM base b CROSS JOIN qt WHERE NOT coalesce(
+        (b.target < qt.target__lo OR b.target > qt.target__hi) OR
+        (b.x_quantity < qt.x_quantity__lo OR b.x_quantity > qt.x_quantity__hi) OR
+        (b.x_tax_ratio < qt.x_tax_ratio__lo OR b.x_tax_ratio > qt.x_tax_ratio__hi), false)),
+ds AS (SELECT 'with_outliers' AS dataset, * FROM base UNION ALL SELECT 'without_outliers' AS dataset, * FROM wo),
+hs AS (SELECT *, md5(concat(row_key, '|', '42')) AS h FROM ds),
+c AS (SELECT dataset, stratum, count(*) AS n FROM hs GROUP BY ALL),
+st AS (SELECT dataset, stratum,
+              sum(n) OVER (PARTITION BY dataset ORDER BY stratum ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS start
+       FROM c),
+fd AS (SELECT hs.*, CAST((st.start + row_number() OVER (PARTITION BY hs.dataset, hs.stratum ORDER BY hs.h, hs.row_key) - 1) % 10 AS INTEGER) AS fold
+       FROM hs JOIN st USING (dataset, stratum)),
+feat AS (SELECT dataset, fold, target, 'ols_quantity' AS model, 'x_quantity' AS feature, x_quantity AS x FROM fd
+         UNION ALL SELECT dataset, fold, target, 'ols_tax_ratio', 'x_tax_ratio', x_tax_ratio FROM fd
+         UNION ALL SELECT dataset, fold, target, 'ols_tax', 'x_tax', x_tax FROM fd),
+folds AS (SELECT DISTINCT dataset, fold FROM fd),
+coef AS (SELECT f.dataset, t.model, any_value(t.feature) AS feature, f.fold, regr_slope(t.target, t.x) AS b,
+                regr_intercept(t.target, t.x) AS a, stddev_pop(t.x) AS sdx
+         FROM folds f JOIN feat t ON t.dataset = f.dataset AND t.fold <> f.fold GROUP BY f.dataset, t.model, f.fold),
+pred AS (SELECT t.dataset, t.model, t.fold, t.target, t.target - (c.a + c.b * t.x) AS e
+         FROM feat t JOIN coef c USING (dataset, model, fold)),
+tm AS (SELECT dataset, avg(target) AS target_mean FROM fd GROUP BY dataset),
+w AS (SELECT dataset, model, fold, 1 - sum(e * e) / (var_pop(target) * count(*)) AS r2,
+             sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae FROM pred GROUP BY ALL),
+fm AS (SELECT w.dataset, model, fold, m.metric,
+              CASE m.metric WHEN 'r2' THEN r2 WHEN 'rmse' THEN rmse ELSE mae END AS value,
+              CASE m.metric WHEN 'r2' THEN NULL WHEN 'rmse' THEN rmse / tm.target_mean ELSE mae / tm.target_mean END
+                AS share_of_target_mean
+       FROM w JOIN tm USING (dataset) CROSS JOIN (VALUES ('r2'), ('rmse'), ('mae')) m(metric)),
+im AS (SELECT dataset, model, fold, feature, abs(b * sdx) AS importance FROM coef),
+mm AS (SELECT dataset, model, metric, avg(value) AS mean_value, avg(share_of_target_mean) AS mean_share
+       FROM fm GROUP BY ALL)"""
+_morder = ", ".join(f"'{m}'" for m in ["linear", "tree", "forest", "ols_quantity", "ols_tax_ratio", "ols_tax"])
+ORACLE["linear_cv_metrics"] = f"""WITH {_fm}
+SELECT dataset, model, fold, metric, {r('value', 4)} AS value, {r('share_of_target_mean', 6)} AS share_of_target_mean FROM fm"""
+ORACLE["linear_cv_importance"] = f"""WITH {_fm}
+SELECT dataset, model, fold, feature, {r('importance', 6)} AS importance FROM im"""
+ORACLE["model_means"] = f"""WITH {_fm}
+SELECT dataset, model, metric, {r('mean_value', 4)} AS mean_value, {r('mean_share', 6)} AS mean_share FROM mm"""
+ORACLE["model_ranking"] = f"""WITH {_fm}
+SELECT dataset, model, {r('mean_value', 6)} AS mean_r2,
+       CAST(row_number() OVER (PARTITION BY dataset ORDER BY mean_value DESC, list_position([{_morder}], model)) AS INTEGER) AS position,
+       row_number() OVER (PARTITION BY dataset ORDER BY mean_value DESC, list_position([{_morder}], model)) = 1 AS is_best
+FROM mm WHERE metric = 'r2'"""
+ORACLE["outlier_sensitivity"] = f"""WITH {_fm},
+p AS (SELECT model, metric, max(CASE WHEN dataset = 'with_outliers' THEN mean_value END) AS wv,
+             max(CASE WHEN dataset = 'without_outliers' THEN mean_value END) AS wov FROM mm GROUP BY ALL),
+t2 AS (SELECT max(CASE WHEN dataset = 'with_outliers' THEN target_mean END) AS tw,
+              max(CASE WHEN dataset = 'without_outliers' THEN target_mean END) AS two FROM tm)
+SELECT model, metric, {r('wv', 4)} AS with_value, {r('wov', 4)} AS without_value, {r('wov - wv', 4)} AS difference,
+       {r("CASE WHEN metric <> 'r2' THEN wov / two - wv / tw END", 8)} AS normalised_difference
+FROM p CROSS JOIN t2"""
+ORACLE["r2_bars"] = f"""WITH {_fm}
+SELECT model, dataset, {r('mean_value', 6)} AS mean_r2, CAST(list_position([{_morder}], model) AS INTEGER) AS model_rank,
+       CAST(list_position(['with_outliers', 'without_outliers'], dataset) AS INTEGER) AS dataset_rank
+FROM mm WHERE metric = 'r2'"""
+ORACLE["importance_order"] = f"""WITH {_fm},
+sm AS (SELECT dataset, model, feature, avg(importance) AS mi FROM im GROUP BY ALL),
+a AS (SELECT model, feature, avg(mi) AS across FROM sm GROUP BY ALL)
+SELECT model, feature, {r('across', 6)} AS across_datasets,
+       CAST(row_number() OVER (PARTITION BY model ORDER BY across DESC, feature) AS INTEGER) AS "order" FROM a"""

@@ -362,3 +362,105 @@ def best_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = L.add_cluster_label(I.events(spark, sf_dir), "value", cuts)
     return (D.group_sizes(ev, "cluster")
             .select(F.lit(link).alias("linkage"), F.lit(k).alias("k"), "cluster", "n"))
+
+
+# ------------------------------------------------------------ features, models, results
+
+from ..operators import features as FE  # noqa: E402
+from ..operators import results as R  # noqa: E402
+from . import model_study as MS  # noqa: E402
+
+
+@register("one_hot_category")
+def one_hot_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-67: all levels (trees) and reference level dropped (linear)."""
+    df = I.regression_table(spark, sf_dir).select("row_key", "category")
+    allv = FE.one_hot(df, "category", I.RETURN_FLAGS, keep_source=True)
+    return allv.withColumn("linear_levels", F.lit(len(FE.dummy_names("category", I.RETURN_FLAGS, "A"))))
+
+
+@register("standardized_features")
+def standardized_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-69: numeric features centred and scaled by the population std."""
+    df = I.regression_table(spark, sf_dir).select("row_key", *MS.NUMERIC)
+    z = FE.apply_standardizer(df, FE.fit_standardizer(df, MS.NUMERIC))
+    return z.select("row_key", *[rnd(c, 6).alias(c) for c in MS.NUMERIC])
+
+
+@register("assembled_features")
+def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-68: feature vector, label and stratum (vector shown as an array)."""
+    from pyspark.ml.functions import vector_to_array
+    df = FE.one_hot(I.regression_table(spark, sf_dir), "category", I.RETURN_FLAGS)
+    v = FE.assemble(df, [*MS.NUMERIC, *FE.dummy_names("category", I.RETURN_FLAGS)])
+    return v.select("row_key", vector_to_array("features").alias("features"), "target", "stratum")
+
+
+def _single(spark, sf_dir):
+    return MS.single_feature_linear(spark, sf_dir)
+
+
+@register("linear_cv_metrics")
+def linear_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-72 + O-79 + O-80 + O-81: per-fold R2/RMSE/MAE of one-feature OLS models, both datasets."""
+    fm, _, _ = _single(spark, sf_dir)
+    return fm.select("dataset", "model", "fold", "metric", rnd("value", 4).alias("value"),
+                     rnd("share_of_target_mean", 6).alias("share_of_target_mean"))
+
+
+@register("linear_cv_importance")
+def linear_cv_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-84 + O-28: |standardised coefficient| per fold."""
+    _, im, _ = _single(spark, sf_dir)
+    return im.select("dataset", "model", "fold", "feature", rnd("importance", 6).alias("importance"))
+
+
+@register("model_means")
+def model_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-46: mean metric per dataset and model."""
+    fm, _, _ = _single(spark, sf_dir)
+    return R.metric_means(fm).select("dataset", "model", "metric", rnd("mean_value", 4).alias("mean_value"),
+                                     rnd("mean_share", 6).alias("mean_share"))
+
+
+@register("model_ranking")
+def model_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-85 + O-86: models ranked by mean R2, best flagged."""
+    fm, _, _ = _single(spark, sf_dir)
+    return R.model_ranking(fm, MS.MODEL_ORDER).select("dataset", "model", rnd("mean_r2", 6).alias("mean_r2"),
+                                                      "position", "is_best")
+
+
+@register("outlier_sensitivity")
+def outlier_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-87: with vs without outliers per model and metric."""
+    fm, _, tm = _single(spark, sf_dir)
+    s = R.outlier_sensitivity(fm, tm, MS.WITH, MS.WITHOUT)
+    return s.select("model", "metric", rnd("with_value", 4).alias("with_value"),
+                    rnd("without_value", 4).alias("without_value"), rnd("difference", 4).alias("difference"),
+                    rnd("normalised_difference", 8).alias("normalised_difference"))
+
+
+@register("r2_bars")
+def r2_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-57 + O-97: mean R2 by model x dataset with explicit order ranks."""
+    fm, _, _ = _single(spark, sf_dir)
+    return R.r2_bars(fm, MS.MODEL_ORDER, MS.DATASETS).select(
+        "model", "dataset", rnd("mean_r2", 6).alias("mean_r2"), "model_rank", "dataset_rank")
+
+
+@register("importance_order")
+def importance_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-58 + O-84: features ordered by mean importance across datasets."""
+    _, im, _ = _single(spark, sf_dir)
+    return R.importance_order(im).select("model", "feature", rnd("across_datasets", 6).alias("across_datasets"), "order")
+
+
+@register("linear_cv_full")
+def linear_cv_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-67 + O-69 + O-72 + O-79 + O-80 + O-84: OLS on standardised numerics and dummies."""
+    out = []
+    for ds, df in MS.datasets(spark, sf_dir).items():
+        fm, imp, _ = MS.linear_study(df)
+        out.append(fm.withColumn("dataset", F.lit(ds)))
+    return out[0].unionByName(out[1]).select("dataset", "model", "fold", "metric", rnd("value", 4).alias("value"))
