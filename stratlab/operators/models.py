@@ -160,13 +160,19 @@ def candidate_params(maps: list) -> list[dict[str, str]]:
 
 def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inner: str,
               kind: str = "tree", grid: dict | None = None, parallelism: int = 4,
-              max_bins: int = 256):
+              max_bins: int = 256, outer_parallelism: int = 4):
     """O-73..O-78, O-82, O-83, O-89: grid search on inner folds of each outer train
-    part, refit on the whole train part, scored on the held-out fold.
+    part, refit on the whole train part (CrossValidator's best model), scored on
+    the held-out fold.
 
-    Returns (predictions DataFrame with ``prediction``, per-fold dicts).
+    Outer folds are independent, so up to ``outer_parallelism`` of them are
+    submitted concurrently (Spark runs jobs from several driver threads); inside
+    each, ``parallelism`` candidates are fitted at once.
+    Returns (predictions DataFrame with ``prediction``, per-fold dicts, candidates).
     ``inner`` is the array column from ``stratified_folds(..., inner=...)``.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     if kind == "tree":
         est = DecisionTreeRegressor(seed=SEED, maxBins=max_bins, featuresCol="features", labelCol=label)
         grid = grid or TREE_GRID
@@ -180,8 +186,8 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     k_inner = len(folds)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    preds, per_fold = None, []
-    for f in folds:
+
+    def one(f):
         train = data.filter(F.col(fold) != f).withColumn("_inner", F.col(inner)[f])
         cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=k_inner,
                             foldCol="_inner", parallelism=parallelism, seed=SEED)
@@ -189,13 +195,18 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
         model = cv.fit(train)
         elapsed = time.perf_counter() - t0
         best = model.bestModel
-        p = best.transform(data.filter(F.col(fold) == f)).drop("features")
-        preds = p if preds is None else preds.unionByName(p)
-        per_fold.append({
-            "fold": f, "avg_metrics": list(model.avgMetrics),
-            "best_idx": int(np.argmax(model.avgMetrics)),
-            "best_params": candidate_params([maps[int(np.argmax(model.avgMetrics))]])[0],
+        idx = int(np.argmax(model.avgMetrics))
+        pred = best.transform(data.filter(F.col(fold) == f)).drop("features")
+        return pred, {
+            "fold": f, "avg_metrics": list(model.avgMetrics), "best_idx": idx,
+            "best_params": candidate_params([maps[idx]])[0],
             "importances": [float(v) for v in best.featureImportances.toArray()],
             "fit_seconds": elapsed, "model": best,
-        })
-    return preds, per_fold, candidate_params(maps)
+        }
+
+    with ThreadPoolExecutor(max_workers=max(1, outer_parallelism)) as pool:
+        results = list(pool.map(one, folds))
+    preds = results[0][0]
+    for p, _ in results[1:]:
+        preds = preds.unionByName(p)
+    return preds, [r for _, r in results], candidate_params(maps)

@@ -89,12 +89,13 @@ def linear_study(df: DataFrame, levels: Sequence[str] = I.RETURN_FLAGS) -> tuple
     return M.metrics_long(wide, ["model", "fold"]), imp, fit
 
 
-def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Sequence[str] = I.RETURN_FLAGS):
+def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Sequence[str] = I.RETURN_FLAGS,
+               **cv_options):
     """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores)."""
     x = FE.one_hot(df, "category", levels)
     feats = [*NUMERIC, *FE.dummy_names("category", levels)]
     f = with_folds(x, inner=True).select("fold", "inner", "target", *feats)
-    preds, per_fold, cands = M.nested_cv(f, feats, "target", "fold", "inner", kind=kind, grid=grid)
+    preds, per_fold, cands = M.nested_cv(f, feats, "target", "fold", "inner", kind=kind, grid=grid, **cv_options)
     spark = df.sparkSession
     wide = M.regression_metrics(preds, "target", "prediction", ["fold"]).withColumn("model", F.lit(kind))
     imp = spark.createDataFrame([(kind, p["fold"], c, v) for p in per_fold for c, v in zip(feats, p["importances"])],
@@ -107,3 +108,79 @@ def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Seque
                                    "model string, fold int, metric string, value double")
     return M.metrics_long(wide, ["model", "fold"]), imp, params, scores, timing
 
+
+
+def linear_feature_search(spark: SparkSession, sf_dir: str):
+    """Nested CV with a grid search whose hyperparameter is the one feature of an
+    OLS model (O-77, O-78, O-83, O-89): inner mean R2 per candidate inside every
+    outer train part, best candidate refit on the train part, scored on the
+    held-out fold.
+
+    Two jobs per dataset: moments per (outer, inner) cell, and one grouped
+    SSE/SST aggregate for every (outer, inner, candidate) plus the outer scores.
+    Returns (candidate_scores, fold_params, fold_metrics).
+    """
+    feats = list(SINGLE_MODELS.values())
+    cand_rows, param_rows, outer_preds = [], [], []
+    for ds, df in datasets(spark, sf_dir).items():
+        f = with_folds(df, inner=True).select("fold", "inner", "target", *feats).cache()
+        k = len(M.fold_moments(f, "fold", ["target"]))
+        cells = f.select("fold", "target", *feats, F.posexplode("inner").alias("outer", "inner_fold")) \
+                 .filter(F.col("inner_fold").isNotNull())
+        mom = {}
+        for r in cells.groupBy("outer", "inner_fold").agg(
+                F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate([*feats, "target"])],
+                *[F.covar_pop(a, b).alias(f"_c{i}_{j}") for i, a in enumerate([*feats, "target"])
+                  for j, b in enumerate([*feats, "target"]) if j >= i]).collect():
+            n, p = int(r["_n"]), len(feats) + 1
+            mu = np.array([r[f"_m{i}"] for i in range(p)])
+            m = np.zeros((p, p))
+            for i in range(p):
+                for j in range(i, p):
+                    m[i, j] = m[j, i] = r[f"_c{i}_{j}"] * n
+            mom[(int(r["outer"]), int(r["inner_fold"]))] = (n, mu, m)
+        # inner fits: candidate c on (outer o, held-out inner i) = merge of the other inner cells
+        coef = {}
+        for (o, i) in mom:
+            parts = [mom[(o, ii)] for ii in range(k) if ii != i and (o, ii) in mom]
+            n, mu, m = M.merge_moments(parts)
+            for c, x in enumerate(feats):
+                sub = np.ix_([c, -1], [c, -1])
+                b0, beta = M.ols_from_moments(n, mu[[c, -1]], m[sub])
+                coef[(o, i, c)] = (b0, float(beta[0]))
+        pred_exprs = []
+        for c, x in enumerate(feats):
+            e = None
+            for (o, i, cc), (b0, b1) in coef.items():
+                if cc != c:
+                    continue
+                cond = (F.col("outer") == o) & (F.col("inner_fold") == i)
+                v = F.lit(b0) + F.lit(b1) * F.col(x)
+                e = F.when(cond, v) if e is None else e.when(cond, v)
+            pred_exprs.append(F.struct(F.lit(c).alias("candidate_idx"), e.alias("prediction")))
+        inner_scores = (cells.select("outer", "inner_fold", "target", F.explode(F.array(*pred_exprs)).alias("_p"))
+                        .select("outer", "inner_fold", "target", "_p.*"))
+        r2 = M.regression_metrics(inner_scores, "target", "prediction", ["outer", "candidate_idx", "inner_fold"])
+        means = r2.groupBy("outer", "candidate_idx").agg(F.avg("r2").alias("mean_r2")).collect()
+        by_outer: dict[int, list] = {}
+        for r in means:
+            by_outer.setdefault(int(r["outer"]), []).append((int(r["candidate_idx"]), float(r["mean_r2"])))
+            cand_rows.append((ds, "ols_select", int(r["outer"]), int(r["candidate_idx"]), float(r["mean_r2"])))
+        # refit the chosen feature on the whole outer train part, score the held-out fold
+        outer_mom = M.fold_moments(f, "fold", [*feats, "target"])
+        expr = None
+        for o, lst in by_outer.items():
+            best = sorted(lst, key=lambda t: (-t[1], t[0]))[0][0]
+            param_rows.append((ds, "ols_select", o, "feature", feats[best]))
+            n, mu, m = M.merge_moments([outer_mom[g] for g in sorted(outer_mom) if g != o])
+            sub = np.ix_([best, -1], [best, -1])
+            b0, beta = M.ols_from_moments(n, mu[[best, -1]], m[sub])
+            v = F.lit(b0) + F.lit(float(beta[0])) * F.col(feats[best])
+            expr = F.when(F.col("fold") == o, v) if expr is None else expr.when(F.col("fold") == o, v)
+        outer_preds.append(f.select(F.lit(ds).alias("dataset"), "fold", "target", expr.alias("prediction")))
+    cs = spark.createDataFrame(cand_rows, "dataset string, model string, outer_fold int, candidate_idx int, mean_r2 double")
+    fp = spark.createDataFrame(param_rows, "dataset string, model string, fold int, name string, value string")
+    op = outer_preds[0].unionByName(outer_preds[1])
+    fm = M.metrics_long(M.regression_metrics(op, "target", "prediction", ["dataset", "fold"])
+                        .withColumn("model", F.lit("ols_select")), ["dataset", "model", "fold"])
+    return cs, fp, fm

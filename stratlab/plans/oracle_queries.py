@@ -305,3 +305,56 @@ sm AS (SELECT dataset, model, feature, avg(importance) AS mi FROM im GROUP BY AL
 a AS (SELECT model, feature, avg(mi) AS across FROM sm GROUP BY ALL)
 SELECT model, feature, {r('across', 6)} AS across_datasets,
        CAST(row_number() OVER (PARTITION BY model ORDER BY across DESC, feature) AS INTEGER) AS "order" FROM a"""
+
+
+_nested = _fm.split("feat AS (")[0].replace(
+    "fd AS (SELECT hs.*, CAST((st.start + row_number() OVER (PARTITION BY hs.dataset, hs.stratum ORDER BY hs.h, hs.row_key) - 1) % 10 AS INTEGER) AS fold",
+    "fd AS (SELECT hs.*, st.start + row_number() OVER (PARTITION BY hs.dataset, hs.stratum ORDER BY hs.h, hs.row_key) - 1 AS pos")
+_nested += """
+cells AS (SELECT dataset, target, x_quantity, x_tax_ratio, x_tax, CAST(j.range AS INTEGER) AS outer_f,
+                 CAST((pos - floor((pos + 9 - j.range) / 10)) % 10 AS INTEGER) AS inner_f
+          FROM fd CROSS JOIN range(0, 10) j WHERE pos % 10 <> j.range),
+cf AS (SELECT dataset, outer_f, inner_f, 0 AS cand, target, x_quantity AS x FROM cells
+       UNION ALL SELECT dataset, outer_f, inner_f, 1, target, x_tax_ratio FROM cells
+       UNION ALL SELECT dataset, outer_f, inner_f, 2, target, x_tax FROM cells),
+combos AS (SELECT DISTINCT dataset, outer_f, inner_f FROM cells),
+icoef AS (SELECT c.dataset, c.outer_f, c.inner_f, t.cand, regr_slope(t.target, t.x) AS b, regr_intercept(t.target, t.x) AS a
+          FROM combos c JOIN cf t ON t.dataset = c.dataset AND t.outer_f = c.outer_f AND t.inner_f <> c.inner_f
+          GROUP BY c.dataset, c.outer_f, c.inner_f, t.cand),
+ipred AS (SELECT t.dataset, t.outer_f, t.inner_f, t.cand, t.target, t.target - (k.a + k.b * t.x) AS e
+          FROM cf t JOIN icoef k USING (dataset, outer_f, inner_f, cand)),
+ir2 AS (SELECT dataset, outer_f, inner_f, cand, 1 - sum(e * e) / (var_pop(target) * count(*)) AS r2 FROM ipred GROUP BY ALL),
+cs AS (SELECT dataset, 'ols_select' AS model, outer_f AS outer_fold, cand AS candidate_idx, avg(r2) AS mean_r2 FROM ir2 GROUP BY ALL),
+bestc AS (SELECT dataset, outer_fold, candidate_idx FROM (
+            SELECT *, row_number() OVER (PARTITION BY dataset, outer_fold ORDER BY mean_r2 DESC, candidate_idx) AS rn FROM cs) z
+          WHERE rn = 1),
+fdf AS (SELECT *, CAST(pos % 10 AS INTEGER) AS fold FROM fd),
+ofe AS (SELECT dataset, fold, target, 0 AS cand, x_quantity AS x FROM fdf
+        UNION ALL SELECT dataset, fold, target, 1, x_tax_ratio FROM fdf
+        UNION ALL SELECT dataset, fold, target, 2, x_tax FROM fdf),
+ocoef AS (SELECT b.dataset, b.outer_fold, b.candidate_idx, regr_slope(t.target, t.x) AS b1, regr_intercept(t.target, t.x) AS b0
+          FROM bestc b JOIN ofe t ON t.dataset = b.dataset AND t.fold <> b.outer_fold AND t.cand = b.candidate_idx
+          GROUP BY ALL),
+opred AS (SELECT t.dataset, t.fold, t.target, t.target - (k.b0 + k.b1 * t.x) AS e
+          FROM ofe t JOIN ocoef k ON t.dataset = k.dataset AND t.fold = k.outer_fold AND t.cand = k.candidate_idx),
+ow AS (SELECT dataset, fold, 1 - sum(e * e) / (var_pop(target) * count(*)) AS r2, sqrt(avg(e * e)) AS rmse,
+              avg(abs(e)) AS mae FROM opred GROUP BY ALL),
+ob AS (SELECT dataset, candidate_idx, avg(mean_r2) AS om FROM cs GROUP BY ALL),
+obest AS (SELECT dataset, candidate_idx, om FROM (
+            SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY om DESC, candidate_idx) AS rn FROM ob) z WHERE rn = 1)"""
+_feat_name = "CASE candidate_idx WHEN 0 THEN 'x_quantity' WHEN 1 THEN 'x_tax_ratio' ELSE 'x_tax' END"
+ORACLE["feature_search_scores"] = f"""WITH {_nested}
+SELECT dataset, model, outer_fold, candidate_idx, {r('mean_r2', 6)} AS mean_r2 FROM cs"""
+ORACLE["feature_search_params"] = f"""WITH {_nested}
+SELECT dataset, 'ols_select' AS model, outer_fold AS fold, 'feature' AS name, {_feat_name} AS value FROM bestc"""
+ORACLE["feature_search_metrics"] = f"""WITH {_nested}
+SELECT dataset, 'ols_select' AS model, fold, m.metric,
+       {r("CASE m.metric WHEN 'r2' THEN r2 WHEN 'rmse' THEN rmse ELSE mae END", 4)} AS value
+FROM ow CROSS JOIN (VALUES ('r2'), ('rmse'), ('mae')) m(metric)"""
+ORACLE["best_candidate"] = f"""WITH {_nested}
+SELECT dataset, 'ols_select' AS model, candidate_idx, {r('om', 6)} AS overall_mean_r2 FROM obest"""
+ORACLE["hyperparameter_comparison"] = f"""WITH {_nested},
+bp AS (SELECT dataset, {_feat_name} AS value FROM obest)
+SELECT 'ols_select' AS model, 'feature' AS name, a.value AS with_value, b.value AS without_value,
+       a.value IS NOT DISTINCT FROM b.value AS equal
+FROM (SELECT value FROM bp WHERE dataset = 'with_outliers') a, (SELECT value FROM bp WHERE dataset = 'without_outliers') b"""

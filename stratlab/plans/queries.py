@@ -464,3 +464,80 @@ def linear_cv_full(spark: SparkSession, sf_dir: str) -> DataFrame:
         fm, imp, _ = MS.linear_study(df)
         out.append(fm.withColumn("dataset", F.lit(ds)))
     return out[0].unionByName(out[1]).select("dataset", "model", "fold", "metric", rnd("value", 4).alias("value"))
+
+
+def _search(spark, sf_dir):
+    return MS.linear_feature_search(spark, sf_dir)
+
+
+@register("feature_search_scores")
+def feature_search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-77 + O-71: mean inner R2 of every candidate inside every outer train part."""
+    cs, _, _ = _search(spark, sf_dir)
+    return cs.select("dataset", "model", "outer_fold", "candidate_idx", rnd("mean_r2", 6).alias("mean_r2"))
+
+
+@register("feature_search_params")
+def feature_search_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-89: hyperparameter selected in each outer fold."""
+    _, fp, _ = _search(spark, sf_dir)
+    return fp
+
+
+@register("feature_search_metrics")
+def feature_search_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-78 + O-80: held-out scores of each outer fold's refit best candidate."""
+    _, _, fm = _search(spark, sf_dir)
+    return fm.select("dataset", "model", "fold", "metric", rnd("value", 4).alias("value"))
+
+
+@register("best_candidate")
+def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-83: overall best candidate (mean over outer folds of inner means; first wins)."""
+    cs, _, _ = _search(spark, sf_dir)
+    return R.best_candidate(cs).select("dataset", "model", "candidate_idx",
+                                       rnd("overall_mean_r2", 6).alias("overall_mean_r2"))
+
+
+@register("hyperparameter_comparison")
+def hyperparameter_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-88: overall best hyperparameter with vs without outliers, null-safe equality."""
+    cs, _, _ = _search(spark, sf_dir)
+    names = F.array(*[F.lit(v) for v in MS.SINGLE_MODELS.values()])
+    best = R.best_candidate(cs).select("dataset", "model", F.lit("feature").alias("name"),
+                                       F.element_at(names, F.col("candidate_idx") + 1).alias("value"))
+    return R.hyperparameter_comparison(best, MS.WITH, MS.WITHOUT)
+
+
+_SMALL_TREE = {"maxDepth": [3, 5], "minInstancesPerNode": [4]}
+_SMALL_FOREST = {"numTrees": [10], "maxDepth": [5], "featureSubsetStrategy": ["all", "2"]}
+
+
+def _tree_facts(spark, sf_dir, kind, grid):
+    df = MS.datasets(spark, sf_dir)[MS.WITH]
+    fm, imp, params, scores, timing = MS.tree_study(df, kind, grid=grid, max_bins=32,
+                                                    outer_parallelism=5, parallelism=2)
+    best = R.best_candidate(scores.withColumn("dataset", F.lit(MS.WITH)))
+    return (fm.select(F.lit("metric").alias("kind"), "model", "fold", F.col("metric").alias("name"),
+                      F.col("value").cast("string").alias("value"))
+            .unionByName(params.select(F.lit("param").alias("kind"), "model", "fold", "name", "value"))
+            .unionByName(imp.select(F.lit("importance").alias("kind"), "model", "fold",
+                                    F.col("feature").alias("name"), F.col("importance").cast("string").alias("value")))
+            .unionByName(timing.select(F.lit("timing").alias("kind"), "model", "fold", F.col("metric").alias("name"),
+                                       F.col("value").cast("string").alias("value")))
+            .unionByName(best.select(F.lit("best_candidate").alias("kind"), "model", F.lit(-1).alias("fold"),
+                                     F.lit("candidate_idx").alias("name"),
+                                     F.col("candidate_idx").cast("string").alias("value"))))
+
+
+@register("tree_nested_cv")
+def tree_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-73 + O-75 + O-77 + O-78 + O-82 + O-83 + O-84 + O-89: decision tree, nested 10 x 10 CV
+    (small grid here; the full grid is ``models.TREE_GRID``)."""
+    return _tree_facts(spark, sf_dir, "tree", _SMALL_TREE)
+
+
+@register("forest_nested_cv")
+def forest_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-74 + O-76 + the same outputs for a random forest (full grid: ``models.FOREST_GRID``)."""
+    return _tree_facts(spark, sf_dir, "forest", _SMALL_FOREST)
