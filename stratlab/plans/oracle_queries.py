@@ -358,3 +358,42 @@ bp AS (SELECT dataset, {_feat_name} AS value FROM obest)
 SELECT 'ols_select' AS model, 'feature' AS name, a.value AS with_value, b.value AS without_value,
        a.value IS NOT DISTINCT FROM b.value AS equal
 FROM (SELECT value FROM bp WHERE dataset = 'with_outliers') a, (SELECT value FROM bp WHERE dataset = 'without_outliers') b"""
+
+
+# ------------------------------------------------------------ sources and report
+ORACLE["typed_scan"] = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"
+_der = ("SELECT l_extendedprice / nullif(l_quantity, 0) AS price_per_unit, "
+        "l_tax / nullif(l_discount, 0) AS tax_per_discount, l_quantity FROM lineitem")
+_groups_sql = f"""
+SELECT 'null_or_nan' AS "group", 'null_or_nan_stats_' || statistic || '.json' AS file, statistic, "column", value
+FROM ({describe_sql(f"SELECT * FROM ({_gsrc}) g WHERE {_gap_bad}", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])}) a
+UNION ALL
+SELECT 'raw', 'stats_' || statistic || '.json', statistic, "column", value FROM ({describe_sql(I.SQL["measures"], I.MEASURES)}) b
+UNION ALL
+SELECT 'derived', 'derived_stats_' || statistic || '.json', statistic, "column", value
+FROM ({describe_sql(_der, ["price_per_unit", "tax_per_discount", "l_quantity"])}) c"""
+ORACLE["stats_groups"] = _groups_sql
+
+
+def _fmt(v: str) -> str:
+    return (f"CASE WHEN {v} IS NULL OR isnan({v}) THEN '--' "
+            f"WHEN {v} = floor({v}) AND abs({v}) >= 100 THEN replace(format('{{:,.0f}}', {v}), ',', '\\,') "
+            f"WHEN abs({v}) >= 100 THEN replace(format('{{:,.2f}}', {v}), ',', '\\,') "
+            f"WHEN abs({v}) >= 1 THEN printf('%.3f', {v}) ELSE printf('%.4f', {v}) END")
+
+
+_order = ", ".join(f"'{s}'" for s in ["count", "mean", "q1", "median", "q3", "iqr", "std", "range", "outliers", "outliers_pct"])
+_raw = describe_sql(I.SQL["measures"], I.MEASURES, places=12)
+ORACLE["stats_report_table"] = f"""
+WITH d AS ({_raw}),
+w AS (SELECT statistic, {', '.join(f"max(CASE WHEN \"column\" = '{c}' THEN value END) AS {c}" for c in I.MEASURES)}
+      FROM d GROUP BY statistic)
+SELECT CAST(CASE WHEN list_position([{_order}], statistic) > 0 THEN list_position([{_order}], statistic) ELSE 11 END AS INTEGER) AS "row order",
+       statistic, {', '.join(f'{_fmt(c)} AS "{c.replace("_", " ")}"' for c in I.MEASURES)}
+FROM w"""
+ORACLE["head_orders"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5"
+ORACLE["top_price_per_unit"] = f"""
+SELECT l_orderkey, l_linenumber, {r('ppu', 6)} AS price_per_unit FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice / nullif(l_quantity, 0) AS ppu FROM lineitem
+  ORDER BY ppu DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20) t"""
+ORACLE["describe_unpivot"] = describe_sql(I.SQL["measures"], I.MEASURES)

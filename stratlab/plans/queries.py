@@ -541,3 +541,78 @@ def tree_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-74 + O-76 + the same outputs for a random forest (full grid: ``models.FOREST_GRID``)."""
     return _tree_facts(spark, sf_dir, "forest", _SMALL_FOREST)
+
+
+# ------------------------------------------------------------ sources and report
+
+from ..sources import io as IO  # noqa: E402
+
+STAT_ORDER = ["count", "mean", "q1", "median", "q3", "iqr", "std", "range", "outliers", "outliers_pct"]
+
+
+@register("typed_scan")
+def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-01 + O-02: explicit-schema Parquet scan, pruned, with the category guard."""
+    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string"
+    return IO.read_table(spark, f"{sf_dir}/lineitem.parquet", schema, fmt="parquet",
+                         category=("l_returnflag", I.RETURN_FLAGS))
+
+
+def _stats_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gaps = I.measures_with_gaps(spark, sf_dir).drop("l_returnflag")
+    li = I.table(spark, sf_dir, "lineitem")
+    derived = li.select(K.ratio("l_extendedprice", "l_quantity").alias("price_per_unit"),
+                        K.ratio("l_tax", "l_discount").alias("tax_per_discount"), "l_quantity")
+    parts = [("null_or_nan_", D.describe(K.keep_bad_rows(gaps))),
+             ("", D.describe(I.measures(spark, sf_dir), I.MEASURES)),
+             ("derived_", D.describe(derived))]
+    out = None
+    for prefix, long in parts:
+        f = long.withColumn("file", F.concat(F.lit(prefix + IO.STATS_FILE_STEM), "statistic", F.lit(".json")))
+        out = f if out is None else out.unionByName(f)
+    return out.withColumn("group", IO.stats_group(F.col("file")))
+
+
+@register("stats_groups")
+def stats_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-04 + O-06 + O-94: statistics of three inputs, routed to groups by file-name prefix."""
+    return _stats_groups(spark, sf_dir).select("group", "file", "statistic", "column", rnd("value").alias("value"))
+
+
+@register("stats_report_table")
+def stats_report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-93 + O-95 + O-96 (+ O-39 wide form): the report table of the raw group:
+    rows in a fixed statistic order (others after), humanised headers, formatted cells."""
+    long = _stats_groups(spark, sf_dir).filter(F.col("group") == "raw")
+    wide = D.describe_wide(long, I.MEASURES)
+    from ..operators import results as R
+    shown = wide.select(R.fixed_order_key("statistic", STAT_ORDER).alias("row_order"), "statistic",
+                        *[K.display_number(c).alias(c) for c in I.MEASURES])
+    return K.humanize_columns(shown)
+
+
+@register("head_orders")
+def head_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-90: first five orders in key order."""
+    from ..operators import results as R
+    return R.head(I.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 5, "o_orderkey")
+
+
+@register("top_price_per_unit")
+def top_price_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-91 + O-92: 20 largest unit prices, nulls last."""
+    from ..operators import results as R
+    li = I.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        K.ratio("l_extendedprice", "l_quantity").alias("price_per_unit"))
+    top = R.top_k(li, "price_per_unit", 20, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return top.select("l_orderkey", "l_linenumber", rnd("price_per_unit", 6).alias("price_per_unit"))
+
+
+@register("describe_unpivot")
+def describe_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-97: wide per-statistic table back to long form."""
+    from ..operators import results as R
+    wide = D.describe_wide(D.describe(I.measures(spark, sf_dir), I.MEASURES), I.MEASURES)
+    long = R.wide_to_long(wide, ["statistic"], I.MEASURES, "column", "value")
+    return long.select("statistic", "column", rnd("value").alias("value"))
