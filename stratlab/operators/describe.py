@@ -84,8 +84,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable
     clean = clean.withColumns({c: F.col(c).cast("double") for c in cols})
     if ranges is None:
         ranges = Q.column_ranges(clean, cols)
-    qs = Q.quantiles(clean, cols, [0.25, 0.75], "nearest", ranges=ranges)
-    med = Q.quantiles(clean, cols, [0.5], "linear", ranges=ranges)
+    qset = Q.quantile_set(clean, cols, [(0.25, "nearest"), (0.75, "nearest"), (0.5, "linear")], ranges=ranges)
+    qs = {(c, q): qset[(c, q, "nearest")] for c in cols for q in (0.25, 0.75)}
+    med = {(c, 0.5): qset[(c, 0.5, "linear")] for c in cols}
 
     aggs: list[Column] = []
     for i, c in enumerate(cols):

@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_EXACT_ROWS = 1_000_000
+DEFAULT_EXACT_ROWS = 100_000
 DEFAULT_BUCKETS = 1024
 DEFAULT_MAX_ROUNDS = 12
 
@@ -102,23 +102,28 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]],
         open_ = [t for t in targets if not t.done and t.m > exact_rows]
         if not open_:
             break
+        # one histogram per distinct (column, bracket): targets of a column share it at first
+        brackets = sorted({(t.col, t.lo, t.hi) for t in open_}, key=lambda k: (k[0], k[1], k[2]))
         cells = []
-        for i, t in enumerate(open_):
-            x = F.col(t.col).cast("double")
-            width = (t.hi - t.lo) / buckets
-            b = F.least(F.floor((x - F.lit(t.lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-            cells.append(F.when((x >= F.lit(t.lo)) & (x <= F.lit(t.hi)),
+        for i, (c, lo, hi) in enumerate(brackets):
+            x = F.col(c).cast("double")
+            width = (hi - lo) / buckets
+            b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+            cells.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
                                 F.struct(F.lit(i).alias("t"), b.alias("b"), x.alias("v"))))
         hist = (df.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("s"))
                 .groupBy(F.col("s.t").alias("t"), F.col("s.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("s.v").alias("lo"), F.max("s.v").alias("hi"))
                 .collect())
-        by_target: dict[int, list] = {}
+        by_bracket: dict[int, list] = {}
         for row in hist:
-            by_target.setdefault(row["t"], []).append(row)
-        for i, t in enumerate(open_):
+            by_bracket.setdefault(row["t"], []).append(row)
+        for rows in by_bracket.values():
+            rows.sort(key=lambda r: r["b"])
+        index = {k: i for i, k in enumerate(brackets)}
+        for t in open_:
             acc = 0
-            for row in sorted(by_target.get(i, []), key=lambda r: r["b"]):
+            for row in by_bracket.get(index[(t.col, t.lo, t.hi)], []):
                 if acc + row["n"] > t.r:
                     t.lo, t.hi, t.r, t.m = row["lo"], row["hi"], t.r - acc, row["n"]
                     break
@@ -144,26 +149,33 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]],
 def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], method: str = "nearest",
               ranges: dict | None = None, **kw) -> dict[tuple[str, float], float | None]:
     """Exact quantiles per (column, q); ``method`` is ``nearest`` (O-33) or ``linear``."""
+    if method not in ("nearest", "linear"):
+        raise ValueError(f"unknown quantile method {method!r}")
+    got = quantile_set(df, cols, [(q, method) for q in qs], ranges=ranges, **kw)
+    return {(c, q): v for (c, q, _), v in got.items()}
+
+
+def quantile_set(df: DataFrame, cols: Sequence[str], requests: Sequence[tuple[float, str]],
+                 ranges: dict | None = None, **kw) -> dict[tuple[str, float, str], float | None]:
+    """Several (q, method) pairs per column with one ranges job and one rank search."""
     if ranges is None:
         ranges = column_ranges(df, cols)
     wanted: dict[str, set[int]] = {c: set() for c in cols}
     plan = {}
     for c in cols:
         n = ranges[c][0]
-        for q in qs:
+        for q, method in requests:
             if n == 0:
-                plan[(c, q)] = None
+                plan[(c, q, method)] = None
                 continue
             if method == "nearest":
                 k = nearest_rank_index(n, q)
-                plan[(c, q)] = (k, k, 0.0)
-            elif method == "linear":
+                plan[(c, q, method)] = (k, k, 0.0)
+            else:
                 h = (n - 1) * q
                 lo, hi = int(math.floor(h)), int(math.ceil(h))
-                plan[(c, q)] = (lo, hi, h - lo)
-            else:
-                raise ValueError(f"unknown quantile method {method!r}")
-            wanted[c].update(plan[(c, q)][:2])
+                plan[(c, q, method)] = (lo, hi, h - lo)
+            wanted[c].update(plan[(c, q, method)][:2])
     stats = order_statistics(df, {c: v for c, v in wanted.items() if v}, ranges=ranges, **kw)
     out = {}
     for key, p in plan.items():

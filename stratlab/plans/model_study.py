@@ -148,18 +148,14 @@ def linear_feature_search(spark: SparkSession, sf_dir: str):
                 sub = np.ix_([c, -1], [c, -1])
                 b0, beta = M.ols_from_moments(n, mu[[c, -1]], m[sub])
                 coef[(o, i, c)] = (b0, float(beta[0]))
-        pred_exprs = []
-        for c, x in enumerate(feats):
-            e = None
-            for (o, i, cc), (b0, b1) in coef.items():
-                if cc != c:
-                    continue
-                cond = (F.col("outer") == o) & (F.col("inner_fold") == i)
-                v = F.lit(b0) + F.lit(b1) * F.col(x)
-                e = F.when(cond, v) if e is None else e.when(cond, v)
-            pred_exprs.append(F.struct(F.lit(c).alias("candidate_idx"), e.alias("prediction")))
-        inner_scores = (cells.select("outer", "inner_fold", "target", F.explode(F.array(*pred_exprs)).alias("_p"))
-                        .select("outer", "inner_fold", "target", "_p.*"))
+        # inner-fold coefficients as a small table (cells x candidates), broadcast into the scoring job
+        ctab = spark.createDataFrame([(o, i, c, b0, b1) for (o, i, c), (b0, b1) in coef.items()],
+                                     "outer int, inner_fold int, candidate_idx int, b0 double, b1 double")
+        xs = F.array(*[F.col(x) for x in feats])
+        inner_scores = (cells.select("outer", "inner_fold", "target", xs.alias("_x"))
+                        .join(F.broadcast(ctab), ["outer", "inner_fold"])
+                        .select("outer", "inner_fold", "candidate_idx", "target",
+                                (F.col("b0") + F.col("b1") * F.col("_x")[F.col("candidate_idx")]).alias("prediction")))
         r2 = M.regression_metrics(inner_scores, "target", "prediction", ["outer", "candidate_idx", "inner_fold"])
         means = r2.groupBy("outer", "candidate_idx").agg(F.avg("r2").alias("mean_r2")).collect()
         by_outer: dict[int, list] = {}
