@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The studied workload has no stream, watermark, state or late data. The batch
+operators take any DataFrame, so they also apply to each micro-batch of a
+Structured Streaming query through ``writeStream.foreachBatch``; quantile-based
+operators then describe the batch, not the whole stream.
+"""
