@@ -262,9 +262,9 @@ def silhouette_scores(d: DataFrame, settings: dict[tuple[str, int], list[float]]
     computed once for all labellings (bucketed, see ``ordered``).
     """
     spark = d.sparkSession
+    ensure_checkpoint_dir(spark)
     base = d.select(F.col("lo").alias("x"), "n", "s")
-    g = running_sum(base.withColumn("_one", F.col("n")), "x", "_one", "G_n")
-    g = running_sum(g.drop("_one"), "x", "s", "G_s")
+    g = running_sum(base, "x", ["n", "s"], ["G_n", "G_s"]).checkpoint()
     keys = list(settings)
     arr = F.array(*[F.struct(F.lit(l).alias("linkage"), F.lit(k).alias("k"),
                              label_expr("x", settings[(l, k)]).alias("label")) for l, k in keys])

@@ -29,22 +29,25 @@ def range_buckets(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS,
     return res.drop(tmp).withColumn(out, F.col(out).cast("int"))
 
 
-def running_sum(df: DataFrame, order_col: str, weight_col: str, out: str = "cum",
+def running_sum(df: DataFrame, order_col: str, weight_col: str | list[str], out: str | list[str] = "cum",
                 buckets: int = DEFAULT_BUCKETS, tiebreak: list[str] | None = None) -> DataFrame:
-    """Inclusive running sum of ``weight_col`` in ``order_col`` order, over the whole table.
+    """Inclusive running sum(s) of ``weight_col`` in ``order_col`` order, over the whole table.
 
-    Rows must be unique on (order_col, *tiebreak) for a deterministic result.
+    Several weight columns share one bucketing and one window pass. Rows must
+    be unique on (order_col, *tiebreak) for a deterministic result.
     """
+    weights = [weight_col] if isinstance(weight_col, str) else list(weight_col)
+    outs = [out] if isinstance(out, str) else list(out)
     order = [order_col, *(tiebreak or [])]
     b = range_buckets(df, order_col, buckets)
-    totals = b.groupBy("_bucket").agg(F.sum(weight_col).alias("_tot"))
-    offsets = totals.select("_bucket", (F.sum("_tot").over(Window.orderBy("_bucket")
-                                                           .rowsBetween(Window.unboundedPreceding, -1)))
-                            .alias("_off"))
+    totals = b.groupBy("_bucket").agg(*[F.sum(w).alias(f"_tot{i}") for i, w in enumerate(weights)])
+    prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", *[F.sum(f"_tot{i}").over(prev).alias(f"_off{i}") for i in range(len(weights))])
     w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (b.join(F.broadcast(offsets), "_bucket")
-            .withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.sum(weight_col).over(w))
-            .drop("_off", "_bucket"))
+    res = b.join(F.broadcast(offsets), "_bucket")
+    res = res.withColumns({o: F.coalesce(F.col(f"_off{i}"), F.lit(0)) + F.sum(wc).over(w)
+                           for i, (wc, o) in enumerate(zip(weights, outs))})
+    return res.drop("_bucket", *[f"_off{i}" for i in range(len(weights))])
 
 
 def with_neighbours(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS,
