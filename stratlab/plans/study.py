@@ -85,3 +85,69 @@ def report(stats_path: str, spark, order: Sequence[str]) -> DataFrame:
     shown = wide.select("prefix", R.fixed_order_key("statistic", order).alias("row_order"), "statistic",
                         *[K.display_number(c).alias(c) for c in cols])
     return K.humanize_columns(shown.drop("cluster") if "cluster" in shown.columns else shown)
+
+
+def model(spark, sf_dir: str, out_path: str | None = None, tree_grid: dict | None = None,
+          forest_grid: dict | None = None, kinds: Sequence[str] = ("linear", "tree", "forest"),
+          cv_options: dict | None = None) -> dict[str, DataFrame]:
+    """Entry C: quality funnel, both datasets, every model kind, long result tables,
+    ranking, sensitivity and (with ``out_path``) the NaN-checked results and bundles.
+
+    ``tree_grid``/``forest_grid`` default to the full study grids.
+    """
+    from . import model_study as MS
+    from ..operators import features as FE
+
+    ensure_checkpoint_dir(spark)
+    cv_options = cv_options or {}
+    base = MS.datasets(spark, sf_dir)
+    funnel = D.quality_counts(base[MS.WITH], MS.OUTLIER_COLS)
+    fms, imps, params, cands, tms = [], [], [], [], []
+    for ds, df in base.items():
+        df = df.checkpoint()
+        tms.append(D.target_summary(df, "target").select(F.lit(ds).alias("dataset"),
+                                                         F.col("mean").alias("target_mean"),
+                                                         "minimum", "maximum", "rows"))
+        tag = lambda x: x.withColumn("dataset", F.lit(ds))
+        if "linear" in kinds:
+            fm, imp, fit = MS.linear_study(df)
+            fms.append(tag(fm))
+            imps.append(tag(imp))
+        for kind, grid in (("tree", tree_grid), ("forest", forest_grid)):
+            if kind not in kinds:
+                continue
+            fm, imp, prm, sc, timing = MS.tree_study(df, kind, grid=grid, **cv_options)
+            fms.append(tag(fm).unionByName(tag(timing), allowMissingColumns=True))
+            imps.append(tag(imp))
+            params.append(tag(prm))
+            cands.append(tag(sc))
+    union = lambda xs: None if not xs else xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]), allowMissingColumns=True)
+    target_means = union(tms).checkpoint()
+    tm_map = {r["dataset"]: r["target_mean"] for r in target_means.collect()}
+    fold_metrics = union(fms).withColumn(
+        "share_of_target_mean",
+        F.when(F.col("metric").isin("rmse", "mae"),
+               F.col("value") / F.element_at(F.create_map(*[x for k, v in tm_map.items()
+                                                             for x in (F.lit(k), F.lit(v))]), F.col("dataset"))))
+    fold_metrics = fold_metrics.filter(F.col("metric") != "fit_seconds").unionByName(
+        fold_metrics.filter(F.col("metric") == "fit_seconds")).checkpoint()
+    quality = fold_metrics.filter(F.col("metric") != "fit_seconds")
+    out = {
+        "quality_counts": funnel,
+        "target_means": target_means,
+        "fold_metrics": fold_metrics,
+        "importance": union(imps),
+        "importance_summary": R.importance_summary(union(imps)),
+        "ranking": R.model_ranking(quality, MS.MODEL_ORDER),
+        "sensitivity": R.outlier_sensitivity(quality, target_means, MS.WITH, MS.WITHOUT),
+        "document": IO.results_document(quality),
+    }
+    if params:
+        out["fold_params"] = union(params)
+        out["candidate_scores"] = union(cands)
+        best = R.best_candidate(union(cands))
+        out["best_candidate"] = best
+    if out_path:
+        IO.write_results({k: v for k, v in out.items() if k != "document"}, out_path)
+        out["document"].write.mode("overwrite").json(os.path.join(out_path, "document"))
+    return out

@@ -31,3 +31,18 @@ def test_study_end_to_end(spark):
             float(int(0.1 * ev.count()))
         rep = study.report(os.path.join(d, "stats"), spark, ["count", "mean"])
         assert "row order" in rep.columns and rep.count() == 36
+
+
+def test_model_entry_small(spark):
+    with tempfile.TemporaryDirectory() as d:
+        out = study.model(spark, SMOKE, out_path=d, kinds=("linear", "tree"),
+                          tree_grid={"maxDepth": [3], "minInstancesPerNode": [1]},
+                          cv_options={"outer_parallelism": 5, "parallelism": 2, "max_bins": 16})
+        fm = out["fold_metrics"]
+        assert fm.filter("metric = 'r2'").count() == 2 * 2 * 10      # datasets x models x folds
+        rk = out["ranking"].collect()
+        assert sorted(r.position for r in rk if r.dataset == "with_outliers") == [1, 2]
+        assert out["sensitivity"].count() == 2 * 3
+        assert out["best_candidate"].count() == 2
+        doc = spark.read.json(os.path.join(d, "document")).count()
+        assert doc == 2
