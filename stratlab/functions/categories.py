@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from .frames import literal_frame
 
 
 def _col(c: str | Column) -> Column:
@@ -53,7 +54,7 @@ def domain_frame(spark: SparkSession, name: str, domain: Sequence[str]) -> DataF
     rows = [(v, i + 1) for i, v in enumerate(domain)]
     schema = T.StructType([T.StructField(name, T.StringType(), False),
                            T.StructField("rank", T.IntegerType(), False)])
-    return spark.createDataFrame(rows, schema)
+    return literal_frame(spark, rows, schema)
 
 
 def level_frequency(df: DataFrame, name: str, domain: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import clean_numeric
 from . import quantile as Q
 from .ordered import running_sum
+from ..functions.frames import literal_frame
 
 KDE_GRID = 200        # fixed value: density curve grid size
 FIXED_BINS = 30       # fixed value: bins of the stacked histogram
@@ -67,6 +68,7 @@ def bin_index(x: Column, lo: float, hi: float, nb: int) -> Column:
 
     The first guess ``floor((x - lo) * nb / (hi - lo))`` is corrected against
     the edges themselves, so a value on an edge lands in the upper bin.
+    (Single-expression form; ``with_bin`` is the cheaper staged form.)
     """
     if hi == lo:
         return F.lit(0)
@@ -77,6 +79,39 @@ def bin_index(x: Column, lo: float, hi: float, nb: int) -> Column:
     return F.when((x >= edge(g + 1)) & (g != nb - 1), g + 1).otherwise(g)
 
 
+def with_bin(df: DataFrame, x: str, specs: dict[str, tuple[float, float, int]] | tuple[float, float, int],
+             out: str = "bin", key: str = "column") -> DataFrame:
+    """Add ``out`` = ``bin_index`` of ``x``, in three projection steps.
+
+    ``specs`` is one (lo, hi, nb) or a map key value -> (lo, hi, nb) chosen
+    by column ``key``. Each step references the previous one's column, so the
+    first guess is computed once per row instead of being copied into every
+    branch of the correction.
+    """
+    def pick(i: int) -> Column:
+        if isinstance(specs, tuple):
+            return _d(specs[i]) if i < 2 else F.lit(specs[i])
+        e = None
+        for k, sp in specs.items():
+            v = _d(sp[i]) if i < 2 else F.lit(sp[i])
+            e = F.when(F.col(key) == k, v) if e is None else e.when(F.col(key) == k, v)
+        return e
+    lo, hi, nb = pick(0), pick(1), pick(2)
+    xc = F.col(x)
+    step = (hi - lo) / nb.cast("double")
+    staged = df.withColumns({"_lo": lo, "_nb": nb, "_st": step,
+                             "_f": nb.cast("double") / (hi - lo), "_flat": hi == lo})
+    staged = staged.withColumn("_g0", F.least(F.greatest(F.floor((xc - F.col("_lo")) * F.col("_f")), F.lit(0)),
+                                              F.col("_nb") - 1).cast("int"))
+    staged = staged.withColumn("_g1", F.when(xc < F.col("_lo") + F.col("_g0").cast("double") * F.col("_st"),
+                                             F.col("_g0") - 1).otherwise(F.col("_g0")))
+    staged = staged.withColumn(out, F.when(F.col("_flat"), F.lit(0))
+                               .when((xc >= F.col("_lo") + (F.col("_g1") + 1).cast("double") * F.col("_st"))
+                                     & (F.col("_g1") != F.col("_nb") - 1), F.col("_g1") + 1)
+                               .otherwise(F.col("_g1")))
+    return staged.drop("_lo", "_nb", "_st", "_f", "_flat", "_g0", "_g1")
+
+
 def _stack_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Long form (column, x, *extra) of several numeric columns, NULLs dropped."""
     arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])
@@ -87,7 +122,7 @@ def _stack_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ())
 
 def _bins_table(spark, specs: dict[str, tuple[float, float, int]]) -> DataFrame:
     rows = [(c, lo, hi, nb) for c, (lo, hi, nb) in specs.items()]
-    spec = spark.createDataFrame(rows, "column string, lo double, hi double, nb int")
+    spec = literal_frame(spark, rows, "column string, lo double, hi double, nb int")
     return (spec.select("column", "lo", "hi", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
             .select("column", "bin",
                     (F.col("lo") + F.col("bin") * ((F.col("hi") - F.col("lo")) / F.col("nb"))).alias("bin_lo"),
@@ -119,12 +154,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int | dict[str, int] | N
     if not specs:
         return df.sparkSession.createDataFrame([], "column string, bin int, bin_lo double, bin_hi double, n bigint")
     long = _stack_values(clean, list(specs), [by] if by else [])
-    bin_expr = None
-    for c, (lo, hi, nb) in specs.items():
-        e = bin_index(F.col("x"), lo, hi, nb)
-        bin_expr = F.when(F.col("column") == c, e) if bin_expr is None else bin_expr.when(F.col("column") == c, e)
     keys = ["column", *([by] if by else []), "bin"]
-    counts = long.withColumn("bin", bin_expr).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = with_bin(long, "x", specs).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     grid = _bins_table(df.sparkSession, specs)
     if by:
         # labels are strata ids: a handful of values, checked before use
@@ -251,9 +282,8 @@ def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
     (_, xl, xh), (_, yl, yh) = r[x], r[y]
     if xl is None:
         return df.sparkSession.createDataFrame([], "xbin int, ybin int, n bigint")
-    return (clean.select(bin_index(F.col(x), xl, xh, bins).alias("xbin"),
-                         bin_index(F.col(y), yl, yh, bins).alias("ybin"))
-            .groupBy("xbin", "ybin").agg(F.count(F.lit(1)).alias("n")))
+    binned = with_bin(with_bin(clean, x, (xl, xh, bins), "xbin"), y, (yl, yh, bins), "ybin")
+    return binned.groupBy("xbin", "ybin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def scatter_points(df: DataFrame, x: str, others: Sequence[str]) -> DataFrame:

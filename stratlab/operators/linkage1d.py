@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .ordered import range_buckets, running_sum, with_neighbours
+from ..functions.frames import literal_frame
 
 # Linkage order (first wins on equal scores) and the k sweep.
 LINKAGES = ["single", "complete", "average", "ward"]
@@ -157,7 +158,7 @@ def _halo(iv: DataFrame) -> DataFrame:
     rows = [(b, iv_t(first_i[b] - 1), iv_t(first_i[b] - 2), iv_t(last_i[b] + 1), iv_t(last_i[b] + 2))
             for b in first_i]
     st = f"struct<{_IV.replace(' double', ':double').replace(' long', ':bigint')}>"
-    return iv.sparkSession.createDataFrame(rows, f"_b int, _p1 {st}, _p2 {st}, _n1 {st}, _n2 {st}")
+    return literal_frame(iv.sparkSession, rows, f"_b int, _p1 {st}, _p2 {st}, _n1 {st}, _n2 {st}")
 
 
 def _round(iv: DataFrame, linkage: str) -> tuple[DataFrame, DataFrame]:

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from ..functions.frames import literal_frame
 
 DEFAULT_SEED = 42           # fixed value: the study's random state
 DEFAULT_FOLDS = 10          # fixed value: outer and inner fold count
@@ -81,7 +82,7 @@ def stratified_sample(df: DataFrame, key_cols: Sequence[str], stratum: str, frac
     quota = allocate(counts, fraction)
     bits = _prefix_bits(max((n for _, n in counts), default=1))
     spark = df.sparkSession
-    qdf = spark.createDataFrame([(s, q) for s, q in quota.items()],
+    qdf = literal_frame(spark, [(s, q) for s, q in quota.items()],
                                 f"{stratum} {df.schema[stratum].dataType.simpleString()}, _quota long")
     h = _ranked(df, key_cols, stratum, seed, bits)
     offs = _bucket_offsets(h, stratum).join(F.broadcast(qdf), stratum)
@@ -118,7 +119,7 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
         start.append((s, acc))
         acc += n
     spark = df.sparkSession
-    sdf = spark.createDataFrame(start, f"{stratum} {df.schema[stratum].dataType.simpleString()}, _start long")
+    sdf = literal_frame(spark, start, f"{stratum} {df.schema[stratum].dataType.simpleString()}, _start long")
     h = _ranked(df, key_cols, stratum, seed, bits)
     offs = _bucket_offsets(h, stratum).select(stratum, "_p", "_before")
     w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)

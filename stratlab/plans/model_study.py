@@ -14,6 +14,7 @@ from ..operators import features as FE
 from ..operators import models as M
 from ..operators import sampling as S
 from . import inputs as I
+from ..functions.frames import literal_frame
 
 WITH, WITHOUT = "with_outliers", "without_outliers"
 DATASETS = [WITH, WITHOUT]
@@ -149,7 +150,7 @@ def linear_feature_search(spark: SparkSession, sf_dir: str):
                 b0, beta = M.ols_from_moments(n, mu[[c, -1]], m[sub])
                 coef[(o, i, c)] = (b0, float(beta[0]))
         # inner-fold coefficients as a small table (cells x candidates), broadcast into the scoring job
-        ctab = spark.createDataFrame([(o, i, c, b0, b1) for (o, i, c), (b0, b1) in coef.items()],
+        ctab = literal_frame(spark, [(o, i, c, b0, b1) for (o, i, c), (b0, b1) in coef.items()],
                                      "outer int, inner_fold int, candidate_idx int, b0 double, b1 double")
         xs = F.array(*[F.col(x) for x in feats])
         inner_scores = (cells.select("outer", "inner_fold", "target", xs.alias("_x"))
