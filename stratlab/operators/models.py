@@ -83,6 +83,15 @@ def ols_from_moments(n: int, mu: np.ndarray, m: np.ndarray) -> tuple[float, np.n
     return float(mu[-1] - beta @ mu[:-1]), beta
 
 
+def r2_from_moments(n: int, mu: np.ndarray, m: np.ndarray, b0: float, b1: float) -> float:
+    """Held-out R2 of y ~ b0 + b1 * x from the held-out rows' (n, means, co-moments)
+    of (x, y): SSE = Myy - 2 b1 Mxy + b1^2 Mxx + n (ybar - b0 - b1 xbar)^2, SST = Myy."""
+    mxx, mxy, myy = m[0, 0], m[0, 1], m[1, 1]
+    bias = mu[1] - b0 - b1 * mu[0]
+    sse = myy - 2 * b1 * mxy + b1 * b1 * mxx + n * bias * bias
+    return float("nan") if myy == 0 else 1.0 - sse / myy
+
+
 @dataclass
 class LinearCV:
     features: list[str]

@@ -100,7 +100,8 @@ def stratified_sample(df: DataFrame, key_cols: Sequence[str], stratum: str, frac
 
 
 def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: int = DEFAULT_FOLDS,
-                     seed: int = DEFAULT_SEED, fold: str = "fold", inner: str | None = None) -> DataFrame:
+                     seed: int = DEFAULT_SEED, fold: str = "fold", inner: str | None = None,
+                     position: str | None = None) -> DataFrame:
     """O-70 (+ O-71 when ``inner`` is given): stratified k-fold ids.
 
     Rows are laid out stratum by stratum (stratum order), hash order inside;
@@ -111,6 +112,8 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
     ``inner``: array column, element j = the row's fold inside the training
     part of outer fold j (NULL when the row is in fold j): the same layout
     applied to the rows outside fold j, derived arithmetically from p.
+    ``position``: keep p itself (with p = k*a + b, the inner fold for outer
+    fold j is (b - [b > j] - a) mod k, see ``inner_fold_of_cell``).
     """
     counts = stratum_counts(df, stratum)
     bits = _prefix_bits(max((n for _, n in counts), default=1))
@@ -136,4 +139,14 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
             ipos = F.col("_pos") - count_mod(F.col("_pos"), j)
             elems.append(F.when(F.col(fold) != j, (ipos % k).cast("int")))
         out = out.withColumn(inner, F.array(*elems))
+    if position:
+        out = out.withColumn(position, F.col("_pos"))
     return out.drop("_h", "_p", "_before", "_start", "_pos")
+
+
+def inner_fold_of_cell(b: int, c: int, j: int, k: int = DEFAULT_FOLDS) -> int | None:
+    """Inner fold, for outer fold j, of every row whose position p has
+    p % k == b and (p // k) % k == c; None for rows of fold j itself."""
+    if b == j:
+        return None
+    return (b - (1 if b > j else 0) - c) % k

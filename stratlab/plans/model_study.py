@@ -111,73 +111,77 @@ def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Seque
 
 
 
-def linear_feature_search(spark: SparkSession, sf_dir: str):
+def linear_feature_search(spark: SparkSession, sf_dir: str, k: int = S.DEFAULT_FOLDS):
     """Nested CV with a grid search whose hyperparameter is the one feature of an
     OLS model (O-77, O-78, O-83, O-89): inner mean R2 per candidate inside every
     outer train part, best candidate refit on the train part, scored on the
     held-out fold.
 
-    Two jobs per dataset: moments per (outer, inner) cell, and one grouped
-    SSE/SST aggregate for every (outer, inner, candidate) plus the outer scores.
-    Returns (candidate_scores, fold_params, fold_metrics).
+    Rows at fold position p = k*a + b fall in the same inner fold for every
+    outer fold when they share (b, a mod k), so one aggregate over these k^2
+    cells (counts, means, co-moments) is all the inner search needs: fits and
+    held-out SSE/SST both come from merged cell moments. One more row pass
+    scores the outer folds (MAE needs rows). Returns (candidate_scores,
+    fold_params, fold_metrics).
     """
     feats = list(SINGLE_MODELS.values())
+    cols = [*feats, "target"]
     cand_rows, param_rows, outer_preds = [], [], []
     for ds, df in datasets(spark, sf_dir).items():
-        f = with_folds(df, inner=True).select("fold", "inner", "target", *feats).cache()
-        k = len(M.fold_moments(f, "fold", ["target"]))
-        cells = f.select("fold", "target", *feats, F.posexplode("inner").alias("outer", "inner_fold")) \
-                 .filter(F.col("inner_fold").isNotNull())
-        mom = {}
-        for r in cells.groupBy("outer", "inner_fold").agg(
-                F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate([*feats, "target"])],
-                *[F.covar_pop(a, b).alias(f"_c{i}_{j}") for i, a in enumerate([*feats, "target"])
-                  for j, b in enumerate([*feats, "target"]) if j >= i]).collect():
-            n, p = int(r["_n"]), len(feats) + 1
-            mu = np.array([r[f"_m{i}"] for i in range(p)])
-            m = np.zeros((p, p))
-            for i in range(p):
-                for j in range(i, p):
-                    m[i, j] = m[j, i] = r[f"_c{i}_{j}"] * n
-            mom[(int(r["outer"]), int(r["inner_fold"]))] = (n, mu, m)
-        # inner fits: candidate c on (outer o, held-out inner i) = merge of the other inner cells
-        coef = {}
-        for (o, i) in mom:
-            parts = [mom[(o, ii)] for ii in range(k) if ii != i and (o, ii) in mom]
-            n, mu, m = M.merge_moments(parts)
-            for c, x in enumerate(feats):
-                sub = np.ix_([c, -1], [c, -1])
-                b0, beta = M.ols_from_moments(n, mu[[c, -1]], m[sub])
-                coef[(o, i, c)] = (b0, float(beta[0]))
-        # inner-fold coefficients as a small table (cells x candidates), broadcast into the scoring job
-        ctab = literal_frame(spark, [(o, i, c, b0, b1) for (o, i, c), (b0, b1) in coef.items()],
-                                     "outer int, inner_fold int, candidate_idx int, b0 double, b1 double")
-        xs = F.array(*[F.col(x) for x in feats])
-        inner_scores = (cells.select("outer", "inner_fold", "target", xs.alias("_x"))
-                        .join(F.broadcast(ctab), ["outer", "inner_fold"])
-                        .select("outer", "inner_fold", "candidate_idx", "target",
-                                (F.col("b0") + F.col("b1") * F.col("_x")[F.col("candidate_idx")]).alias("prediction")))
-        r2 = M.regression_metrics(inner_scores, "target", "prediction", ["outer", "candidate_idx", "inner_fold"])
-        means = r2.groupBy("outer", "candidate_idx").agg(F.avg("r2").alias("mean_r2")).collect()
+        f = (
+            S.stratified_folds(df, ["row_key"], "stratum", k=k, position="fold_pos").select("fold", "fold_pos", *cols))
+        f = f.withColumn("_c", (F.floor(F.col("fold_pos") / k) % k).cast("int")).cache()
+        cell = {}
+        for (b, c), mom in _group_moments(f, ["fold", "_c"], cols).items():
+            cell[(b, c)] = mom
         by_outer: dict[int, list] = {}
-        for r in means:
-            by_outer.setdefault(int(r["outer"]), []).append((int(r["candidate_idx"]), float(r["mean_r2"])))
-            cand_rows.append((ds, "ols_select", int(r["outer"]), int(r["candidate_idx"]), float(r["mean_r2"])))
-        # refit the chosen feature on the whole outer train part, score the held-out fold
-        outer_mom = M.fold_moments(f, "fold", [*feats, "target"])
+        for j in range(k):
+            scores = {c_: [] for c_ in range(len(feats))}
+            for i in range(k):
+                train = [m for (b, c), m in cell.items() if b != j and S.inner_fold_of_cell(b, c, j, k) != i]
+                held = [m for (b, c), m in cell.items() if b != j and S.inner_fold_of_cell(b, c, j, k) == i]
+                if not train or not held:
+                    continue
+                tn, tmu, tm = M.merge_moments(train)
+                hn, hmu, hm = M.merge_moments(held)
+                for ci in range(len(feats)):
+                    sub = np.ix_([ci, -1], [ci, -1])
+                    b0, beta = M.ols_from_moments(tn, tmu[[ci, -1]], tm[sub])
+                    scores[ci].append(M.r2_from_moments(hn, hmu[[ci, -1]], hm[sub], b0, float(beta[0])))
+            for ci, vals in scores.items():
+                mean = float(np.mean(vals))
+                by_outer.setdefault(j, []).append((ci, mean))
+                cand_rows.append((ds, "ols_select", j, ci, mean))
         expr = None
-        for o, lst in by_outer.items():
+        for j, lst in by_outer.items():
             best = sorted(lst, key=lambda t: (-t[1], t[0]))[0][0]
-            param_rows.append((ds, "ols_select", o, "feature", feats[best]))
-            n, mu, m = M.merge_moments([outer_mom[g] for g in sorted(outer_mom) if g != o])
+            param_rows.append((ds, "ols_select", j, "feature", feats[best]))
+            n, mu, m = M.merge_moments([mm for (b, c), mm in cell.items() if b != j])
             sub = np.ix_([best, -1], [best, -1])
             b0, beta = M.ols_from_moments(n, mu[[best, -1]], m[sub])
             v = F.lit(b0) + F.lit(float(beta[0])) * F.col(feats[best])
-            expr = F.when(F.col("fold") == o, v) if expr is None else expr.when(F.col("fold") == o, v)
+            expr = F.when(F.col("fold") == j, v) if expr is None else expr.when(F.col("fold") == j, v)
         outer_preds.append(f.select(F.lit(ds).alias("dataset"), "fold", "target", expr.alias("prediction")))
-    cs = spark.createDataFrame(cand_rows, "dataset string, model string, outer_fold int, candidate_idx int, mean_r2 double")
-    fp = spark.createDataFrame(param_rows, "dataset string, model string, fold int, name string, value string")
+    cs = literal_frame(spark, cand_rows, "dataset string, model string, outer_fold int, candidate_idx int, mean_r2 double")
+    fp = literal_frame(spark, param_rows, "dataset string, model string, fold int, name string, value string")
     op = outer_preds[0].unionByName(outer_preds[1])
     fm = M.metrics_long(M.regression_metrics(op, "target", "prediction", ["dataset", "fold"])
                         .withColumn("model", F.lit("ols_select")), ["dataset", "model", "fold"])
     return cs, fp, fm
+
+
+def _group_moments(df: DataFrame, keys: list[str], cols: list[str]) -> dict[tuple, tuple]:
+    """(n, means, co-moments) of ``cols`` per group of ``keys``: one partial aggregate."""
+    p = len(cols)
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(a, b).alias(f"_c{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+    out = {}
+    for r in df.groupBy(*keys).agg(*aggs).collect():
+        n = int(r["_n"])
+        mu = np.array([r[f"_m{i}"] for i in range(p)])
+        m = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                m[i, j] = m[j, i] = r[f"_c{i}_{j}"] * n
+        out[tuple(int(r[kk]) for kk in keys)] = (n, mu, m)
+    return out

@@ -112,3 +112,15 @@ def test_results_nan_guard_and_document(spark):
         IO.check_no_nan(bad, bad.columns)
     rk = R.model_ranking(fm.withColumn("share_of_target_mean", F.lit(None).cast("double")), ["m"]).collect()
     assert rk[0].position == 1 and rk[0].is_best
+
+
+def test_r2_from_moments_equals_direct(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(5, 2, 300)
+    y = 1.5 + 0.7 * x + rng.normal(0, 1, 300)
+    n, mu = len(x), np.array([x.mean(), y.mean()])
+    m = np.cov(np.vstack([x, y]), bias=True) * n
+    b0, b1 = 1.2, 0.8
+    e = y - (b0 + b1 * x)
+    direct = 1 - (e ** 2).sum() / ((y - y.mean()) ** 2).sum()
+    assert M.r2_from_moments(n, mu, m, b0, b1) == pytest.approx(direct, abs=1e-12)

@@ -63,3 +63,13 @@ def test_hot_stratum_bucketing(spark):
     sizes = sorted(r[1] for r in f.groupBy("fold").count().collect())
     assert sizes[-1] - sizes[0] <= 1
     assert s.filter("in_sample").count() == 310
+
+
+def test_inner_fold_cells_match_inner_array(spark):
+    rows = [(i, i % 3) for i in range(537)]
+    df = spark.createDataFrame(rows, "id bigint, stratum int")
+    f = S.stratified_folds(df, ["id"], "stratum", k=10, inner="inner", position="pos").collect()
+    for r in f:
+        b, c = r.pos % 10, (r.pos // 10) % 10
+        assert r.fold == b
+        assert [S.inner_fold_of_cell(b, c, j) for j in range(10)] == list(r.inner)
