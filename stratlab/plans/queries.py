@@ -516,7 +516,7 @@ _SMALL_FOREST = {"numTrees": [10], "maxDepth": [5], "featureSubsetStrategy": ["a
 def _tree_facts(spark, sf_dir, kind, grid):
     df = MS.datasets(spark, sf_dir)[MS.WITH]
     fm, imp, params, scores, timing = MS.tree_study(df, kind, grid=grid, max_bins=32,
-                                                    outer_parallelism=5, parallelism=2)
+                                                    outer_parallelism=10, parallelism=1)
     best = R.best_candidate(scores.withColumn("dataset", F.lit(MS.WITH)))
     return (fm.select(F.lit("metric").alias("kind"), "model", "fold", F.col("metric").alias("name"),
                       F.col("value").cast("string").alias("value"))
