@@ -397,3 +397,13 @@ SELECT l_orderkey, l_linenumber, {r('ppu', 6)} AS price_per_unit FROM (
   SELECT l_orderkey, l_linenumber, l_extendedprice / nullif(l_quantity, 0) AS ppu FROM lineitem
   ORDER BY ppu DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20) t"""
 ORACLE["describe_unpivot"] = describe_sql(I.SQL["measures"], I.MEASURES)
+
+
+ORACLE["results_navigation"] = f"""WITH {_fm}
+SELECT dataset, model, {r('mean_value', 6)} AS mean_r2 FROM mm WHERE metric = 'r2'"""
+_sil = ORACLE["silhouette_single"].replace(
+    f"SELECT 'single' AS linkage, k, {r('sum(sil * n) / sum(n)', 6)} AS silhouette,",
+    f"SELECT 'single' AS linkage, k, {r('sum(sil * n) / sum(n)', 9)} AS silhouette,")
+ORACLE["best_k_single"] = f"""
+SELECT linkage, k, {r('silhouette', 6)} AS silhouette FROM ({_sil}) t
+ORDER BY silhouette DESC, k LIMIT 1"""

@@ -616,3 +616,25 @@ def describe_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = D.describe_wide(D.describe(I.measures(spark, sf_dir), I.MEASURES), I.MEASURES)
     long = R.wide_to_long(wide, ["statistic"], I.MEASURES, "column", "value")
     return long.select("statistic", "column", rnd("value").alias("value"))
+
+
+@register("results_navigation")
+def results_navigation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-07 + O-08: nested results document as JSON text, read back by path
+    (dataset -> models -> model -> metric -> mean)."""
+    fm, _, _ = _single(spark, sf_dir)
+    doc = IO.results_document(fm).select("dataset", F.to_json("models").alias("doc"))
+    rows = [doc.select("dataset", F.lit(m).alias("model"),
+                       F.get_json_object("doc", f"$.{m}.r2.mean").cast("double").alias("mean_r2"))
+            for m in MS.SINGLE_MODELS]
+    out = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return out.select("dataset", "model", rnd("mean_r2", 6).alias("mean_r2"))
+
+
+@register("best_k_single")
+def best_k_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-64 (single linkage): best k by silhouette, first wins on ties."""
+    d, settings = _single_settings(spark, sf_dir)
+    s = L.silhouette_scores(d, settings)
+    s = s.withColumn("silhouette", rnd("silhouette", 9))
+    return L.best_setting(s).select("linkage", "k", rnd("silhouette", 6).alias("silhouette"))
