@@ -184,17 +184,20 @@ def humanize_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: humanize(c) for c in df.columns})
 
 
-def display_number(c: str | Column) -> Column:
+def display_number(c: str | Column, integral: Column | bool = False) -> Column:
     """O-96: numeric cell as report text.
 
-    NULL/NaN -> ``--``; integral and |x| >= 100 -> no decimals; |x| >= 100 ->
-    two decimals; |x| >= 1 -> three; otherwise four. Thousands separated by
-    a thin space as in the report tables.
+    NULL/NaN -> ``--``; an integer quantity (``integral``: counts) -> no
+    decimals; integral and |x| >= 100 -> no decimals; |x| >= 100 -> two
+    decimals; |x| >= 1 -> three; otherwise four. Thousands separated by a
+    thin space as in the report tables.
     """
     col = (F.col(c) if isinstance(c, str) else c).cast("double")
     a = F.abs(col)
     thousands = lambda s: F.regexp_replace(s, ",", "\\\\,")
+    is_int = integral if isinstance(integral, Column) else F.lit(bool(integral))
     return (F.when(col.isNull() | F.isnan(col), F.lit("--"))
+            .when(is_int, thousands(F.format_number(col, 0)))
             .when((col == F.floor(col)) & (a >= 100), thousands(F.format_number(col, 0)))
             .when(a >= 100, thousands(F.format_number(col, 2)))
             .when(a >= 1, F.format_string("%.3f", col))

@@ -377,6 +377,7 @@ ORACLE["stats_groups"] = _groups_sql
 
 def _fmt(v: str) -> str:
     return (f"CASE WHEN {v} IS NULL OR isnan({v}) THEN '--' "
+            f"WHEN statistic IN ('count', 'outliers') THEN replace(format('{{:,.0f}}', {v}), ',', '\\,') "
             f"WHEN {v} = floor({v}) AND abs({v}) >= 100 THEN replace(format('{{:,.0f}}', {v}), ',', '\\,') "
             f"WHEN abs({v}) >= 100 THEN replace(format('{{:,.2f}}', {v}), ',', '\\,') "
             f"WHEN abs({v}) >= 1 THEN printf('%.3f', {v}) ELSE printf('%.4f', {v}) END")

@@ -548,6 +548,7 @@ def forest_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..sources import io as IO  # noqa: E402
 
 STAT_ORDER = ["count", "mean", "q1", "median", "q3", "iqr", "std", "range", "outliers", "outliers_pct"]
+COUNT_STATS = ["count", "outliers"]   # integer quantities in the report
 
 
 @register("typed_scan")
@@ -587,7 +588,7 @@ def stats_report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = D.describe_wide(long, I.MEASURES)
     from ..operators import results as R
     shown = wide.select(R.fixed_order_key("statistic", STAT_ORDER).alias("row_order"), "statistic",
-                        *[K.display_number(c).alias(c) for c in I.MEASURES])
+                        *[K.display_number(c, F.col("statistic").isin(*COUNT_STATS)).alias(c) for c in I.MEASURES])
     return K.humanize_columns(shown)
 
 

@@ -83,8 +83,9 @@ def report(stats_path: str, spark, order: Sequence[str]) -> DataFrame:
     cols = [r[0] for r in long.select("column").distinct().orderBy("column").collect()]  # column names only
     wide = (long.groupBy("prefix", "statistic").pivot("column", cols).agg(F.first("value")))
     shown = wide.select("prefix", R.fixed_order_key("statistic", order).alias("row_order"), "statistic",
-                        *[K.display_number(c).alias(c) for c in cols])
-    return K.humanize_columns(shown.drop("cluster") if "cluster" in shown.columns else shown)
+                        *[K.display_number(c, F.col("statistic").isin("count", "outliers")).alias(c) for c in cols])
+    shown = shown.drop("cluster") if "cluster" in shown.columns else shown
+    return K.humanize_columns(shown.orderBy("prefix", "row_order", "statistic"))
 
 
 def model(spark, sf_dir: str, out_path: str | None = None, tree_grid: dict | None = None,
