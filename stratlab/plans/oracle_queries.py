@@ -35,7 +35,7 @@ FROM flags
 
 
 # ------------------------------------------------------------ distributions
-from .oracle import auto_bins_sql, bin_sql, box_sql, clean_cols, histogram_sql, linear  # noqa: E402,F401
+from .oracle import auto_bins_sql, bin_sql, box_sql, histogram_sql, linear  # noqa: E402
 
 _merged = ("CASE WHEN event_type IN ('view', 'click', 'signup') THEN 'engaged' ELSE event_type END")
 

@@ -97,7 +97,6 @@ def model(spark, sf_dir: str, out_path: str | None = None, tree_grid: dict | Non
     ``tree_grid``/``forest_grid`` default to the full study grids.
     """
     from . import model_study as MS
-    from ..operators import features as FE
 
     ensure_checkpoint_dir(spark)
     cv_options = cv_options or {}
