@@ -87,7 +87,9 @@ def linear_study(df: DataFrame, levels: Sequence[str] = I.RETURN_FLAGS) -> tuple
     imp = spark.createDataFrame(
         [("linear", int(k), c, abs(float(b))) for k, bs in fit.std_coefs.items() for c, b in zip(feats, bs)],
         "model string, fold int, feature string, importance double")
-    return M.metrics_long(wide, ["model", "fold"]), imp, fit
+    timing = literal_frame(spark, [("linear", int(k), "fit_seconds", float(v)) for k, v in fit.fit_seconds.items()],
+                           "model string, fold int, metric string, value double")
+    return M.metrics_long(wide, ["model", "fold"]).unionByName(timing), imp, fit
 
 
 def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Sequence[str] = I.RETURN_FLAGS,

@@ -458,7 +458,8 @@ def importance_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("linear_cv_full")
 def linear_cv_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-67 + O-69 + O-72 + O-79 + O-80 + O-84: OLS on standardised numerics and dummies."""
+    """O-67 + O-69 + O-72 + O-79 + O-80 + O-82 + O-84: OLS on standardised numerics and dummies,
+    per-fold scores and fit times."""
     out = []
     for ds, df in MS.datasets(spark, sf_dir).items():
         fm, imp, _ = MS.linear_study(df)
@@ -466,6 +467,7 @@ def linear_cv_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1]).select("dataset", "model", "fold", "metric", rnd("value", 4).alias("value"))
 
 
+
 def _search(spark, sf_dir):
     return MS.linear_feature_search(spark, sf_dir)
 
