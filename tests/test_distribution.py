@@ -82,3 +82,15 @@ def test_correlation_constant_column_is_null(spark):
     rows = {(r.column_a, r.column_b): r.r for r in V.correlation_long(df, ["a", "k", "b"]).collect()}
     assert rows[("k", "a")] is None and rows[("b", "a")] == pytest.approx(1.0)
     assert set(rows) == {("k", "a"), ("b", "a"), ("b", "k")}
+
+
+def test_kde_reach_skips_only_zero_terms(spark):
+    rng = np.random.default_rng(14)
+    xs = np.concatenate([rng.normal(0, 1, 400), [1.0e6, 2.0e6]])
+    k = V.kde_curve(_frame(spark, xs), "x").orderBy("i").toPandas()
+    n, sd = len(xs), xs.std(ddof=1)
+    bw = sd * n ** -0.2
+    assert 40 * bw < xs.max() - xs.min()          # the reach really skips grid points
+    grid = np.linspace(xs.min(), xs.max(), 200)
+    dens = np.exp(-0.5 * ((grid[:, None] - xs[None, :]) / bw) ** 2).sum(1) / (n * bw * math.sqrt(2 * math.pi))
+    assert np.allclose(k["density"], dens, rtol=1e-12, atol=0)
