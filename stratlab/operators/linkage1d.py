@@ -259,39 +259,53 @@ def silhouette_scores(d: DataFrame, settings: dict[tuple[str, int], list[float]]
     a(x) = sum |x - y| over C / (|C| - 1) from the running count and sum
     inside C; b(x) = min |x - mean(C')| over the two neighbouring clusters;
     s = (b - a) / max(a, b), 0 for a singleton cluster; averaged over all
-    points (distinct values weighted by their count). The running sums are
-    computed once for all labellings (bucketed, see ``ordered``).
+    points (distinct values weighted by their count).
+
+    Passes over the distinct values whatever the number of labellings: global
+    running sums (bucketed, see ``ordered``; checkpointed); a lookup of those
+    sums at the cut values (clusters are intervals, so cluster sums are
+    differences); one aggregate of the per-value silhouette terms with the
+    small cluster tables as literals. No row is replicated per labelling.
     """
     spark = d.sparkSession
     ensure_checkpoint_dir(spark)
     base = d.select(F.col("lo").alias("x"), "n", "s")
     g = running_sum(base, "x", ["n", "s"], ["G_n", "G_s"]).checkpoint()
     keys = list(settings)
-    arr = F.array(*[F.struct(F.lit(l).alias("linkage"), F.lit(k).alias("k"),
-                             label_expr("x", settings[(l, k)]).alias("label")) for l, k in keys])
-    lab = g.select("x", "n", "s", "G_n", "G_s", F.explode(arr).alias("_c")).select(
-        "x", "n", "s", "G_n", "G_s", "_c.linkage", "_c.k", "_c.label")
-    cl = lab.groupBy("linkage", "k", "label").agg(F.sum("n").alias("C_n"), F.sum("s").alias("C_s"),
-                                                  F.min("x").alias("C_lo"))
-    cw = Window.partitionBy("linkage", "k").orderBy("label")
-    cl = cl.select("linkage", "k", "label", "C_n", "C_s",
-                   F.coalesce(F.sum("C_n").over(cw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("B_n"),
-                   F.coalesce(F.sum("C_s").over(cw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("B_s"),
-                   (F.lag("C_s").over(cw) / F.lag("C_n").over(cw)).alias("m_prev"),
-                   (F.lead("C_s").over(cw) / F.lead("C_n").over(cw)).alias("m_next"))
-    j = lab.join(F.broadcast(cl), ["linkage", "k", "label"])
+    labels = {f"_lab{i}": label_expr("x", settings[key]) for i, key in enumerate(keys)}
+    gl = g.withColumns(labels)
+    # clusters are intervals, so their sums are differences of the running sums
+    # at the cut values (data values): one lookup of at most 36 x 9 rows
+    all_cuts = sorted({c for cuts in settings.values() for c in cuts})
+    at_cut = {r["x"]: (r["G_n"], r["G_s"]) for r in
+              g.filter(F.col("x").isin(all_cuts)).select("x", "G_n", "G_s").collect()} if all_cuts else {}
+    totals = base.agg(F.sum("n").alias("N"), F.sum("s").alias("S")).collect()[0]
     x = F.col("x")
-    cnt_le = F.col("G_n") - F.col("B_n")
-    sum_le = F.col("G_s") - F.col("B_s")
-    tot = x * cnt_le - sum_le + (F.col("C_s") - sum_le) - x * (F.col("C_n") - cnt_le)
-    a = F.when(F.col("C_n") > 1, tot / (F.col("C_n") - 1))
-    b = F.least(F.abs(x - F.col("m_prev")), F.abs(x - F.col("m_next")))
-    sil = F.when(F.col("C_n") <= 1, F.lit(0.0)).otherwise(
-        F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    per = j.select("linkage", "k", "label", (sil * F.col("n")).alias("sw"), "n")
-    return (per.groupBy("linkage", "k")
-            .agg((F.sum("sw") / F.sum("n")).alias("silhouette"),
-                 F.countDistinct("label").cast("int").alias("clusters")))
+    terms, meta = [], []
+    for i, key in enumerate(keys):
+        k_lab = len(settings[key]) + 1
+        pn = [0.0] + [at_cut[c][0] for c in settings[key]] + [float(totals["N"])]
+        ps = [0.0] + [at_cut[c][1] for c in settings[key]] + [float(totals["S"])]
+        cn = [pn[j + 1] - pn[j] for j in range(k_lab)]
+        cs = [ps[j + 1] - ps[j] for j in range(k_lab)]
+        before_n = pn[:-1]
+        before_s = ps[:-1]
+        means = [cs[j] / cn[j] if cn[j] else None for j in range(k_lab)]
+        prev_m = [None] + means[:-1]
+        next_m = means[1:] + [None]
+        arr = lambda vals: F.array(*[F.lit(v).cast("double") for v in vals])
+        at = lambda vals: F.element_at(arr(vals), F.col(f"_lab{i}"))
+        c_n, c_s, b_n, b_s = at(cn), at(cs), at(before_n), at(before_s)
+        cnt_le, sum_le = F.col("G_n") - b_n, F.col("G_s") - b_s
+        tot = x * cnt_le - sum_le + (c_s - sum_le) - x * (c_n - cnt_le)
+        a = F.when(c_n > 1, tot / (c_n - 1))
+        b = F.least(F.abs(x - at(prev_m)), F.abs(x - at(next_m)))
+        sil = F.when(c_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+        terms.append(F.sum(sil * F.col("n")).alias(f"sw{i}"))
+        meta.append((key[0], int(key[1]), sum(1 for v in cn if v > 0)))
+    tot_row = gl.agg(F.sum("n").alias("N"), *terms).collect()[0]
+    rows = [(l, k, float(tot_row[f"sw{i}"]) / float(tot_row["N"]), c) for i, (l, k, c) in enumerate(meta)]
+    return literal_frame(spark, rows, "linkage string, k int, silhouette double, clusters int")
 
 
 def best_setting(scores: DataFrame) -> DataFrame:
