@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .ordered import range_buckets, running_sum, with_neighbours
-from ..functions.frames import literal_frame
+from ..functions.frames import double_matrix, literal_frame
 
 # Linkage order (first wins on equal scores) and the k sweep.
 LINKAGES = ["single", "complete", "average", "ward"]
@@ -243,10 +243,16 @@ def cuts_for(top: Sequence[tuple[float, float]], k: int) -> list[float]:
 
 
 def label_expr(x: str | Column, cuts: Sequence[float]) -> Column:
-    """O-62: 1 + number of cut boundaries below the value (labels ascend with value)."""
+    """O-62: 1 + number of cut boundaries below the value (labels ascend with value).
+
+    A sum of comparisons (at most k - 1 terms) keeps the expression inside
+    whole-stage codegen, unlike a higher-order ``filter``.
+    """
     col = F.col(x) if isinstance(x, str) else x
-    arr = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-    return (F.lit(1) + F.size(F.filter(arr, lambda c: c < col))).cast("int")
+    out = F.lit(1)
+    for c in sorted(cuts):
+        out = out + F.when(col > F.lit(float(c)), 1).otherwise(0)
+    return out.cast("int")
 
 
 # ------------------------------------------------------------------ silhouette
@@ -272,39 +278,55 @@ def silhouette_scores(d: DataFrame, settings: dict[tuple[str, int], list[float]]
     base = d.select(F.col("lo").alias("x"), "n", "s")
     g = running_sum(base, "x", ["n", "s"], ["G_n", "G_s"]).checkpoint()
     keys = list(settings)
-    labels = {f"_lab{i}": label_expr("x", settings[key]) for i, key in enumerate(keys)}
-    gl = g.withColumns(labels)
     # clusters are intervals, so their sums are differences of the running sums
     # at the cut values (data values): one lookup of at most 36 x 9 rows
     all_cuts = sorted({c for cuts in settings.values() for c in cuts})
     at_cut = {r["x"]: (r["G_n"], r["G_s"]) for r in
               g.filter(F.col("x").isin(all_cuts)).select("x", "G_n", "G_s").collect()} if all_cuts else {}
     totals = base.agg(F.sum("n").alias("N"), F.sum("s").alias("S")).collect()[0]
-    x = F.col("x")
-    terms, meta = [], []
-    for i, key in enumerate(keys):
-        k_lab = len(settings[key]) + 1
-        pn = [0.0] + [at_cut[c][0] for c in settings[key]] + [float(totals["N"])]
-        ps = [0.0] + [at_cut[c][1] for c in settings[key]] + [float(totals["S"])]
+    # per labelling: cut values (padded with +inf) and cluster tables, as small
+    # literal 2-D arrays indexed by the labelling number
+    kmax = max(len(c) for c in settings.values()) + 1
+    inf = float("inf")
+    cut_t, cn_t, cs_t, bn_t, bs_t, mp_t, mx_t, meta = [], [], [], [], [], [], [], []
+    for key in keys:
+        cuts = sorted(settings[key])
+        k_lab = len(cuts) + 1
+        pn = [0.0] + [at_cut[c][0] for c in cuts] + [float(totals["N"])]
+        ps = [0.0] + [at_cut[c][1] for c in cuts] + [float(totals["S"])]
         cn = [pn[j + 1] - pn[j] for j in range(k_lab)]
         cs = [ps[j + 1] - ps[j] for j in range(k_lab)]
-        before_n = pn[:-1]
-        before_s = ps[:-1]
         means = [cs[j] / cn[j] if cn[j] else None for j in range(k_lab)]
-        prev_m = [None] + means[:-1]
-        next_m = means[1:] + [None]
-        arr = lambda vals: F.array(*[F.lit(v).cast("double") for v in vals])
-        at = lambda vals: F.element_at(arr(vals), F.col(f"_lab{i}"))
-        c_n, c_s, b_n, b_s = at(cn), at(cs), at(before_n), at(before_s)
-        cnt_le, sum_le = F.col("G_n") - b_n, F.col("G_s") - b_s
-        tot = x * cnt_le - sum_le + (c_s - sum_le) - x * (c_n - cnt_le)
-        a = F.when(c_n > 1, tot / (c_n - 1))
-        b = F.least(F.abs(x - at(prev_m)), F.abs(x - at(next_m)))
-        sil = F.when(c_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-        terms.append(F.sum(sil * F.col("n")).alias(f"sw{i}"))
+        pad = [None] * (kmax - k_lab)
+        cut_t.append(cuts + [inf] * (kmax - 1 - len(cuts)))
+        cn_t.append(cn + pad)
+        cs_t.append(cs + pad)
+        bn_t.append(pn[:-1] + pad)
+        bs_t.append(ps[:-1] + pad)
+        mp_t.append([None] + means[:-1] + pad)
+        mx_t.append(means[1:] + [None] + pad)
         meta.append((key[0], int(key[1]), sum(1 for v in cn if v > 0)))
-    tot_row = gl.agg(F.sum("n").alias("N"), *terms).collect()[0]
-    rows = [(l, k, float(tot_row[f"sw{i}"]) / float(tot_row["N"]), c) for i, (l, k, c) in enumerate(meta)]
+
+    tables = {name: double_matrix(rows) for name, rows in
+              [("cut", cut_t), ("cn", cn_t), ("cs", cs_t), ("bn", bn_t), ("bs", bs_t), ("mp", mp_t), ("mx", mx_t)]}
+    si = F.col("_si")
+    x = F.col("x")
+    row_cuts = F.element_at(tables["cut"], si + 1)
+    lab = F.lit(1)
+    for j in range(kmax - 1):
+        lab = lab + F.when(x > F.element_at(row_cuts, j + 1), 1).otherwise(0)
+    pts = (g.select("x", "n", "G_n", "G_s", F.explode(F.sequence(F.lit(0), F.lit(len(keys) - 1))).alias("_si"))
+           .withColumn("_lab", lab))
+    at = lambda name: F.element_at(F.element_at(tables[name], si + 1), F.col("_lab"))
+    c_n, c_s, b_n, b_s = at("cn"), at("cs"), at("bn"), at("bs")
+    cnt_le, sum_le = F.col("G_n") - b_n, F.col("G_s") - b_s
+    within = x * cnt_le - sum_le + (c_s - sum_le) - x * (c_n - cnt_le)
+    a = F.when(c_n > 1, within / (c_n - 1))
+    b = F.least(F.abs(x - at("mp")), F.abs(x - at("mx")))
+    sil = F.when(c_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    sums = {r["_si"]: r["sw"] for r in pts.groupBy("_si").agg(F.sum(sil * F.col("n")).alias("sw")).collect()}
+    n_tot = float(totals["N"])
+    rows = [(l, k, float(sums[i]) / n_tot, c) for i, (l, k, c) in enumerate(meta)]
     return literal_frame(spark, rows, "linkage string, k int, silhouette double, clusters int")
 
 

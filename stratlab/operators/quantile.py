@@ -111,7 +111,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]],
             b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
             cells.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
                                 F.struct(F.lit(i).alias("t"), b.alias("b"), x.alias("v"))))
-        hist = (df.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("s"))
+        hist = (df.select(F.explode(F.array(*cells)).alias("s")).filter(F.col("s").isNotNull())
                 .groupBy(F.col("s.t").alias("t"), F.col("s.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("s.v").alias("lo"), F.max("s.v").alias("hi"))
                 .collect())
