@@ -65,11 +65,11 @@ def single_feature_linear(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
         wide = M.regression_metrics(long, "target", "prediction", ["model", "fold"])
         metrics.append(M.metrics_long(wide, ["model", "fold"], target_mean)
                        .withColumn("dataset", F.lit(ds)))
-        imps.append(spark.createDataFrame(imp_rows, "dataset string, model string, fold int, feature string, importance double"))
+        imps.append(literal_frame(spark, imp_rows, "dataset string, model string, fold int, feature string, importance double"))
         tms.append((ds, target_mean))
     fm = metrics[0].unionByName(metrics[1])
     im = imps[0].unionByName(imps[1])
-    tm = spark.createDataFrame(tms, "dataset string, target_mean double")
+    tm = literal_frame(spark, tms, "dataset string, target_mean double")
     return fm, im, tm
 
 
@@ -84,7 +84,7 @@ def linear_study(df: DataFrame, levels: Sequence[str] = I.RETURN_FLAGS) -> tuple
     pred = f.withColumn("prediction", fit.prediction("fold"))
     wide = M.regression_metrics(pred, "target", "prediction", ["fold"]).withColumn("model", F.lit("linear"))
     spark = df.sparkSession
-    imp = spark.createDataFrame(
+    imp = literal_frame(spark, 
         [("linear", int(k), c, abs(float(b))) for k, bs in fit.std_coefs.items() for c, b in zip(feats, bs)],
         "model string, fold int, feature string, importance double")
     timing = literal_frame(spark, [("linear", int(k), "fit_seconds", float(v)) for k, v in fit.fit_seconds.items()],
@@ -101,13 +101,13 @@ def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Seque
     preds, per_fold, cands = M.nested_cv(f, feats, "target", "fold", "inner", kind=kind, grid=grid, **cv_options)
     spark = df.sparkSession
     wide = M.regression_metrics(preds, "target", "prediction", ["fold"]).withColumn("model", F.lit(kind))
-    imp = spark.createDataFrame([(kind, p["fold"], c, v) for p in per_fold for c, v in zip(feats, p["importances"])],
+    imp = literal_frame(spark, [(kind, p["fold"], c, v) for p in per_fold for c, v in zip(feats, p["importances"])],
                                 "model string, fold int, feature string, importance double")
-    params = spark.createDataFrame([(kind, p["fold"], k, v) for p in per_fold for k, v in p["best_params"].items()],
+    params = literal_frame(spark, [(kind, p["fold"], k, v) for p in per_fold for k, v in p["best_params"].items()],
                                    "model string, fold int, name string, value string")
-    scores = spark.createDataFrame([(kind, p["fold"], i, float(s)) for p in per_fold for i, s in enumerate(p["avg_metrics"])],
+    scores = literal_frame(spark, [(kind, p["fold"], i, float(s)) for p in per_fold for i, s in enumerate(p["avg_metrics"])],
                                    "model string, outer_fold int, candidate_idx int, mean_r2 double")
-    timing = spark.createDataFrame([(kind, p["fold"], "fit_seconds", float(p["fit_seconds"])) for p in per_fold],
+    timing = literal_frame(spark, [(kind, p["fold"], "fit_seconds", float(p["fit_seconds"])) for p in per_fold],
                                    "model string, fold int, metric string, value double")
     return M.metrics_long(wide, ["model", "fold"]), imp, params, scores, timing
 

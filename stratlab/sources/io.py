@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.categories import enforce_domain
+from ..functions.frames import literal_frame
 
 # File-name prefix -> group of the three statistics tables, longest match first.
 STATS_GROUPS = {"null_or_nan_": "null_or_nan", "derived_": "derived", "": "raw"}
@@ -160,7 +161,7 @@ def save_models(models: dict[int, object], path: str, dataset: str, model_name:
         p = os.path.join(path, f"{dataset}_{model_name}", f"fold={fold}")
         m.write().overwrite().save(p)
         rows.append((dataset, model_name, int(fold), p, list(features)))
-    meta = spark.createDataFrame(rows, "dataset string, model string, fold int, path string, features array<string>")
+    meta = literal_frame(spark, rows, "dataset string, model string, fold int, path string, features array<string>")
     meta.write.mode("overwrite").json(os.path.join(path, f"{dataset}_{model_name}", "_metadata"))
     return meta
 
