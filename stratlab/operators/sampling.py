@@ -67,6 +67,16 @@ def _ranked(df: DataFrame, key_cols: Sequence[str], stratum: str, seed: int, bit
             .withColumn("_p", F.conv(F.substring("_h", 1, nhex), 16, 10).cast("long")))
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join with NULL-safe keys (a NULL stratum is a stratum of its own)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _bucket_offsets(h: DataFrame, stratum: str) -> DataFrame:
     """(stratum, _p, _cnt, _before): rows of the stratum in lower prefixes."""
     hist = h.groupBy(stratum, "_p").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -85,12 +95,12 @@ def stratified_sample(df: DataFrame, key_cols: Sequence[str], stratum: str, frac
     qdf = literal_frame(spark, [(s, q) for s, q in quota.items()],
                                 f"{stratum} {df.schema[stratum].dataType.simpleString()}, _quota long")
     h = _ranked(df, key_cols, stratum, seed, bits)
-    offs = _bucket_offsets(h, stratum).join(F.broadcast(qdf), stratum)
+    offs = _join_on(_bucket_offsets(h, stratum), F.broadcast(qdf), [stratum])
     # the one bucket per stratum where the quota ends, and how many rows it gives
     bounds = (offs.filter((F.col("_before") < F.col("_quota"))
                           & (F.col("_before") + F.col("_cnt") >= F.col("_quota")))
               .select(stratum, F.col("_p").alias("_bp"), (F.col("_quota") - F.col("_before")).alias("_need")))
-    tagged = h.join(F.broadcast(bounds), stratum, "left")
+    tagged = _join_on(h, F.broadcast(bounds), [stratum], "left")
     plain = (tagged.filter(F.col("_bp").isNull() | (F.col("_p") != F.col("_bp")))
              .withColumn(flag, F.coalesce(F.col("_p") < F.col("_bp"), F.lit(False))))
     w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)
@@ -127,7 +137,7 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
     offs = _bucket_offsets(h, stratum).select(stratum, "_p", "_before")
     w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)
     pos = (F.col("_start") + F.col("_before") + F.row_number().over(w) - 1)
-    out = (h.join(F.broadcast(sdf), stratum).join(offs, [stratum, "_p"])
+    out = (_join_on(_join_on(h, F.broadcast(sdf), [stratum]), offs, [stratum, "_p"])
            .withColumn("_pos", pos))
     out = out.withColumn(fold, (F.col("_pos") % k).cast("int"))
     if inner:

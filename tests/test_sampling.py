@@ -73,3 +73,15 @@ def test_inner_fold_cells_match_inner_array(spark):
         b, c = r.pos % 10, (r.pos // 10) % 10
         assert r.fold == b
         assert [S.inner_fold_of_cell(b, c, j) for j in range(10)] == list(r.inner)
+
+
+def test_null_stratum_is_kept(spark):
+    rows = [(i, None if i % 4 == 0 else i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, stratum int")
+    f = S.stratified_folds(df, ["id"], "stratum", k=10)
+    assert f.count() == 400
+    sizes = [r[1] for r in f.groupBy("fold").count().collect()]
+    assert max(sizes) - min(sizes) <= 1
+    s = S.stratified_sample(df, ["id"], "stratum", 0.1)
+    assert s.count() == 400 and s.filter("in_sample").count() == 40
+    assert s.filter("in_sample and stratum is null").count() == 10
