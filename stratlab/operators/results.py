@@ -52,8 +52,8 @@ def r2_bars(fold_metrics: DataFrame, model_order: Sequence[str], dataset_order:
     """O-57: mean R2 per model x dataset with explicit order ranks (O-97 long form)."""
     means = metric_means(fold_metrics).filter(F.col("metric") == "r2")
     return means.select("model", "dataset", F.col("mean_value").alias("mean_r2"),
-                        _rank_of("model", model_order).alias("model_rank"),
-                        _rank_of("dataset", dataset_order).alias("dataset_rank"))
+                        _rank_of("model", model_order).cast("int").alias("model_rank"),
+                        _rank_of("dataset", dataset_order).cast("int").alias("dataset_rank"))
 
 
 def importance_summary(importance: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def sort_desc(df: DataFrame, col: str, *tiebreak: str) -> DataFrame:
 
 def fixed_order_key(col: str, order: Sequence[str]):
     """O-93: position in a fixed list, unknown items after it (then by name)."""
-    pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col))
+    pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col)).cast("int")
     return F.when(pos > 0, pos).otherwise(F.lit(len(order) + 1))
 
 

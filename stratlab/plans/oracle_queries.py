@@ -115,8 +115,8 @@ SELECT event_id, {_merged} AS event_group,
        CAST(list_position(['error', 'engaged', 'purchase'], {_merged}) AS INTEGER) AS group_rank
 FROM events"""
 ORACLE["level_counts_row"] = """
-SELECT count_if(event_type = 'view') AS view, count_if(event_type = 'click') AS click,
-       count_if(event_type = 'signup') AS signup FROM events"""
+SELECT CAST(count_if(event_type = 'view') AS BIGINT) AS view, CAST(count_if(event_type = 'click') AS BIGINT) AS click,
+       CAST(count_if(event_type = 'signup') AS BIGINT) AS signup FROM events"""
 ORACLE["level_frequency"] = f"""
 WITH d(l_returnflag, rank) AS (VALUES ('A', 1), ('N', 2), ('R', 3)),
 c AS (SELECT l_returnflag, count(*) AS n FROM ({_gsrc}) g WHERE {_gap_bad} GROUP BY l_returnflag)

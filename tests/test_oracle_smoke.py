@@ -32,10 +32,17 @@ def _rows(cols, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_duckdb(spark, con, name):
     df = E.queries()[name](spark, SMOKE)
     rel = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in rel.description}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, rel.fetchall())
