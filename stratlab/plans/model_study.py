@@ -4,6 +4,7 @@ outer/inner folds, linear / tree / forest models, long result tables."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -18,37 +19,72 @@ from ..functions.frames import literal_frame
 
 WITH, WITHOUT = "with_outliers", "without_outliers"
 DATASETS = [WITH, WITHOUT]
-OUTLIER_COLS = ["target", "x_quantity", "x_tax_ratio"]
-NUMERIC = ["x_quantity", "x_tax_ratio"]
-# single-feature linear models: model name -> feature
-SINGLE_MODELS = {"ols_quantity": "x_quantity", "ols_tax_ratio": "x_tax_ratio", "ols_tax": "x_tax"}
-MODEL_ORDER = ["linear", "tree", "forest", *SINGLE_MODELS]
+
+
+@dataclass(frozen=True)
+class ModelSpec:
+    """Column roles of a modelling table.
+
+    ``numeric`` are the standardised numeric features, ``category`` the ordered
+    category one-hot encoded with ``levels`` (the linear model drops the first
+    level), ``stratum`` drives the stratified folds, ``key`` orders rows inside
+    a stratum (md5 hash order), ``outlier_cols`` define the outlier-free
+    dataset, ``single_models`` are the one-feature OLS candidates.
+    """
+    key: tuple[str, ...] = ("row_key",)
+    target: str = "target"
+    numeric: tuple[str, ...] = ("x_quantity", "x_tax_ratio")
+    category: str = "category"
+    levels: tuple[str, ...] = tuple(I.RETURN_FLAGS)
+    stratum: str = "stratum"
+    outlier_cols: tuple[str, ...] = ("target", "x_quantity", "x_tax_ratio")
+    single_models: tuple[tuple[str, str], ...] = (
+        ("ols_quantity", "x_quantity"), ("ols_tax_ratio", "x_tax_ratio"), ("ols_tax", "x_tax"))
+
+
+DEFAULT_SPEC = ModelSpec()
+OUTLIER_COLS = list(DEFAULT_SPEC.outlier_cols)
+NUMERIC = list(DEFAULT_SPEC.numeric)
+SINGLE_MODELS = dict(DEFAULT_SPEC.single_models)
+MODEL_ORDER = ["linear", "tree", "forest", *SINGLE_MODELS, "ols_select"]
+
+
+def datasets_of(base: DataFrame, spec: ModelSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
+    """A modelling table and its outlier-free variant (fences of the full table)."""
+    return {WITH: base, WITHOUT: D.drop_outlier_rows(base, list(spec.outlier_cols))}
 
 
 def datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The modelling table and its outlier-free variant (fences of the full table)."""
-    base = I.regression_table(spark, sf_dir)
-    return {WITH: base, WITHOUT: D.drop_outlier_rows(base, OUTLIER_COLS)}
+    """The driver-table modelling table (see ``inputs.regression_table``) and its variant."""
+    return datasets_of(I.regression_table(spark, sf_dir))
 
 
-def with_folds(df: DataFrame, inner: bool = False) -> DataFrame:
-    return S.stratified_folds(df, ["row_key"], "stratum", inner="inner" if inner else None)
+def with_folds(df: DataFrame, inner: bool = False, spec: ModelSpec = DEFAULT_SPEC, **kw) -> DataFrame:
+    return S.stratified_folds(df, list(spec.key), spec.stratum, inner="inner" if inner else None, **kw)
 
 
 def single_feature_linear(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Three one-feature OLS models per dataset: (fold_metrics, importance, target_means).
+    """One-feature OLS models on the driver tables, see ``single_feature_linear_of``."""
+    return single_feature_linear_of(datasets(spark, sf_dir))
+
+
+def single_feature_linear_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFAULT_SPEC
+                             ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One-feature OLS models per dataset: (fold_metrics, importance, target_means).
 
     One moments job and one metrics job per dataset serve all models and folds.
     """
     metrics, imps, tms = [], [], []
-    feats = list(SINGLE_MODELS.values())
-    for ds, df in datasets(spark, sf_dir).items():
-        f = with_folds(df).select("fold", "target", *feats).cache()
+    models = dict(spec.single_models)
+    feats = list(dict.fromkeys(models.values()))
+    spark = next(iter(dsets.values())).sparkSession
+    for ds, df in dsets.items():
+        f = with_folds(df, spec=spec).select("fold", F.col(spec.target).alias("target"), *feats).cache()
         mom = M.fold_moments(f, "fold", [*feats, "target"])
         _, mu_all, _ = M.merge_moments(list(mom.values()))
         target_mean = float(mu_all[-1])
         preds, imp_rows = [], []
-        for model, x in SINGLE_MODELS.items():
+        for model, x in models.items():
             i = feats.index(x)
             sub = {k: (n, mu[[i, -1]], m[np.ix_([i, -1], [i, -1])]) for k, (n, mu, m) in mom.items()}
             expr = None
@@ -73,31 +109,32 @@ def single_feature_linear(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     return fm, im, tm
 
 
-def linear_study(df: DataFrame, levels: Sequence[str] = I.RETURN_FLAGS) -> tuple[DataFrame, DataFrame, M.LinearCV]:
+def linear_study(df: DataFrame, spec: ModelSpec = DEFAULT_SPEC) -> tuple[DataFrame, DataFrame, M.LinearCV]:
     """Multi-feature OLS: numeric features standardised (coefficients), category as
     dummies minus the reference level; (fold_metrics, importance, fits)."""
-    dropped = levels[0]
-    x = FE.one_hot(df, "category", levels, drop_level=dropped)
-    feats = [*NUMERIC, *FE.dummy_names("category", levels, dropped)]
-    f = with_folds(x).select("fold", "target", *feats).cache()
-    fit = M.linear_cv(f, feats, "target", "fold", standardize=NUMERIC)
+    levels, dropped = list(spec.levels), spec.levels[0]
+    x = FE.one_hot(df, spec.category, levels, drop_level=dropped)
+    feats = [*spec.numeric, *FE.dummy_names(spec.category, levels, dropped)]
+    f = with_folds(x, spec=spec).select("fold", F.col(spec.target).alias("target"), *feats).cache()
+    fit = M.linear_cv(f, feats, "target", "fold", standardize=list(spec.numeric))
     pred = f.withColumn("prediction", fit.prediction("fold"))
     wide = M.regression_metrics(pred, "target", "prediction", ["fold"]).withColumn("model", F.lit("linear"))
     spark = df.sparkSession
-    imp = literal_frame(spark, 
-        [("linear", int(k), c, abs(float(b))) for k, bs in fit.std_coefs.items() for c, b in zip(feats, bs)],
-        "model string, fold int, feature string, importance double")
+    imp = literal_frame(spark, [("linear", int(k), c, abs(float(b))) for k, bs in fit.std_coefs.items()
+                                for c, b in zip(feats, bs)],
+                        "model string, fold int, feature string, importance double")
     timing = literal_frame(spark, [("linear", int(k), "fit_seconds", float(v)) for k, v in fit.fit_seconds.items()],
                            "model string, fold int, metric string, value double")
     return M.metrics_long(wide, ["model", "fold"]).unionByName(timing), imp, fit
 
 
-def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Sequence[str] = I.RETURN_FLAGS,
+def tree_study(df: DataFrame, kind: str, grid: dict | None = None, spec: ModelSpec = DEFAULT_SPEC,
                **cv_options):
-    """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores)."""
-    x = FE.one_hot(df, "category", levels)
-    feats = [*NUMERIC, *FE.dummy_names("category", levels)]
-    f = with_folds(x, inner=True).select("fold", "inner", "target", *feats)
+    """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores, timing)."""
+    levels = list(spec.levels)
+    x = FE.one_hot(df, spec.category, levels)
+    feats = [*spec.numeric, *FE.dummy_names(spec.category, levels)]
+    f = with_folds(x, inner=True, spec=spec).select("fold", "inner", F.col(spec.target).alias("target"), *feats)
     preds, per_fold, cands = M.nested_cv(f, feats, "target", "fold", "inner", kind=kind, grid=grid, **cv_options)
     spark = df.sparkSession
     wide = M.regression_metrics(preds, "target", "prediction", ["fold"]).withColumn("model", F.lit(kind))
@@ -114,6 +151,12 @@ def tree_study(df: DataFrame, kind: str, grid: dict | None = None, levels: Seque
 
 
 def linear_feature_search(spark: SparkSession, sf_dir: str, k: int = S.DEFAULT_FOLDS):
+    """Nested one-feature OLS search on the driver tables, see ``linear_feature_search_of``."""
+    return linear_feature_search_of(datasets(spark, sf_dir), k=k)
+
+
+def linear_feature_search_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFAULT_SPEC,
+                             k: int = S.DEFAULT_FOLDS):
     """Nested CV with a grid search whose hyperparameter is the one feature of an
     OLS model (O-77, O-78, O-83, O-89): inner mean R2 per candidate inside every
     outer train part, best candidate refit on the train part, scored on the
@@ -126,12 +169,13 @@ def linear_feature_search(spark: SparkSession, sf_dir: str, k: int = S.DEFAULT_F
     scores the outer folds (MAE needs rows). Returns (candidate_scores,
     fold_params, fold_metrics).
     """
-    feats = list(SINGLE_MODELS.values())
+    feats = list(dict.fromkeys(dict(spec.single_models).values()))
     cols = [*feats, "target"]
+    spark = next(iter(dsets.values())).sparkSession
     cand_rows, param_rows, outer_preds = [], [], []
-    for ds, df in datasets(spark, sf_dir).items():
-        f = (
-            S.stratified_folds(df, ["row_key"], "stratum", k=k, position="fold_pos").select("fold", "fold_pos", *cols))
+    for ds, df in dsets.items():
+        f = (with_folds(df, spec=spec, k=k, position="fold_pos")
+             .select("fold", "fold_pos", *feats, F.col(spec.target).alias("target")))
         f = f.withColumn("_c", (F.floor(F.col("fold_pos") / k) % k).cast("int")).cache()
         cell = {}
         for (b, c), mom in _group_moments(f, ["fold", "_c"], cols).items():

@@ -88,35 +88,45 @@ def report(stats_path: str, spark, order: Sequence[str]) -> DataFrame:
     return K.humanize_columns(shown.orderBy("prefix", "row_order", "statistic"))
 
 
-def model(spark, sf_dir: str, out_path: str | None = None, tree_grid: dict | None = None,
-          forest_grid: dict | None = None, kinds: Sequence[str] = ("linear", "tree", "forest"),
-          cv_options: dict | None = None) -> dict[str, DataFrame]:
-    """Entry C: quality funnel, both datasets, every model kind, long result tables,
-    ranking, sensitivity and (with ``out_path``) the NaN-checked results and bundles.
+def model(spark, sf_dir: str, out_path: str | None = None, **kw) -> dict[str, DataFrame]:
+    """Entry C on the driver tables (``inputs.regression_table``), see ``model_table``."""
+    from . import inputs as I
+    return model_table(I.regression_table(spark, sf_dir), out_path=out_path, **kw)
 
-    ``tree_grid``/``forest_grid`` default to the full study grids.
+
+def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_grid: dict | None = None,
+                forest_grid: dict | None = None, kinds: Sequence[str] = ("linear", "tree", "forest"),
+                cv_options: dict | None = None) -> dict[str, DataFrame]:
+    """Entry C: quality funnel, datasets with/without outliers, every model kind, long
+    result tables, ranking, sensitivity and (with ``out_path``) the NaN-checked
+    results and the results document.
+
+    ``spec`` (``model_study.ModelSpec``) names the column roles; ``tree_grid`` and
+    ``forest_grid`` default to the full study grids.
     """
     from . import model_study as MS
 
+    spark = table.sparkSession
+    spec = spec or MS.DEFAULT_SPEC
     ensure_checkpoint_dir(spark)
     cv_options = cv_options or {}
-    base = MS.datasets(spark, sf_dir)
-    funnel = D.quality_counts(base[MS.WITH], MS.OUTLIER_COLS)
+    base = MS.datasets_of(table, spec)
+    funnel = D.quality_counts(table, list(spec.outlier_cols))
     fms, imps, params, cands, tms = [], [], [], [], []
     for ds, df in base.items():
         df = df.checkpoint()
-        tms.append(D.target_summary(df, "target").select(F.lit(ds).alias("dataset"),
+        tms.append(D.target_summary(df, spec.target).select(F.lit(ds).alias("dataset"),
                                                          F.col("mean").alias("target_mean"),
                                                          "minimum", "maximum", "rows"))
         tag = lambda x: x.withColumn("dataset", F.lit(ds))
         if "linear" in kinds:
-            fm, imp, fit = MS.linear_study(df)
+            fm, imp, fit = MS.linear_study(df, spec)
             fms.append(tag(fm))
             imps.append(tag(imp))
         for kind, grid in (("tree", tree_grid), ("forest", forest_grid)):
             if kind not in kinds:
                 continue
-            fm, imp, prm, sc, timing = MS.tree_study(df, kind, grid=grid, **cv_options)
+            fm, imp, prm, sc, timing = MS.tree_study(df, kind, grid=grid, spec=spec, **cv_options)
             fms.append(tag(fm).unionByName(tag(timing), allowMissingColumns=True))
             imps.append(tag(imp))
             params.append(tag(prm))

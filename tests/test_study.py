@@ -46,3 +46,31 @@ def test_model_entry_small(spark):
         assert out["best_candidate"].count() == 2
         doc = spark.read.json(os.path.join(d, "document")).count()
         assert doc == 2
+
+
+def test_model_table_with_own_spec(spark):
+    """The model study on a table with other column names (a housing-like layout)."""
+    from stratlab.plans import model_study as MS
+    import numpy as np
+    rng = np.random.default_rng(21)
+    n = 600
+    inc = rng.lognormal(1.2, 0.4, n)
+    val = 40000 * inc + rng.normal(0, 20000, n)
+    bpr = rng.uniform(0.1, 0.3, n)
+    prox = rng.choice(["ISLAND", "COASTAL", "INLAND"], n, p=[0.02, 0.58, 0.4])
+    cl = (inc > 3.5).astype(int) + 1
+    rows = [(int(i), float(a), float(b), float(c), str(d), int(e)) for i, (a, b, c, d, e) in
+            enumerate(zip(inc, val, bpr, prox, cl))]
+    df = spark.createDataFrame(rows, "id bigint, median_income double, median_house_value double, "
+                                     "bedrooms_per_room double, ocean_proximity string, cluster int")
+    spec = MS.ModelSpec(key=("id",), target="median_income", numeric=("median_house_value", "bedrooms_per_room"),
+                        category="ocean_proximity", levels=("ISLAND", "COASTAL", "INLAND"), stratum="cluster",
+                        outlier_cols=("median_income", "median_house_value", "bedrooms_per_room"),
+                        single_models=(("ols_value", "median_house_value"), ("ols_bpr", "bedrooms_per_room")))
+    out = study.model_table(df, spec, kinds=("linear",))
+    r2 = {r.dataset: r.mean_r2 for r in out["ranking"].collect()}
+    assert r2["with_outliers"] > 0.5                      # income is well explained by house value
+    fm, im, tm = MS.single_feature_linear_of(MS.datasets_of(df, spec), spec)
+    assert fm.filter("metric = 'r2'").count() == 2 * 2 * 10
+    cs, fp, sm = MS.linear_feature_search_of(MS.datasets_of(df, spec), spec)
+    assert {r.value for r in fp.collect()} == {"median_house_value"}
