@@ -74,3 +74,45 @@ def test_model_table_with_own_spec(spark):
     assert fm.filter("metric = 'r2'").count() == 2 * 2 * 10
     cs, fp, sm = MS.linear_feature_search_of(MS.datasets_of(df, spec), spec)
     assert {r.value for r in fp.collect()} == {"median_house_value"}
+
+
+def test_readme_workflow_on_csv(spark):
+    from stratlab.functions import categories as C
+    from stratlab.plans.model_study import ModelSpec
+    from stratlab.sources import io as IO
+    levels = ["ISLAND", "NEAR OCEAN", "NEAR BAY", "<1H OCEAN", "INLAND"]
+    li = spark.read.parquet(f"{SMOKE}/lineitem.parquet")
+    housing = li.select(
+        (F.col("l_extendedprice") / 1000).alias("median_income"),
+        (F.col("l_extendedprice") * 3 + F.col("l_quantity") * 1000).alias("median_house_value"),
+        (F.col("l_quantity") * 40).alias("total_rooms"),
+        F.when(F.col("l_discount") > 0, F.col("l_quantity") * 8).alias("total_bedrooms"),
+        (F.col("l_quantity") * 10 + 5).alias("households"),
+        F.element_at(F.array(*[F.lit(v) for v in levels]), (F.col("l_linenumber") % 5 + 1).cast("int"))
+        .alias("ocean_proximity"))
+    schema = ("median_income double, median_house_value double, total_rooms double, total_bedrooms double, "
+              "households double, ocean_proximity string")
+    with tempfile.TemporaryDirectory() as d:
+        IO.write_table_csv(housing, os.path.join(d, "housing"))
+        raw = IO.read_table(spark, os.path.join(d, "housing"), schema, category=("ocean_proximity", levels))
+        raw = raw.withColumn("row_id", F.xxhash64(*raw.columns))
+        strat, scores, best = study.stratify(raw, "median_income", out_path=os.path.join(d, "a"),
+                                             linkages=["single", "average"], ks=[2, 3])
+        out = study.describe(raw, strat, ["row_id"], "cluster", 0.10, log_cols=["households", "median_income"],
+                             ratios={"rooms_per_household": ("total_rooms", "households")},
+                             out_path=os.path.join(d, "b"))
+        assert out["null_or_nan_stats"].filter("statistic = 'count' and column = 'total_bedrooms'") \
+            .collect()[0].value == 0.0        # bad rows: bedrooms all NULL there (N3/N4)
+        table = strat.select(
+            "row_id", "median_income", "median_house_value", "cluster",
+            F.try_divide("total_bedrooms", "total_rooms").alias("bedrooms_per_room"),
+            C.merge_levels("ocean_proximity", ["NEAR OCEAN", "NEAR BAY", "<1H OCEAN"], "COASTAL")
+            .alias("ocean_proximity")).na.drop()
+        spec = ModelSpec(key=("row_id",), target="median_income",
+                         numeric=("median_house_value", "bedrooms_per_room"),
+                         category="ocean_proximity", levels=("ISLAND", "COASTAL", "INLAND"), stratum="cluster",
+                         outlier_cols=("median_income", "median_house_value", "bedrooms_per_room"))
+        res = study.model_table(table, spec, out_path=os.path.join(d, "c"), kinds=("linear",))
+        assert res["ranking"].count() == 2
+        rep = study.report(os.path.join(d, "b", "stats"), spark, ["count", "mean"])
+        assert rep.count() > 0
