@@ -69,8 +69,9 @@ ROWS_PER_PARTITION = 1_000_000
 
 
 def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Cache a table that several jobs will read, with at most one partition per
-    ``rows_per_partition`` rows (never fewer than the default parallelism).
+    """Cache a table that several jobs will read; when it has far more partitions
+    (over 4x) than one per ``rows_per_partition`` rows (at least the default
+    parallelism), coalesce it to that many.
 
     Only ever coalesces (no shuffle): at scale the inherited partition count is
     below the target and nothing changes; a small table stops paying
@@ -79,7 +80,7 @@ def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) ->
     cached = df.cache()
     rows = cached.count()
     target = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
-    if cached.rdd.getNumPartitions() > target:
+    if cached.rdd.getNumPartitions() > 4 * target:
         smaller = cached.coalesce(target).cache()
         smaller.count()
         cached.unpersist()
