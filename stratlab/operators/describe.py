@@ -72,21 +72,28 @@ def drop_outlier_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[str] = (),
-             ranges=None) -> DataFrame:
+             ranges=None, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """O-39: the twelve statistics of every numeric column, long form.
 
     Columns: ``statistic`` (see STATISTICS), ``column``, ``value`` (double).
     Nulls are skipped, NaN counts as missing (N3, N12); an all-null column
     gives NULL statistics and 0 outliers with a NULL share (N4, N5).
+    ``approx=True`` takes quartiles and median from one ``percentile_approx``
+    job (rank error at most n / ``accuracy``) instead of the exact search.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
     clean = clean_numeric(df.select(*cols), cols)
     clean = clean.withColumns({c: F.col(c).cast("double") for c in cols})
-    if ranges is None:
-        ranges = Q.column_ranges(clean, cols)
-    qset = Q.quantile_set(clean, cols, [(0.25, "nearest"), (0.75, "nearest"), (0.5, "linear")], ranges=ranges)
-    qs = {(c, q): qset[(c, q, "nearest")] for c in cols for q in (0.25, 0.75)}
-    med = {(c, 0.5): qset[(c, 0.5, "linear")] for c in cols}
+    if approx:
+        aq = Q.approx_quantiles(clean, cols, [0.25, 0.5, 0.75], accuracy)
+        qs = {(c, q): aq[(c, q)] for c in cols for q in (0.25, 0.75)}
+        med = {(c, 0.5): aq[(c, 0.5)] for c in cols}
+    else:
+        if ranges is None:
+            ranges = Q.column_ranges(clean, cols)
+        qset = Q.quantile_set(clean, cols, [(0.25, "nearest"), (0.75, "nearest"), (0.5, "linear")], ranges=ranges)
+        qs = {(c, q): qset[(c, q, "nearest")] for c in cols for q in (0.25, 0.75)}
+        med = {(c, 0.5): qset[(c, 0.5, "linear")] for c in cols}
 
     aggs: list[Column] = []
     for i, c in enumerate(cols):

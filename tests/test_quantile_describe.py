@@ -85,3 +85,13 @@ def test_display_number(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (1234.0,), (1234.5678,), (12.34567,), (0.123456,)], "v double")
     got = [r[0] for r in df.select(K.display_number("v")).collect()]
     assert got == ["--", "--", "1\\,234", "1\\,234.57", "12.346", "0.1235"]
+
+
+def test_describe_approx_close_to_exact(spark):
+    rng = np.random.default_rng(17)
+    df = spark.createDataFrame([(float(v),) for v in rng.gamma(2, 5, 5000)], "x double")
+    exact = {r.statistic: r.value for r in D.describe(df, ["x"]).collect()}
+    approx = {r.statistic: r.value for r in D.describe(df, ["x"], approx=True).collect()}
+    for s in ("q1", "median", "q3"):
+        assert approx[s] == pytest.approx(exact[s], rel=0.01)
+    assert approx["count"] == exact["count"] and approx["mean"] == pytest.approx(exact["mean"])
