@@ -2,9 +2,10 @@
 
 A window without ``PARTITION BY`` runs in a single task. Instead, rows are
 cut into value-range buckets (approximate quantile split points fed to the
-ML ``Bucketizer``, a JVM binary search), the window runs per bucket, and a
-tiny per-bucket table (at most ``buckets`` rows) carries the offsets and
-the neighbouring values across bucket borders via a broadcast join.
+ML ``Bucketizer``, a JVM binary search; the bucket count follows the row
+count), the window runs per bucket, and a small per-bucket table (at most
+``MAX_BUCKETS`` rows) carries the offsets and the neighbouring values across
+bucket borders via a broadcast join.
 """
 
 from __future__ import annotations
@@ -13,12 +14,28 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 512
+DEFAULT_BUCKETS = None          # None: sized from the row count
+ROWS_PER_BUCKET = 500_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 65_536
 
 
-def range_buckets(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS,
+def bucket_count(df: DataFrame) -> int:
+    """About ROWS_PER_BUCKET rows per bucket, within [MIN_BUCKETS, MAX_BUCKETS]."""
+    n = df.count()
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n // ROWS_PER_BUCKET))))
+
+
+def range_buckets(df: DataFrame, order_col: str, buckets: int | None = DEFAULT_BUCKETS,
                   out: str = "_bucket", accuracy: int = 100_000) -> DataFrame:
-    """Add an int bucket id, increasing with ``order_col`` (NULLs excluded upstream)."""
+    """Add an int bucket id, increasing with ``order_col`` (NULLs excluded upstream).
+
+    Split points are approximate quantiles (one sketch job); the window work per
+    bucket is then about n / buckets rows. The per-bucket tables built from the
+    result hold at most ``buckets`` rows (bounded by MAX_BUCKETS).
+    """
+    if buckets is None:
+        buckets = bucket_count(df)
+    accuracy = max(accuracy, 10 * buckets)
     qs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy).alias("p")).collect()[0]
     cuts = sorted(set(float(v) for v in (row["p"] or [])))
@@ -30,7 +47,7 @@ def range_buckets(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS,
 
 
 def running_sum(df: DataFrame, order_col: str, weight_col: str | list[str], out: str | list[str] = "cum",
-                buckets: int = DEFAULT_BUCKETS, tiebreak: list[str] | None = None) -> DataFrame:
+                buckets: int | None = DEFAULT_BUCKETS, tiebreak: list[str] | None = None) -> DataFrame:
     """Inclusive running sum(s) of ``weight_col`` in ``order_col`` order, over the whole table.
 
     Several weight columns share one bucketing and one window pass. Rows must
@@ -50,7 +67,7 @@ def running_sum(df: DataFrame, order_col: str, weight_col: str | list[str], out:
     return res.drop("_bucket", *[f"_off{i}" for i in range(len(weights))])
 
 
-def with_neighbours(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS,
+def with_neighbours(df: DataFrame, order_col: str, buckets: int | None = DEFAULT_BUCKETS,
                     prev: str = "prev_value", nxt: str = "next_value") -> DataFrame:
     """Previous and next value of ``order_col`` over the whole table (values must be distinct)."""
     b = range_buckets(df, order_col, buckets)
