@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .ordered import range_buckets, running_sum, with_neighbours
+from .ordered import bucket_count, range_buckets, running_sum, with_neighbours
 from ..functions.frames import double_matrix, literal_frame
 
 # Linkage order (first wins on equal scores) and the k sweep.
@@ -42,7 +42,7 @@ LINKAGES = ["single", "complete", "average", "ward"]
 CLUSTER_COUNTS = list(range(2, 11))
 
 DEFAULT_LOCAL_MAX = 200_000
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = None   # distributed rounds: bucket count from the interval count (see ordered)
 MAX_ROUNDS = 10_000
 
 _IV = "lo double, hi double, n double, s double, hl long"
@@ -198,7 +198,7 @@ def _round(iv: DataFrame, linkage: str) -> tuple[DataFrame, DataFrame]:
 
 
 def linkage_boundaries(d: DataFrame, linkage: str, local_max: int = DEFAULT_LOCAL_MAX,
-                       buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                       buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """O-59: dendrogram of one linkage as (boundary, height), from ``distinct_weighted`` output."""
     if linkage == "single":
         nb = with_neighbours(d.select("lo"), "lo", prev="_prev")
@@ -209,6 +209,7 @@ def linkage_boundaries(d: DataFrame, linkage: str, local_max: int = DEFAULT_LOCA
     if m <= local_max:
         return _local_phase(d, linkage)
     ensure_checkpoint_dir(spark)
+    buckets = buckets or bucket_count(d)
     iv = range_buckets(d, "lo", buckets, out="_b")
     iv = iv.repartition(max(1, min(buckets, spark.sparkContext.defaultParallelism * 4)), "_b").checkpoint()
     merged = []
