@@ -124,3 +124,13 @@ def test_r2_from_moments_equals_direct(spark):
     e = y - (b0 + b1 * x)
     direct = 1 - (e ** 2).sum() / ((y - y.mean()) ** 2).sum()
     assert M.r2_from_moments(n, mu, m, b0, b1) == pytest.approx(direct, abs=1e-12)
+
+
+def test_results_round_trip(spark):
+    fm = spark.createDataFrame([("d", "m", 0, "r2", 0.5, None), ("d", "m", 0, "rmse", 2.0, 0.1)],
+                               "dataset string, model string, fold int, metric string, value double, "
+                               "share_of_target_mean double")
+    with tempfile.TemporaryDirectory() as d:
+        IO.write_results({"fold_metrics": fm}, d)
+        back = IO.read_results(spark, d, "fold_metrics", fm.schema)
+        assert sorted(back.collect()) == sorted(fm.collect())
