@@ -137,8 +137,10 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     for k in reversed(range(len(jumps))):
         up = path.alias("l").join(jumps[k].alias("j"), (F.col("l.tree") == F.col("j.tree")) & (F.col("l.node") == F.col("j.node"))) \
             .select("l.tree", "branch", "leaf", "branch_score", F.col("j.anc").alias("node"), (F.col("pos") - 2 ** k).alias("pos"))
-        path = path.unionByName(up)
-    out = scratch.write(path.select("tree", "branch", "leaf", "branch_score", "pos", "node"), "paths")
+        whole = scratch.write(path.unionByName(up), "path")
+        scratch.drop(path)
+        path = whole
+    out = path.select("tree", "branch", "leaf", "branch_score", "pos", "node")
     for df in (nodes, *jumps):
         scratch.drop(df)
     return out
