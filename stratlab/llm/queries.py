@@ -16,6 +16,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    from stratlab.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the rows that are not held out."""
+    from stratlab.llm.toxicity import score_toxicity
+
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts (prefix dynamic programming) and the cut point at 512 tokens."""
     from stratlab.llm.tokens import count_prefix_tokens
@@ -73,6 +89,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_toxicity": op4_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_warc": op8_warc,
