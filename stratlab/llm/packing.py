@@ -10,12 +10,15 @@ cut, the head of a remaining example fills the last gap.
 from __future__ import annotations
 
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratlab.llm.common import worker_cache
+from stratlab.llm.tokens import byte_alphabet
 from stratlab.llm.units import UnitMemo
 
 END_ID = 1
@@ -109,23 +112,50 @@ def by_powers(pieces: list[tuple[int, int, int]], total: int) -> list[list[tuple
 
 
 class IdEncoder:
-    """Token ids of texts by a ``tokenizers`` file, as little-endian unsigned 32-bit bytes."""
+    """Token ids of texts by a ``tokenizers`` file, as little-endian unsigned 32-bit bytes.
+
+    For byte-level BPE files, units not met before are cut into pre-tokens and given to the
+    file's BPE model directly; other files encode every text whole.
+    """
 
     def __init__(self, path: str):
+        import json
+
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = UnitMemo(self.encode)
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        before = spec["pre_tokenizer"] or {}
+        self.direct = (spec["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                       and not before.get("add_prefix_space"))
+        if self.direct:
+            import regex
+            from public_tokenizers import PATTERN
+
+            self.split = regex.compile(PATTERN).findall
+            self.alphabet = byte_alphabet()
+            self.ascii = dict(enumerate(self.alphabet[:128]))
+            self.model = self.tokenizer.model
+            self.memo = UnitMemo(self.encode_units)
+
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        out, tokenize, alphabet = [], self.model.tokenize, self.alphabet
+        for unit in units:
+            ids = []
+            for w in self.split(unit):
+                mapped = w.translate(self.ascii) if w.isascii() else "".join([alphabet[b] for b in w.encode("utf-8")])
+                ids += [t.id for t in tokenize(mapped)]
+            out.append(array("I", ids).tobytes())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 20_000):
-            out += [np.array(e.ids, dtype="<u4").tobytes()
-                    for e in self.tokenizer.encode_batch(texts[at:at + 20_000], add_special_tokens=False)]
-        return out
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.direct:
+            return self.encode(texts)
         plain = [not any(s in t for s in self.special) for t in texts]
         known = iter(self.memo.values([t for t, p in zip(texts, plain) if p]))
         return [b"".join(next(known)) if p else self.encode([t])[0] for t, p in zip(texts, plain)]

@@ -37,23 +37,54 @@ class UnitMemo:
     """``text -> [value of each unit]`` with ``encode(list of units) -> list of values``,
     called once per batch for the units not met before.
 
-    Bounded: emptied when it holds more than ``limit`` units; units longer than
+    Words after a space are kept without it, so a simple text is split and looked up
+    with no other string made. Bounded: emptied when it holds more than ``limit`` units; units longer than
     ``longest`` code points are never kept.
     """
 
-    def __init__(self, encode, limit: int = 800_000, longest: int = 64):
+    def __init__(self, encode, limit: int = 1_200_000, longest: int = 64):
         self.encode, self.limit, self.longest = encode, limit, longest
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
 
     def values(self, texts: list[str]) -> list[list[bytes]]:
-        split = [units(t) for t in texts]
-        if len(self.known) > self.limit:
+        if len(self.known) + len(self.spaced) > self.limit:
             self.known.clear()
-        missing = set().union(*split).difference(self.known)
-        once: dict[str, bytes] = {}
+            self.spaced.clear()
+        out, again, missing = [], [], set()
+        for i, text in enumerate(texts):
+            if simple(text):
+                first, *rest = text.split(" ")
+                got = list(map(self.spaced.get, rest))
+                if first:
+                    got.insert(0, self.known.get(first))
+                    if got[0] is None:
+                        missing.add(first)
+                if None in got:
+                    known = self.spaced
+                    missing.update([" " + w for w in rest if w not in known])
+                    again.append(i)
+            else:
+                split = ANY_UNIT.findall(text)
+                got = [self.spaced.get(u[1:]) if u[0] == " " else self.known.get(u) for u in split]
+                if None in got:
+                    missing.update([u for u, g in zip(split, got) if g is None])
+                    again.append(i)
+            out.append(got)
         if missing:
             missing = list(missing)
+            once = {}
             for u, v in zip(missing, self.encode(missing)):
-                (self.known if len(u) <= self.longest else once)[u] = v
-        known = self.known if not once else self.known | once
-        return [list(map(known.__getitem__, s)) for s in split]
+                if len(u) > self.longest:
+                    once[u] = v
+                elif u[0] == " ":
+                    self.spaced[u[1:]] = v
+                else:
+                    self.known[u] = v
+            for i in again:
+                split = units(texts[i])
+                for k, g in enumerate(out[i]):
+                    if g is None:
+                        u = split[k]
+                        out[i][k] = once[u] if u in once else self.spaced[u[1:]] if u[0] == " " else self.known[u]
+        return out
