@@ -16,6 +16,26 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Documents labelled as of good quality, and never as bad."""
+    return labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of the trusted ones, and the verdict."""
+    from stratlab.llm.quality import classify_quality
+
+    return classify_quality(table(spark, sf_dir, "documents"), trusted_ids(table(spark, sf_dir, "labels")))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents: one row per pair."""
+    from stratlab.llm.decontam import find_leaks
+
+    found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     from stratlab.llm.neardup import near_duplicates
@@ -89,6 +109,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_toxicity": op4_toxicity,
     "op6_token_counts": op6_token_counts,
