@@ -57,7 +57,7 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def text_key() -> Column:
-    return F.unhex(F.md5(F.col("text").cast("binary")))
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -108,7 +108,8 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Classes of equal and near-equal texts; one row per input row: doc_id, class_id, class_size, text_rank.
+    """Classes of equal and near-equal texts; one row per input row: doc_id, text_key
+    (MD5 of the text), class_id, class_size, text_rank.
 
     Near copies: probability Jaccard similarity of 0.8 or more of shingles of five words (lower
     case, split at white space), weighted by how often they occur. Classes are the connected
@@ -168,5 +169,5 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         F.min(F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("best"))
     tied = classes.join(whole, "comp").select("key", "class_id", "class_size", (F.col("best.key") == F.col("key")).alias("is_best"), "first_id")
     return signed.select("key", "doc_id").join(tied, "key").select(
-        "doc_id", "class_id", "class_size",
+        "doc_id", F.col("key").alias("text_key"), "class_id", "class_size",
         F.when(F.col("is_best") & F.col("doc_id").eqNullSafe(F.col("first_id")), 1).otherwise(2).alias("text_rank"))

@@ -116,7 +116,7 @@ def probabilities(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> Data
 def score(docs: DataFrame, answers: DataFrame, carry: list[str]) -> DataFrame:
     """Each document with n_symbols, log_prob and trusted; ``answers`` holds, by block, n-grams with
     log probabilities and the ids of trusted documents."""
-    fields = [f for f in docs.schema.fields if f.name in carry]
+    fields = [docs.schema[c] for c in carry]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_symbols bigint, log_prob double, trusted boolean"
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -40,7 +40,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     from stratlab.llm.neardup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from stratlab.llm.html_blocks import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts (prefix dynamic programming) and the cut point at 512 tokens."""
     from stratlab.llm.tokens import count_prefix_tokens
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_toxicity": op4_toxicity,
+    "op5_main_text": op5_main_text,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_warc": op8_warc,

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratlab.llm.common import worker_cache
 
@@ -29,7 +30,6 @@ NGRAMS = (3, 4, 5)
 MAX_PER_CLASS = 1_500
 MAX_TRAIN_CHARS = 50_000
 EPOCHS = 60
-SCHEMA = "doc_id bigint, score double"
 
 
 def subwords(word: str) -> list[int]:
@@ -177,8 +177,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX
     return [r["text"] for r in rows], [r["toxic"] for r in rows]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> DataFrame:
-    """Train on a bounded labelled sample, then score every whole text; one row per input row: doc_id, score.
+def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """Train on a bounded labelled sample, then score every whole text; one row per input row: doc_id,
+    the columns of ``carry``, score.
 
     ``labels`` has doc_id, toxic (0 or 1); only ``text`` goes into a score. Without labels of both classes
     every score is the share of toxic labels (0 without any). Null text: as empty, which
@@ -195,10 +197,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_
     model_key = uuid.uuid4().hex
     base = float(np.mean(y)) if y else 0.0
 
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[c for c in carry if c not in ("doc_id", "text")],
+                       F.col("text").alias("text"))
+    keeps_text = "text" in carry
+
     def run(batches):
         scorer = worker_cache(f"toxicity:{model_key}", lambda: Scorer(*model.value)) if model else None
         for batch in batches:
-            scores = [scorer.score(t) if scorer else base for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = [scorer.score(t) if scorer else base for t in batch.column(batch.num_columns - 1).to_pylist()]
+            kept = batch.columns if keeps_text else batch.columns[:-1]
+            names = batch.schema.names if keeps_text else batch.schema.names[:-1]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*names, "score"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    fields = rows.schema.fields if keeps_text else rows.schema.fields[:-1]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
