@@ -32,11 +32,6 @@ def enforce_domain(df: DataFrame, name: str, domain: Sequence[str]) -> DataFrame
     return df.withColumn(name, checked)
 
 
-def split_domain(df: DataFrame, name: str, domain: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """O-02 (quarantine form): rows inside the domain, rows outside it."""
-    ok = F.col(name).isNull() | F.col(name).isin(list(domain))
-    return df.filter(ok), df.filter(~ok)
-
 
 def merge_levels(c: str | Column, levels: Sequence[str], into: str) -> Column:
     """O-26: map several levels onto one, keep the others (cast to string, O-27)."""

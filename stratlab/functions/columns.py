@@ -37,10 +37,6 @@ def select_numeric(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     return df.select(*numeric_columns(df, exclude))
 
 
-def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """O-11."""
-    return df.drop(*names)
-
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """O-13."""
@@ -174,14 +170,9 @@ def web_mercator(lon: str | Column, lat: str | Column) -> tuple[Column, Column]:
 # ---------------------------------------------------------------- report text
 
 
-def humanize(name: str) -> str:
-    """O-95: ``_`` to space in a column name."""
-    return name.replace("_", " ")
-
-
 def humanize_columns(df: DataFrame) -> DataFrame:
-    """O-95 over all columns."""
-    return df.withColumnsRenamed({c: humanize(c) for c in df.columns})
+    """O-95: ``_`` to space in all column names."""
+    return df.withColumnsRenamed({c: c.replace("_", " ") for c in df.columns})
 
 
 def display_number(c: str | Column, integral: Column | bool = False) -> Column:
@@ -189,7 +180,8 @@ def display_number(c: str | Column, integral: Column | bool = False) -> Column:
 
     NULL/NaN -> ``--``; an integer quantity (``integral``: counts) -> no
     decimals; integral and |x| >= 100 -> no decimals; |x| >= 100 -> two
-    decimals; |x| >= 1 -> three; otherwise four. Thousands separated by a
+    decimals; |x| >= 1 -> three; otherwise four (thresholds: fixed values). Ties of the
+    decimal text round to even. Thousands separated by a
     thin space as in the report tables.
     """
     col = (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -200,5 +192,5 @@ def display_number(c: str | Column, integral: Column | bool = False) -> Column:
             .when(is_int, thousands(F.format_number(col, 0)))
             .when((col == F.floor(col)) & (a >= 100), thousands(F.format_number(col, 0)))
             .when(a >= 100, thousands(F.format_number(col, 2)))
-            .when(a >= 1, F.format_string("%.3f", col))
-            .otherwise(F.format_string("%.4f", col)))
+            .when(a >= 1, F.format_number(col, 3))
+            .otherwise(F.format_number(col, 4)))

@@ -7,7 +7,9 @@ count.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +24,6 @@ KDE_GRID = 200        # fixed value: density curve grid size
 KDE_REACH = 40.0      # |z| beyond which the Gaussian kernel underflows to exactly 0.0
 FIXED_BINS = 30       # fixed value: bins of the stacked histogram
 BOX_WHISKER = 1.5     # fixed value: whisker reach in IQRs
-MAX_LABELS = 10_000   # bound on labels a stacked histogram may split by
 
 
 def _d(x) -> Column:
@@ -159,12 +160,13 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int | dict[str, int] | N
     counts = with_bin(long, "x", specs).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     grid = _bins_table(df.sparkSession, specs)
     if by:
-        # labels are strata ids: a handful of values, checked before use
-        labels = [r[0] for r in clean.select(by).distinct().limit(MAX_LABELS + 1).collect()]
-        if len(labels) > MAX_LABELS:
-            raise ValueError(f"histogram split by {by!r}: more than {MAX_LABELS} labels")
-        grid = grid.withColumn(by, F.explode(F.array(*[F.lit(v) for v in labels])))
-    return (grid.join(counts, keys, "left")
+        # every label gets every column's bins; labels stay a table, whatever their number
+        grid = (clean.select(by).distinct()
+                .withColumn("column", F.explode(F.array(*[F.lit(c) for c in specs])))
+                .join(grid, "column"))
+    n = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "n")
+    same = functools.reduce(operator.and_, [grid[k].eqNullSafe(n[f"_k{i}"]) for i, k in enumerate(keys)])
+    return (grid.join(n, same, "left")
             .select(*keys, "bin_lo", "bin_hi", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
@@ -221,7 +223,7 @@ def _box_from_quartiles(q1, med, q3):
 
 def box_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """O-51: linear quartiles, whiskers (extreme points inside the 1.5 IQR
-    fences, the quartile when none) and flier count, per column."""
+    fences, never inside the box) and flier count, per column."""
     clean = clean_numeric(df.select(*cols), cols)
     qs = Q.quantiles(clean, cols, [0.25, 0.5, 0.75], "linear")
     parts = []
@@ -230,8 +232,8 @@ def box_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             continue
         q1, med, q3, lo, hi = _box_from_quartiles(qs[(c, 0.25)], qs[(c, 0.5)], qs[(c, 0.75)])
         x = F.col(c)
-        wlo = F.coalesce(F.min(F.when(x >= _d(lo), x)), _d(q1))
-        whi = F.coalesce(F.max(F.when(x <= _d(hi), x)), _d(q3))
+        wlo = F.least(F.min(F.when(x >= _d(lo), x)), _d(q1))
+        whi = F.greatest(F.max(F.when(x <= _d(hi), x)), _d(q3))
         parts.append((c, q1, med, q3, wlo, whi))
     aggs = []
     for k, (c, q1, med, q3, wlo, whi) in enumerate(parts):

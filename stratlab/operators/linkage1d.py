@@ -41,6 +41,7 @@ from ..functions.frames import double_matrix, literal_frame
 LINKAGES = ["single", "complete", "average", "ward"]
 CLUSTER_COUNTS = list(range(2, 11))
 
+SCORE_PLACES = 9   # scores equal to so many places are ties: float sums differ in the last ones between runs
 DEFAULT_LOCAL_MAX = 200_000
 DEFAULT_BUCKETS = None   # distributed rounds: bucket count from the interval count (see ordered)
 MAX_ROUNDS = 10_000
@@ -336,12 +337,12 @@ def best_setting(scores: DataFrame) -> DataFrame:
     (linkage order, then smaller k)."""
     rank = F.array_position(F.array(*[F.lit(l) for l in LINKAGES]), F.col("linkage"))
     return (scores.withColumn("linkage_rank", rank)
-            .orderBy(F.col("silhouette").desc(), "linkage_rank", "k").limit(1).drop("linkage_rank"))
+            .orderBy(F.round("silhouette", SCORE_PLACES).desc(), "linkage_rank", "k").limit(1).drop("linkage_rank"))
 
 
 def best_per_linkage(scores: DataFrame) -> DataFrame:
     """O-64 (per linkage) and O-56 marker: is_best flag on the score-by-k series."""
-    w = Window.partitionBy("linkage").orderBy(F.col("silhouette").desc(), "k")
+    w = Window.partitionBy("linkage").orderBy(F.round("silhouette", SCORE_PLACES).desc(), "k")
     return scores.withColumn("is_best", F.row_number().over(w) == 1)
 
 

@@ -39,7 +39,14 @@ MAX_DEPTH_NONE = 30  # MLlib's depth cap stands in for "no limit"
 # Full hyperparameter grids of the study (min_samples_split has no MLlib twin).
 TREE_GRID = {"maxDepth": [MAX_DEPTH_NONE, 3, 5, 10, 20], "minInstancesPerNode": [1, 2, 4]}
 FOREST_GRID = {"numTrees": [50, 100, 200, 400], "maxDepth": [MAX_DEPTH_NONE, 5, 10, 20],
-               "featureSubsetStrategy": ["all", "2"]}
+               "featureSubsetStrategy": ["all", "sqrt", "log2"]}
+
+
+def subset_sizes(strategies: Sequence[str], n_features: int) -> list[str]:
+    """Feature subsets as counts: all, floor of the square root, floor of the logarithm
+    (MLlib's own names round up); equal counts are one candidate."""
+    size = {"all": n_features, "sqrt": max(1, int(n_features ** 0.5)), "log2": max(1, int(np.log2(n_features)))}
+    return list(dict.fromkeys("all" if s == "all" else str(size.get(s, s)) for s in strategies))
 
 
 # ------------------------------------------------------------------ OLS by fold statistics
@@ -78,10 +85,14 @@ def merge_moments(parts: Sequence[tuple]) -> tuple:
 def ols_from_moments(n: int, mu: np.ndarray, m: np.ndarray) -> tuple[float, np.ndarray]:
     """Intercept and coefficients; last entry of ``mu``/``m`` is the target.
 
-    Minimum-norm solution, so a constant feature gets coefficient 0.
+    Solved on features scaled to unit spread, so that features of very unequal
+    scales keep their coefficients; minimum-norm there, so a constant feature gets
+    coefficient 0.
     """
     sxx, sxy = m[:-1, :-1], m[:-1, -1]
-    beta = np.linalg.pinv(sxx) @ sxy
+    scale = np.sqrt(np.maximum(np.diag(sxx), 0.0))
+    scale[scale == 0] = 1.0
+    beta = np.linalg.pinv(sxx / np.outer(scale, scale), hermitian=True) @ (sxy / scale) / scale
     return float(mu[-1] - beta @ mu[:-1]), beta
 
 
@@ -94,6 +105,13 @@ def r2_from_moments(n: int, mu: np.ndarray, m: np.ndarray, b0: float, b1: float)
     return float("nan") if myy == 0 else 1.0 - sse / myy
 
 
+def rmse_from_moments(n: int, mu: np.ndarray, m: np.ndarray, b0: float, b1: float) -> float:
+    """Held-out RMSE of y ~ b0 + b1 * x, from the same moments as ``r2_from_moments``."""
+    bias = mu[1] - b0 - b1 * mu[0]
+    sse = m[1, 1] - 2 * b1 * m[0, 1] + b1 * b1 * m[0, 0] + n * bias * bias
+    return float(np.sqrt(max(sse, 0.0) / n))
+
+
 @dataclass
 class LinearCV:
     features: list[str]
@@ -189,7 +207,7 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
         grid = grid or TREE_GRID
     elif kind == "forest":
         est = RandomForestRegressor(seed=SEED, maxBins=max_bins, featuresCol="features", labelCol=label)
-        grid = grid or FOREST_GRID
+        grid = grid or {**FOREST_GRID, "featureSubsetStrategy": subset_sizes(FOREST_GRID["featureSubsetStrategy"], len(features))}
     else:
         raise ValueError(kind)
     maps = _grid(est, grid)

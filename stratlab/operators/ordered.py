@@ -39,6 +39,8 @@ def range_buckets(df: DataFrame, order_col: str, buckets: int | None = DEFAULT_B
     qs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy).alias("p")).collect()[0]
     cuts = sorted(set(float(v) for v in (row["p"] or [])))
+    if not cuts:   # no rows, or a single value
+        return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
     tmp = f"{out}_d"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")

@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 DEFAULT_EXACT_ROWS = 100_000
 DEFAULT_BUCKETS = 1024
-DEFAULT_MAX_ROUNDS = 12
 
 
 def nearest_rank_index(n: int, q: float) -> int:
@@ -78,8 +77,7 @@ def column_ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, fl
 
 def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]],
                      ranges: dict[str, tuple[int, float | None, float | None]] | None = None,
-                     exact_rows: int = DEFAULT_EXACT_ROWS, buckets: int = DEFAULT_BUCKETS,
-                     max_rounds: int = DEFAULT_MAX_ROUNDS) -> dict[tuple[str, int], float | None]:
+                     exact_rows: int = DEFAULT_EXACT_ROWS, buckets: int = DEFAULT_BUCKETS) -> dict[tuple[str, int], float | None]:
     """Exact ``sorted(col)[rank]`` for every requested (column, 0-based rank).
 
     ``df`` columns must be numeric with NaN already replaced by NULL.
@@ -98,10 +96,12 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]],
                 t.value, t.done = lo, True
             targets.append(t)
 
-    for _ in range(max_rounds):
+    while True:
+        # a round narrows every open bracket (its ends fall into different cells), so this ends
         open_ = [t for t in targets if not t.done and t.m > exact_rows]
         if not open_:
             break
+        widths = {id(t): (t.lo, t.hi) for t in open_}
         # one histogram per distinct (column, bracket): targets of a column share it at first
         brackets = sorted({(t.col, t.lo, t.hi) for t in open_}, key=lambda k: (k[0], k[1], k[2]))
         cells = []
@@ -130,6 +130,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]],
                 acc += row["n"]
             if t.lo == t.hi:
                 t.value, t.done = t.lo, True
+            elif (t.lo, t.hi) == widths[id(t)]:
+                raise ArithmeticError(f"the range of {t.col!r} cannot be divided: {t.lo} to {t.hi}")
 
     rest = [t for t in targets if not t.done]
     if rest:

@@ -19,11 +19,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from ..functions.frames import literal_frame
+
+from ..session import ensure_checkpoint_dir
 
 DEFAULT_SEED = 42           # fixed value: the study's random state
 DEFAULT_FOLDS = 10          # fixed value: outer and inner fold count
-MAX_STRATA = 100_000        # bound on distinct strata (their counts are collected)
 TARGET_BUCKET_ROWS = 1 << 20
 
 
@@ -38,13 +38,24 @@ def _prefix_bits(max_stratum_rows: int) -> int:
     return int(math.ceil(bits / 4) * 4)
 
 
-def stratum_counts(df: DataFrame, stratum: str) -> list[tuple]:
-    """(stratum, n) sorted by stratum; bounded by MAX_STRATA."""
-    rows = (df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
-            .limit(MAX_STRATA + 1).collect())
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {stratum!r}")
-    return sorted(((r[0], int(r[1])) for r in rows), key=lambda t: (t[0] is None, t[0]))
+def stratum_counts(df: DataFrame, stratum: str) -> DataFrame:
+    """(stratum, _n): rows of each stratum, as a table of whatever length."""
+    return df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def quotas(counts: DataFrame, stratum: str, fraction: float) -> DataFrame:
+    """(stratum, _n, _quota) by the rule of ``allocate``, as a table.
+
+    The rows left over after the floors go to the largest remainders (ties: stratum
+    order); the window that ranks them sees one row per stratum, not the data.
+    """
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    draws = int(math.floor(fraction * total))
+    share = counts.withColumn("_share", F.col("_n") * F.lit(float(draws)) / F.lit(float(total or 1)))
+    share = share.withColumn("_floor", F.floor("_share"))
+    left = draws - (share.agg(F.sum("_floor")).first()[0] or 0)
+    rank = F.row_number().over(Window.orderBy((F.col("_share") - F.col("_floor")).desc(), F.col(stratum).asc_nulls_last()))
+    return share.select(stratum, "_n", (F.col("_floor") + (rank <= left).cast("long")).alias("_quota"))
 
 
 def allocate(counts: Sequence[tuple], fraction: float) -> dict:
@@ -88,19 +99,17 @@ def stratified_sample(df: DataFrame, key_cols: Sequence[str], stratum: str, frac
                       seed: int = DEFAULT_SEED, flag: str = "in_sample") -> DataFrame:
     """O-65/O-66: every row with a boolean ``flag``; exactly the allocated count
     per stratum is true (the sample), the rest is the complement."""
-    counts = stratum_counts(df, stratum)
-    quota = allocate(counts, fraction)
-    bits = _prefix_bits(max((n for _, n in counts), default=1))
-    spark = df.sparkSession
-    qdf = literal_frame(spark, [(s, q) for s, q in quota.items()],
-                                f"{stratum} {df.schema[stratum].dataType.simpleString()}, _quota long")
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = stratum_counts(df, stratum).checkpoint()
+    qdf = quotas(counts, stratum, fraction).select(stratum, "_quota")
+    bits = _prefix_bits(counts.agg(F.max("_n")).first()[0] or 1)
     h = _ranked(df, key_cols, stratum, seed, bits)
-    offs = _join_on(_bucket_offsets(h, stratum), F.broadcast(qdf), [stratum])
+    offs = _join_on(_bucket_offsets(h, stratum), qdf, [stratum])
     # the one bucket per stratum where the quota ends, and how many rows it gives
     bounds = (offs.filter((F.col("_before") < F.col("_quota"))
                           & (F.col("_before") + F.col("_cnt") >= F.col("_quota")))
               .select(stratum, F.col("_p").alias("_bp"), (F.col("_quota") - F.col("_before")).alias("_need")))
-    tagged = _join_on(h, F.broadcast(bounds), [stratum], "left")
+    tagged = _join_on(h, bounds, [stratum], "left")
     plain = (tagged.filter(F.col("_bp").isNull() | (F.col("_p") != F.col("_bp")))
              .withColumn(flag, F.coalesce(F.col("_p") < F.col("_bp"), F.lit(False))))
     w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)
@@ -125,20 +134,16 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
     ``position``: keep p itself (with p = k*a + b, the inner fold for outer
     fold j is (b - [b > j] - a) mod k, see ``inner_fold_of_cell``).
     """
-    counts = stratum_counts(df, stratum)
-    bits = _prefix_bits(max((n for _, n in counts), default=1))
-    start, acc = [], 0
-    for s, n in counts:
-        start.append((s, acc))
-        acc += n
-    spark = df.sparkSession
-    sdf = literal_frame(spark, start, f"{stratum} {df.schema[stratum].dataType.simpleString()}, _start long")
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = stratum_counts(df, stratum).checkpoint()
+    bits = _prefix_bits(counts.agg(F.max("_n")).first()[0] or 1)
+    before = Window.orderBy(F.col(stratum).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(stratum, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))   # one row per stratum
     h = _ranked(df, key_cols, stratum, seed, bits)
-    offs = _bucket_offsets(h, stratum).select(stratum, "_p", "_before")
+    offs = _join_on(_bucket_offsets(h, stratum).select(stratum, "_p", "_before"), starts, [stratum])
     w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)
     pos = (F.col("_start") + F.col("_before") + F.row_number().over(w) - 1)
-    out = (_join_on(_join_on(h, F.broadcast(sdf), [stratum]), offs, [stratum, "_p"])
-           .withColumn("_pos", pos))
+    out = _join_on(h, offs, [stratum, "_p"]).withColumn("_pos", pos)
     out = out.withColumn(fold, (F.col("_pos") % k).cast("int"))
     if inner:
         def count_mod(x: Column, j: int) -> Column:

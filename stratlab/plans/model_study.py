@@ -3,6 +3,7 @@ outer/inner folds, linear / tree / forest models, long result tables."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -83,7 +84,7 @@ def single_feature_linear_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFA
         mom = M.fold_moments(f, "fold", [*feats, "target"])
         _, mu_all, _ = M.merge_moments(list(mom.values()))
         target_mean = float(mu_all[-1])
-        preds, imp_rows = [], []
+        maes, imp_rows, exact = [], [], []
         for model, x in models.items():
             i = feats.index(x)
             sub = {k: (n, mu[[i, -1]], m[np.ix_([i, -1], [i, -1])]) for k, (n, mu, m) in mom.items()}
@@ -93,18 +94,25 @@ def single_feature_linear_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFA
                 b0, beta = M.ols_from_moments(n, mu, m)
                 sd = float(np.sqrt(max(m[0, 0] / n, 0.0)))
                 imp_rows.append((ds, model, int(k), x, abs(float(beta[0]) * sd)))
+                hn, hmu, hm = sub[k]
+                r2 = M.r2_from_moments(hn, hmu, hm, b0, float(beta[0]))
+                exact += [(model, int(k), "r2", None if np.isnan(r2) else r2),
+                          (model, int(k), "rmse", M.rmse_from_moments(hn, hmu, hm, b0, float(beta[0])))]
                 p = F.lit(b0) + F.lit(float(beta[0])) * F.col(x)
                 expr = F.when(F.col("fold") == k, p) if expr is None else expr.when(F.col("fold") == k, p)
-            preds.append(F.struct(F.lit(model).alias("model"), expr.alias("prediction")))
-        long = (f.select("fold", "target", F.explode(F.array(*preds)).alias("_p"))
-                .select("fold", "target", "_p.model", "_p.prediction"))
-        wide = M.regression_metrics(long, "target", "prediction", ["model", "fold"])
-        metrics.append(M.metrics_long(wide, ["model", "fold"], target_mean)
-                       .withColumn("dataset", F.lit(ds)))
+            maes.append(F.avg(F.abs(F.col("target") - expr)))
+        # R2 and RMSE follow from the moments; only the absolute error needs the rows: one column a model
+        names = list(models)
+        stacked = ", ".join(f"'{m}', _e{i}" for i, m in enumerate(names))
+        mae = f.groupBy("fold").agg(*[e.alias(f"_e{i}") for i, e in enumerate(maes)]).selectExpr(
+            f"stack({len(names)}, {stacked}) as (model, value)", "cast(fold as int) as fold", "'mae' as metric")
+        long = literal_frame(spark, exact, "model string, fold int, metric string, value double").unionByName(mae)
+        metrics.append(long.withColumn("share_of_target_mean", F.when(
+            F.col("metric") != "r2", F.try_divide(F.col("value"), F.lit(target_mean)))).withColumn("dataset", F.lit(ds)))
         imps.append(literal_frame(spark, imp_rows, "dataset string, model string, fold int, feature string, importance double"))
         tms.append((ds, target_mean))
-    fm = metrics[0].unionByName(metrics[1])
-    im = imps[0].unionByName(imps[1])
+    fm = functools.reduce(DataFrame.unionByName, metrics)
+    im = functools.reduce(DataFrame.unionByName, imps)
     tm = literal_frame(spark, tms, "dataset string, target_mean double")
     return fm, im, tm
 
@@ -210,7 +218,7 @@ def linear_feature_search_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFA
         outer_preds.append(f.select(F.lit(ds).alias("dataset"), "fold", "target", expr.alias("prediction")))
     cs = literal_frame(spark, cand_rows, "dataset string, model string, outer_fold int, candidate_idx int, mean_r2 double")
     fp = literal_frame(spark, param_rows, "dataset string, model string, fold int, name string, value string")
-    op = outer_preds[0].unionByName(outer_preds[1])
+    op = functools.reduce(DataFrame.unionByName, outer_preds)
     fm = M.metrics_long(M.regression_metrics(op, "target", "prediction", ["dataset", "fold"])
                         .withColumn("model", F.lit("ols_select")), ["dataset", "model", "fold"])
     return cs, fp, fm

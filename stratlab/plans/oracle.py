@@ -120,8 +120,8 @@ grid AS (SELECT sp.column{by_sel}, CAST(b.range AS INTEGER) AS bin,
 SELECT grid.column{', grid.' + by if by else ''}, grid.bin, {r('grid.bin_lo', places)} AS bin_lo,
        {r('grid.bin_hi', places)} AS bin_hi, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
 FROM grid LEFT JOIN cnt ON grid.column = cnt.column AND grid.bin = cnt.bin
-     {'AND grid.' + by + ' = cnt.' + by if by else ''}
-""".replace("{step}", step)
+     {'AND grid.' + by + ' IS NOT DISTINCT FROM cnt.' + by if by else ''}
+"""
 
 
 def box_sql(src: str, cols: Sequence[str], places: int = 6) -> str:
@@ -131,8 +131,8 @@ def box_sql(src: str, cols: Sequence[str], places: int = 6) -> str:
 SELECT '{c}' AS "column", q1, med AS median, q3, wlo AS whisker_lo, whi AS whisker_hi,
        (SELECT CAST(count_if({c} < wlo OR {c} > whi) AS BIGINT) FROM s) AS fliers
 FROM (SELECT q1, med, q3,
-        coalesce((SELECT min({c}) FROM s WHERE {c} >= q1 - 1.5 * (q3 - q1)), q1) AS wlo,
-        coalesce((SELECT max({c}) FROM s WHERE {c} <= q3 + 1.5 * (q3 - q1)), q3) AS whi
+        least((SELECT min({c}) FROM s WHERE {c} >= q1 - 1.5 * (q3 - q1)), q1) AS wlo,
+        greatest((SELECT max({c}) FROM s WHERE {c} <= q3 + 1.5 * (q3 - q1)), q3) AS whi
       FROM (SELECT {linear(c, 0.25)} AS q1, {linear(c, 0.5)} AS med, {linear(c, 0.75)} AS q3 FROM s) t0) t1""")
     body = " UNION ALL ".join(parts)
     keep = ", ".join(f"{r(x, places)} AS {x}" for x in ["q1", "median", "q3", "whisker_lo", "whisker_hi"])

@@ -7,6 +7,8 @@ rounded the same way on both sides (``round(x * 10^p) / 10^p``).
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -459,12 +461,13 @@ def importance_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("linear_cv_full")
 def linear_cv_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-67 + O-69 + O-72 + O-79 + O-80 + O-82 + O-84: OLS on standardised numerics and dummies,
-    per-fold scores and fit times."""
+    per-fold scores (fit times, O-82, are in ``linear_study``: they differ from run to run)."""
     out = []
     for ds, df in MS.datasets(spark, sf_dir).items():
         fm, imp, _ = MS.linear_study(df)
         out.append(fm.withColumn("dataset", F.lit(ds)))
-    return out[0].unionByName(out[1]).select("dataset", "model", "fold", "metric", rnd("value", 4).alias("value"))
+    return functools.reduce(DataFrame.unionByName, out).where("metric <> 'fit_seconds'").select(
+        "dataset", "model", "fold", "metric", rnd("value", 4).alias("value"))
 
 
 
@@ -525,8 +528,6 @@ def _tree_facts(spark, sf_dir, kind, grid):
             .unionByName(params.select(F.lit("param").alias("kind"), "model", "fold", "name", "value"))
             .unionByName(imp.select(F.lit("importance").alias("kind"), "model", "fold",
                                     F.col("feature").alias("name"), F.col("importance").cast("string").alias("value")))
-            .unionByName(timing.select(F.lit("timing").alias("kind"), "model", "fold", F.col("metric").alias("name"),
-                                       F.col("value").cast("string").alias("value")))
             .unionByName(best.select(F.lit("best_candidate").alias("kind"), "model", F.lit(-1).alias("fold"),
                                      F.lit("candidate_idx").alias("name"),
                                      F.col("candidate_idx").cast("string").alias("value"))))

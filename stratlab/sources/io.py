@@ -168,8 +168,3 @@ def save_models(models: dict[int, object], path: str, dataset: str, model_name:
 
 def finite(x: float | None) -> bool:
     return x is not None and not (isinstance(x, float) and (math.isnan(x) or math.isinf(x)))
-
-
-def dumps_strict(obj) -> str:
-    """JSON text with NaN rejected (for small driver-side summaries)."""
-    return json.dumps(obj, ensure_ascii=False, allow_nan=False)

@@ -65,11 +65,11 @@ def test_zero_denominator_and_log_domain(spark):
     assert [r[0] for r in lg.select(K.natural_log("x")).collect()] == [None, None, 0.0, None]
 
 
-def test_outlier_filter_keeps_null_rows(spark):
+def test_outlier_filter_drops_rows_with_null_test(spark):
     df = spark.createDataFrame([(float(i),) for i in range(20)] + [(1000.0,), (None,)], "x double")
     kept = D.drop_outlier_rows(df, ["x"])
     vals = [r.x for r in kept.collect()]
-    assert 1000.0 not in vals and None in vals and len(vals) == 21
+    assert 1000.0 not in vals and None not in vals and len(vals) == 20
 
 
 def test_results_do_not_depend_on_partitioning(spark):
