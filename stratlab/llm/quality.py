@@ -20,7 +20,7 @@ from stratlab.llm.common import Scratch
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 24_000_000
 #: A document is kept up to this quantile of the trusted documents' perplexities in its language, and a margin.
 QUANTILE = 0.999
 MARGIN = 1.30
@@ -148,7 +148,7 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
     perplexity and is not kept. Null text: as empty. Null lang: a language of its own. Null doc_id: scored, never trusted. Repeated rows: one
     row each. Without trusted text everything with words is kept. Other columns are not read.
 
-    The texts are shuffled twice (to count, to score), by a hash of id and length; a block holds about 12 MB of text.
+    The texts are shuffled twice (to count, to score), by a hash of id and length; a block holds about 24 MB of text.
     What a block gathers is its distinct n-grams, so the gathered tables grow with the input.
     """
     spark = docs.sparkSession
@@ -162,16 +162,17 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
     rows = with_block(rows, key, blocks)
     ids = with_block(trusted.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct(), [F.col("doc_id")], blocks)
     old = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # the shuffled texts of the first pass go before the second
+    spark.conf.set(CLEANUP, "true")  # what a written table was shuffled from goes before the next
     try:
         asked = scratch.write(gather(rows, ids), "asked")
+        counts = scratch.write(asked.where("n > 0").groupBy("gram").agg(F.sum("n").alias("c")), "counts")
+        model = probabilities(asked.select("gram").distinct(), counts, scratch)
+        answered = scratch.write(asked.select("block", "gram").join(model, "gram").select(
+            "block", "gram", F.log("p").cast("float").alias("log_p")), "answers")
+        scratch.drop(asked)
     finally:
         spark.conf.set(CLEANUP, old)
-    counts = scratch.write(asked.where("n > 0").groupBy("gram").agg(F.sum("n").alias("c")), "counts")
-    model = probabilities(asked.select("gram").distinct(), counts, scratch)
-    answers = asked.select("block", "gram").join(model, "gram").select(
-        "block", "gram", F.log("p").cast("float").alias("log_p"), F.lit(None).cast("bigint").alias("doc_id"))
-    answers = answers.unionByName(ids.select(F.col("_block").alias("block"), F.lit(None).cast("string").alias("gram"),
+    answers = answered.withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(ids.select(F.col("_block").alias("block"), F.lit(None).cast("string").alias("gram"),
                                              F.lit(None).cast("float").alias("log_p"), "doc_id"))
     scored = score(rows, answers, carry).withColumn(
         "perplexity", F.when(F.col("n_symbols") > 0, F.exp(-F.col("log_prob") / F.col("n_symbols"))))
