@@ -9,16 +9,18 @@ largest value left of a merge point and the merge height. A cut into at
 most k clusters keeps the boundaries whose height exceeds the k-th largest.
 
 Rounds run on distinct values with weights (equal values merge at height
-0). A boundary merges when its key ``(distance, hash of the right value)``
-is strictly below both neighbouring keys; the hash makes ties break the
+0). A boundary merges when its key ``(distance, hash of the right value, right
+value)`` is strictly below both neighbouring keys; the hash makes ties break the
 same way everywhere and keeps rounds few on evenly spaced data.
 
-Distributed rounds: intervals live in value-range buckets, hash-partitioned
-by bucket and checkpointed each round, so the per-round windows need no
-shuffle; the two intervals on each side of a bucket border travel in a tiny
-broadcast halo table. A merge is emitted by its left interval, the right one
-drops out, so no row moves. Once at most ``local_max`` intervals remain, the
-rest of the rounds run in one executor task on that bounded table.
+Intervals live in value-range buckets, whose number follows the number of
+intervals left. In a round every bucket merges all that it can in one pass
+over its intervals: a merge needs a smaller key than both neighbours, and the
+distance to the interval beyond a border at the start of the round is a lower
+bound, as an interval that grows moves away from its neighbours (complete,
+average and ward linkage on a line). Only pairs that depend on a border wait;
+borders move by half a bucket each round. What lies beyond a border comes by a
+join with the table of bucket edges. Each round is one written table.
 
 Single linkage needs no rounds: its boundary heights are the gaps between
 consecutive distinct values.
@@ -26,28 +28,27 @@ consecutive distinct values.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import functools
+import math
+from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .ordered import bucket_count, range_buckets, running_sum, with_neighbours
-from ..functions.frames import double_matrix, literal_frame
+from .ordered import range_buckets, running_sum, with_neighbours
+from ..functions.frames import literal_frame
 
 # Linkage order (first wins on equal scores) and the k sweep.
 LINKAGES = ["single", "complete", "average", "ward"]
 CLUSTER_COUNTS = list(range(2, 11))
 
 SCORE_PLACES = 9   # scores equal to so many places are ties: float sums differ in the last ones between runs
-DEFAULT_LOCAL_MAX = 200_000
-DEFAULT_BUCKETS = None   # distributed rounds: bucket count from the interval count (see ordered)
-MAX_ROUNDS = 10_000
+INTERVALS_PER_BUCKET = 200_000
+LEAST_PER_BUCKET = 64   # below that, buckets are joined rather than kept for parallelism
 
-_IV = "lo double, hi double, n double, s double, hl long"
-_MERGES = "boundary double, height double"
+_ROUND = "_kind int, lo double, hi double, n double, s double, hl string"
 
 
 # ------------------------------------------------------------------ inputs
@@ -59,173 +60,108 @@ def distinct_weighted(df: DataFrame, col: str) -> DataFrame:
     d = (df.select(x.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
          .groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("n")))
     return d.select(F.col("v").alias("lo"), F.col("v").alias("hi"), "n",
-                    (F.col("v") * F.col("n")).alias("s"), F.xxhash64("v").alias("hl"))
+                    (F.col("v") * F.col("n")).alias("s"),
+                    F.md5(F.round(F.col("v") * 10_000).cast("bigint").cast("string")).alias("hl"))
 
 
-# ------------------------------------------------------------------ distances
+# ------------------------------------------------------------------ rounds
 
 
-def _dist_col(a: Column, b: Column, linkage: str) -> Column:
-    """Distance between adjacent intervals a (left) and b (right); NULL if one is missing."""
+def pair_distance(a: tuple, b: tuple, linkage: str) -> float:
+    """Distance between adjacent intervals (lo, hi, n, s, ...), a left of b."""
     if linkage == "single":
-        return b["lo"] - a["hi"]
+        return b[0] - a[1]
     if linkage == "complete":
-        return b["hi"] - a["lo"]
-    ma, mb = a["s"] / a["n"], b["s"] / b["n"]
+        return b[1] - a[0]
+    between = b[3] / b[2] - a[3] / a[2]
     if linkage == "average":
-        return mb - ma
+        return between
     if linkage == "ward":
-        return F.sqrt(F.lit(2.0) * a["n"] * b["n"] / (a["n"] + b["n"])) * (mb - ma)
+        return math.sqrt(2.0 * a[2] * b[2] / (a[2] + b[2])) * between
     raise ValueError(f"unknown linkage {linkage!r}")
 
 
-def _dist_np(lo, hi, n, s, linkage: str) -> np.ndarray:
-    if linkage == "single":
-        return lo[1:] - hi[:-1]
-    if linkage == "complete":
-        return hi[1:] - lo[:-1]
-    m = s / n
-    if linkage == "average":
-        return m[1:] - m[:-1]
-    if linkage == "ward":
-        na, nb = n[:-1], n[1:]
-        return np.sqrt(2.0 * na * nb / (na + nb)) * (m[1:] - m[:-1])
-    raise ValueError(f"unknown linkage {linkage!r}")
-
+def merge_bucket(intervals: list[tuple], before: tuple | None, after: tuple | None, linkage: str
+                 ) -> tuple[list[tuple], list[tuple[float, float]]]:
+    """(intervals left, merges as (boundary, height)) of one bucket.
 
-# ------------------------------------------------------------------ local rounds
-
-
-def merge_rounds_local(iv: pd.DataFrame, linkage: str) -> pd.DataFrame:
-    """All remaining rounds on a bounded interval table; returns (boundary, height)."""
-    iv = iv.sort_values("lo", kind="mergesort").reset_index(drop=True)
-    lo, hi = iv["lo"].to_numpy(float), iv["hi"].to_numpy(float)
-    n, s = iv["n"].to_numpy(float), iv["s"].to_numpy(float)
-    hl = iv["hl"].to_numpy(np.int64)
-    out_b, out_h = [], []
-    while len(lo) > 1:
-        d = _dist_np(lo, hi, n, s, linkage)
-        t = hl[1:]
-        m = len(d)
-        # strict local minimum of (d, t) among neighbouring boundaries
-        left_ok = np.ones(m, bool)
-        right_ok = np.ones(m, bool)
-        left_ok[1:] = (d[1:] < d[:-1]) | ((d[1:] == d[:-1]) & (t[1:] < t[:-1]))
-        right_ok[:-1] = (d[:-1] < d[1:]) | ((d[:-1] == d[1:]) & (t[:-1] < t[1:]))
-        sel = np.flatnonzero(left_ok & right_ok)
-        out_b.append(hi[sel])
-        out_h.append(d[sel])
-        keep = np.ones(len(lo), bool)
-        keep[sel + 1] = False
-        hi[sel] = hi[sel + 1]
-        n[sel] = n[sel] + n[sel + 1]
-        s[sel] = s[sel] + s[sel + 1]
-        lo, hi, n, s, hl = lo[keep], hi[keep], n[keep], s[keep], hl[keep]
-    if not out_b:
-        return pd.DataFrame({"boundary": pd.Series([], dtype=float), "height": pd.Series([], dtype=float)})
-    return pd.DataFrame({"boundary": np.concatenate(out_b), "height": np.concatenate(out_h)})
-
-
-def _local_phase(iv: DataFrame, linkage: str) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches]
-        if not parts:
-            return
-        yield merge_rounds_local(pd.concat(parts, ignore_index=True), linkage)
-    return iv.select("lo", "hi", "n", "s", "hl").coalesce(1).mapInPandas(run, _MERGES)
-
-
-# ------------------------------------------------------------------ distributed rounds
-
-
-def _halo(iv: DataFrame) -> DataFrame:
-    """Per bucket: the two intervals before its first and after its last one."""
-    w = Window.partitionBy("_b").orderBy("lo")
-    wd = Window.partitionBy("_b").orderBy(F.col("lo").desc())
-    edge = (iv.withColumn("_r", F.row_number().over(w)).withColumn("_rd", F.row_number().over(wd))
-            .filter((F.col("_r") <= 2) | (F.col("_rd") <= 2))
-            .select("_b", "lo", "hi", "n", "s", "hl").collect())   # at most 4 rows per bucket
-    edge.sort(key=lambda r: r["lo"])
-    first_i: dict[int, int] = {}
-    last_i: dict[int, int] = {}
-    for i, r in enumerate(edge):
-        first_i.setdefault(r["_b"], i)
-        last_i[r["_b"]] = i
-    def iv_t(i):
-        if 0 <= i < len(edge):
-            r = edge[i]
-            return (r["lo"], r["hi"], r["n"], r["s"], r["hl"])
-        return None
-    rows = [(b, iv_t(first_i[b] - 1), iv_t(first_i[b] - 2), iv_t(last_i[b] + 1), iv_t(last_i[b] + 2))
-            for b in first_i]
-    st = f"struct<{_IV.replace(' double', ':double').replace(' long', ':bigint')}>"
-    return literal_frame(iv.sparkSession, rows, f"_b int, _p1 {st}, _p2 {st}, _n1 {st}, _n2 {st}")
-
-
-def _round(iv: DataFrame, linkage: str) -> tuple[DataFrame, DataFrame]:
-    halo = _halo(iv)
-    w = Window.partitionBy("_b").orderBy("lo")
+    ``intervals``: (lo, hi, n, s, hl) in order; ``before`` and ``after`` are the intervals beyond
+    the borders. A pair merges while its key is below both neighbouring keys. A merge changes the keys
+    beside it only, so each one has at most four pairs looked at again.
+    """
+    def key(a, b):
+        return None if a is None or b is None else (pair_distance(a, b, linkage), b[4], b[0])
+
+    m = len(intervals)
+    at = [before, *intervals, after]                 # place 0 and m + 1: beyond the borders
+    left, right = list(range(-1, m + 1)), list(range(1, m + 3))
+    keys = [key(at[i], at[i + 1]) for i in range(m + 1)]   # of the interval at i and the one right of it
+    merges, look = [], list(range(m - 1, 0, -1))
+    while look:
+        i = look.pop()
+        own = keys[i] if 0 < i < m and at[i] is not None and right[i] <= m else None
+        if own is None:
+            continue
+        j = right[i]
+        k_left, k_right = keys[left[i]], keys[j]
+        if (k_left is not None and k_left < own) or (k_right is not None and k_right < own):
+            continue
+        a, b = at[i], at[j]
+        merges.append((a[1], own[0]))
+        at[i], at[j] = (a[0], b[1], a[2] + b[2], a[3] + b[3], a[4]), None
+        right[i] = right[j]
+        if right[j] <= m + 1:
+            left[right[j]] = i
+        keys[j] = None
+        keys[left[i]] = key(at[left[i]], at[i])
+        keys[i] = key(at[i], at[right[i]])
+        look += [right[i], i, left[i], left[left[i]] if left[i] > 0 else 0]
+    return [x for x in at[1:m + 1] if x is not None], merges
+
+
+def _round(iv: DataFrame, linkage: str, buckets: int, shift: float) -> DataFrame:
+    """One round as rows of kind 0 (intervals left) and 1 (merges: boundary in lo, height in hi)."""
+    b = range_buckets(iv, "lo", buckets, out="_b", shift=shift)
     me = F.struct("lo", "hi", "n", "s", "hl")
-    t = (iv.join(F.broadcast(halo), "_b", "left")
-         .withColumn("_me", me)
-         .withColumn("_l1", F.lag(me, 1).over(w)).withColumn("_l2", F.lag(me, 2).over(w))
-         .withColumn("_r1", F.lead(me, 1).over(w)).withColumn("_r2", F.lead(me, 2).over(w)))
-    p1 = F.coalesce(F.col("_l1"), F.col("_p1"))
-    p2 = F.when(F.col("_l2").isNotNull(), F.col("_l2")).when(F.col("_l1").isNotNull(), F.col("_p1")).otherwise(F.col("_p2"))
-    n1 = F.coalesce(F.col("_r1"), F.col("_n1"))
-    n2 = F.when(F.col("_r2").isNotNull(), F.col("_r2")).when(F.col("_r1").isNotNull(), F.col("_n1")).otherwise(F.col("_n2"))
-    t = t.select("_b", "_me", p1.alias("P1"), p2.alias("P2"), n1.alias("N1"), n2.alias("N2"))
-    inf = F.lit(float("inf"))
-
-    def key(a: str, b: str) -> Column:
-        d = F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), _dist_col(F.col(a), F.col(b), linkage))
-        return F.struct(F.coalesce(d, inf).alias("d"), F.coalesce(F.col(b)["hl"], F.lit(0)).alias("t"))
-
-    t = t.select("*", key("P2", "P1").alias("kLL"), key("P1", "_me").alias("kL"),
-                 key("_me", "N1").alias("kR"), key("N1", "N2").alias("kRR"))
-    t = t.select("_b", "_me", "N1", "kR",
-                 ((F.col("kL") < F.col("kLL")) & (F.col("kL") < F.col("kR"))
-                  & (F.col("kL.d") < inf)).alias("sel_l"),
-                 ((F.col("kR") < F.col("kL")) & (F.col("kR") < F.col("kRR"))
-                  & (F.col("kR.d") < inf)).alias("sel_r"))
-    merges = t.filter("sel_r").select(F.col("_me.hi").alias("boundary"), F.col("kR.d").alias("height"))
-    nxt = (t.filter(~F.col("sel_l"))
-           .select("_b", F.col("_me.lo").alias("lo"),
-                   F.when(F.col("sel_r"), F.col("N1.hi")).otherwise(F.col("_me.hi")).alias("hi"),
-                   F.when(F.col("sel_r"), F.col("_me.n") + F.col("N1.n")).otherwise(F.col("_me.n")).alias("n"),
-                   F.when(F.col("sel_r"), F.col("_me.s") + F.col("N1.s")).otherwise(F.col("_me.s")).alias("s"),
-                   F.col("_me.hl").alias("hl")))
-    return nxt, merges
-
-
-def linkage_boundaries(d: DataFrame, linkage: str, local_max: int = DEFAULT_LOCAL_MAX,
-                       buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    edges = b.groupBy("_b").agg(F.min_by(me, "lo").alias("first"), F.max_by(me, "lo").alias("last"))
+    order = Window.orderBy("_b")   # one row per bucket
+    edges = edges.select("_b", F.lag("last").over(order).alias("before"), F.lead("first").over(order).alias("after"))
+
+    def run(key, rows: pd.DataFrame, border: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("lo", kind="mergesort")
+        beyond = [None if x is None else (x["lo"], x["hi"], x["n"], x["s"], x["hl"]) for x in
+                  ((border["before"].iloc[0], border["after"].iloc[0]) if len(border) else (None, None))]
+        left, merges = merge_bucket(list(zip(rows["lo"], rows["hi"], rows["n"], rows["s"], rows["hl"])), *beyond, linkage)
+        out = [(0, *x) for x in left] + [(1, at, height, None, None, None) for at, height in merges]
+        return pd.DataFrame(out, columns=["_kind", "lo", "hi", "n", "s", "hl"])
+
+    return b.select("_b", "lo", "hi", "n", "s", "hl").groupBy("_b").cogroup(edges.groupBy("_b")).applyInPandas(run, _ROUND)
+
+
+def linkage_boundaries(d: DataFrame, linkage: str, least_per_bucket: int = LEAST_PER_BUCKET,
+                       per_bucket: int = INTERVALS_PER_BUCKET) -> DataFrame:
     """O-59: dendrogram of one linkage as (boundary, height), from ``distinct_weighted`` output."""
     if linkage == "single":
         nb = with_neighbours(d.select("lo"), "lo", prev="_prev")
         return nb.filter(F.col("_prev").isNotNull()).select(
             F.col("_prev").alias("boundary"), (F.col("lo") - F.col("_prev")).alias("height"))
     spark = d.sparkSession
-    m = d.count()
-    if m <= local_max:
-        return _local_phase(d, linkage)
     ensure_checkpoint_dir(spark)
-    buckets = buckets or bucket_count(d)
-    iv = range_buckets(d, "lo", buckets, out="_b")
-    iv = iv.repartition(max(1, min(buckets, spark.sparkContext.defaultParallelism * 4)), "_b").checkpoint()
-    merged = []
-    for _ in range(MAX_ROUNDS):
-        nxt, mg = _round(iv, linkage)
-        mg = mg.checkpoint()
-        merged.append(mg)
-        iv = nxt.checkpoint()
-        if iv.count() <= local_max or mg.isEmpty():
-            break
-    merged.append(_local_phase(iv, linkage).checkpoint())
-    out = merged[0]
-    for x in merged[1:]:
-        out = out.unionByName(x)
-    return out
+    iv, merged, k, still = d, [], 0, 0
+    left = d.count()
+    while left > 1:
+        buckets = max(-(-left // per_bucket), min(spark.sparkContext.defaultParallelism, left // least_per_bucket), 1)
+        done = _round(iv, linkage, buckets, 0.5 * (k % 2)).checkpoint()
+        merged.append(done.filter("_kind = 1").select(F.col("lo").alias("boundary"), F.col("hi").alias("height")))
+        iv = done.filter("_kind = 0").drop("_kind")
+        now = iv.count()
+        still = still + 1 if now == left else 0
+        if still > 1:   # the smallest key of all is inside a bucket in one of two rounds
+            raise RuntimeError(f"{linkage} linkage does not get on with {left} intervals")
+        left, k = now, k + 1
+    if not merged:
+        return d.select(F.col("lo").alias("boundary"), F.col("lo").alias("height")).limit(0)
+    return functools.reduce(DataFrame.unionByName, merged)
 
 
 # ------------------------------------------------------------------ cuts and labels
@@ -273,7 +209,7 @@ def silhouette_scores(d: DataFrame, settings: dict[tuple[str, int], list[float]]
     running sums (bucketed, see ``ordered``; checkpointed); a lookup of those
     sums at the cut values (clusters are intervals, so cluster sums are
     differences); one aggregate of the per-value silhouette terms with the
-    small cluster tables as literals. No row is replicated per labelling.
+    clusters as literals, one column per labelling. No row is replicated.
     """
     spark = d.sparkSession
     ensure_checkpoint_dir(spark)
@@ -286,49 +222,35 @@ def silhouette_scores(d: DataFrame, settings: dict[tuple[str, int], list[float]]
     at_cut = {r["x"]: (r["G_n"], r["G_s"]) for r in
               g.filter(F.col("x").isin(all_cuts)).select("x", "G_n", "G_s").collect()} if all_cuts else {}
     totals = base.agg(F.sum("n").alias("N"), F.sum("s").alias("S")).collect()[0]
-    # per labelling: cut values (padded with +inf) and cluster tables, as small
-    # literal 2-D arrays indexed by the labelling number
-    kmax = max(len(c) for c in settings.values()) + 1
-    inf = float("inf")
-    cut_t, cn_t, cs_t, bn_t, bs_t, mp_t, mx_t, meta = [], [], [], [], [], [], [], []
-    for key in keys:
+    # per labelling: its clusters as literals in one aggregate column each
+    x = F.col("x")
+    sums, meta = [], []
+    for i, key in enumerate(keys):
         cuts = sorted(settings[key])
-        k_lab = len(cuts) + 1
-        pn = [0.0] + [at_cut[c][0] for c in cuts] + [float(totals["N"])]
-        ps = [0.0] + [at_cut[c][1] for c in cuts] + [float(totals["S"])]
-        cn = [pn[j + 1] - pn[j] for j in range(k_lab)]
-        cs = [ps[j + 1] - ps[j] for j in range(k_lab)]
-        means = [cs[j] / cn[j] if cn[j] else None for j in range(k_lab)]
-        pad = [None] * (kmax - k_lab)
-        cut_t.append(cuts + [inf] * (kmax - 1 - len(cuts)))
-        cn_t.append(cn + pad)
-        cs_t.append(cs + pad)
-        bn_t.append(pn[:-1] + pad)
-        bs_t.append(ps[:-1] + pad)
-        mp_t.append([None] + means[:-1] + pad)
-        mx_t.append(means[1:] + [None] + pad)
+        pn = [0.0] + [at_cut[c][0] for c in cuts] + [float(totals["N"] or 0)]
+        ps = [0.0] + [at_cut[c][1] for c in cuts] + [float(totals["S"] or 0)]
+        cn = [b - a for a, b in zip(pn, pn[1:])]
+        cs = [b - a for a, b in zip(ps, ps[1:])]
+        means = [s_ / n_ if n_ else None for n_, s_ in zip(cn, cs)]
+
+        def pick(values):
+            """The value of the cluster that x is in."""
+            out = F.lit(values[-1]).cast("double")
+            for cut, v in reversed(list(zip(cuts, values))):
+                out = F.when(x <= F.lit(float(cut)), F.lit(v).cast("double")).otherwise(out)
+            return out
+
+        c_n, c_s = pick(cn), pick(cs)
+        cnt_le, sum_le = F.col("G_n") - pick(pn[:-1]), F.col("G_s") - pick(ps[:-1])
+        within = x * cnt_le - sum_le + (c_s - sum_le) - x * (c_n - cnt_le)
+        a = F.when(c_n > 1, within / (c_n - 1))
+        b = F.least(F.abs(x - pick([None, *means[:-1]])), F.abs(x - pick([*means[1:], None])))
+        sil = F.when(c_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+        sums.append(F.sum(sil * F.col("n")).alias(f"_s{i}"))
         meta.append((key[0], int(key[1]), sum(1 for v in cn if v > 0)))
-
-    tables = {name: double_matrix(rows) for name, rows in
-              [("cut", cut_t), ("cn", cn_t), ("cs", cs_t), ("bn", bn_t), ("bs", bs_t), ("mp", mp_t), ("mx", mx_t)]}
-    si = F.col("_si")
-    x = F.col("x")
-    row_cuts = F.element_at(tables["cut"], si + 1)
-    lab = F.lit(1)
-    for j in range(kmax - 1):
-        lab = lab + F.when(x > F.element_at(row_cuts, j + 1), 1).otherwise(0)
-    pts = (g.select("x", "n", "G_n", "G_s", F.explode(F.sequence(F.lit(0), F.lit(len(keys) - 1))).alias("_si"))
-           .withColumn("_lab", lab))
-    at = lambda name: F.element_at(F.element_at(tables[name], si + 1), F.col("_lab"))
-    c_n, c_s, b_n, b_s = at("cn"), at("cs"), at("bn"), at("bs")
-    cnt_le, sum_le = F.col("G_n") - b_n, F.col("G_s") - b_s
-    within = x * cnt_le - sum_le + (c_s - sum_le) - x * (c_n - cnt_le)
-    a = F.when(c_n > 1, within / (c_n - 1))
-    b = F.least(F.abs(x - at("mp")), F.abs(x - at("mx")))
-    sil = F.when(c_n <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    sums = {r["_si"]: r["sw"] for r in pts.groupBy("_si").agg(F.sum(sil * F.col("n")).alias("sw")).collect()}
-    n_tot = float(totals["N"])
-    rows = [(l, k, float(sums[i]) / n_tot, c) for i, (l, k, c) in enumerate(meta)]
+    got = g.agg(*sums).first()
+    n_tot = float(totals["N"] or 0)
+    rows = [(l, k, float(got[i]) / n_tot, c) for i, (l, k, c) in enumerate(meta)] if totals["N"] else []
     return literal_frame(spark, rows, "linkage string, k int, silhouette double, clusters int")
 
 
@@ -350,7 +272,7 @@ def best_per_linkage(scores: DataFrame) -> DataFrame:
 
 
 def cluster_study(df: DataFrame, col: str, linkages: Sequence[str] = LINKAGES,
-                  ks: Sequence[int] = CLUSTER_COUNTS, local_max: int = DEFAULT_LOCAL_MAX):
+                  ks: Sequence[int] = CLUSTER_COUNTS):
     """O-59..O-64: dendrograms, k sweep, silhouettes, best labelling.
 
     Returns (scores DataFrame, best (linkage, k, cuts)). The distinct-value
@@ -360,12 +282,14 @@ def cluster_study(df: DataFrame, col: str, linkages: Sequence[str] = LINKAGES,
     d = distinct_weighted(df, col).checkpoint()
     settings, tops = {}, {}
     for l in linkages:
-        b = linkage_boundaries(d, l, local_max=local_max)
+        b = linkage_boundaries(d, l)
         tops[l] = top_boundaries(b, max(ks))
         for k in ks:
             settings[(l, k)] = cuts_for(tops[l], k)
     scores = silhouette_scores(d, settings).checkpoint()
-    best = best_setting(scores).collect()[0]
+    best = best_setting(scores).first()
+    if best is None:   # no values
+        return scores, (linkages[0], min(ks), []), settings
     return scores, (best["linkage"], best["k"], settings[(best["linkage"], best["k"])]), settings
 
 

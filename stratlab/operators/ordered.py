@@ -3,9 +3,9 @@
 A window without ``PARTITION BY`` runs in a single task. Instead, rows are
 cut into value-range buckets (approximate quantile split points fed to the
 ML ``Bucketizer``, a JVM binary search; the bucket count follows the row
-count), the window runs per bucket, and a small per-bucket table (at most
-``MAX_BUCKETS`` rows) carries the offsets and the neighbouring values across
-bucket borders via a broadcast join.
+count), the window runs per bucket, and a per-bucket table (one row per half a
+million input rows) carries the offsets and the neighbouring values across
+bucket borders by a join.
 """
 
 from __future__ import annotations
@@ -16,28 +16,27 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = None          # None: sized from the row count
 ROWS_PER_BUCKET = 500_000
-MIN_BUCKETS, MAX_BUCKETS = 64, 65_536
+MIN_BUCKETS = 64
 
 
 def bucket_count(df: DataFrame) -> int:
-    """About ROWS_PER_BUCKET rows per bucket, within [MIN_BUCKETS, MAX_BUCKETS]."""
-    n = df.count()
-    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n // ROWS_PER_BUCKET))))
+    """About ROWS_PER_BUCKET rows per bucket, at least MIN_BUCKETS buckets."""
+    return max(MIN_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
 
 
 def range_buckets(df: DataFrame, order_col: str, buckets: int | None = DEFAULT_BUCKETS,
-                  out: str = "_bucket", accuracy: int = 100_000) -> DataFrame:
+                  out: str = "_bucket", accuracy: int = 100_000, shift: float = 0.0) -> DataFrame:
     """Add an int bucket id, increasing with ``order_col`` (NULLs excluded upstream).
 
     Split points are approximate quantiles (one sketch job); the window work per
     bucket is then about n / buckets rows. The per-bucket tables built from the
-    result hold at most ``buckets`` rows (bounded by MAX_BUCKETS).
+    result hold at most ``buckets`` rows. ``shift`` moves the borders left by that share of a bucket.
     """
     if buckets is None:
         buckets = bucket_count(df)
     accuracy = max(accuracy, 10 * buckets)
-    qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy).alias("p")).collect()[0]
+    qs = [(i - shift) / buckets for i in range(1, buckets + (shift > 0))]
+    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy).alias("p")).collect()[0] if qs else {"p": None}
     cuts = sorted(set(float(v) for v in (row["p"] or [])))
     if not cuts:   # no rows, or a single value
         return df.withColumn(out, F.lit(0))
@@ -63,7 +62,7 @@ def running_sum(df: DataFrame, order_col: str, weight_col: str | list[str], out:
     prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bucket", *[F.sum(f"_tot{i}").over(prev).alias(f"_off{i}") for i in range(len(weights))])
     w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    res = b.join(F.broadcast(offsets), "_bucket")
+    res = b.join(offsets, "_bucket")
     res = res.withColumns({o: F.coalesce(F.col(f"_off{i}"), F.lit(0)) + F.sum(wc).over(w)
                            for i, (wc, o) in enumerate(zip(weights, outs))})
     return res.drop("_bucket", *[f"_off{i}" for i in range(len(weights))])
@@ -78,7 +77,7 @@ def with_neighbours(df: DataFrame, order_col: str, buckets: int | None = DEFAULT
     edges = edges.select("_bucket", F.lag("_hi").over(ew).alias("_prev_hi"),
                          F.lead("_lo").over(ew).alias("_next_lo"))
     w = Window.partitionBy("_bucket").orderBy(order_col)
-    return (b.join(F.broadcast(edges), "_bucket")
+    return (b.join(edges, "_bucket")
             .withColumn(prev, F.coalesce(F.lag(order_col).over(w), F.col("_prev_hi")))
             .withColumn(nxt, F.coalesce(F.lead(order_col).over(w), F.col("_next_lo")))
             .drop("_bucket", "_prev_hi", "_next_lo"))

@@ -408,3 +408,73 @@ _sil = ORACLE["silhouette_single"].replace(
 ORACLE["best_k_single"] = f"""
 SELECT linkage, k, {r('silhouette', 6)} AS silhouette FROM ({_sil}) t
 ORDER BY silhouette DESC, k LIMIT 1"""
+
+
+# ------------------------------------------------------------ complete, average and ward linkage
+# the merge rounds as a recursive CTE: kind 0 are the intervals of a round, kind 1 its merges
+_linkages = f"""
+d AS (SELECT value AS x, CAST(count(*) AS DOUBLE) AS n, value * CAST(count(*) AS DOUBLE) AS s
+      FROM events WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY value),
+rounds AS (
+  SELECT l.linkage, 0 AS kind, x AS lo, x AS hi, n, s,
+         md5(CAST(CAST(round(x * 10000) AS BIGINT) AS VARCHAR)) AS hl, CAST(NULL AS DOUBLE) AS height
+  FROM d CROSS JOIN (VALUES ('complete'), ('average'), ('ward')) l(linkage)
+  UNION ALL
+  SELECT linkage, kind, lo,
+         CASE WHEN kind = 0 AND sel THEN nhi ELSE hi END, CASE WHEN kind = 0 AND sel THEN n + nn ELSE n END,
+         CASE WHEN kind = 0 AND sel THEN s + ns ELSE s END, hl, CASE WHEN kind = 1 THEN dist END
+  FROM (SELECT *, coalesce(lag(sel) OVER (PARTITION BY linkage ORDER BY lo), false) AS gone
+        FROM (SELECT *, dist IS NOT NULL
+                     AND coalesce((dist, nhl, nlo) < (pdist, hl, lo), true)
+                     AND coalesce((dist, nhl, nlo) < (ndist, nnhl, nnlo), true) AS sel
+              FROM (SELECT *, lag(dist) OVER w AS pdist, lead(dist) OVER w AS ndist, lead(nhl) OVER w AS nnhl,
+                           lead(nlo) OVER w AS nnlo
+                    FROM (SELECT *, CASE WHEN nlo IS NULL THEN NULL
+                                         WHEN linkage = 'complete' THEN nhi - lo
+                                         WHEN linkage = 'average' THEN ns / nn - s / n
+                                         ELSE sqrt(2.0::DOUBLE * n * nn / (n + nn)) * (ns / nn - s / n) END AS dist
+                          FROM (SELECT linkage, lo, hi, n, s, hl, lead(lo) OVER v AS nlo, lead(hi) OVER v AS nhi,
+                                       lead(n) OVER v AS nn, lead(s) OVER v AS ns, lead(hl) OVER v AS nhl
+                                FROM rounds WHERE kind = 0 WINDOW v AS (PARTITION BY linkage ORDER BY lo)) a
+                         ) b WINDOW w AS (PARTITION BY linkage ORDER BY lo)) c) e) f
+       CROSS JOIN (VALUES (0), (1)) k(kind)
+  WHERE ((kind = 1 AND sel) OR (kind = 0 AND NOT gone
+        AND (nlo IS NOT NULL OR pdist IS NOT NULL)))),
+bounds AS (SELECT linkage, hi AS boundary, height FROM rounds WHERE kind = 1)"""
+ORACLE["dendrogram_linkages"] = f"""WITH RECURSIVE {_linkages}
+SELECT linkage, boundary, {r('height', 6)} AS height FROM bounds"""
+_sweep = f"""{_linkages},
+every AS (SELECT * FROM bounds UNION ALL
+          SELECT 'single' AS linkage, b, h FROM (SELECT lag(x) OVER (ORDER BY x) AS b, x - lag(x) OVER (ORDER BY x) AS h FROM d) g
+          WHERE b IS NOT NULL),
+top AS (SELECT linkage, boundary, height, row_number() OVER (PARTITION BY linkage ORDER BY height DESC, boundary) AS rk FROM every),
+ks AS (SELECT l.linkage, l.lrank, CAST(range AS INTEGER) AS k
+       FROM range(2, 11) CROSS JOIN (VALUES ('single', 1), ('complete', 2), ('average', 3), ('ward', 4)) l(linkage, lrank)),
+thr AS (SELECT ks.*, t.height AS h FROM ks LEFT JOIN top t ON t.linkage = ks.linkage AND t.rk = ks.k),
+cuts AS (SELECT thr.linkage, thr.k, top.boundary FROM thr JOIN top ON top.linkage = thr.linkage AND top.rk <= 10
+         AND (thr.h IS NULL OR top.height > thr.h)),
+lab AS (SELECT ks.linkage, ks.lrank, ks.k, d.x, d.n, d.s,
+               CAST(1 + (SELECT count(*) FROM cuts c WHERE c.linkage = ks.linkage AND c.k = ks.k AND c.boundary < d.x) AS INTEGER) AS label
+        FROM d CROSS JOIN ks),
+cl AS (SELECT linkage, k, label, sum(n) AS C_n, sum(s) AS C_s FROM lab GROUP BY ALL),
+cl2 AS (SELECT *, lag(C_s) OVER q / lag(C_n) OVER q AS m_prev, lead(C_s) OVER q / lead(C_n) OVER q AS m_next
+        FROM cl WINDOW q AS (PARTITION BY linkage, k ORDER BY label)),
+pt AS (SELECT lab.*, cl2.C_n, cl2.C_s, cl2.m_prev, cl2.m_next,
+              sum(lab.n) OVER (PARTITION BY lab.linkage, lab.k, lab.label ORDER BY lab.x) AS cnt_le,
+              sum(lab.s) OVER (PARTITION BY lab.linkage, lab.k, lab.label ORDER BY lab.x) AS sum_le
+       FROM lab JOIN cl2 USING (linkage, k, label)),
+ab AS (SELECT linkage, lrank, k, label, n,
+              CASE WHEN C_n > 1 THEN (x * cnt_le - sum_le + (C_s - sum_le) - x * (C_n - cnt_le)) / (C_n - 1) END AS a,
+              least(abs(x - m_prev), abs(x - m_next)) AS b, C_n FROM pt),
+sv AS (SELECT linkage, lrank, k, label, n, CASE WHEN C_n <= 1 THEN 0.0
+                                ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END AS sil FROM ab),
+sc AS (SELECT linkage, lrank, k, sum(sil * n) / sum(n) AS score, CAST(count(DISTINCT label) AS INTEGER) AS clusters
+       FROM sv GROUP BY linkage, lrank, k)"""
+ORACLE["silhouette_sweep"] = f"""WITH RECURSIVE {_sweep}
+SELECT linkage, k, {r('score', 6)} AS silhouette, clusters,
+       row_number() OVER (PARTITION BY linkage ORDER BY round(score, 9) DESC, k) = 1 AS is_best FROM sc"""
+ORACLE["best_clustering"] = f"""WITH RECURSIVE {_sweep},
+best AS (SELECT linkage, k FROM sc ORDER BY round(score, 9) DESC, lrank, k LIMIT 1)
+SELECT b.linkage, b.k, t.cluster, count(*) AS n FROM best b CROSS JOIN (
+  SELECT CAST(1 + (SELECT count(*) FROM cuts c JOIN best USING (linkage, k) WHERE c.boundary < e.value) AS INTEGER) AS cluster
+  FROM events e) t GROUP BY ALL"""

@@ -2,7 +2,6 @@
 import itertools
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,14 +53,13 @@ def naive_silhouette(x, labels):
 
 
 @pytest.mark.parametrize("linkage", ["complete", "average", "ward"])
-def test_local_rounds_match_brute_force(linkage):
+def test_one_bucket_matches_brute_force(linkage):
     rng = np.random.default_rng(7)
     for _ in range(4):
         x = np.round(rng.lognormal(1.0, 0.7, 30), 6)
         x = np.unique(x)
-        iv = pd.DataFrame({"lo": x, "hi": x, "n": 1.0, "s": x, "hl": rng.integers(-2**62, 2**62, len(x))})
-        got = L.merge_rounds_local(iv, linkage)
-        got = sorted((round(b, 9), round(h, 9)) for b, h in zip(got.boundary, got.height))
+        _, merges = L.merge_bucket([(v, v, 1.0, v, str(rng.integers(9))) for v in x.tolist()], None, None, linkage)
+        got = sorted((round(b, 9), round(h, 9)) for b, h in merges)
         assert got == naive_merges(list(x), linkage)
 
 
@@ -72,11 +70,11 @@ def _events_like(spark, n=60, seed=3):
 
 
 @pytest.mark.parametrize("linkage", ["complete", "average", "ward"])
-def test_distributed_rounds_equal_local(spark, linkage):
+def test_any_number_of_buckets_gives_the_same(spark, linkage):
     df, x = _events_like(spark)
     d = L.distinct_weighted(df, "v")
-    local = L.linkage_boundaries(d, linkage, local_max=10_000).toPandas()
-    dist = L.linkage_boundaries(d, linkage, local_max=5, buckets=4).toPandas()
+    local = L.linkage_boundaries(d, linkage).toPandas()
+    dist = L.linkage_boundaries(d, linkage, least_per_bucket=8, per_bucket=16).toPandas()
     key = lambda p: sorted((round(b, 9), round(h, 9)) for b, h in zip(p.boundary, p.height))
     assert key(dist) == key(local) == naive_merges(list(x), linkage)
 
@@ -122,3 +120,19 @@ def test_best_setting_first_wins(spark):
         "linkage string, k int, silhouette double, clusters int")
     b = L.best_setting(scores).collect()[0]
     assert (b["linkage"], b["k"]) == ("single", 2)
+
+
+def test_growing_gaps_need_few_rounds(spark, monkeypatch):
+    """2000 squares: each merge waits for the one left of it; rounds follow the buckets, not the values."""
+    rounds = []
+    one = L._round
+    monkeypatch.setattr(L, "_round", lambda iv, linkage, buckets, shift: rounds.append(buckets) or one(iv, linkage, buckets, shift))
+    d = L.distinct_weighted(spark.createDataFrame([(float(i * i),) for i in range(2000)], "x double"), "x")
+    out = L.linkage_boundaries(d, "complete")
+    assert out.count() == 1999
+    assert rounds[0] >= spark.sparkContext.defaultParallelism and len(rounds) <= 6 * rounds[0]
+
+
+def test_study_of_no_values(spark):
+    scores, best, _ = L.cluster_study(spark.createDataFrame([], "x double"), "x")
+    assert scores.count() == 0 and best[2] == []

@@ -2,7 +2,6 @@
 import math
 
 import numpy as np
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -41,14 +40,27 @@ def test_allocation_properties(sizes, f):
 @given(xs=st.lists(st.integers(0, 10_000), min_size=2, max_size=14, unique=True),
        linkage=st.sampled_from(["single", "complete", "average", "ward"]),
        seed=st.integers(0, 2**31))
-def test_local_rounds_equal_naive_on_tie_free_data(xs, linkage, seed):
+def test_one_bucket_equals_naive_on_tie_free_data(xs, linkage, seed):
     # irrational-ish spacing keeps distances tie-free
-    x = np.array(sorted(v + math.sqrt(v + 2) for v in xs))
+    x = [v + math.sqrt(v + 2) for v in sorted(xs)]
     rng = np.random.default_rng(seed)
-    iv = pd.DataFrame({"lo": x, "hi": x, "n": 1.0, "s": x, "hl": rng.integers(-2**62, 2**62, len(x))})
-    got = L.merge_rounds_local(iv, linkage)
-    got = sorted((round(b, 9), round(h, 9)) for b, h in zip(got.boundary, got.height))
-    assert got == naive_merges(list(x), linkage)
+    left, merges = L.merge_bucket([(v, v, 1.0, v, str(rng.integers(10))) for v in x], None, None, linkage)
+    assert len(left) == 1
+    assert sorted((round(b, 9), round(h, 9)) for b, h in merges) == naive_merges(x, linkage)
+
+
+@settings(max_examples=60, deadline=None)
+@given(xs=st.lists(st.integers(0, 300), min_size=4, max_size=40, unique=True),
+       linkage=st.sampled_from(["complete", "average", "ward"]), cut=st.integers(1, 39))
+def test_buckets_only_merge_what_the_whole_would(xs, linkage, cut):
+    iv = [(float(v), float(v), 1.0, float(v), str(v * 7919 % 97)) for v in sorted(xs)]
+    cut = min(cut, len(iv) - 1)
+    _, whole = L.merge_bucket(iv, None, None, linkage)
+    a, b = iv[:cut], iv[cut:]
+    left_a, ma = L.merge_bucket(a, None, b[0], linkage)
+    left_b, mb = L.merge_bucket(b, a[-1], None, linkage)
+    _, rest = L.merge_bucket(left_a + left_b, None, None, linkage)
+    assert sorted(ma + mb + rest) == sorted(whole)
 
 
 @settings(max_examples=300, deadline=None)
