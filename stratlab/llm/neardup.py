@@ -56,12 +56,34 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of every register, sixteen registers to a 64-bit number."""
+    bits = (mix(signatures) & np.uint64(15)).reshape(len(signatures), -1, 16)
+    return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def agreement(a: str, b: str, numbers: int) -> Column:
+    """How many registers of two sketches agree, by the bits of their numbers."""
+    out = F.lit(16 * numbers)
+    for i in range(numbers):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        out = out - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
+
+
+def least_agreement(similarity: float, registers_: int) -> float:
+    """Agreeing registers that a pair of this similarity has but once in some millions (five standard deviations)."""
+    return registers_ * similarity - 5 * (registers_ * similarity * (1 - similarity)) ** 0.5
+
+
 def text_key() -> Column:
     return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(key, doc_id, bands) per row; ``bands`` is empty for a text without words."""
+    """(key, doc_id, bands, sketch) per row; ``bands`` is empty for a text without words."""
     def run(batches):
         hashes = worker_cache("word_hashes", WordHashes)
         for batch in batches:
@@ -73,38 +95,40 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     sets.append(weighted(shingle_hashes(hashes.of(words_of(texts[at])))))
                     size += len(sets[-1][0])
                     at += 1
-                made = band_hashes(registers(sets, bands * rows), bands, rows)
+                signatures = registers(sets, bands * rows)
+                made, small = band_hashes(signatures, bands, rows), sketches(signatures)
                 filled = np.array([len(k) > 0 for k, _ in sets])
                 offsets = np.concatenate([[0], np.cumsum(filled * bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(made[filled].ravel()))
                 part = batch.slice(start, at - start)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["key", "doc_id", "bands"])
+                width = small.shape[1]
+                brief = pa.ListArray.from_arrays(pa.array(np.arange(len(small) + 1, dtype=np.int32) * width), pa.array(small.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists, brief], names=["key", "doc_id", "bands", "sketch"])
 
     rows_ = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows_.select(text_key().alias("key"), "doc_id", "text").mapInArrow(run, "key binary, doc_id bigint, bands array<bigint>")
+    return rows_.select(text_key().alias("key"), "doc_id", "text").mapInArrow(
+        run, "key binary, doc_id bigint, bands array<bigint>, sketch array<bigint>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts have at least this probability Jaccard similarity, exactly."""
-    left = texts.select(F.col("rid").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("rid").alias("b"), F.col("text").alias("tb"))
+    """(a, b), the components of those pairs (x, y, a, b) whose texts x, y have at least this probability Jaccard similarity, exactly."""
+    left = texts.select(F.col("rid").alias("x"), F.col("text").alias("tx"))
+    right = texts.select(F.col("rid").alias("y"), F.col("text").alias("ty"))
 
     def run(batches):
         hashes = worker_cache("word_hashes", WordHashes)
         last, center = None, None
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            y = batch.column(2).to_pylist()
             found = []
             for i in range(batch.num_rows):
-                if b[i] != last:
-                    last, center = b[i], weighted(shingle_hashes(hashes.of(words_of(batch.column(3)[i].as_py()))))
-                own = weighted(shingle_hashes(hashes.of(words_of(batch.column(2)[i].as_py()))))
-                if probability_jaccard(own, center) >= similarity:
-                    found.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in found], pa.int64()), pa.array([b[i] for i in found], pa.int64())],
-                                             names=["a", "b"])
+                if y[i] != last:
+                    last, center = y[i], weighted(shingle_hashes(hashes.of(words_of(batch.column(4)[i].as_py()))))
+                own = weighted(shingle_hashes(hashes.of(words_of(batch.column(3)[i].as_py()))))
+                found.append(probability_jaccard(own, center) >= similarity)
+            yield batch.select([0, 1]).filter(pa.array(found, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "x").join(right, "y").select("a", "b", "y", "tx", "ty").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -119,13 +143,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     Other columns are not read. An empty table gives no row.
 
     Equal texts become one node first. In a bucket of a band, centres are compared with the members
-    that are not yet in their component: at first one centre a bucket, then four times as many each round, until each bucket is
+    that are not yet in their component: at first one centre a bucket, then sixteen times as many each round, until each bucket is
     one component or all of its members have been centres. So a large group of near copies costs as many comparisons
-    as it has members, and no pair is skipped but those that are already connected.
+    as it has members. No pair is skipped but those already connected, and those whose sketches (four bits of each register)
+    agree five standard deviations less than 0.8 would have it: that test is a condition of the join, so such pairs make no rows.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
+    if bands * rows % 16:
+        raise ValueError("bands times rows must be a multiple of 16")
     signed = scratch.write(sign(docs, bands, rows), "signatures")
-    nodes = scratch.write(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"))
+    nodes = scratch.write(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
                           .withColumn("rid", F.monotonically_increasing_id()), "nodes")
     members = nodes.select(F.explode("bands").alias("band"), "rid")
     shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
@@ -134,31 +161,41 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(text_key().alias("key"), "text")
     texts = scratch.write(texts.join(wanted, "key").groupBy("rid").agg(F.any_value("text").alias("text")), "texts")
 
+    brief = nodes.select("rid", "sketch")
+    enough = agreement("m.sketch", "c.sketch", bands * rows // 16) >= least_agreement(similarity, bands * rows)
     labels = None
     centres = 1
     while not buckets.isEmpty():
         placed = buckets.withColumn("comp", F.col("rid")) if labels is None else \
             buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
         mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-        open_ = scratch.write(placed.join(mixed, "band"), "open")
+        open_ = scratch.write(placed.join(mixed, "band").join(brief, "rid"), "open")
         if centres == 1:
-            chosen = open_.groupBy("band").agg(F.min(F.struct("rid", "comp")).alias("c")).select("band", "c.rid", "c.comp")
+            first = open_.groupBy("band").agg(F.min("rid").alias("rid"))
+            chosen = open_.join(first, ["band", "rid"])
         else:
             rank = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("rid"), "rid"))
-            chosen = open_.withColumn("rank", rank).where(F.col("rank") <= centres).select("band", "rid", "comp")
-        chosen = scratch.write(chosen, "centres")
-        pairs = open_.alias("m").join(chosen.alias("c"), F.col("m.band") == F.col("c.band")).where("m.comp <> c.comp") \
-            .select(F.col("m.rid").alias("a"), F.col("c.rid").alias("b")).distinct()
-        links = scratch.write(verify(pairs, texts, similarity), "links")
+            chosen = open_.withColumn("rank", rank).where(F.col("rank") <= centres)
+        chosen = scratch.write(chosen.select("band", "rid", "comp", "sketch"), "centres")
+        pairs = open_.alias("m").join(chosen.alias("c"), (F.col("m.band") == F.col("c.band")) & (F.col("m.comp") != F.col("c.comp")) & enough) \
+            .select(F.col("m.rid").alias("x"), F.col("c.rid").alias("y"), F.col("m.comp").alias("a"), F.col("c.comp").alias("b")).distinct()
+        links = scratch.write(verify(pairs, texts, similarity).distinct(), "links")
         rest = scratch.write(open_.select("band", "rid").join(chosen.select("band", "rid"), ["band", "rid"], "left_anti"), "buckets")
         alone = rest.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
         new_buckets = scratch.write(rest.join(alone, "band"), "buckets")
-        joined = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("comp").alias("b")))
-        new_labels = scratch.write(components(joined, scratch), "labels")
-        for df in (buckets, open_, chosen, links, rest, labels):
+        new_labels = labels
+        if not links.isEmpty():
+            found = components(links, scratch)
+            if labels is not None:
+                moved = labels.alias("l").join(found.alias("f"), F.col("l.comp") == F.col("f.node"), "left") \
+                    .select("l.node", F.coalesce("f.comp", "l.comp").alias("comp"))
+                found = moved.union(found.join(labels.select("node"), "node", "left_anti").select("node", "comp"))
+            new_labels = scratch.write(found, "labels")
+            scratch.drop(labels)
+        for df in (buckets, open_, chosen, links, rest):
             scratch.drop(df)
         buckets, labels = new_buckets, new_labels
-        centres *= 4
+        centres *= 16
     scratch.drop(texts)
     classes = nodes.select("key", "rid", "first_id", "copies")
     classes = classes.withColumn("comp", F.col("rid")) if labels is None else \
