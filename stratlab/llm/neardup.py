@@ -117,18 +117,26 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches):
         hashes = worker_cache("word_hashes", WordHashes)
-        last, center = None, None
+        known: dict[int, tuple] = {}   # shingles of the texts of this task, up to a bound
+        held = 0
+
+        def bag(rid, texts_, i):
+            nonlocal held
+            if rid not in known:
+                if held > 2_000_000:
+                    known.clear()
+                    held = 0
+                known[rid] = weighted(shingle_hashes(hashes.of(words_of(texts_[i].as_py()))))
+                held += len(known[rid][0])
+            return known[rid]
+
         for batch in batches:
-            y = batch.column(2).to_pylist()
-            found = []
-            for i in range(batch.num_rows):
-                if y[i] != last:
-                    last, center = y[i], weighted(shingle_hashes(hashes.of(words_of(batch.column(4)[i].as_py()))))
-                own = weighted(shingle_hashes(hashes.of(words_of(batch.column(3)[i].as_py()))))
-                found.append(probability_jaccard(own, center) >= similarity)
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            found = [probability_jaccard(bag(x[i], batch.column(4), i), bag(y[i], batch.column(5), i)) >= similarity
+                     for i in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(found, pa.bool_()))
 
-    return pairs.join(left, "x").join(right, "y").select("a", "b", "y", "tx", "ty").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "x").join(right, "y").select("a", "b", "x", "y", "tx", "ty").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -63,6 +63,8 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     common, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
     if not len(common):
         return 0.0
+    if wa.max() == 1 and wb.max() == 1:
+        return len(common) / (len(ka) + len(kb) - len(common))
     x, y = wa[ia].astype(float), wb[ib].astype(float)
     only_a, only_b = float(wa.sum() - x.sum()), float(wb.sum() - y.sum())
     total = 0.0
