@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratlab.session import ensure_checkpoint_dir
 
@@ -24,6 +25,15 @@ def worker_cache(name: str, make: Callable[[], object]):
     return getattr(holder, name)
 
 
+def thin_by_hash(df: DataFrame, hash_column: str, rows: int, limit: int) -> DataFrame:
+    """Rows of ``df`` (about ``rows``) whose hash falls in a share that holds some three times ``limit`` of
+    them; a top-k by hash of the result then moves few rows however many partitions there are."""
+    if rows <= 4 * limit:
+        return df
+    span = 1 << 40
+    return df.where(F.pmod(F.col(hash_column), F.lit(span)) < int(span * 3 * limit / rows))
+
+
 class Scratch:
     """Written intermediate tables in the shared folder of ``spark.checkpoint.dir``.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratlab.llm.common import worker_cache
+from stratlab.llm.common import thin_by_hash, worker_cache
 
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 TOKEN = re.compile(
@@ -405,8 +405,10 @@ def extract_main_text(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES)
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    sample = rows.where((F.length("html") > 0) & (F.length("html") <= MAX_TRAIN_CHARS)) \
-        .select("html", F.xxhash64("page_id", "html").alias("h")).orderBy("h", "html").limit(max_train_pages).collect()
+    usable = rows.where((F.length("html") > 0) & (F.length("html") <= MAX_TRAIN_CHARS)) \
+        .select("html", F.xxhash64("page_id", "html").alias("h"))
+    sample = thin_by_hash(usable, "h", pages.count(), max_train_pages) \
+        .groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(max_train_pages).collect()
     xs, ys = training_pages([r["html"] for r in sample])
     model = spark.sparkContext.broadcast({k: v.astype(np.float32) for k, v in fit(xs, ys).items()}) if xs else None
     key = f"labeller:{uuid.uuid4().hex}"

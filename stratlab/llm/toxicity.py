@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratlab.llm.common import worker_cache
+from stratlab.llm.common import thin_by_hash, worker_cache
 
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 17
@@ -168,7 +168,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 5 <> 0") \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    picked = [usable.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class) for k in (0, 1)]
+    usable = usable.withColumn("h", F.xxhash64("doc_id"))
+    sizes = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}
+    picked = [thin_by_hash(usable.where(F.col("toxic") == k), "h", sizes.get(k, 0), max_per_class)
+              .orderBy("h", "doc_id").limit(max_per_class).select("doc_id", "toxic") for k in (0, 1)]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text") \
         .where(F.length("text") <= MAX_TRAIN_CHARS) \
         .join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id") \
