@@ -141,15 +141,27 @@ class IdEncoder:
             self.memo = UnitMemo(self.encode_units)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
-        out, tokenize, alphabet = [], self.model.tokenize, self.alphabet
+        out, spaced, longest = [], self.memo.spaced, self.memo.longest
         for unit in units:
-            ids = []
-            for w in self.split(unit):
-                mapped = w.translate(self.ascii) if w.isascii() else "".join([alphabet[b] for b in w.encode("utf-8")])
-                ids += [t.id for t in tokenize(mapped)]
-            out.append(array("I", ids).tobytes())
+            words = self.split(unit)
+            if len(words) == 1:
+                out.append(self.encode_word(unit))
+                continue
+            parts = []
+            for w in words:  # a word before a comma is mostly known by itself
+                got = spaced.get(w[1:]) if w[0] == " " else None
+                if got is None:
+                    got = self.encode_word(w)
+                    if w[0] == " " and len(w) <= longest:
+                        spaced[w[1:]] = got
+                parts.append(got)
+            out.append(b"".join(parts))
         return out
 
+    def encode_word(self, word: str) -> bytes:
+        mapped = word.translate(self.ascii) if word.isascii() else "".join([self.alphabet[b] for b in word.encode("utf-8")])
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
