@@ -1,10 +1,12 @@
 """End-to-end study on the smoke tables, and the driver contract."""
 import os
+import sys
 import tempfile
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from stratlab.plans.queries import REGISTRY
 from stratlab.plans import inputs as I
 from stratlab.plans import study
 
@@ -15,7 +17,12 @@ def test_entry_and_registry(spark):
     df = E.entry(spark)
     assert df.columns == ["statistic", "column", "value"] and df.count() == 48
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert not any(k.startswith("op") for k in E.queries())
+    assert set(REGISTRY) <= set(E.queries())
+
+
+def test_entry_without_the_training_data_operators(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(E.queries()) == set(REGISTRY) and set(E.oracle_sql()) <= set(REGISTRY)
 
 
 def test_study_end_to_end(spark):
