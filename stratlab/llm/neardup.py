@@ -74,8 +74,10 @@ def agreement(a: str, b: str, numbers: int) -> Column:
 
 
 def least_agreement(similarity: float, registers_: int) -> float:
-    """Agreeing registers that a pair of this similarity has but once in some millions (five standard deviations)."""
-    return registers_ * similarity - 5 * (registers_ * similarity * (1 - similarity)) ** 0.5
+    """Agreeing registers that a pair of this similarity has fewer of but once in some millions (five standard
+    deviations). Four bits of two different registers agree by chance once in sixteen."""
+    p = similarity + (1 - similarity) / 16
+    return registers_ * p - 5 * (registers_ * p * (1 - p)) ** 0.5
 
 
 def text_key() -> Column:
