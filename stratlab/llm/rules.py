@@ -19,13 +19,16 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 LEVEL = 3
 CHUNK_BYTES = 4096
-#: (from so many bytes on, lowest ratio, highest ratio) of a whole text. Ordinary prose in
-#: the four languages reaches from 0.6 (tiny, where the frame outweighs the gain) to 2.6.
-BANDS = ((0, 0.0, 2.6), (200, 1.05, 2.6), (500, 1.10, 2.6), (1_000, 1.20, 2.8), (2_000, 1.25, 3.0),
-         (5_000, 1.30, 3.2), (20_000, 1.30, 3.5))
-#: The same for a chunk of 4096 bytes; a text fails if more than half of its chunks do.
-CHUNK_BAND = (1.20, 3.0)
-MAX_BAD_CHUNKS = 0.5
+#: (bytes, lowest ratio), on straight lines over the logarithm of the bytes in between; under the first no lower limit, as
+#: there the frame and the code table outweigh the gain of prose and noise alike. Code for code, independent letters and digits
+#: (base64, keys, hashes) cannot shrink below log2(62) = 5.95 bits a byte, one letter case below log2(26) = 4.70: ratios up to 1.42
+#: and 1.73, also when cut into words. English prose (Python's help topics, licence texts) has 1.06 at least at 150 bytes, 1.34
+#: at 500, 1.56 at 1,000, 1.74 at 2,000, 1.96 at 4,096. Scripts of two or three bytes a letter were not measured.
+LOWEST = ((150, 1.04), (200, 1.10), (300, 1.19), (500, 1.32), (1_000, 1.50), (2_000, 1.68), (4_096, 1.75))
+#: (from so many bytes on, highest ratio).
+HIGHEST = ((0, 2.6), (1_000, 2.8), (2_000, 3.0), (5_000, 3.2), (20_000, 3.5))
+#: A text fails if chunks with more than this share of its bytes lie outside the band for their length.
+MAX_BAD_CHUNKS = 0.25
 
 
 def repeated_words(words: list[bytes], window: int = 8) -> int:
@@ -55,9 +58,14 @@ def repeated_words(words: list[bytes], window: int = 8) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+def lowest(size: int) -> float:
+    """The lowest ratio of a text of so many bytes."""
+    sizes, ratios = zip(*LOWEST)
+    return float(np.interp(np.log(size), np.log(sizes), ratios)) if size >= sizes[0] else 0.0
+
+
 def in_band(size: int, ratio: float) -> bool:
-    low, high = next((lo, hi) for start, lo, hi in reversed(BANDS) if size >= start)
-    return low <= ratio <= high
+    return lowest(size) <= ratio <= next(high for start, high in reversed(HIGHEST) if size >= start)
 
 
 def measure(text: str, compressor) -> tuple:
@@ -75,10 +83,13 @@ def measure(text: str, compressor) -> tuple:
     repeated = repeated_words(words)
     base_failed = n < 20 or 100 * repeated > 30 * n
     ratio = len(raw) / len(compressor.compress(raw)) if raw else 0.0
-    chunks = [raw[k:k + CHUNK_BYTES] for k in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)]
-    bad = sum(not CHUNK_BAND[0] <= len(c) / len(compressor.compress(c)) <= CHUNK_BAND[1] for c in chunks)
-    share = bad / len(chunks) if chunks else 0.0
-    kept = not base_failed and in_band(len(raw), ratio) and share <= MAX_BAD_CHUNKS
+    fits = in_band(len(raw), ratio)
+    if len(raw) > CHUNK_BYTES:
+        chunks = [raw[k:k + CHUNK_BYTES] for k in range(0, len(raw), CHUNK_BYTES)]
+        share = sum(len(c) for c in chunks if not in_band(len(c), len(c) / len(compressor.compress(c)))) / len(raw)
+    else:
+        share = float(not fits)
+    kept = not base_failed and fits and share <= MAX_BAD_CHUNKS
     return (n, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), dup_lines, repeated,
             base_failed, ratio, share, kept)
 
@@ -88,8 +99,9 @@ def compression_rules(docs: DataFrame) -> DataFrame:
 
     Words are runs of characters other than ASCII white space. ``base_failed``: under 20
     words, or over 30 % of the words in repeated windows of 8 words. ``kept``: not
-    base_failed, the whole text's ratio in the band for its length, and at most
-    half of its full 4096-byte chunks outside theirs. Null text: as empty (no
+    base_failed, the whole text's ratio in the band for its length, and at most a
+    quarter of its bytes in 4096-byte chunks (the last may be shorter) outside theirs; a text of one chunk has a
+    ``bad_chunk_share`` of 0 or 1. Null text: as empty (no
     words, base_failed). Null doc_id: kept null. Repeated rows: one row each. Other columns are not
     read. No shuffle; memory is bounded by one Arrow batch.
     """

@@ -1,5 +1,9 @@
+import base64
 import hashlib
+import random
 import re
+import string
+from pydoc_data.topics import topics
 
 import zstandard
 from hypothesis import given, settings
@@ -42,6 +46,41 @@ def test_repetitive_and_random_texts_fall_out_and_prose_stays(spark):
     assert got[2].ratio < got[1].ratio
 
 
+def letters(rng, alphabet, size, width):
+    return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(width - 2, width + 2))) for _ in range(size // (width + 1)))
+
+
+def test_encoded_and_random_texts_are_not_kept():
+    rng, compressor = random.Random(5), zstandard.ZstdCompressor(level=rules.LEVEL)
+    for size in (400, 1_000, 3_000, 6_000, 20_000, 80_000):
+        coded = base64.b64encode(rng.randbytes(size)).decode()
+        noise = [" ".join(coded[k:k + 12] for k in range(0, len(coded), 12)),
+                 letters(rng, string.ascii_letters + string.digits, size, 8), letters(rng, string.ascii_letters, size, 8)]
+        if size >= 1_000:
+            noise += [letters(rng, string.ascii_lowercase + string.digits, size, 8)]
+        if size >= 3_000:
+            noise += [letters(rng, string.ascii_lowercase, size, 8)]
+        for text in noise:
+            assert not rules.measure(text, compressor)[5] and not rules.measure(text, compressor)[-1], (size, text[:40])
+
+
+def test_english_prose_of_every_length_is_above_the_lower_limit():
+    compressor, words = zstandard.ZstdCompressor(level=rules.LEVEL), " ".join(topics[k] for k in sorted(topics)).split()
+    for size in (30, 60, 150, 300, 800, 3_000):
+        for text in (" ".join(words[k:k + size]) for k in range(0, 30_000, 3_000)):
+            assert rules.measure(text, compressor)[6] >= rules.lowest(len(text.encode())), (size, text[:40])
+
+
+def test_the_last_part_chunk_counts():
+    compressor, rng = zstandard.ZstdCompressor(level=rules.LEVEL), random.Random(6)
+    words = " ".join(topics[k] for k in sorted(topics)).split()
+    text = " ".join(w for w in words[:2_000] if w.isascii())[:rules.CHUNK_BYTES]
+    tail = letters(rng, string.ascii_letters + string.digits, 3_500, 8)
+    got = rules.measure(text + tail, compressor)
+    assert got[-2] == len(tail) / len(text + tail) and not got[-1]
+    assert rules.measure(text + text[:3_000], compressor)[-2] == 0
+
+
 def test_rules_awkward_rows(awkward, nothing):
     rows = rules.compression_rules(awkward).collect()
     assert len(rows) == 11
