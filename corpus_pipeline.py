@@ -26,7 +26,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under 0.5."""
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS)
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS, across_words=True)
     return scored.where(F.col("score") < 0.5).select(*COLUMNS)
 
 

@@ -1,7 +1,8 @@
 """Quality by an interpolated modified Kneser-Ney model of trusted text (operator 1).
 
-The model is over characters, up to five in a row within a word (with marks for its ends): such
-n-grams stay few even for words never met before, in any language. Counts come from the whole of the trusted
+The model is over characters, up to five in a row, within a word (with marks for its ends) or across the spaces between
+words (``across_words``), where the order of the words counts as well: such n-grams stay few even for words never met
+before, in any language. Counts come from the whole of the trusted
 text. Everything about n-grams is a table, joined and aggregated by n-gram: adjusted counts, contexts,
 discounts and, from the shortest order up, interpolated probabilities. Documents are dealt to
 blocks; a block asks for the probabilities of its distinct n-grams and scores its texts with them.
@@ -9,17 +10,20 @@ blocks; a block asks for the probabilities of its distinct n-grams and scores it
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratlab.llm.common import Scratch
 
 ORDER = 5
-BEGIN, END = "\x02", "\x03"
+PAD, BEGIN, END = "\x00", "\x02", "\x03"
+LEAD = PAD * (ORDER - 2) + BEGIN
+#: Bits of a character in the number of an n-gram, and characters counted or scored at once.
+BITS = 12
+PIECE = 1 << 20
 BLOCK_BYTES = 24_000_000
 #: A document is kept up to this quantile of the trusted documents' perplexities in its language, and a margin.
 QUANTILE = 0.999
@@ -29,32 +33,135 @@ QUANTILE_ACCURACY = 10_000
 
 def grams_of(word: str) -> list[str]:
     """For each character of the word and its end, the n-gram that ends there."""
-    s = BEGIN + word.replace(BEGIN, " ").replace(END, " ") + END
+    return ends_of(BEGIN + clean(word) + END)
+
+
+def clean(text: str) -> str:
+    return text.replace(PAD, " ").replace(BEGIN, " ").replace(END, " ")
+
+
+def ends_of(s: str) -> list[str]:
     return [s[max(0, i - ORDER + 1):i + 1] for i in range(1, len(s))]
 
 
+def text_grams(text: str | None) -> list[str]:
+    """For each character of the text, words parted by one space and with a space at the end, the n-gram that ends there."""
+    words = (text or "").split()
+    return ends_of(BEGIN + clean(" ".join(words)) + " ") if words else []
+
+
+def stream(text: str | None, across: bool) -> str:
+    """The text with marks, such that the n-grams are the runs of ORDER characters (without PAD) that end in neither PAD nor BEGIN."""
+    words = (text or "").split()
+    if across:
+        return LEAD + clean(" ".join(words)) + " " if words else ""
+    return "".join([LEAD + clean(w) + END for w in words])
+
+
+class Coder:
+    """The n-grams of streams as numbers, ``BITS`` bits a character; one alphabet of at most 2 ** BITS - 1 characters."""
+
+    def __init__(self, points: np.ndarray):
+        self.points = points  # sorted, PAD first
+
+    def codes(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where, code) of each n-gram in a run of code points."""
+        ids = np.concatenate([np.zeros(ORDER - 1, np.uint64), np.searchsorted(self.points, symbols).astype(np.uint64)])
+        code = np.zeros(len(symbols), np.uint64)
+        for k in range(ORDER):
+            code = code << np.uint64(BITS) | ids[k:k + len(symbols)]
+        where = np.flatnonzero((symbols != ord(PAD)) & (symbols != ord(BEGIN)))
+        return where, code[where]
+
+    def strings(self, codes: np.ndarray) -> list[str]:
+        shifts = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(BITS)
+        ids = (codes[:, None] >> shifts[None, :] & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        flat = self.points[ids[ids > 0]].astype("<u4").tobytes().decode("utf-32-le")
+        ends = np.cumsum((ids > 0).sum(axis=1)).tolist()
+        return [flat[i:j] for i, j in zip([0, *ends], ends)]
+
+    def numbers(self, grams: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(index, code) of those n-grams whose characters are all in the alphabet."""
+        symbols = code_points("".join(grams.to_pylist()))
+        size = np.asarray(pc.utf8_length(grams)).astype(np.int64)
+        ids = np.minimum(np.searchsorted(self.points, symbols), len(self.points) - 1)
+        known = self.points[ids] == symbols
+        owner = np.repeat(np.arange(len(size)), size)
+        place = np.repeat(np.cumsum(size), size) - 1 - np.arange(len(symbols))
+        code = np.zeros(len(size), np.uint64)
+        for k in range(ORDER):
+            at = place == k
+            code[owner[at]] |= ids[at].astype(np.uint64) << np.uint64(BITS * k)
+        good = np.flatnonzero(np.bincount(owner[~known], minlength=len(size)) == 0)
+        return good, code[good]
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+
+
+def pieces(texts: list[str | None], across: bool):
+    """(coder, [(text of each symbol, symbols, how many of them are context only)]): streams in pieces of bounded size, under one
+    alphabet as long as it fits, else under several. A text longer than a piece is cut with the characters before the cut as context."""
+    found: list = []
+    alphabet: np.ndarray = np.array([ord(PAD)], dtype="<u4")
+    group: list[str] = []
+    size, owners = 0, []
+    for k, text in enumerate([*texts, None]):
+        s = stream(text, across) if k < len(texts) else ""
+        if group and (k == len(texts) or size + len(s) > PIECE):
+            symbols = code_points("".join(group))
+            owner = np.repeat(np.array(owners), [len(g) for g in group])
+            step = PIECE
+            at = 0
+            while at < len(symbols):
+                # the first ORDER - 1 symbols of a later piece are context only
+                lead = min(at, ORDER - 1)
+                part = symbols[at - lead:at + step]
+                new = np.union1d(alphabet, part)
+                if len(new) >= 1 << BITS:
+                    if len(alphabet) > 1:
+                        if found:
+                            yield Coder(alphabet), found
+                        found, alphabet = [], np.array([ord(PAD)], dtype="<u4")
+                    else:
+                        step //= 2
+                    continue
+                alphabet = new
+                found.append((owner[at - lead:at + step], part, lead))
+                at += step
+                step = PIECE
+            group, owners, size = [], [], 0
+        if s:
+            group.append(s)
+            owners.append(k)
+            size += len(s)
+    if found:
+        yield Coder(alphabet), found
+
+
 def with_block(docs: DataFrame, key: list[Column], blocks: int) -> DataFrame:
     return docs.withColumn("_block", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int"))
 
 
-def gather(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
     """(block, gram, n): the distinct n-grams of each block and their counts in its trusted texts."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = set(right.column("doc_id").to_pylist())
-        if not left.num_rows:
-            return pa.table({"block": pa.array([], pa.int32()), "gram": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
-        words: Counter = Counter()
-        others: set = set()
-        for doc_id, text in zip(left.column("doc_id").to_pylist(), left.column("text").to_pylist()):
-            (words if doc_id in ids else others).update((text or "").split())
+        block = left.column("_block")[0].as_py() if left.num_rows else 0
+        counted = np.array([d in ids for d in left.column("doc_id").to_pylist()], dtype=bool)
         grams: dict[str, int] = {}
-        for word, n in words.items():
-            for g in grams_of(word):
+        for coder, parts in pieces(left.column("text").to_pylist(), across):
+            codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            for owner, symbols, lead in parts:
+                where, code = coder.codes(symbols)
+                where, code = where[where >= lead], code[where >= lead]
+                new, back = np.unique(code, return_inverse=True)
+                n = np.bincount(back, weights=counted[owner[where]], minlength=len(new)).astype(np.int64)
+                codes, back = np.unique(np.concatenate([codes, new]), return_inverse=True)
+                counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(codes)).astype(np.int64)
+            for g, n in zip(coder.strings(codes), counts.tolist()):
                 grams[g] = grams.get(g, 0) + n
-        for word in others.difference(words):
-            for g in grams_of(word):
-                grams.setdefault(g, 0)
-        block = left.column("_block")[0].as_py()
         return pa.table({"block": pa.array([block] * len(grams), pa.int32()), "gram": pa.array(list(grams), pa.string()),
                          "n": pa.array(list(grams.values()), pa.int64())})
 
@@ -113,7 +220,7 @@ def probabilities(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> Data
     return out
 
 
-def score(docs: DataFrame, answers: DataFrame, carry: list[str]) -> DataFrame:
+def score(docs: DataFrame, answers: DataFrame, carry: list[str], across: bool) -> DataFrame:
     """Each document with n_symbols, log_prob and trusted; ``answers`` holds, by block, n-grams with
     log probabilities and the ids of trusted documents."""
     fields = [docs.schema[c] for c in carry]
@@ -121,16 +228,19 @@ def score(docs: DataFrame, answers: DataFrame, carry: list[str]) -> DataFrame:
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         is_gram = right.column("gram").is_valid()
-        model = dict(zip(right.column("gram").filter(is_gram).to_pylist(), right.column("log_p").filter(is_gram).to_pylist()))
+        grams = right.column("gram").filter(is_gram).combine_chunks()
+        log_p = np.asarray(right.column("log_p").filter(is_gram)).astype(np.float64)
         ids = set(right.column("doc_id").to_pylist()) - {None}
-        known: dict[str, float] = {}
-        symbols, logs = [], []
-        for text in left.column("text").to_pylist():
-            words = (text or "").split()
-            for w in set(words).difference(known):
-                known[w] = sum([model[g] for g in grams_of(w)])
-            logs.append(math.fsum(map(known.__getitem__, words)))
-            symbols.append(sum(map(len, words)) + len(words))
+        symbols, logs = np.zeros(left.num_rows, np.int64), np.zeros(left.num_rows)
+        for coder, parts in pieces(left.column("text").to_pylist(), across):
+            at, known = coder.numbers(grams)
+            order = np.argsort(known)
+            known, value = known[order], log_p[at[order]]
+            for owner, part, lead in parts:
+                where, code = coder.codes(part)
+                where, code = where[where >= lead], code[where >= lead]
+                symbols += np.bincount(owner[where], minlength=left.num_rows)
+                logs += np.bincount(owner[where], weights=value[np.searchsorted(known, code)], minlength=left.num_rows)
         columns = [left.column(c) for c in carry]
         return pa.table([*columns, pa.array(symbols, pa.int64()), pa.array(logs, pa.float64()),
                          pa.array([d in ids for d in left.column("doc_id").to_pylist()], pa.bool_())],
@@ -139,9 +249,12 @@ def score(docs: DataFrame, answers: DataFrame, carry: list[str]) -> DataFrame:
     return docs.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...] = (), quantile: float = QUANTILE) -> DataFrame:
+def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...] = (), quantile: float = QUANTILE,
+                     across_words: bool = False) -> DataFrame:
     """Perplexity and verdict of every document; one row per input row.
 
+    With ``across_words`` n-grams run over the spaces between words (white space counts as one space); without, a text's perplexity
+    is the same in any order of its words.
     ``trusted`` has the doc_id of trusted documents. Returns doc_id, lang, the columns of ``carry``, n_symbols, perplexity (per character and word end),
     trusted, threshold, kept. ``kept``: the perplexity is at most 1.3 times the 0.999 quantile of the trusted documents of
     the same language; a language without trusted documents takes the quantile of all. A text without words has no
@@ -164,7 +277,7 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
     old = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # what a written table was shuffled from goes before the next
     try:
-        asked = scratch.write(gather(rows, ids), "asked")
+        asked = scratch.write(gather(rows, ids, across_words), "asked")
         counts = scratch.write(asked.where("n > 0").groupBy("gram").agg(F.sum("n").alias("c")), "counts")
         model = probabilities(asked.select("gram").distinct(), counts, scratch)
         answered = scratch.write(asked.select("block", "gram").join(model, "gram").select(
@@ -174,7 +287,7 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
         spark.conf.set(CLEANUP, old)
     answers = answered.withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(ids.select(F.col("_block").alias("block"), F.lit(None).cast("string").alias("gram"),
                                              F.lit(None).cast("float").alias("log_p"), "doc_id"))
-    scored = score(rows, answers, carry).withColumn(
+    scored = score(rows, answers, carry, across_words).withColumn(
         "perplexity", F.when(F.col("n_symbols") > 0, F.exp(-F.col("log_prob") / F.col("n_symbols"))))
     scored = scratch.write(scored, "scored")
     level = F.percentile_approx("perplexity", F.lit(quantile), F.lit(QUANTILE_ACCURACY))

@@ -25,7 +25,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document under a model of the trusted ones, and the verdict."""
     from stratlab.llm.quality import classify_quality
 
-    return classify_quality(table(spark, sf_dir, "documents"), trusted_ids(table(spark, sf_dir, "labels")))
+    return classify_quality(table(spark, sf_dir, "documents"), trusted_ids(table(spark, sf_dir, "labels")), across_words=True)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

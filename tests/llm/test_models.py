@@ -114,6 +114,61 @@ def test_perplexity_like_brute_force(spark, monkeypatch):
     assert got[41].perplexity is None and not got[41].kept and not got[42].kept
 
 
+def test_perplexity_across_words_like_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BLOCK_BYTES", 2_000)
+    rng = random.Random(16)
+    docs = [(k, prose(rng, 40), "en") for k in range(40)] + [(40, "QXZ!! \x00\x02 ZZZ!!  é日🙂", "en"), (41, "", "en"), (42, "a", None)]
+    docs.append((43, "".join(chr(0x4E00 + k) for k in range(6_000)) + " " + docs[0][1], "zh"))
+    got = {r.doc_id: r for r in Q.classify_quality(spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+                                                   spark.createDataFrame([(t,) for t in range(30)], "doc_id long"), across_words=True).collect()}
+    monkeypatch.setattr(Q, "grams_of", Q.text_grams)
+    p, memo = model_by_force([t for _, t, _ in docs[:30]]), {}
+    for d, t, _ in docs:
+        grams = Q.text_grams(t)
+        assert got[d].n_symbols == len(grams)
+        if grams:
+            want = math.exp(-sum(math.log(memo.setdefault(g, p(g))) for g in grams) / len(grams))
+            assert got[d].perplexity == pytest.approx(want, rel=1e-4), d
+
+
+def test_pieces_of_any_size_give_the_same_ngrams(monkeypatch):
+    rng = random.Random(17)
+    texts = [prose(rng, rng.randint(0, 60)) for _ in range(20)] + [None, "", " \n", "".join(chr(0x4E00 + k) for k in range(9_000)), "x\x00y\x02 z"]
+    want = Counter((k, g) for k, t in enumerate(texts) for g in Q.text_grams(t))
+    for size in (7, 100, 1 << 20):
+        monkeypatch.setattr(Q, "PIECE", size)
+        got = Counter()
+        for coder, parts in Q.pieces(texts, True):
+            for owner, symbols, lead in parts:
+                where, code = coder.codes(symbols)
+                got.update(zip(owner[where[where >= lead]].tolist(), coder.strings(code[where >= lead])))
+        assert got == want, size
+
+
+def test_repeated_and_shuffled_words_cost_more(tmp_path, spark):
+    """Words in an order never met, through the registered query."""
+    from stratlab.llm.queries import op1_quality
+    rng = random.Random(18)
+    words = sorted({w for w in prose(rng, 400).split() if len(w) > 3})
+    follow = {w: rng.sample(words, 3) for w in words}
+
+    def text():
+        out = [rng.choice(words)]
+        while len(out) < 120:
+            out.append(rng.choice(follow[out[-1]]))
+        return out
+    made = [text() for _ in range(150)]
+    clean, mixed = [text() for _ in range(30)], [rng.sample(m, len(m)) for m in made[:30]]
+    loops = [[w] * 120 for w in rng.sample(words, 20)]
+    docs = [(k, " ".join(t), "en") for k, t in enumerate(made + clean + mixed + loops)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, 0) for k in range(150)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in op1_quality(spark, str(tmp_path)).collect()}
+    worst = max(got[k].perplexity for k in range(150, 180))
+    assert sum(got[k].perplexity > worst for k in range(180, 210)) >= 28
+    assert sum(got[k].perplexity > worst for k in range(210, 230)) >= 18
+
+
 def test_probabilities_of_a_context_sum_to_one(spark):
     words = prose(random.Random(7), 300).split()
     letters = sorted({c for w in words for c in w} | {Q.END})
