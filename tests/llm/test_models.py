@@ -169,6 +169,17 @@ def test_repeated_and_shuffled_words_cost_more(tmp_path, spark):
     assert sum(got[k].perplexity > worst for k in range(210, 230)) >= 18
 
 
+def test_an_odd_trusted_row_does_not_open_its_language(spark):
+    rng = random.Random(19)
+    odd = lambda: " ".join("".join(rng.choice("QXZJ#|%&0123456789") for _ in range(6)) for _ in range(60))
+    docs = [(k, prose(rng, 60), "en") for k in range(300)] + [(300, odd(), "en")] + [(k, odd(), "en") for k in range(301, 311)] \
+        + [(k, prose(rng, 60), "en") for k in range(311, 361)]
+    got = {r.doc_id: r for r in Q.classify_quality(spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+                                                   spark.createDataFrame([(k,) for k in range(301)], "doc_id long"), across_words=True).collect()}
+    assert not any(got[k].kept for k in range(301, 311))
+    assert sum(got[k].kept for k in range(311, 361)) >= 45
+
+
 def test_probabilities_of_a_context_sum_to_one(spark):
     words = prose(random.Random(7), 300).split()
     letters = sorted({c for w in words for c in w} | {Q.END})
