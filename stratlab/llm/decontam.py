@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash of item-sized windows (operator 2).
 
 Every window of a document that is as long as some benchmark item gets a 64-bit
-SimHash of its words. An index over four 16-bit blocks, each entered under all values within two
-bits, finds every item whose fingerprint lies within 11 bits: of 11 differing bits, one of
-four blocks has at most two. Candidates are then verified by the exact weighted similarity of
+SimHash of its words. An index over four 16-bit blocks, each entered under all values within three
+bits, finds every item whose fingerprint lies within 15 bits: of 15 differing bits, one of
+four blocks has at most three. Candidates are then verified by the exact weighted similarity of
 their five-word shingles.
 """
 
@@ -25,7 +25,7 @@ from stratlab.llm.shingles import WORDS, WordHashes, shingle_hashes, weighted
 WORD = re.compile(r"\w+")
 SIMILARITY = 0.8
 BLOCK_BITS = 16
-BLOCK_RADIUS = 2
+BLOCK_RADIUS = 3
 RADIUS = 4 * (BLOCK_RADIUS + 1) - 1
 #: Items are taken in blocks of at most so many words, each block in a pass of its own over the documents.
 ITEM_BLOCK_WORDS = 500_000
@@ -161,7 +161,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with a column ``leaks``: for each benchmark item found, the best window.
 
     ``docs`` needs ``text``; its other columns are passed on (a column named ``leaks`` is replaced). A leak is a window of as
-    many words as the item (the whole text where that is shorter) whose fingerprint lies within 11 bits and whose weighted shingle similarity is
+    many words as the item (the whole text where that is shorter) whose fingerprint lies within 15 bits and whose weighted shingle similarity is
     0.8 or more; of several the most similar, then the first. Null or empty text: no leaks. Items without words are never found;
     repeated items are each reported. Null item_id: reported as null. Nothing is shuffled; the items
     go to the executors in blocks of at most 500,000 words, one pass over the documents each.

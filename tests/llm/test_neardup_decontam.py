@@ -140,6 +140,25 @@ def test_the_index_finds_every_fingerprint_within_the_radius():
     assert got == want
 
 
+def test_items_with_a_replaced_end_are_found_by_similarity_alone():
+    """Against the 0.8 check without any fingerprint."""
+    rng, found, leaks_ = random.Random(21), 0, 0
+    for k in range(600):
+        words = vocabulary(rng.randint(15, 59), 5_000 + k)
+        index = decontam.ItemIndex([(k, " ".join(words))])
+        best = None
+        for m in range(1, len(words)):
+            edited = words[:-m] + [f"other{k}x{i}" for i in range(m)]
+            sim = decontam.weighted_similarity(weighted(shingle_hashes(HASHES.of(edited))), index.shingles[0])
+            if sim < 0.8:
+                break
+            best = edited
+        if best:
+            leaks_ += 1
+            found += bool(index.matches(" ".join(best)))
+    assert leaks_ > 400 and found >= 0.99 * leaks_, (found, leaks_)
+
+
 def test_items_come_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "ITEM_BLOCK_WORDS", 30)
     items = [(k, " ".join(vocabulary(20, k))) for k in range(5)]
