@@ -366,15 +366,21 @@ def training_pages(pages: list[str], seed: int = 3, variants: int = 3):
     """Features and labels: the pages themselves where their markup says which blocks are main text, and
     pages composed of their texts."""
     rng, buckets = random.Random(seed), {}
-    xs, ys, mains, rest = [], [], [], []
+    xs, ys, mains, rest, unsaid = [], [], [], [], []
     for page in pages:
         blocks = leaf_blocks(page)
         said = [says_main(b[0]) for b in blocks]
         mains.append([b[1] for b, s in zip(blocks, said) if s])
         rest += [b[1] for b, s in zip(blocks, said) if s is False]
+        unsaid.append((blocks, said))
         if blocks and None not in said and any(said):
             xs.append(features(blocks, buckets))
             ys.append([float(s) for s in said])
+    if not any(mains):
+        # no page says which blocks are its main text: running text, as far as there is some
+        texts = [[b[1] for b, s in zip(blocks, said) if s is not False and b[1].split()] for blocks, said in unsaid]
+        mains = [[t for t in page if len(t.split()) >= 8] for page in texts]
+        mains = mains if any(mains) else texts
     other = [t for t in rest + [t for m in mains for t in m] if t.split()]
     for texts in [m for m in mains if m] if other else []:
         for _ in range(variants):
@@ -398,18 +404,25 @@ NOISE = {".ad", ".ads", ".advert", ".sponsored", ".promo", ".advertisement", "as
 def extract_main_text(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES) -> DataFrame:
     """Main text of every page; one row per input row: page_id, url, text, n_chars.
 
-    The labeller is trained on at most ``max_train_pages`` pages of at most 20,000 code points, chosen by a hash of id and
-    html, with the labels that their own markup gives and as pages composed anew of their texts; then it labels every block of every whole page. Null html: empty text. A
+    The labeller is trained on at most ``max_train_pages`` pages of at most 20,000 code points, where these are fewer also on the first 20,000
+    code points of longer ones, chosen by a hash of id and html, with the labels that their own markup gives and as pages composed anew of their texts; then it labels every block of every whole page. Null html: empty text. A
     page without main blocks: empty text. Null page_id or url: kept null. Repeated rows: one row each. Other
-    columns are not read. Without any usable training page every text is empty. Nothing but the sample is gathered; the model (about 110,000 numbers) is sent to the executors.
+    columns are not read. Where no page of the sample marks its main text, its blocks of
+    eight words or more outside marked side matter stand for it. Without any text in the sample every text is empty (an error if the sample is full). Nothing but the sample is gathered; the model (about 110,000 numbers) is sent to the executors.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    usable = rows.where((F.length("html") > 0) & (F.length("html") <= MAX_TRAIN_CHARS)) \
-        .select("html", F.xxhash64("page_id", "html").alias("h"))
-    sample = thin_by_hash(usable, "h", pages.count(), max_train_pages) \
-        .groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(max_train_pages).collect()
+    filled = rows.where(F.length("html") > 0).select(F.substring("html", 1, MAX_TRAIN_CHARS).alias("html"), F.xxhash64("page_id", "html").alias("h"),
+                                                     (F.length("html") <= MAX_TRAIN_CHARS).alias("whole"))
+    n = {r["whole"]: r["n"] for r in filled.groupBy("whole").agg(F.count("*").alias("n")).collect()}
+    sample = []
+    for whole in (True, False):
+        if (wanted := max_train_pages - len(sample)) > 0 and n.get(whole):
+            sample += thin_by_hash(filled.where(F.col("whole") == whole), "h", n[whole], wanted) \
+                .groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(wanted).collect()
     xs, ys = training_pages([r["html"] for r in sample])
+    if not xs and len(sample) == max_train_pages:
+        raise ValueError(f"none of the {max_train_pages} pages sampled for training has any text")
     model = spark.sparkContext.broadcast({k: v.astype(np.float32) for k, v in fit(xs, ys).items()}) if xs else None
     key = f"labeller:{uuid.uuid4().hex}"
 

@@ -263,6 +263,33 @@ def test_main_text_of_pages(spark):
     assert H.extract_main_text(empty).count() == 0
 
 
+def test_few_short_pages_and_only_long_ones_still_train(spark, monkeypatch):
+    rng = random.Random(14)
+    made = [web_page(rng, k) for k in range(160)]
+    monkeypatch.setattr(H, "MAX_TRAIN_CHARS", max(len(p) for p, _ in made))
+    pages = [(k, "u", p + "<!--" + "x" * H.MAX_TRAIN_CHARS + "-->" if k else p) for k, (p, _) in enumerate(made)]
+    got = H.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), max_train_pages=150).collect()
+    assert len(got) == 160 and sum(r.text == made[r.page_id][1] for r in got) >= 150
+
+
+def test_the_share_of_the_sample_follows_the_pages_it_is_taken_from(spark, monkeypatch):
+    rng, taken = random.Random(20), []
+    made = [web_page(rng, k)[0] for k in range(60)]
+    monkeypatch.setattr(H, "MAX_TRAIN_CHARS", max(map(len, made)))
+    monkeypatch.setattr(H, "training_pages", lambda pages: (taken.extend(pages), ([], []))[1])
+    pages = [(k, "u", p) for k, p in enumerate(made)] + [(k, "u", "x" * (H.MAX_TRAIN_CHARS + 1)) for k in range(60, 3_000)]
+    with pytest.raises(ValueError):
+        H.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), max_train_pages=10)
+    assert len(taken) == 10 and set(taken) <= set(made)
+
+
+def test_pages_without_marked_main_text_train():
+    rng = random.Random(15)
+    pages = [f"<html><body><nav><a href=/>{prose(rng, 2)}</a></nav>" + "".join(f"<p>{prose(rng, 30)}</p>" for _ in range(4)) + "</body></html>" for _ in range(20)]
+    xs, ys = H.training_pages(pages)
+    assert len(xs) >= 20 and any(1.0 in y for y in ys)
+
+
 def test_layouts_not_in_the_sample():
     rng = random.Random(13)
     xs, ys = H.training_pages([web_page(rng, k)[0] for k in range(80)])
