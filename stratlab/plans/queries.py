@@ -514,36 +514,35 @@ def hyperparameter_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.hyperparameter_comparison(best, MS.WITH, MS.WITHOUT)
 
 
-_SMALL_TREE = {"maxDepth": [3, 5], "minInstancesPerNode": [4]}
-_SMALL_FOREST = {"numTrees": [10], "maxDepth": [5], "featureSubsetStrategy": ["all", "2"]}
-
-
-def _tree_facts(spark, sf_dir, kind, grid):
-    df = MS.datasets(spark, sf_dir)[MS.WITH]
-    fm, imp, params, scores, timing = MS.tree_study(df, kind, grid=grid, max_bins=32,
-                                                    outer_parallelism=10, parallelism=1)
-    best = R.best_candidate(scores.withColumn("dataset", F.lit(MS.WITH)))
-    return (fm.select(F.lit("metric").alias("kind"), "model", "fold", F.col("metric").alias("name"),
-                      F.col("value").cast("string").alias("value"))
-            .unionByName(params.select(F.lit("param").alias("kind"), "model", "fold", "name", "value"))
-            .unionByName(imp.select(F.lit("importance").alias("kind"), "model", "fold",
-                                    F.col("feature").alias("name"), F.col("importance").cast("string").alias("value")))
-            .unionByName(best.select(F.lit("best_candidate").alias("kind"), "model", F.lit(-1).alias("fold"),
-                                     F.lit("candidate_idx").alias("name"),
-                                     F.col("candidate_idx").cast("string").alias("value"))))
+def _tree_facts(spark, sf_dir, kind):
+    out = None
+    for dataset, df in MS.datasets(spark, sf_dir).items():
+        fm, imp, params, scores, timing = MS.tree_study(df, kind, outer_parallelism=10, parallelism=1)
+        best = R.best_candidate(scores.withColumn("dataset", F.lit(dataset)))
+        facts = (fm.select(F.lit("metric").alias("kind"), "model", "fold", F.col("metric").alias("name"),
+                           F.col("value").cast("string").alias("value"))
+                 .unionByName(params.select(F.lit("param").alias("kind"), "model", "fold", "name", "value"))
+                 .unionByName(imp.select(F.lit("importance").alias("kind"), "model", "fold",
+                                         F.col("feature").alias("name"), F.col("importance").cast("string").alias("value")))
+                 .unionByName(best.select(F.lit("best_candidate").alias("kind"), "model", F.lit(-1).alias("fold"),
+                                          F.lit("candidate_idx").alias("name"),
+                                          F.col("candidate_idx").cast("string").alias("value")))
+                 .select(F.lit(dataset).alias("dataset"), "*"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 @register("tree_nested_cv")
 def tree_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-73 + O-75 + O-77 + O-78 + O-82 + O-83 + O-84 + O-89: decision tree, nested 10 x 10 CV
-    (small grid here; the full grid is ``models.TREE_GRID``)."""
-    return _tree_facts(spark, sf_dir, "tree", _SMALL_TREE)
+    """O-73 + O-75 + O-77 + O-78 + O-82 + O-83 + O-84 + O-89: decision tree, nested 10 x 10 CV over
+    ``models.TREE_GRID``, with and without outliers."""
+    return _tree_facts(spark, sf_dir, "tree")
 
 
 @register("forest_nested_cv")
 def forest_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-74 + O-76 + the same outputs for a random forest (full grid: ``models.FOREST_GRID``)."""
-    return _tree_facts(spark, sf_dir, "forest", _SMALL_FOREST)
+    """O-74 + O-76 + the same outputs for a random forest over ``models.FOREST_GRID``."""
+    return _tree_facts(spark, sf_dir, "forest")
 
 
 # ------------------------------------------------------------ sources and report
