@@ -26,13 +26,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under 0.5."""
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS, across_words=True)
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS)
     return scored.where(F.col("score") < 0.5).select(*COLUMNS)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of trusted text does not find odd for their language."""
-    scored = classify_quality(docs, trusted_ids(table(spark, sf_dir, "labels")), carry=COLUMNS)
+    scored = classify_quality(docs, trusted_ids(table(spark, sf_dir, "labels")), carry=COLUMNS, across_words=True)
     return scored.where("kept").select(*COLUMNS)
 
 
