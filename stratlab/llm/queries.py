@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from stratlab.plans.inputs import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -115,6 +115,27 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_formatted(format_conversations(as_chain(rows.unionByName(extra)), branches=1))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all embeddings found for every twentieth, from a permutation index."""
+    from stratlab.llm.permutation_index import search_neighbours
+
+    return search_neighbours(table(spark, sf_dir, "embeddings"), k=20, query_step=20)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document; the tails of a tenth of the documents are made periodic."""
+    from stratlab.llm.runs import repeat_tail, run_digests
+
+    return run_digests(table(spark, sf_dir, "documents"), repeat_tail).drop("n_words")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    from stratlab.llm.align import align_statistics
+
+    return align_statistics(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -126,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_rules": op9_rules,
     "op10_chat": op10_chat,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {}
