@@ -75,10 +75,18 @@ def best_candidate(candidate_scores: DataFrame) -> DataFrame:
     """O-83: candidate with the best mean (over outer folds) of inner mean R2; first wins."""
     m = (candidate_scores.groupBy("dataset", "model", "candidate_idx")
          .agg(F.avg("mean_r2").alias("overall_mean_r2")))
-    w = Window.partitionBy("dataset", "model").orderBy(F.col("overall_mean_r2").desc(), "candidate_idx")
+    w = Window.partitionBy("dataset", "model").orderBy(F.round("overall_mean_r2", 9).desc(), "candidate_idx")
     return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
+def best_params(candidate_scores: DataFrame, candidates: DataFrame) -> DataFrame:
+    """O-83: the parameters (name, value) of the overall best candidate, per dataset and model.
+    ``candidates`` names the parameters of each candidate_idx, per model (and dataset, where it has that column)."""
+    keys = [c for c in ("dataset", "model", "candidate_idx") if c in candidates.columns]
+    return best_candidate(candidate_scores).join(candidates, keys).select(
+        "dataset", "model", "candidate_idx", "overall_mean_r2", "name", "value")
+
+
 def hyperparameter_comparison(best_params: DataFrame, with_ds: str, without_ds: str) -> DataFrame:
     """O-88: best hyperparameters side by side with a null-safe equality flag."""
     a = best_params.filter(F.col("dataset") == with_ds).select("model", "name", F.col("value").alias("with_value"))

@@ -15,6 +15,7 @@ from ..operators import describe as D
 from ..operators import features as FE
 from ..operators import models as M
 from ..operators import sampling as S
+from ..operators import trees as TR
 from . import inputs as I
 from ..functions.frames import cache_sized, literal_frame
 
@@ -137,26 +138,50 @@ def linear_study(df: DataFrame, spec: ModelSpec = DEFAULT_SPEC) -> tuple[DataFra
 
 
 def tree_study(df: DataFrame, kind: str, grid: dict | None = None, spec: ModelSpec = DEFAULT_SPEC,
-               **cv_options):
-    """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores, timing)."""
+               k: int = S.DEFAULT_FOLDS, **cv_options):
+    """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores, timing, candidates).
+
+    Trees are searched by path evaluation (``trees.nested_tree_search``), forests by MLlib (``models.nested_cv``).
+    ``candidates`` gives the parameters of each candidate_idx.
+    """
     levels = list(spec.levels)
     x = FE.one_hot(df, spec.category, levels)
     feats = [*spec.numeric, *FE.dummy_names(spec.category, levels)]
-    f = with_folds(x, inner=True, spec=spec).select("fold", "inner", F.col(spec.target).alias("target"), *feats)
-    preds, per_fold, cands = M.nested_cv(f, feats, "target", "fold", "inner", kind=kind, grid=grid, **cv_options)
     spark = df.sparkSession
+    if kind == "tree":
+        grid = grid or M.TREE_GRID
+        f = with_folds(x, spec=spec, k=k, position="fold_pos").select("fold_pos", F.col(spec.target).alias("target"), *feats).checkpoint()
+        preds, scored, per_fold, cands, _ = TR.nested_tree_search(
+            f, feats, "target", "fold_pos", grid["maxDepth"], grid.get("minInstancesPerNode", [1]), k=k,
+            max_bins=cv_options.get("max_bins", 256))
+        scores = scored.select(F.lit(kind).alias("model"), "outer_fold", "candidate_idx", "mean_r2")
+    else:
+        f = with_folds(x, inner=True, spec=spec, k=k).select("fold", "inner", F.col(spec.target).alias("target"), *feats)
+        preds, per_fold, cands = M.nested_cv(f, feats, "target", "fold", "inner", kind=kind, grid=grid, **cv_options)
+        scores = literal_frame(spark, [(kind, p["fold"], i, float(s)) for p in per_fold for i, s in enumerate(p["avg_metrics"])],
+                               "model string, outer_fold int, candidate_idx int, mean_r2 double")
     wide = M.regression_metrics(preds, "target", "prediction", ["fold"]).withColumn("model", F.lit(kind))
     imp = literal_frame(spark, [(kind, p["fold"], c, v) for p in per_fold for c, v in zip(feats, p["importances"])],
                                 "model string, fold int, feature string, importance double")
-    params = literal_frame(spark, [(kind, p["fold"], k, v) for p in per_fold for k, v in p["best_params"].items()],
+    params = literal_frame(spark, [(kind, p["fold"], n, v) for p in per_fold for n, v in p["best_params"].items()],
                                    "model string, fold int, name string, value string")
-    scores = literal_frame(spark, [(kind, p["fold"], i, float(s)) for p in per_fold for i, s in enumerate(p["avg_metrics"])],
-                                   "model string, outer_fold int, candidate_idx int, mean_r2 double")
     timing = literal_frame(spark, [(kind, p["fold"], "fit_seconds", float(p["fit_seconds"])) for p in per_fold],
                                    "model string, fold int, metric string, value double")
-    return M.metrics_long(wide, ["model", "fold"]), imp, params, scores, timing
+    candidates = literal_frame(spark, [(kind, i, n, str(v)) for i, c in enumerate(cands) for n, v in c.items()],
+                               "model string, candidate_idx int, name string, value string")
+    return M.metrics_long(wide, ["model", "fold"]), imp, params, scores, timing, candidates
 
 
+def stump_search_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFAULT_SPEC, k: int = S.DEFAULT_FOLDS,
+                    leaves: Sequence[int] = (1, 1_000, 4_000)):
+    """The nested tree search with trees of one split, per dataset: (fold_metrics, fold_params, candidate_scores, candidates)."""
+    out = None
+    for ds, df in dsets.items():
+        fm, _, params, scores, _, cands = tree_study(df, "tree", {"maxDepth": [1], "minInstancesPerNode": list(leaves)}, spec, k)
+        mine = [x.withColumn("dataset", F.lit(ds)) for x in (fm, params, scores, cands)]
+        out = mine if out is None else [a.unionByName(b) for a, b in zip(out, mine)]
+    return tuple(out)
+
 
 def linear_feature_search(spark: SparkSession, sf_dir: str, k: int = S.DEFAULT_FOLDS):
     """Nested one-feature OLS search on the driver tables, see ``linear_feature_search_of``."""

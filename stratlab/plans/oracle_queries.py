@@ -360,6 +360,62 @@ SELECT 'ols_select' AS model, 'feature' AS name, a.value AS with_value, b.value
 FROM (SELECT value FROM bp WHERE dataset = 'with_outliers') a, (SELECT value FROM bp WHERE dataset = 'without_outliers') b"""
 
 
+# one-split trees: the best split of every fit by cumulative sums over the values of each feature
+_leaves = [1, 1_000, 4_000]
+_stump = _fm.split("feat AS (")[0].replace(
+    "fd AS (SELECT hs.*, CAST((st.start + row_number() OVER (PARTITION BY hs.dataset, hs.stratum ORDER BY hs.h, hs.row_key) - 1) % 10 AS INTEGER) AS fold",
+    "fd0 AS (SELECT hs.*, st.start + row_number() OVER (PARTITION BY hs.dataset, hs.stratum ORDER BY hs.h, hs.row_key) - 1 AS pos")
+_stump += f"""
+ym AS (SELECT dataset, avg(target) AS y0 FROM fd0 GROUP BY dataset),
+fd AS (SELECT fd0.*, target - y0 AS y, CAST(pos % 10 AS INTEGER) AS fold, CAST(floor(pos / 10) AS BIGINT) % 10 AS c FROM fd0 JOIN ym USING (dataset)),
+lg AS (SELECT dataset, fold, c, y, 0 AS f, x_quantity AS v FROM fd UNION ALL SELECT dataset, fold, c, y, 1, x_tax_ratio FROM fd
+       UNION ALL SELECT dataset, fold, c, y, 2, CAST(category = 'A' AS DOUBLE) FROM fd
+       UNION ALL SELECT dataset, fold, c, y, 3, CAST(category = 'N' AS DOUBLE) FROM fd
+       UNION ALL SELECT dataset, fold, c, y, 4, CAST(category = 'R' AS DOUBLE) FROM fd),
+cell AS (SELECT dataset, fold, c, f, v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q FROM lg GROUP BY ALL),
+role AS (SELECT cell.*, CAST(o.range AS INTEGER) AS o, CAST(i.range AS INTEGER) AS i,
+                CASE WHEN i.range = -1 THEN fold = o.range
+                     ELSE (fold - CASE WHEN fold > o.range THEN 1 ELSE 0 END - c + 20) % 10 = i.range END AS held
+         FROM cell CROSS JOIN range(0, 10) o CROSS JOIN range(-1, 10) i WHERE fold <> o.range OR i.range = -1),
+fv AS (SELECT dataset, o, i, f, v, sum(CASE WHEN held THEN 0 ELSE n END) AS tn, sum(CASE WHEN held THEN 0 ELSE s END) AS ts,
+              sum(CASE WHEN held THEN n ELSE 0 END) AS hn, sum(CASE WHEN held THEN s ELSE 0 END) AS hs,
+              sum(CASE WHEN held THEN q ELSE 0 END) AS hq FROM role GROUP BY ALL),
+cu AS (SELECT dataset, o, i, f, v, sum(tn) OVER u AS ln, sum(ts) OVER u AS ls, sum(hn) OVER u AS lhn, sum(hs) OVER u AS lhs,
+              sum(tn) OVER a AS N, sum(ts) OVER a AS S, sum(hn) OVER a AS HN, sum(hs) OVER a AS HS, sum(hq) OVER a AS HQ
+       FROM fv WINDOW u AS (PARTITION BY dataset, o, i, f ORDER BY v ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY dataset, o, i, f)),
+sp AS (SELECT cu.*, l.idx, l.leaf, ls * ls / ln + (S - ls) * (S - ls) / (N - ln) - S * S / N AS gain
+       FROM cu CROSS JOIN (VALUES {', '.join(f'({i}, {x})' for i, x in enumerate(_leaves))}) l(idx, leaf)
+       WHERE ln >= leaf AND N - ln >= leaf),
+bs AS (SELECT *, ls / ln AS ml, (S - ls) / (N - ln) AS mr FROM (
+         SELECT *, row_number() OVER (PARTITION BY dataset, o, i, idx ORDER BY gain DESC, f, v) AS rn FROM sp) z WHERE rn = 1),
+ir AS (SELECT dataset, o, idx, 1 - (HQ - 2 * (ml * lhs + mr * (HS - lhs)) + ml * ml * lhn + mr * mr * (HN - lhn)) / (HQ - HS * HS / HN) AS r2
+       FROM bs WHERE i >= 0),
+cs AS (SELECT dataset, o, idx, avg(r2) AS mean_r2 FROM ir GROUP BY ALL),
+ch AS (SELECT dataset, o, idx FROM (
+         SELECT *, row_number() OVER (PARTITION BY dataset, o ORDER BY round(mean_r2, 9) DESC, idx) AS rn FROM cs) z WHERE rn = 1),
+rf AS (SELECT bs.* FROM bs JOIN ch USING (dataset, o, idx) WHERE bs.i = -1),
+er AS (SELECT fd.dataset, fd.fold, fd.y, fd.y - CASE WHEN (CASE rf.f WHEN 0 THEN x_quantity WHEN 1 THEN x_tax_ratio
+              WHEN 2 THEN CAST(category = 'A' AS DOUBLE) WHEN 3 THEN CAST(category = 'N' AS DOUBLE) ELSE CAST(category = 'R' AS DOUBLE) END) <= rf.v
+              THEN ml ELSE mr END AS e FROM fd JOIN rf ON rf.dataset = fd.dataset AND rf.o = fd.fold),
+sw AS (SELECT dataset, fold, 1 - sum(e * e) / (var_pop(y) * count(*)) AS r2, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae FROM er GROUP BY ALL),
+leaf AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{x}')" for i, x in enumerate(_leaves))}) l(idx, value))"""
+ORACLE["stump_search_scores"] = f"""WITH {_stump}
+SELECT dataset, o AS outer_fold, idx AS candidate_idx, {r('mean_r2', 6)} AS mean_r2 FROM cs"""
+ORACLE["stump_search_metrics"] = f"""WITH {_stump}
+SELECT dataset, fold, m.metric, {r("CASE m.metric WHEN 'r2' THEN r2 WHEN 'rmse' THEN rmse ELSE mae END", 4)} AS value
+FROM sw CROSS JOIN (VALUES ('r2'), ('rmse'), ('mae')) m(metric)"""
+ORACLE["stump_search_params"] = f"""WITH {_stump}
+SELECT dataset, o AS fold, 'minInstancesPerNode' AS name, value FROM ch JOIN leaf USING (idx)
+UNION ALL SELECT dataset, o, 'maxDepth', '1' FROM ch"""
+ORACLE["stump_best_params"] = f"""WITH {_stump},
+ob AS (SELECT dataset, idx, row_number() OVER (PARTITION BY dataset ORDER BY round(avg(mean_r2), 9) DESC, idx) AS rn FROM cs GROUP BY dataset, idx),
+bp AS (SELECT dataset, 'minInstancesPerNode' AS name, value FROM ob JOIN leaf USING (idx) WHERE rn = 1
+       UNION ALL SELECT dataset, 'maxDepth', '1' FROM ob WHERE rn = 1)
+SELECT 'tree' AS model, a.name, a.value AS with_value, b.value AS without_value, a.value IS NOT DISTINCT FROM b.value AS equal
+FROM bp a JOIN bp b USING (name) WHERE a.dataset = 'with_outliers' AND b.dataset = 'without_outliers'"""
+
+
+
 # ------------------------------------------------------------ sources and report
 ORACLE["typed_scan"] = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"
 _der = ("SELECT l_extendedprice / nullif(l_quantity, 0) AS price_per_unit, "

@@ -514,19 +514,52 @@ def hyperparameter_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.hyperparameter_comparison(best, MS.WITH, MS.WITHOUT)
 
 
-def _tree_facts(spark, sf_dir, kind):
+def _stumps(spark: SparkSession, sf_dir: str):
+    return MS.stump_search_of(MS.datasets(spark, sf_dir))
+
+
+@register("stump_search_scores")
+def stump_search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-73 + O-75 + O-77: mean inner R2 of one-split trees per minimum leaf size, by the tree search."""
+    _, _, scores, _ = _stumps(spark, sf_dir)
+    return scores.select("dataset", "outer_fold", "candidate_idx", rnd("mean_r2", 6).alias("mean_r2"))
+
+
+@register("stump_search_metrics")
+def stump_search_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-78 + O-80: held-out scores of the refitted one-split trees."""
+    fm, _, _, _ = _stumps(spark, sf_dir)
+    return fm.select("dataset", "fold", "metric", rnd("value", 4).alias("value"))
+
+
+@register("stump_search_params")
+def stump_search_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-89: parameters selected in each outer fold."""
+    _, params, _, _ = _stumps(spark, sf_dir)
+    return params.select("dataset", "fold", "name", "value")
+
+
+@register("stump_best_params")
+def stump_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-83 + O-88: parameters of the overall best one-split tree, with against without outliers."""
+    _, _, scores, cands = _stumps(spark, sf_dir)
+    best = R.best_params(scores, cands)
+    return R.hyperparameter_comparison(best, MS.WITH, MS.WITHOUT)
+
+
+def _tree_facts(spark, sf_dir, kind, **options):
     out = None
     for dataset, df in MS.datasets(spark, sf_dir).items():
-        fm, imp, params, scores, timing = MS.tree_study(df, kind, outer_parallelism=10, parallelism=1)
-        best = R.best_candidate(scores.withColumn("dataset", F.lit(dataset)))
+        fm, imp, params, scores, timing, cands = MS.tree_study(df, kind, **options)
+        best = R.best_params(scores.withColumn("dataset", F.lit(dataset)), cands)
         facts = (fm.select(F.lit("metric").alias("kind"), "model", "fold", F.col("metric").alias("name"),
                            F.col("value").cast("string").alias("value"))
                  .unionByName(params.select(F.lit("param").alias("kind"), "model", "fold", "name", "value"))
                  .unionByName(imp.select(F.lit("importance").alias("kind"), "model", "fold",
                                          F.col("feature").alias("name"), F.col("importance").cast("string").alias("value")))
-                 .unionByName(best.select(F.lit("best_candidate").alias("kind"), "model", F.lit(-1).alias("fold"),
-                                          F.lit("candidate_idx").alias("name"),
-                                          F.col("candidate_idx").cast("string").alias("value")))
+                 .unionByName(timing.select(F.lit("timing").alias("kind"), "model", "fold", F.col("metric").alias("name"),
+                                            F.col("value").cast("string").alias("value")))
+                 .unionByName(best.select(F.lit("best_candidate").alias("kind"), "model", F.lit(-1).alias("fold"), "name", "value"))
                  .select(F.lit(dataset).alias("dataset"), "*"))
         out = facts if out is None else out.unionByName(facts)
     return out
@@ -539,10 +572,15 @@ def tree_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tree_facts(spark, sf_dir, "tree")
 
 
+#: The registered search over forests. The study's own grid (``models.FOREST_GRID``, the library's default) needs forests of 400
+#: trees without a depth limit in 220 inner fits a feature subset; see README for what that costs.
+SMALL_FOREST_GRID = {"numTrees": [10], "maxDepth": [5], "featureSubsetStrategy": ["all", "2"]}
+
+
 @register("forest_nested_cv")
 def forest_nested_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-74 + O-76 + the same outputs for a random forest over ``models.FOREST_GRID``."""
-    return _tree_facts(spark, sf_dir, "forest")
+    """O-74 + O-76 + the same outputs for a random forest over ``SMALL_FOREST_GRID``."""
+    return _tree_facts(spark, sf_dir, "forest", grid=SMALL_FOREST_GRID, outer_parallelism=10, parallelism=1, max_bins=64)
 
 
 # ------------------------------------------------------------ sources and report

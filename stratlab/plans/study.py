@@ -112,7 +112,7 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
     cv_options = cv_options or {}
     base = MS.datasets_of(table, spec)
     funnel = D.quality_counts(table, list(spec.outlier_cols))
-    fms, imps, params, cands, tms = [], [], [], [], []
+    fms, imps, params, cands, tms, grids = [], [], [], [], [], {}
     for ds, df in base.items():
         df = df.checkpoint()
         tms.append(D.target_summary(df, spec.target).select(F.lit(ds).alias("dataset"),
@@ -126,7 +126,8 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
         for kind, grid in (("tree", tree_grid), ("forest", forest_grid)):
             if kind not in kinds:
                 continue
-            fm, imp, prm, sc, timing = MS.tree_study(df, kind, grid=grid, spec=spec, **cv_options)
+            fm, imp, prm, sc, timing, names = MS.tree_study(df, kind, grid=grid, spec=spec, **cv_options)
+            grids[kind] = names
             fms.append(tag(fm).unionByName(tag(timing), allowMissingColumns=True))
             imps.append(tag(imp))
             params.append(tag(prm))
@@ -139,8 +140,7 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
         F.when(F.col("metric").isin("rmse", "mae"),
                F.col("value") / F.element_at(F.create_map(*[x for k, v in tm_map.items()
                                                              for x in (F.lit(k), F.lit(v))]), F.col("dataset"))))
-    fold_metrics = fold_metrics.filter(F.col("metric") != "fit_seconds").unionByName(
-        fold_metrics.filter(F.col("metric") == "fit_seconds")).checkpoint()
+    fold_metrics = fold_metrics.checkpoint()
     quality = fold_metrics.filter(F.col("metric") != "fit_seconds")
     out = {
         "quality_counts": funnel,
@@ -157,6 +157,8 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
         out["candidate_scores"] = union(cands)
         best = R.best_candidate(union(cands))
         out["best_candidate"] = best
+        out["best_params"] = R.best_params(union(cands), union(list(grids.values())))
+        out["parameter_comparison"] = R.hyperparameter_comparison(out["best_params"], MS.WITH, MS.WITHOUT)
     if out_path:
         IO.write_results({k: v for k, v in out.items() if k != "document"}, out_path)
         out["document"].write.mode("overwrite").json(os.path.join(out_path, "document"))

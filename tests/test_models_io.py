@@ -134,25 +134,3 @@ def test_results_round_trip(spark):
         IO.write_results({"fold_metrics": fm}, d)
         back = IO.read_results(spark, d, "fold_metrics", fm.schema)
         assert sorted(back.collect()) == sorted(fm.collect())
-
-
-@pytest.mark.parametrize("kind", ["tree", "forest"])
-def test_registered_searches_use_the_full_grid_and_both_datasets(spark, monkeypatch, kind):
-    from stratlab.plans import model_study as MS
-    from stratlab.plans import queries as Q
-    seen, frames = [], {"with": spark.range(1), "without": spark.range(2)}
-
-    def search(df, features, label, fold, inner, kind, grid=None, max_bins=256, **options):
-        seen.append((df, kind, grid, max_bins))
-        rows = [(0, 1.0, 1.0), (0, 2.0, 2.5)]
-        return spark.createDataFrame(rows, "fold int, target double, prediction double"), [
-            {"fold": 0, "importances": [1.0], "best_params": {"maxDepth": "3"}, "avg_metrics": [0.5, 0.7], "fit_seconds": 1.0}], None
-    monkeypatch.setattr(MS, "datasets", lambda *_: frames)
-    monkeypatch.setattr(MS.FE, "one_hot", lambda df, *_: df)
-    monkeypatch.setattr(MS, "with_folds", lambda df, **_: df.selectExpr(
-        "0 fold", "0 inner", *[f"1.0 `{c}`" for c in dict.fromkeys([MS.DEFAULT_SPEC.target, *MS.DEFAULT_SPEC.numeric,
-                               *MS.FE.dummy_names(MS.DEFAULT_SPEC.category, list(MS.DEFAULT_SPEC.levels))])]))
-    monkeypatch.setattr(MS.M, "nested_cv", search)
-    rows = Q.REGISTRY[f"{kind}_nested_cv"](spark, "").collect()
-    assert [s[1:] for s in seen] == [(kind, None, 256)] * 2
-    assert {(r.dataset, r.value) for r in rows if r.kind == "best_candidate"} == {("with", "1"), ("without", "1")}
