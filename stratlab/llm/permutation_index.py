@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from stratlab.llm.common import Scratch, thin_by_hash
 
-POSTS = 3
+POSTS = 2
 ORDER = 64
 BLOCK = 4096
 SAMPLE = 16_384
@@ -71,19 +71,22 @@ class Pivots:
 def positions(orders: np.ndarray, pivots: int) -> np.ndarray:
     """The place of each pivot (row) in each order (column); the length of the orders where it is absent."""
     n, depth = orders.shape
-    place = np.full((pivots, n), depth, np.int16)
-    place[orders.T, np.arange(n)[None, :]] = np.arange(depth, dtype=np.int16)[:, None]
+    place = np.full((pivots, n), depth, np.uint8)
+    place[orders.T, np.arange(n)[None, :]] = np.arange(depth, dtype=np.uint8)[:, None]
     return place
 
 
 def footrule(order: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Spearman's footrule between one order and each column of ``place``; absent pivots stand right
-    behind the last place."""
+    behind the last place.
+
+    Places of one order sum to the same whether a pivot is in the other or not, so the sum of
+    |x - y| over the pivots is twice the sum of max(x, y) over those of one order, less a constant.
+    """
     depth = len(order)
     at = place[order.astype(np.int64)]
-    own = np.arange(depth, dtype=np.int16)[:, None]
-    common = (np.abs(at - own) + at).sum(axis=0, dtype=np.int32)
-    return common - depth * depth + depth * (depth + 1) // 2
+    np.maximum(at, np.arange(depth, dtype=np.uint8)[:, None], out=at)
+    return 2 * at.sum(axis=0, dtype=np.uint16).astype(np.int32) - depth * (depth - 1)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -158,7 +161,7 @@ def usable_vectors(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def search_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, recall: float = 0.98) -> DataFrame:
+def search_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, recall: float = 0.965) -> DataFrame:
     """The ``k`` nearest vectors found for every row whose vec_id is divisible by ``query_step``.
 
     Takes vec_id and ``embedding`` (array of numbers); nearness is the largest inner product in
@@ -172,7 +175,7 @@ def search_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, rec
     indexed once, with their ``k`` + 1 smallest ids: no further one can be among the ``k`` nearest. An empty table
     gives no row. Other columns are not read.
 
-    Scale: every vector is compared with ``pivot_count`` pivots and shuffled at most three times; lists are gathered in
+    Scale: every vector is compared with ``pivot_count`` pivots and shuffled at most four times; lists are gathered in
     blocks of some 4,096 vectors, queries of a block in groups of as many, so that a hot list or a crowd
     of equal queries is dealt over many tasks. The driver sees the sample and one count a pivot.
     """
@@ -192,12 +195,16 @@ def search_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, rec
     m = min(pivot_count(n), len(sample))
     pivots = Pivots(sample[:m], math.sqrt(largest))
     lists, limit = fit_depths(sample, pivots, k, recall)
-    return read_lists(scratch, one.where(F.col("vec_id") % query_step == 0), classes, pivots, lists, limit, k, sample[:m])
+    return read_lists(scratch, one.where(F.col("vec_id") % query_step == 0), classes, pivots, lists, limit, k, sample[:m], sample[:n // 4])
 
 
 def read_lists(scratch: Scratch, queries: DataFrame, classes: DataFrame, pivots: Pivots, lists: int, limit: int,
-               k: int, points: np.ndarray) -> DataFrame:
-    """Index ``classes``, read ``lists`` lists for each of ``queries``, rerank up to the footrule ``limit``."""
+               k: int, points: np.ndarray, some: np.ndarray) -> DataFrame:
+    """Index ``classes``, read ``lists`` lists for each of ``queries``, rerank up to the footrule ``limit``, and in a
+    block at least four times as many as are wanted.
+
+    The score of the k-th best of ``some`` vectors bounds that of the k-th best of all from below, so a block returns
+    only what reaches it. Queries left with fewer than ``k`` are read again without that bound."""
     m = len(points)
     depth, posts = min(ORDER, m), min(POSTS, m)
     kind = classes.schema["v"].dataType.simpleString()
@@ -224,7 +231,7 @@ def read_lists(scratch: Scratch, queries: DataFrame, classes: DataFrame, pivots:
         sizes[r["pivot"]] = r["n"]
     heads = Pivots(points[:max(1, int(sizes.sum() // BLOCK))], pivots.largest)
     first, parts = place_lists(sizes, heads.orders(points, 1)[:, 0])
-    enough = posts * (k + 1)
+    enough, least = posts * (k + 1), 4 * (k + 1)
 
     def homes(ids: np.ndarray, mine: np.ndarray) -> np.ndarray:
         """The block that holds each posting of each vector."""
@@ -243,6 +250,15 @@ def read_lists(scratch: Scratch, queries: DataFrame, classes: DataFrame, pivots:
             yield pa.RecordBatch.from_arrays([pa.array(at[rows, which], pa.int64()), *(c.take(pa.array(rows)) for c in batch.columns)],
                                              names=["block", "v", "ids", "pivots"])
 
+    def lower_bounds(q: np.ndarray) -> np.ndarray:
+        if len(some) <= k:
+            return np.full(len(q), -np.inf)
+        out = np.empty(len(q))
+        for at in range(0, len(q), 256):
+            score = q[at:at + 256] @ some.T
+            out[at:at + 256] = np.partition(score, len(some) - k - 1, axis=1)[:, len(some) - k - 1]
+        return out - 1e-9 * pivots.largest * np.sqrt(np.einsum("ij,ij->i", q, q))
+
     def ask(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -250,6 +266,7 @@ def read_lists(scratch: Scratch, queries: DataFrame, classes: DataFrame, pivots:
             orders = pivots.orders(matrix(batch.column(1)), m, query=True)
             held = np.cumsum(sizes[orders.astype(np.int64)], axis=1)
             rows, blocks, read = [], [], []
+            bounds = lower_bounds(matrix(batch.column(1)))
             for i, order_ in enumerate(orders):
                 n = min(m, max(lists, depth, int(np.searchsorted(held[i], enough)) + 1))
                 own = order_[:n].astype(np.int64)
@@ -258,8 +275,9 @@ def read_lists(scratch: Scratch, queries: DataFrame, classes: DataFrame, pivots:
                 blocks.append(to)
                 read += [order_[:n].astype("<u2").tobytes()] * len(to)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(blocks), pa.int64()),
-                                              *(c.take(pa.array(rows, pa.int64())) for c in batch.columns), pa.array(read, pa.binary())],
-                                             names=["block", "query_id", "v", "pivots"])
+                                              *(c.take(pa.array(rows, pa.int64())) for c in batch.columns), pa.array(read, pa.binary()),
+                                              pa.array(bounds[np.array(rows, np.int64)], pa.float64())],
+                                             names=["block", "query_id", "v", "pivots", "bound"])
 
     def rank(key, left, right):
         block = key[0].as_py()
@@ -267,55 +285,66 @@ def read_lists(scratch: Scratch, queries: DataFrame, classes: DataFrame, pivots:
         vectors = matrix(right.column("v").combine_chunks())
         theirs = uint16_rows(right.column("pivots"))
         head = first_ids(ids)
-        own_list = homes(head, theirs) == block
-        posted = theirs[:, :posts].astype(np.int64)
+        own_list = np.ascontiguousarray((homes(head, theirs) == block).T)
+        posted = np.ascontiguousarray(theirs[:, :posts].T.astype(np.int64))
         ids = ids.to_pylist()
         found: list[tuple[int, int, float]] = []
         asked = list(zip(left.column("query_id").to_pylist(), matrix(left.column("v").combine_chunks()),
-                         left.column("pivots").to_pylist()))
+                         left.column("pivots").to_pylist(), left.column("bound").to_pylist()))
         best: list[list[tuple[float, int]]] = [[] for _ in asked]
         step = max(1, 16_000_000 // m)
         for at in range(0, len(head), step):
             place = positions(theirs[at:at + step], m)
-            for i, (query, q, read) in enumerate(asked):
+            for i, (query, q, read, bound) in enumerate(asked):
                 order_ = np.frombuffer(read, "<u2")
                 reads = np.zeros(m, bool)
                 reads[order_] = True
-                hit = reads[posted[at:at + step]]
-                mine = hit[:, 0] & own_list[at:at + step, 0]
-                before = hit[:, 0].copy()
-                for j in range(1, posts):
-                    mine |= ~before & hit[:, j] & own_list[at:at + step, j]
-                    before |= hit[:, j]
+                mine, before = np.zeros(place.shape[1], bool), np.zeros(place.shape[1], bool)
+                for j in range(posts):  # a pair counts in the first list of the vector that the query reads
+                    hit = reads[posted[j, at:at + step]]
+                    mine |= hit & ~before & own_list[j, at:at + step]
+                    before |= hit
                 mine = np.flatnonzero(mine)
                 if not len(mine):
                     continue
-                distance = (footrule(order_[:depth], place)[mine] if 3 * len(mine) > place.shape[1]
-                            else footrule(order_[:depth], np.ascontiguousarray(place[:, mine])))
+                distance = footrule(order_[:depth], place)[mine]
                 near = mine[distance <= limit]
-                if len(near) <= k:
-                    near = mine[np.argsort(distance, kind="stable")[:k + 1]]
-                score = np.einsum("ij,j->i", vectors[at + near], q)
-                top = near[np.lexsort((head[at + near], -score))[:k + 1]] + at
-                score = np.einsum("ij,j->i", vectors[top], q)
-                rows = best[i] + [(-s, d) for s, t in zip(score.tolist(), top.tolist()) for d in ids[t] if d != query]
+                if len(near) < least:
+                    near = mine[np.argsort(distance, kind="stable")[:least]]
+                near = near + at
+                score = np.einsum("ij,j->i", vectors[near], q)
+                high = score >= bound
+                near, score = near[high], score[high]
+                top = np.lexsort((head[near], -score))[:k + 1]
+                rows = best[i] + [(-s, d) for s, t in zip(score[top].tolist(), near[top].tolist()) for d in ids[t] if d != query]
                 rows.sort()
                 best[i] = rows[:k]
-        for (query, _, _), rows in zip(asked, best):
+        for (query, *_), rows in zip(asked, best):
             found += [(query, d, -s) for s, d in rows]
         return pa.table({"query_id": pa.array([r[0] for r in found], pa.int64()), "vec_id": pa.array([r[1] for r in found], pa.int64()),
                          "score": pa.array([r[2] for r in found], pa.float64())})
 
     asks = scratch.write(queries.select(F.col("vec_id").alias("query_id"), "v")
-                         .mapInArrow(ask, f"block bigint, query_id bigint, v {kind}, pivots binary"), "asks")
-    crowd = asks.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
-    left = asks.join(crowd, "block").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int")).drop("groups")
-    right = indexed.mapInArrow(post, f"block bigint, v {kind}, ids array<bigint>, pivots binary").join(crowd, "block").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(
-        rank, "query_id bigint, vec_id bigint, score double")
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                         .mapInArrow(ask, f"block bigint, query_id bigint, v {kind}, pivots binary, bound double"), "asks")
+    posted = indexed.mapInArrow(post, f"block bigint, v {kind}, ids array<bigint>, pivots binary")
+
+    def answer(asked: DataFrame) -> DataFrame:
+        crowd = asked.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
+        left = asked.join(crowd, "block").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int")).drop("groups")
+        right = posted.join(crowd, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
+        found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(
+            rank, "query_id bigint, vec_id bigint, score double")
+        by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+        return scratch.write(ranked.select("query_id", "rank", "vec_id", "score"), "found")
+
+    found = answer(asks)
+    full = found.where(F.col("rank") == k).select("query_id")
+    short = asks.where("bound > double('-infinity')").join(full, "query_id", "left_anti")
+    if short.isEmpty():
+        return found
+    again = answer(short.withColumn("bound", F.lit(float("-inf"))))
+    return found.join(again.select("query_id").distinct(), "query_id", "left_anti").unionByName(again)
 
 
 def first_ids(ids: pa.Array) -> np.ndarray:
