@@ -90,22 +90,14 @@ class Aligner:
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
         self.text_a = [str(i) for i in range(len(self.bytes_a))]
         self.text_b = [str(i) for i in range(len(self.bytes_b))]
-        self.words: dict[str, bytes] = {}
         self.memo = UnitMemo(self.encode_units, limit=800_000)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         """Ids of both for units that start with one space, as unsigned 32-bit numbers; those of B have the
         highest bit. ``DIFFERS`` stands before them if B does not give back the unit."""
-        if len(self.words) > 200_000:
-            self.words.clear()
         out, bytes_b = [], self.bytes_b.__getitem__
-        for unit, of_b in zip(units, self.b.encode([u[1:] for u in units], num_threads=1)):
-            both = array("I")
-            for w in self.a.split(unit):  # a word before a comma is mostly known by itself
-                got = self.words.get(w)
-                if got is None:
-                    got = self.words[w] = self.a.encode_word(w)
-                both.frombytes(got)
+        for unit, of_a, of_b in zip(units, self.a.encode_units(units), self.b.encode([u[1:] for u in units], num_threads=1)):
+            both = array("I", of_a)
             if b"".join(map(bytes_b, of_b)) != unit.encode("utf-8"):
                 both.append(DIFFERS)
             both.extend([i | OF_B for i in of_b])

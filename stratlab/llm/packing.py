@@ -114,8 +114,8 @@ def by_powers(pieces: list[tuple[int, int, int]], total: int) -> list[list[tuple
 class IdEncoder:
     """Token ids of texts by a ``tokenizers`` file, as little-endian unsigned 32-bit bytes.
 
-    For byte-level BPE files, units not met before are cut into pre-tokens and given to the
-    file's BPE model directly; other files encode every text whole.
+    For byte-level BPE files, units not met before are encoded by token ranks or, where the ids of the file do
+    not follow its merges, cut into pre-tokens and given to the file's BPE model directly; other files encode every text whole.
     """
 
     def __init__(self, path: str):
@@ -125,6 +125,7 @@ class IdEncoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t["content"] for t in spec["added_tokens"]]
         before = spec["pre_tokenizer"] or {}
@@ -138,25 +139,28 @@ class IdEncoder:
             self.alphabet = byte_alphabet()
             self.ascii = dict(enumerate(self.alphabet[:128]))
             self.model = self.tokenizer.model
+            self.ranked = self.by_ranks(spec)
             self.memo = UnitMemo(self.encode_units)
 
+    def by_ranks(self, spec: dict):
+        """An encoder of single units by token ranks, where the ids of the file grow in the order of its merges: then
+        the pair merged first is the one whose token has the smallest id."""
+        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
+        to_byte = {c: i for i, c in enumerate(self.alphabet)}
+        if len(self.alphabet) != sum(c in vocab for c in self.alphabet) or any(x >= y for x, y in zip(made, made[1:])) \
+                or max(vocab[c] for c in self.alphabet) >= min(made, default=len(vocab)):
+            return None
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        ranks = {bytes([to_byte[c] for c in t]): i for t, i in vocab.items() if t not in self.special}
+        return tiktoken.Encoding(self.path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def encode_units(self, units: list[str]) -> list[bytes]:
-        out, spaced, longest = [], self.memo.spaced, self.memo.longest
-        for unit in units:
-            words = self.split(unit)
-            if len(words) == 1:
-                out.append(self.encode_word(unit))
-                continue
-            parts = []
-            for w in words:  # a word before a comma is mostly known by itself
-                got = spaced.get(w[1:]) if w[0] == " " else None
-                if got is None:
-                    got = self.encode_word(w)
-                    if w[0] == " " and len(w) <= longest:
-                        spaced[w[1:]] = got
-                parts.append(got)
-            out.append(b"".join(parts))
-        return out
+        if self.ranked:
+            return [array("I", ids).tobytes() for ids in map(self.ranked, units)]
+        return [b"".join([self.encode_word(w) for w in self.split(u)]) for u in units]
 
     def encode_word(self, word: str) -> bytes:
         mapped = word.translate(self.ascii) if word.isascii() else "".join([self.alphabet[b] for b in word.encode("utf-8")])

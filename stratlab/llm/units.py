@@ -51,26 +51,26 @@ class UnitMemo:
         if len(self.known) + len(self.spaced) > self.limit:
             self.known.clear()
             self.spaced.clear()
+        spaced, known = self.spaced, self.known
         out, again, missing = [], [], set()
         for i, text in enumerate(texts):
             if simple(text):
                 first, *rest = text.split(" ")
-                got = list(map(self.spaced.get, rest))
-                if first:
-                    got.insert(0, self.known.get(first))
-                    if got[0] is None:
+                got = list(map(spaced.get, rest))
+                lead = [known.get(first)] if first else []
+                if None in got or None in lead:
+                    missing.update([" " + w for w, g in zip(rest, got) if g is None])
+                    if None in lead:
                         missing.add(first)
-                if None in got:
-                    known = self.spaced
-                    missing.update([" " + w for w in rest if w not in known])
-                    again.append(i)
+                    again.append((i, first, rest))
+                out.append(lead + got if lead else got)
             else:
                 split = ANY_UNIT.findall(text)
-                got = [self.spaced.get(u[1:]) if u[0] == " " else self.known.get(u) for u in split]
+                got = [spaced.get(u[1:]) if u[0] == " " else known.get(u) for u in split]
                 if None in got:
                     missing.update([u for u, g in zip(split, got) if g is None])
-                    again.append(i)
-            out.append(got)
+                    again.append((i, None, split))
+                out.append(got)
         if missing:
             missing = list(missing)
             once = {}
@@ -78,13 +78,18 @@ class UnitMemo:
                 if len(u) > self.longest:
                     once[u] = v
                 elif u[0] == " ":
-                    self.spaced[u[1:]] = v
+                    spaced[u[1:]] = v
                 else:
-                    self.known[u] = v
-            for i in again:
-                split = units(texts[i])
-                for k, g in enumerate(out[i]):
-                    if g is None:
-                        u = split[k]
-                        out[i][k] = once[u] if u in once else self.spaced[u[1:]] if u[0] == " " else self.known[u]
+                    known[u] = v
+            for i, first, split in again:
+                if first is None:
+                    out[i] = [(spaced.get(u[1:]) if u[0] == " " else known.get(u)) or once[u] for u in split]
+                    continue
+                got = list(map(spaced.get, split))
+                if None in got:
+                    got = [once[" " + w] if g is None else g for w, g in zip(split, got)]
+                if first:
+                    lead = known.get(first)
+                    got.insert(0, once[first] if lead is None else lead)
+                out[i] = got
         return out
