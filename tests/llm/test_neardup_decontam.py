@@ -135,7 +135,7 @@ def test_the_index_finds_every_fingerprint_within_the_radius():
                 x ^= 1 << int(b)
             prints.append(x)
     prints = np.array(prints, dtype=np.uint64)
-    got = set(zip(*[a.tolist() for a in index.near(prints)]))
+    got = set(zip(*[a.tolist() for a in index.near(prints, 6)]))
     want = {(i, j) for i, p in enumerate(prints) for j, q in enumerate(index.prints) if int(p ^ q).bit_count() <= decontam.RADIUS}
     assert got == want
 
