@@ -27,6 +27,8 @@ LEAD = PAD * (ORDER - 2) + BEGIN
 BITS = 12
 PIECE = 1 << 20
 BLOCK_BYTES = 24_000_000
+#: N-grams turned into strings at once.
+SLICE = 100_000
 #: A document is kept up to this quantile of the perplexities of the trusted documents in its language, each under the counts of the
 #: fold that it is not in; a language with under ``LEAST_ROWS`` (five beyond the quantile) takes the quantile of all languages.
 QUANTILE = 0.98
@@ -154,11 +156,9 @@ def folds(doc_ids: list[int | None], trusted: set) -> np.ndarray:
 
 def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
     """(block, gram, n0, n1): the distinct n-grams of each block and their counts in its trusted texts of either fold."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = set(right.column("doc_id").to_pylist())
-        block = left.column("_block")[0].as_py() if left.num_rows else 0
+    def counted(left: pa.Table, ids: set):
+        """(coder, codes, counts by fold) of each alphabet."""
         fold = folds(left.column("doc_id").to_pylist(), ids)
-        grams: dict[str, tuple[int, int]] = {}
         for coder, parts in pieces(left.column("text").to_pylist(), across):
             codes, counts = np.zeros(0, np.uint64), np.zeros((2, 0))
             for owner, symbols, lead in parts:
@@ -168,11 +168,22 @@ def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
                 n = [np.bincount(back, weights=fold[owner[where]] == f, minlength=len(new)) for f in (0, 1)]
                 codes, back = np.unique(np.concatenate([codes, new]), return_inverse=True)
                 counts = np.stack([np.bincount(back, weights=np.concatenate([counts[f], n[f]]), minlength=len(codes)) for f in (0, 1)])
-            for g, n0, n1 in zip(coder.strings(codes), *counts.astype(np.int64).tolist()):
-                old = grams.get(g, (0, 0))
-                grams[g] = old[0] + n0, old[1] + n1
-        return pa.table({"block": pa.array([block] * len(grams), pa.int32()), "gram": pa.array(list(grams), pa.string()),
-                         **{f"n{f}": pa.array([n[f] for n in grams.values()], pa.int64()) for f in (0, 1)}})
+            yield coder, codes, counts.astype(np.int64)
+
+    def table(block: int, grams: pa.Array, n0: np.ndarray, n1: np.ndarray) -> pa.Table:
+        return pa.table({"block": pa.array(np.full(len(grams), block, np.int32)), "gram": grams, "n0": pa.array(n0), "n1": pa.array(n1)})
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = left.column("_block")[0].as_py() if left.num_rows else 0
+        found = list(counted(left, set(right.column("doc_id").to_pylist())))
+        parts = [pa.concat_tables([table(block, pa.array(coder.strings(codes[k:k + SLICE]), pa.string()), *counts[:, k:k + SLICE])
+                                   for k in range(0, len(codes), SLICE)]) for coder, codes, counts in found if len(codes)]
+        if not parts:
+            return table(block, pa.array([], pa.string()), *np.zeros((2, 0), np.int64))
+        if len(parts) == 1:  # one alphabet has each n-gram once
+            return parts[0]
+        whole = pa.concat_tables(parts).group_by(["block", "gram"]).aggregate([("n0", "sum"), ("n1", "sum")])
+        return whole.select(["block", "gram", "n0_sum", "n1_sum"]).rename_columns(["block", "gram", "n0", "n1"])
 
     return docs.select("_block", "doc_id", "text").groupBy("_block").cogroup(trusted.groupBy("_block")) \
         .applyInArrow(run, "block int, gram string, n0 bigint, n1 bigint")
