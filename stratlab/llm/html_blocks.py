@@ -12,7 +12,9 @@ import html
 import random
 import re
 import uuid
+import warnings
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,10 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption
 CLOSES_P = BLOCK - {"body", "html", "head", "button", "label", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr"}, "th": {"tr"}, "option": {"select", "datalist"}}
+HEAD_PARTS = {"head", "title", "meta", "link", "script", "style", "base", "basefont", "bgsound", "noscript", "noframes", "template"}
+FOREIGN = {"svg", "math"}
+#: Nesting up to which elements are described by their classes; deeper ones by their tag, and the path has the last eight of these.
+NAMED_DEPTH = 500
 P_SCOPE = {"td", "th", "button", "caption", "object"}
 
 
@@ -56,28 +62,43 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     end tags are passed over; a tag cut off by the end of the page gives no text.
     """
     out, stack, parts = [], [], []  # stack: (tag, names)
+    open_: Counter[str] = Counter()  # how many elements of each tag are on the stack
     linked = total = 0
 
     def flush():
         nonlocal linked, total
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((tuple(n for _, names in stack for n in names), text, linked / max(1, total)))
+            out.append((tuple(n for _, names in stack[:NAMED_DEPTH] for n in names) + tuple(t for t, _ in stack[NAMED_DEPTH:][-8:]),
+                        text, linked / max(1, total)))
         parts.clear()
         linked = total = 0
 
+    def drop(k: int):
+        for t, _ in stack[k:]:
+            open_[t] -= 1
+        del stack[k:]
+
     def pop_to(k: int):
         flush()
-        del stack[k:]
+        drop(k)
+
+    def end_head():
+        pop_to(next(k for k, (t, _) in enumerate(stack) if t == "head"))
 
     def say(text: str):
         nonlocal linked, total
-        if text and not any(t == "head" for t, _ in stack):
-            parts.append(text)
-            n = len(text.strip())
-            total += n
-            if any(t == "a" for t, _ in stack):
-                linked += n
+        if not text:
+            return
+        if open_["head"]:
+            if not text.strip():
+                return
+            end_head()  # text ends the head
+        parts.append(text)
+        n = len(text.strip())
+        total += n
+        if open_["a"]:
+            linked += n
 
     at = 0
     while True:
@@ -93,21 +114,22 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if m[1] or m[4]:
             if tag == "br":
                 parts.append(" ")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK or any(t in BLOCK for t, _ in stack[k:]):
-                        if tag not in BLOCK:
-                            break  # an inline end tag does not end the block around it
-                        pop_to(k)
-                    else:
-                        del stack[k:]
-                    break
+            if not open_[tag]:
+                continue
+            k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
+            if tag in BLOCK:
+                pop_to(k)
+            elif not any(t in BLOCK for t, _ in stack[k:]):  # an inline end tag does not end the block around it
+                drop(k)
             continue
+        if open_["head"] and tag not in HEAD_PARTS:
+            end_head()
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            if not (m[3] or m[6] or "").rstrip().endswith("/"):
+            # the standard passes over the slash of an empty element, but for foreign ones
+            if not (tag in FOREIGN and (m[3] or m[6] or "").rstrip().endswith("/")):
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
-            if tag not in ("svg", "math"):
+            if tag not in FOREIGN:
                 parts.append(" ")
             continue
         if tag in VOID:
@@ -118,24 +140,22 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             continue
         if tag in BLOCK:
             flush()
-            if tag in CLOSES_P:
+            if tag in CLOSES_P and open_["p"]:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p":
                         pop_to(k)
                         break
                     if stack[k][0] in P_SCOPE:
                         break
-            if tag in SAME:
+            if tag in SAME and any(open_[t] for t in SAME[tag]):
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] in SCOPE[tag]:
                         break
                     if stack[k][0] in SAME[tag]:
                         pop_to(k)
                         break
-            if tag == "body" and any(t == "head" for t, _ in stack):
-                pop_to(next(k for k, (t, _) in enumerate(stack) if t == "head"))
-        if len(stack) < 500:
-            stack.append((tag, names_of(tag, m[3] or m[6] or "")))
+        stack.append((tag, names_of(tag, m[3] or m[6] or "") if len(stack) < NAMED_DEPTH else (tag,)))
+        open_[tag] += 1
     flush()
     return out
 
@@ -408,7 +428,7 @@ def extract_main_text(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES)
     code points of longer ones, chosen by a hash of id and html, with the labels that their own markup gives and as pages composed anew of their texts; then it labels every block of every whole page. Null html: empty text. A
     page without main blocks: empty text. Null page_id or url: kept null. Repeated rows: one row each. Other
     columns are not read. Where no page of the sample marks its main text, its blocks of
-    eight words or more outside marked side matter stand for it. Without any text in the sample every text is empty (an error if the sample is full). Nothing but the sample is gathered; the model (about 110,000 numbers) is sent to the executors.
+    eight words or more outside marked side matter stand for it. Without any text in the sample every text is empty, with a warning. Nothing but the sample is gathered; the model (about 110,000 numbers) is sent to the executors.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
@@ -421,8 +441,8 @@ def extract_main_text(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES)
             sample += thin_by_hash(filled.where(F.col("whole") == whole), "h", n[whole], wanted) \
                 .groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(wanted).collect()
     xs, ys = training_pages([r["html"] for r in sample])
-    if not xs and len(sample) == max_train_pages:
-        raise ValueError(f"none of the {max_train_pages} pages sampled for training has any text")
+    if not xs and sample:
+        warnings.warn("no page sampled for training has any text: every text is empty")
     model = spark.sparkContext.broadcast({k: v.astype(np.float32) for k, v in fit(xs, ys).items()}) if xs else None
     key = f"labeller:{uuid.uuid4().hex}"
 

@@ -86,7 +86,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.path("archives")
     write_archives(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
     captures = scratch.write(assemble(scratch.write(read_records(spark, path, with_payload=False), "records")).select(
-        "capture_id", "response", F.col("metadata")[0]["fields"]["page-id"].cast("bigint").alias("page_id")), "captures")
+        "capture_id", "response", F.nullif(F.col("metadata")[0]["fields"]["page-id"], F.lit("")).cast("bigint").alias("page_id")), "captures")
     payloads = captures.where("response.type = 'response'").select(
         F.col("capture_id").alias("first_id"), F.col("page_id").alias("first_page"),
         F.col("response.payload_bytes").alias("first_bytes"), F.col("response.payload_digest").alias("first_digest"))

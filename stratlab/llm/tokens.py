@@ -86,7 +86,7 @@ class PrefixCounter:
         """Whether the text of tokens ``a``, ``b`` encodes to just these two: no pair that
         meets at their border is merged before one of both goes into a larger token.
         At equal rank (a run of one token) the left merge happens first."""
-        got = self.follows.get(a << 17 | b)
+        got = self.follows.get(a << 32 | b)
         if got is None:
             if a not in self.right_edges:
                 self.right_edges[a] = self.edge(a, 1)
@@ -104,7 +104,7 @@ class PrefixCounter:
                     break
             if len(self.follows) > 2_000_000:
                 self.follows.clear()
-            self.follows[a << 17 | b] = got
+            self.follows[a << 32 | b] = got
         return got
 
     def is_whole(self, token: int) -> bool:
@@ -160,7 +160,7 @@ class PrefixCounter:
             start = end + 1 - length
             if start:
                 before = last[start]
-                ok = follows.get(before << 17 | t)
+                ok = follows.get(before << 32 | t)
                 if ok is None:
                     ok = self.may_follow(before, t)
             else:

@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,10 @@ BUCKETS = 1 << 17
 DIM = 8
 WINDOW = 6
 NGRAMS = (3, 4, 5)
-#: Bounds of the training sample: documents of each class, and code points of one.
+#: Bounds of the training sample: documents of each class, code points of one (longer texts are cut) and of all of a class.
 MAX_PER_CLASS = 1_500
 MAX_TRAIN_CHARS = 50_000
+MAX_CLASS_CHARS = 12_000_000
 EPOCHS = 60
 
 
@@ -48,7 +51,7 @@ class Bags:
 
     def log_odds(self, y: np.ndarray) -> np.ndarray:
         """Log odds of each bucket in toxic against other texts, each word counted once a text, smoothed."""
-        pairs = np.unique(self.owner_of_word * max(1, len(self.sizes)) + self.flat)
+        pairs = np.unique(self.owner[self.window].astype(np.int64) * max(1, len(self.sizes)) + self.flat)
         word, toxic = pairs % max(1, len(self.sizes)), y[pairs // max(1, len(self.sizes))] == 1
         counts = [np.bincount(word[side], minlength=len(self.sizes)).astype(np.float64) for side in (toxic, ~toxic)]
         rates = []
@@ -61,24 +64,24 @@ class Bags:
         known: dict[str, int] = {}
         bags, flat, window, owner, windows = [], [], [], [], 0
         for d, text in enumerate(texts):
-            ids = []
+            ids = array("i")
             for w in words_of(text):
                 k = known.setdefault(w, len(known))
                 if k == len(bags):
-                    bags.append(subwords(w))
+                    bags.append(array("i", subwords(w)))
                 ids.append(k)
             n = max(1, -(-len(ids) // WINDOW))
-            flat += ids
-            window += [windows + i // WINDOW for i in range(len(ids))]
-            owner += [d] * n
+            flat.append(np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32))
+            window.append(windows + np.arange(len(ids), dtype=np.int32) // WINDOW)
+            owner.append(np.full(n, d, np.int32))
             windows += n
         self.sizes = np.array([len(b) for b in bags], dtype=np.float32)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes[:-1])]).astype(np.int64) if bags else np.zeros(0, np.int64)
-        self.buckets = np.array([g for b in bags for g in b], dtype=np.int32)
+        self.buckets = np.concatenate([np.frombuffer(b, np.int32) for b in bags]) if bags else np.zeros(0, np.int32)
         self.word_of_bucket = np.repeat(np.arange(len(bags)), self.sizes.astype(np.int64))
-        self.flat, self.window = np.array(flat, dtype=np.int64), np.array(window, dtype=np.int64)
-        self.owner_of_word = np.array(owner, dtype=np.int64)[self.window] if flat else self.flat
-        self.owner, self.windows, self.texts = np.array(owner, dtype=np.int64), windows, len(texts)
+        none = [np.zeros(0, np.int32)]
+        self.flat, self.window, self.owner = np.concatenate(flat or none), np.concatenate(window or none), np.concatenate(owner or none)
+        self.windows, self.texts = windows, len(texts)
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -160,24 +163,29 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> tuple[list[str], list[int]]:
-    """At most ``max_per_class`` texts of each class, chosen by a hash of the id.
+    """At most ``max_per_class`` texts of each class, chosen by a hash of the id among the labelled documents that
+    have a text, the first 50,000 code points of each; of a class some 12 million code points at most, in that order.
 
-    Rows held out (crc32 of the id as text divisible by 5) are never taken, nor texts beyond 50,000 code
-    points. A document labelled twice counts as toxic if one label says so.
+    Rows held out (crc32 of the id as text divisible by 5) are never taken. A document labelled twice
+    counts as toxic if one label says so.
     """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 5 <> 0") \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    usable = usable.withColumn("h", F.xxhash64("doc_id"))
+    usable = usable.join(rows.select("doc_id"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     sizes = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}
     picked = [thin_by_hash(usable.where(F.col("toxic") == k), "h", sizes.get(k, 0), max_per_class)
-              .orderBy("h", "doc_id").limit(max_per_class).select("doc_id", "toxic") for k in (0, 1)]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text") \
-        .where(F.length("text") <= MAX_TRAIN_CHARS) \
-        .join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id") \
-        .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+              .orderBy("h", "doc_id").limit(max_per_class).select("doc_id", "toxic", "h") for k in (0, 1)]
+    found = rows.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id") \
+        .groupBy("doc_id", "toxic", "h").agg(F.min(F.substring("text", 1, MAX_TRAIN_CHARS)).alias("text")).collect()
+    held, texts = Counter(), []
+    for r in sorted(found, key=lambda r: (r["h"], r["doc_id"])):
+        held[r["toxic"]] += len(r["text"])
+        if held[r["toxic"]] <= MAX_CLASS_CHARS:
+            texts.append((r["doc_id"], r["text"], r["toxic"]))
+    texts.sort()
+    return [t for _, t, _ in texts], [y for _, _, y in texts]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
@@ -194,7 +202,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_
     texts, y = training_sample(docs, labels, max_per_class)
     spark = docs.sparkSession
     if len(set(y)) == 2:
-        model = spark.sparkContext.broadcast(train(texts, y))
+        made = train(texts, y)
+        texts = []
+        model = spark.sparkContext.broadcast(made)
     else:
         model = None
     model_key = uuid.uuid4().hex

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -50,6 +51,18 @@ def test_held_out_labels_are_never_learnt(spark):
     assert len(X.training_sample(docs, labels, 5)[0]) == 10
 
 
+def test_only_long_texts_still_train(spark, monkeypatch):
+    monkeypatch.setattr(X, "MAX_TRAIN_CHARS", 400)
+    rows = [(k, t + " " + prose(random.Random(k), 200), y) for k, t, y in toxic_corpus(60, 6)]
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows] + [(900 + k, None) for k in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(900 + k, 1) for k in range(50)] + [(5000 + k, 1) for k in range(50)], "doc_id long, toxic int")
+    texts, y = X.training_sample(docs, labels, max_per_class=8)  # drawn among documents that have a text
+    assert sorted(y) == [0] * 8 + [1] * 8 and all(len(t) == 400 for t in texts)
+    assert len({r.score for r in X.score_toxicity(docs, labels).collect()}) > 10
+    monkeypatch.setattr(X, "MAX_CLASS_CHARS", 1_300)
+    assert sorted(X.training_sample(docs, labels, max_per_class=8)[1]) == [0] * 3 + [1] * 3
+
+
 def test_toxicity_awkward_rows(spark, awkward, nothing):
     one = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
     assert {r.score for r in X.score_toxicity(awkward, one).collect()} == {0.0}
@@ -220,6 +233,22 @@ def test_leaf_blocks():
     assert H.leaf_blocks('<div class="ad-banner" id=\'mainMenu\'><a href="#">go</a></div>')[0] == (("div", ".ad", ".banner", ".main", ".menu"), "go", 1.0)
 
 
+def test_blocks_of_odd_pages():
+    # a block or text ends a head without </head> or <body>
+    assert texts("<html><head><title>t</title><div>text of the page</div>") == ["text of the page"]
+    assert texts("<head><meta charset=x><title>t</title>bare text") == ["bare text"]
+    # the slash of an empty element does not end raw elements, but foreign ones
+    assert texts("<p>a</p><script/>code</script><p>b</p><script src=/a/>code</script><p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a<svg/>b</p><style/>x{}</style>c") == ["ab", "c"]
+    # any depth
+    deep = "<div>" * 3_000 + "<p>in</p>" + "</div>" * 3_000 + "<p>out</p>"
+    assert [b[1] for b in H.leaf_blocks(deep)] == ["in", "out"]
+    assert H.leaf_blocks(deep)[1][0] == ("p",)
+    began = time.perf_counter()
+    H.leaf_blocks("<p>" + "<svg/>x" * 40_000 + "<b>" * 40_000 + "</i>" * 40_000)
+    assert time.perf_counter() - began < 20
+
+
 def test_gradient_of_the_labeller():
     rng = np.random.default_rng(2)
     pages = [([[1, 2], [3], [2]], [[5], [6, 7], [5]], rng.random((3, 5)).tolist()), ([[4]], [[8]], rng.random((1, 5)).tolist())]
@@ -278,8 +307,9 @@ def test_the_share_of_the_sample_follows_the_pages_it_is_taken_from(spark, monke
     monkeypatch.setattr(H, "MAX_TRAIN_CHARS", max(map(len, made)))
     monkeypatch.setattr(H, "training_pages", lambda pages: (taken.extend(pages), ([], []))[1])
     pages = [(k, "u", p) for k, p in enumerate(made)] + [(k, "u", "x" * (H.MAX_TRAIN_CHARS + 1)) for k in range(60, 3_000)]
-    with pytest.raises(ValueError):
-        H.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), max_train_pages=10)
+    with pytest.warns(UserWarning):
+        got = H.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), max_train_pages=10)
+    assert {(r.text, r.n_chars) for r in got.collect()} == {("", 0)}
     assert len(taken) == 10 and set(taken) <= set(made)
 
 

@@ -57,3 +57,26 @@ def test_partners_in_either_direction_and_none(spark):
 
 def test_no_pages(spark):
     assert read_back(spark, spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_registered_query_against_brute_force(spark, tmp_path):
+    """All columns of the query, with a null page_id, null and repeated html."""
+    import base64
+    import hashlib
+
+    from stratlab.llm.queries import op8_warc
+
+    rows = [(5, "http://a/x", "<p>one</p>"), (2, "http://a/y", "<p>one</p>"), (9, None, None), (3, "u", ""), (7, "http://b", "é WARC/1.1\r\n x"),
+            (None, "http://c", "<p>null id</p>"), (11, "http://d", "<p>null id</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    want = []
+    for i, _, h in rows:
+        raw = (h or "").encode()
+        is_first = first[h or ""] == i
+        want.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if is_first else "revisit",
+                     None if is_first else first[h or ""]))
+    assert sorted(map(tuple, op8_warc(spark, str(tmp_path)).collect()), key=str) == sorted(want, key=str)
