@@ -13,8 +13,8 @@ Rounds run on distinct values with weights (equal values merge at height
 value)`` is strictly below both neighbouring keys; the hash makes ties break the
 same way everywhere and keeps rounds few on evenly spaced data.
 
-Intervals live in value-range buckets, whose number follows the number of
-intervals left. In a round every bucket merges all that it can in one pass
+Intervals live in value-range buckets, whose number shrinks when few
+intervals are left. In a round every bucket merges all that it can in one pass
 over its intervals: a merge needs a smaller key than both neighbours, and the
 distance to the interval beyond a border at the start of the round is a lower
 bound, as an interval that grows moves away from its neighbours (complete,
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .ordered import range_buckets, running_sum, with_neighbours
+from .ordered import beside_buckets, range_buckets, running_sum, with_neighbours
 from ..functions.frames import literal_frame
 
 # Linkage order (first wins on equal scores) and the k sweep.
@@ -48,7 +48,10 @@ SCORE_PLACES = 9   # scores equal to so many places are ties: float sums differ
 INTERVALS_PER_BUCKET = 200_000
 LEAST_PER_BUCKET = 64   # below that, buckets are joined rather than kept for parallelism
 
-_ROUND = "_kind int, lo double, hi double, n double, s double, hl string"
+#: Slots of the range partitioning for each bucket that the first round has.
+SLOTS = 4
+
+_ROUND = "linkage string, _kind int, lo double, hi double, n double, s double, hl string, slot int"
 
 
 # ------------------------------------------------------------------ inputs
@@ -85,7 +88,7 @@ def merge_bucket(intervals: list[tuple], before: tuple | None, after: tuple | No
                  ) -> tuple[list[tuple], list[tuple[float, float]]]:
     """(intervals left, merges as (boundary, height)) of one bucket.
 
-    ``intervals``: (lo, hi, n, s, hl) in order; ``before`` and ``after`` are the intervals beyond
+    ``intervals``: (lo, hi, n, s, hl, ...) in order; ``before`` and ``after`` are the intervals beyond
     the borders. A pair merges while its key is below both neighbouring keys. A merge changes the keys
     beside it only, so each one has at most four pairs looked at again.
     """
@@ -108,7 +111,7 @@ def merge_bucket(intervals: list[tuple], before: tuple | None, after: tuple | No
             continue
         a, b = at[i], at[j]
         merges.append((a[1], own[0]))
-        at[i], at[j] = (a[0], b[1], a[2] + b[2], a[3] + b[3], a[4]), None
+        at[i], at[j] = (a[0], b[1], a[2] + b[2], a[3] + b[3], *a[4:]), None
         right[i] = right[j]
         if right[j] <= m + 1:
             left[right[j]] = i
@@ -119,51 +122,78 @@ def merge_bucket(intervals: list[tuple], before: tuple | None, after: tuple | No
     return [x for x in at[1:m + 1] if x is not None], merges
 
 
-def _round(iv: DataFrame, linkage: str, buckets: int, shift: float) -> DataFrame:
-    """One round as rows of kind 0 (intervals left) and 1 (merges: boundary in lo, height in hi)."""
-    b = range_buckets(iv, "lo", buckets, out="_b", shift=shift)
+def _round(iv: DataFrame, width: dict[str, int], shift: int) -> DataFrame:
+    """One round of all linkages as rows of kind 0 (intervals left) and 1 (merges: boundary in lo, height in hi).
+
+    A bucket is ``width`` neighbouring slots; ``shift`` 1 moves the borders by half a bucket.
+    """
+    wide = F.element_at(F.create_map(*[F.lit(x) for kv in width.items() for x in kv]), F.col("linkage"))
+    b = iv.withColumn("_b", F.floor((F.col("slot") + F.floor(wide / 2) * shift) / wide))
     me = F.struct("lo", "hi", "n", "s", "hl")
-    edges = b.groupBy("_b").agg(F.min_by(me, "lo").alias("first"), F.max_by(me, "lo").alias("last"))
-    order = Window.orderBy("_b")   # one row per bucket
-    edges = edges.select("_b", F.lag("last").over(order).alias("before"), F.lead("first").over(order).alias("after"))
+    edges = b.groupBy("linkage", "_b").agg(F.min_by(me, "lo").alias("first"), F.max_by(me, "lo").alias("last"))
+    edges = beside_buckets(edges, "first", "last", "before", "after", "_b", ["linkage"]) \
+        .withColumnsRenamed({"linkage": "_of", "_b": "_at"})
 
-    def run(key, rows: pd.DataFrame, border: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame, border: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("lo", kind="mergesort")
         beyond = [None if x is None else (x["lo"], x["hi"], x["n"], x["s"], x["hl"]) for x in
                   ((border["before"].iloc[0], border["after"].iloc[0]) if len(border) else (None, None))]
-        left, merges = merge_bucket(list(zip(rows["lo"], rows["hi"], rows["n"], rows["s"], rows["hl"])), *beyond, linkage)
-        out = [(0, *x) for x in left] + [(1, at, height, None, None, None) for at, height in merges]
-        return pd.DataFrame(out, columns=["_kind", "lo", "hi", "n", "s", "hl"])
+        left, merges = merge_bucket(list(zip(*[rows[c].tolist() for c in ("lo", "hi", "n", "s", "hl", "slot")])), *beyond, key[0])
+        out = [(key[0], 0, *x) for x in left] + [(key[0], 1, at, height, None, None, None, None) for at, height in merges]
+        out = pd.DataFrame(out, columns=["linkage", "_kind", "lo", "hi", "n", "s", "hl", "slot"])
+        return out.astype({"slot": "Int32"})
 
-    return b.select("_b", "lo", "hi", "n", "s", "hl").groupBy("_b").cogroup(edges.groupBy("_b")).applyInPandas(run, _ROUND)
+    return b.select("linkage", "_b", "lo", "hi", "n", "s", "hl", "slot").groupBy("linkage", "_b") \
+        .cogroup(edges.groupBy("_of", "_at")).applyInPandas(run, _ROUND)
 
 
-def linkage_boundaries(d: DataFrame, linkage: str, least_per_bucket: int = LEAST_PER_BUCKET,
-                       per_bucket: int = INTERVALS_PER_BUCKET) -> DataFrame:
-    """O-59: dendrogram of one linkage as (boundary, height), from ``distinct_weighted`` output."""
-    if linkage == "single":
-        nb = with_neighbours(d.select("lo"), "lo", prev="_prev")
-        return nb.filter(F.col("_prev").isNotNull()).select(
-            F.col("_prev").alias("boundary"), (F.col("lo") - F.col("_prev")).alias("height"))
+def all_boundaries(d: DataFrame, linkages: Sequence[str], least_per_bucket: int = LEAST_PER_BUCKET,
+                   per_bucket: int = INTERVALS_PER_BUCKET) -> DataFrame:
+    """O-59: dendrograms as (linkage, boundary, height), from ``distinct_weighted`` output.
+
+    The rounds of several linkages run together: one exchange, one written table and one count a round. The values are
+    range-partitioned once, into slots that an interval keeps (its first value's); a bucket is some neighbouring slots.
+    """
     spark = d.sparkSession
     ensure_checkpoint_dir(spark)
-    iv, merged, k, still = d, [], 0, 0
-    left = d.count()
-    while left > 1:
-        buckets = max(-(-left // per_bucket), min(spark.sparkContext.defaultParallelism, left // least_per_bucket), 1)
-        done = _round(iv, linkage, buckets, 0.5 * (k % 2)).checkpoint()
-        merged.append(done.filter("_kind = 1").select(F.col("lo").alias("boundary"), F.col("hi").alias("height")))
-        iv = done.filter("_kind = 0").drop("_kind")
-        now = iv.count()
-        still = still + 1 if now == left else 0
-        if still > 1:   # the smallest key of all is inside a bucket in one of two rounds
-            raise RuntimeError(f"{linkage} linkage does not get on with {left} intervals")
-        left, k = now, k + 1
+    merged = []
+    if "single" in linkages:
+        nb = with_neighbours(d.select("lo"), "lo", prev="_prev")
+        merged.append(nb.filter(F.col("_prev").isNotNull()).select(
+            F.lit("single").alias("linkage"), F.col("_prev").alias("boundary"), (F.col("lo") - F.col("_prev")).alias("height")))
+    others = [x for x in linkages if x != "single"]
+    if others:
+        d = d.checkpoint()
+        n = d.count()
+        most = max(-(-n // per_bucket), min(spark.sparkContext.defaultParallelism, n // least_per_bucket), 1)
+        slots = SLOTS * most
+        iv = range_buckets(d, "lo", slots, out="slot").withColumn("linkage", F.explode(F.array(*[F.lit(x) for x in others])))
+        left, still, k = dict.fromkeys(others, n), dict.fromkeys(others, 0), 0
+        while any(x > 1 for x in left.values()):
+            # buckets are only joined when there are few intervals in all, so that none of them gets large
+            buckets = {x: max(1, min(most, m // least_per_bucket)) for x, m in left.items() if m > 1}
+            done = _round(iv.filter(F.col("linkage").isin(list(buckets))), {x: -(-slots // b) if b > 1 else 2 * slots + 2 for x, b in buckets.items()},
+                          k % 2).checkpoint()
+            merged.append(done.filter("_kind = 1").select("linkage", F.col("lo").alias("boundary"), F.col("hi").alias("height")))
+            iv = done.filter("_kind = 0").drop("_kind")
+            now = {r["linkage"]: r["count"] for r in iv.groupBy("linkage").count().collect()}
+            for x in buckets:
+                still[x] = still[x] + 1 if now.get(x, 0) == left[x] else 0
+                if still[x] > 1:   # the smallest key of all is inside a bucket in one of two rounds
+                    raise RuntimeError(f"{x} linkage does not get on with {left[x]} intervals")
+                left[x] = now.get(x, 0)
+            k += 1
     if not merged:
-        return d.select(F.col("lo").alias("boundary"), F.col("lo").alias("height")).limit(0)
+        return d.select(F.lit("").alias("linkage"), F.col("lo").alias("boundary"), F.col("lo").alias("height")).limit(0)
     return functools.reduce(DataFrame.unionByName, merged)
 
 
+def linkage_boundaries(d: DataFrame, linkage: str, least_per_bucket: int = LEAST_PER_BUCKET,
+                       per_bucket: int = INTERVALS_PER_BUCKET) -> DataFrame:
+    """O-59: dendrogram of one linkage as (boundary, height), from ``distinct_weighted`` output."""
+    return all_boundaries(d, [linkage], least_per_bucket, per_bucket).drop("linkage")
+
+
 # ------------------------------------------------------------------ cuts and labels
 
 
@@ -173,6 +203,15 @@ def top_boundaries(bounds: DataFrame, kmax: int = max(CLUSTER_COUNTS)) -> list[t
     return [(r["boundary"], r["height"]) for r in rows]
 
 
+def top_boundaries_by_linkage(bounds: DataFrame, kmax: int = max(CLUSTER_COUNTS)) -> dict[str, list[tuple[float, float]]]:
+    """The ``kmax`` highest merges of each linkage, from one table of them."""
+    rank = F.row_number().over(Window.partitionBy("linkage").orderBy(F.col("height").desc(), F.col("boundary")))
+    out: dict[str, list[tuple[float, float]]] = {}
+    for r in bounds.withColumn("_r", rank).filter(F.col("_r") <= kmax).orderBy("linkage", "_r").collect():
+        out.setdefault(r["linkage"], []).append((r["boundary"], r["height"]))
+    return out
+
+
 def cuts_for(top: Sequence[tuple[float, float]], k: int) -> list[float]:
     """O-60: boundaries cut for at most k clusters: height above the k-th largest
     (ties at that height stay merged, so fewer clusters can result)."""
@@ -280,12 +319,11 @@ def cluster_study(df: DataFrame, col: str, linkages: Sequence[str] = LINKAGES,
     """
     ensure_checkpoint_dir(df.sparkSession)
     d = distinct_weighted(df, col).checkpoint()
-    settings, tops = {}, {}
+    settings = {}
+    tops = top_boundaries_by_linkage(all_boundaries(d, linkages), max(ks))
     for l in linkages:
-        b = linkage_boundaries(d, l)
-        tops[l] = top_boundaries(b, max(ks))
         for k in ks:
-            settings[(l, k)] = cuts_for(tops[l], k)
+            settings[(l, k)] = cuts_for(tops.get(l, []), k)
     scores = silhouette_scores(d, settings).checkpoint()
     best = best_setting(scores).first()
     if best is None:   # no values

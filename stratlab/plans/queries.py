@@ -344,9 +344,7 @@ def cluster_sizes_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dendrogram_linkages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-59 (complete, average, ward): merge rounds, every boundary with its height."""
     d = L.distinct_weighted(I.events(spark, sf_dir), "value")
-    parts = [L.linkage_boundaries(d, l).withColumn("linkage", F.lit(l)) for l in ["complete", "average", "ward"]]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.select("linkage", "boundary", rnd("height", 6).alias("height"))
+    return L.all_boundaries(d, ["complete", "average", "ward"]).select("linkage", "boundary", rnd("height", 6).alias("height"))
 
 
 @register("silhouette_sweep")

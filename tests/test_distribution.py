@@ -77,6 +77,18 @@ def test_neighbours_across_buckets(spark):
     assert got["next_value"].tolist()[:-1] == xs[1:].tolist()
 
 
+def test_two_level_scans_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(O, "SUPER", 4)
+    rng = np.random.default_rng(10)
+    xs = rng.permutation(600).astype(float)
+    df = spark.createDataFrame([(float(x), int(x) % 7, int(x) % 3) for x in xs], "x double, w long, u long")
+    got = O.running_sum(df, "x", ["w", "u"], ["cw", "cu"], buckets=23).orderBy("x").toPandas()
+    assert got["cw"].tolist() == np.cumsum(np.arange(600) % 7).tolist() and got["cu"].tolist() == np.cumsum(np.arange(600) % 3).tolist()
+    near = O.with_neighbours(df.select("x"), "x", buckets=23).orderBy("x").toPandas()
+    assert near["prev_value"].tolist()[1:] == list(range(599)) and near["next_value"].tolist()[:-1] == list(range(1, 600))
+    assert O.running_sum(df.limit(0), "x", "w").count() == 0
+
+
 def test_correlation_constant_column_is_null(spark):
     df = spark.createDataFrame([(float(i), 1.0, float(2 * i)) for i in range(10)], "a double, k double, b double")
     rows = {(r.column_a, r.column_b): r.r for r in V.correlation_long(df, ["a", "k", "b"]).collect()}

@@ -126,13 +126,26 @@ def test_growing_gaps_need_few_rounds(spark, monkeypatch):
     """2000 squares: each merge waits for the one left of it; rounds follow the buckets, not the values."""
     rounds = []
     one = L._round
-    monkeypatch.setattr(L, "_round", lambda iv, linkage, buckets, shift: rounds.append(buckets) or one(iv, linkage, buckets, shift))
+    monkeypatch.setattr(L, "_round", lambda iv, width, shift: rounds.append(width["complete"]) or one(iv, width, shift))
     d = L.distinct_weighted(spark.createDataFrame([(float(i * i),) for i in range(2000)], "x double"), "x")
     out = L.linkage_boundaries(d, "complete")
     assert out.count() == 1999
-    assert rounds[0] >= spark.sparkContext.defaultParallelism and len(rounds) <= 6 * rounds[0]
+    buckets = spark.sparkContext.defaultParallelism
+    assert rounds[0] == L.SLOTS and len(rounds) <= 6 * buckets
 
 
 def test_study_of_no_values(spark):
     scores, best, _ = L.cluster_study(spark.createDataFrame([], "x double"), "x")
     assert scores.count() == 0 and best[2] == []
+
+
+@pytest.mark.parametrize("linkages", [["single", "complete", "average", "ward"], ["ward", "average"]])
+def test_linkages_together_are_those_alone(spark, linkages):
+    df, x = _events_like(spark, 90, 5)
+    d = L.distinct_weighted(df, "v")
+    got = L.all_boundaries(d, linkages, least_per_bucket=6, per_bucket=12).toPandas()
+    for linkage in linkages:
+        mine = got[got.linkage == linkage]
+        assert sorted((round(b, 9), round(h, 9)) for b, h in zip(mine.boundary, mine.height)) == naive_merges(list(x), linkage)
+    top = L.top_boundaries_by_linkage(L.all_boundaries(d, linkages), 4)
+    assert top == {l: L.top_boundaries(L.linkage_boundaries(d, l), 4) for l in linkages}
