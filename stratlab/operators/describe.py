@@ -15,6 +15,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import clean_numeric, numeric_columns
 from . import quantile as Q
@@ -126,6 +127,25 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable
     return wide.selectExpr(stack)
 
 
+def describe_with_strings(df: DataFrame, cols: Sequence[str] | None = None, **options) -> DataFrame:
+    """O-39 for all columns: (statistic, column, value, text). String columns have a count (``value``), the least
+    and the greatest string (``text``); their other statistics are NULL. Numeric columns as in ``describe``."""
+    cols = list(cols) if cols is not None else df.columns
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    strings = [c for c in cols if isinstance(kinds[c], StringType)]
+    numbers = [c for c in cols if c not in strings]
+    out = describe(df, numbers, **options).withColumn("text", F.lit(None).cast("string")) if numbers else None
+    if strings:
+        wide = df.agg(*[x for i, c in enumerate(strings) for x in (
+            F.count(c).cast("double").alias(f"count_{i}"), F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}"))])
+        cells = [(s, c, f"count_{i}" if s == "count" else "CAST(NULL AS DOUBLE)", f"{s}_{i}" if s in ("min", "max") else "CAST(NULL AS STRING)")
+                 for i, c in enumerate(strings) for s in STATISTICS]
+        rows = ", ".join(f"'{s}', '{c}', {v}, {t}" for s, c, v, t in cells)
+        long = wide.selectExpr(f"stack({len(cells)}, {rows}) as (statistic, column, value, text)")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def describe_wide(long: DataFrame, cols: Sequence[str], key: str = "statistic") -> DataFrame:
     """One row per statistic, one column per input column (the per-statistic table shape)."""
     return (long.groupBy(key).pivot("column", list(cols)).agg(F.first("value"))

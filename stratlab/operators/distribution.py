@@ -301,3 +301,9 @@ def scatter_points(df: DataFrame, x: str, others: Sequence[str]) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(o).alias("other"), F.col(o).cast("double").alias("y")) for o in others])
     return df.select(F.col(x).cast("double").alias("x"), F.explode(arr).alias("_p")).select(
         F.col("_p.other").alias("other"), "x", F.col("_p.y").alias("y"))
+
+
+def split_by_level(df: DataFrame, col: str, levels: Sequence[str]) -> dict[str, DataFrame]:
+    """O-55: the rows of each level of a category in domain order, levels without rows left out (one count for all)."""
+    held = {r[0] for r in df.filter(F.col(col).isin(list(levels))).select(col).distinct().collect()}   # at most one row a level
+    return {v: df.filter(F.col(col) == v) for v in levels if v in held}

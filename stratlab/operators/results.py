@@ -1,4 +1,4 @@
-"""Results layer over long result tables (O-46, O-57, O-58, O-83..O-88, O-90..O-97).
+"""Results layer over long result tables (O-46, O-57, O-58, O-83..O-88, O-90..O-93, O-97).
 
 Long tables, one row per fact:
   fold_metrics(dataset, model, fold, metric, value, share_of_target_mean)
@@ -104,13 +104,13 @@ def head(df: DataFrame, n: int, *order) -> DataFrame:
 
 
 def top_k(df: DataFrame, col: str, k: int = 20, *tiebreak: str) -> DataFrame:
-    """O-91: k largest values, nulls last."""
-    return df.orderBy(F.col(col).desc_nulls_last(), *tiebreak).limit(k)
+    """O-91: k largest values."""
+    return sort_desc(df, col, *tiebreak).limit(k)
 
 
 def sort_desc(df: DataFrame, col: str, *tiebreak: str) -> DataFrame:
-    """O-92."""
-    return df.orderBy(F.col(col).desc(), *tiebreak)
+    """O-92: descending, nulls last."""
+    return df.orderBy(F.col(col).desc_nulls_last(), *tiebreak)
 
 
 def fixed_order_key(col: str, order: Sequence[str]):
@@ -119,15 +119,6 @@ def fixed_order_key(col: str, order: Sequence[str]):
     return F.when(pos > 0, pos).otherwise(F.lit(len(order) + 1))
 
 
-def union_stat_tables(tables: Sequence[DataFrame], key: str, drop: Sequence[str] = ()) -> DataFrame:
-    """O-94: stack tables by name with the union of columns, first-seen order, key first."""
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t, allowMissingColumns=True)
-    seen = [c for c in out.columns if c not in set(drop) and c != key]
-    return out.select(key, *seen)
-
-
 def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
                  var: str = "variable", val: str = "value") -> DataFrame:
     """O-97: unpivot."""

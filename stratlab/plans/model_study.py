@@ -139,7 +139,8 @@ def linear_study(df: DataFrame, spec: ModelSpec = DEFAULT_SPEC) -> tuple[DataFra
 
 def tree_study(df: DataFrame, kind: str, grid: dict | None = None, spec: ModelSpec = DEFAULT_SPEC,
                k: int = S.DEFAULT_FOLDS, **cv_options):
-    """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores, timing, candidates).
+    """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores, timing, candidates,
+    fitted MLlib models by fold, which trees searched by path evaluation do not have).
 
     Trees are searched by path evaluation (``trees.nested_tree_search``), forests by MLlib (``models.nested_cv``).
     ``candidates`` gives the parameters of each candidate_idx.
@@ -169,7 +170,13 @@ def tree_study(df: DataFrame, kind: str, grid: dict | None = None, spec: ModelSp
                                    "model string, fold int, metric string, value double")
     candidates = literal_frame(spark, [(kind, i, n, str(v)) for i, c in enumerate(cands) for n, v in c.items()],
                                "model string, candidate_idx int, name string, value string")
-    return M.metrics_long(wide, ["model", "fold"]), imp, params, scores, timing, candidates
+    models = {p["fold"]: p["model"] for p in per_fold if "model" in p}
+    return M.metrics_long(wide, ["model", "fold"]), imp, params, scores, timing, candidates, models
+
+
+def feature_names(spec: ModelSpec = DEFAULT_SPEC) -> list[str]:
+    """Features of the tree models: the numeric ones and a dummy for every level."""
+    return [*spec.numeric, *FE.dummy_names(spec.category, list(spec.levels))]
 
 
 def stump_search_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFAULT_SPEC, k: int = S.DEFAULT_FOLDS,
@@ -177,7 +184,7 @@ def stump_search_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFAULT_SPEC,
     """The nested tree search with trees of one split, per dataset: (fold_metrics, fold_params, candidate_scores, candidates)."""
     out = None
     for ds, df in dsets.items():
-        fm, _, params, scores, _, cands = tree_study(df, "tree", {"maxDepth": [1], "minInstancesPerNode": list(leaves)}, spec, k)
+        fm, _, params, scores, _, cands, _ = tree_study(df, "tree", {"maxDepth": [1], "minInstancesPerNode": list(leaves)}, spec, k)
         mine = [x.withColumn("dataset", F.lit(ds)) for x in (fm, params, scores, cands)]
         out = mine if out is None else [a.unionByName(b) for a, b in zip(out, mine)]
     return tuple(out)

@@ -534,3 +534,76 @@ best AS (SELECT linkage, k FROM sc ORDER BY round(score, 9) DESC, lrank, k LIMIT
 SELECT b.linkage, b.k, t.cluster, count(*) AS n FROM best b CROSS JOIN (
   SELECT CAST(1 + (SELECT count(*) FROM cuts c JOIN best USING (linkage, k) WHERE c.boundary < e.value) AS INTEGER) AS cluster
   FROM events e) t GROUP BY ALL"""
+
+
+# ------------------------------------------------------------ files, strings, documents, several features
+ORACLE["mercator_by_segment"] = f"""
+SELECT CAST(dense_rank() OVER (ORDER BY list_position([{', '.join(f"'{x}'" for x in I.SEGMENTS)}], c_mktsegment)) - 1 AS INTEGER) AS plot,
+       c_mktsegment AS segment, c_custkey, x_m, y_m
+FROM ({ORACLE["mercator_points"]}) t WHERE list_position([{', '.join(f"'{x}'" for x in I.SEGMENTS)}], c_mktsegment) > 0"""
+ORACLE["assembled_features"] = f"""
+SELECT row_key, x_quantity AS feature_0, x_tax_ratio AS feature_1, CAST(category = 'A' AS DOUBLE) AS feature_2,
+       CAST(category = 'N' AS DOUBLE) AS feature_3, CAST(category = 'R' AS DOUBLE) AS feature_4, target, stratum
+FROM ({I.SQL['regression_table']}) t"""
+ORACLE["standardized_by_fold"] = f"""WITH {_fm},
+w2 AS (SELECT * FROM fd WHERE dataset = 'with_outliers'),
+sc AS (SELECT f.fold, avg(t.x_quantity) AS mq, stddev_pop(t.x_quantity) AS sq, avg(t.x_tax_ratio) AS mr, stddev_pop(t.x_tax_ratio) AS sr
+       FROM (SELECT DISTINCT fold FROM w2) f JOIN w2 t ON t.fold <> f.fold GROUP BY f.fold)
+SELECT row_key, fold, {r('(x_quantity - mq) / sq', 6)} AS x_quantity, {r('(x_tax_ratio - mr) / sr', 6)} AS x_tax_ratio FROM w2 JOIN sc USING (fold)"""
+_unions = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "price_per_unit", "tax_per_discount"]
+ORACLE["stats_files_round_trip"] = f"""
+SELECT "group", file, statistic, {', '.join(f"max(CASE WHEN \"column\" = '{c}' THEN value END) AS {c}" for c in _unions)}
+FROM ({_groups_sql}) t GROUP BY "group", file, statistic"""
+_texts = ["l_returnflag", "l_linestatus"]
+_stat_list = ["count", "mean", "q1", "median", "q3", "iqr", "std", "max", "min", "range", "outliers", "outliers_pct"]
+ORACLE["describe_with_strings"] = f"""
+SELECT statistic, "column", value, CAST(NULL AS VARCHAR) AS text FROM ({describe_sql("SELECT l_quantity FROM lineitem", ["l_quantity"])}) t
+UNION ALL """ + " UNION ALL ".join(
+    f"SELECT '{st}', '{c}', {f'CAST(count({c}) AS DOUBLE)' if st == 'count' else 'NULL'}, {f'{st}({c})' if st in ('min', 'max') else 'NULL'}"
+    + (" FROM lineitem" if st in ("count", "min", "max") else "")
+    for c in _texts for st in _stat_list)
+
+
+def _residuals(features: list[str]) -> str:
+    """Successive residual regressions: each feature is cleared of those before it, then the target of all, by train rows only."""
+    cols = [*features, "y"]
+    ctes = [f"""
+g0 AS (SELECT dataset, CAST(j.range AS INTEGER) AS j, fold, target AS y, {', '.join(features)} FROM lf CROSS JOIN range(0, 10) j),
+m0 AS (SELECT dataset, j, {', '.join(f'avg({c}) AS m_{c}' for c in cols)} FROM g0 WHERE fold <> j GROUP BY ALL),
+r0 AS (SELECT g0.dataset, g0.j, fold, {', '.join(f'{c} - m_{c} AS {c}' for c in cols)} FROM g0 JOIN m0 USING (dataset, j))"""]
+    for i, f in enumerate(features):
+        rest = cols[i + 1:]
+        ctes.append(f"""
+k{i} AS (SELECT dataset, j, {', '.join(f'sum({f} * {c}) / sum({f} * {f}) AS b_{c}' for c in rest)} FROM r{i} WHERE fold <> j GROUP BY ALL),
+r{i + 1} AS (SELECT t.dataset, t.j, fold, {', '.join(f'{c} - b_{c} * {f} AS {c}' for c in rest)} FROM r{i} t JOIN k{i} USING (dataset, j))""")
+    return ",".join(ctes)
+
+
+_full = ["f1", "f2", "f3", "f4"]
+ORACLE["linear_cv_full"] = f"""WITH {_fm},
+lf AS (SELECT dataset, fold, target, x_quantity AS f1, x_tax_ratio AS f2, CAST(category = 'N' AS DOUBLE) AS f3,
+              CAST(category = 'R' AS DOUBLE) AS f4 FROM fd),{_residuals(_full)},
+held AS (SELECT r4.dataset, r4.fold, r4.y AS e FROM r4 WHERE r4.fold = r4.j),
+tv AS (SELECT dataset, fold, var_pop(target) * count(*) AS sst FROM lf GROUP BY ALL),
+lw AS (SELECT h.dataset, h.fold, 1 - sum(e * e) / any_value(sst) AS r2, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae
+       FROM held h JOIN tv ON tv.dataset = h.dataset AND tv.fold = h.fold GROUP BY h.dataset, h.fold)
+SELECT dataset, 'linear' AS model, fold, m.metric, {r("CASE m.metric WHEN 'r2' THEN r2 WHEN 'rmse' THEN rmse ELSE mae END", 4)} AS value
+FROM lw CROSS JOIN (VALUES ('r2'), ('rmse'), ('mae')) m(metric)"""
+ORACLE["study_document"] = f"""WITH {_fm},
+p AS (SELECT model, metric, max(CASE WHEN dataset = 'with_outliers' THEN mean_value END) AS wv,
+             max(CASE WHEN dataset = 'without_outliers' THEN mean_value END) AS wov FROM mm GROUP BY ALL),
+dsn AS (SELECT DISTINCT dataset FROM fd),
+counts AS (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT count(*) FROM fd WHERE dataset = 'with_outliers') AS b,
+                  (SELECT count(*) FROM fd WHERE dataset = 'without_outliers') AS c),
+d AS (
+SELECT dataset, 'target' AS section, '' AS model, 'target_mean' AS name, target_mean AS value FROM tm
+UNION ALL SELECT dataset, 'r2', model, 'mean', mean_value FROM mm WHERE metric = 'r2'
+UNION ALL SELECT dataset, 'importance', model, feature, avg(importance) FROM im GROUP BY dataset, model, feature
+UNION ALL SELECT dataset, 'position', model, '', CAST(row_number() OVER (PARTITION BY dataset ORDER BY mean_value DESC, list_position([{_morder}], model)) AS DOUBLE)
+          FROM mm WHERE metric = 'r2'
+UNION ALL SELECT dataset, 'difference', model, metric, wov - wv FROM p CROSS JOIN dsn
+UNION ALL SELECT dataset, 'counts', '', 'total', CAST(b AS DOUBLE) FROM counts CROSS JOIN dsn
+UNION ALL SELECT dataset, 'counts', '', 'bad', 0.0 FROM dsn
+UNION ALL SELECT dataset, 'counts', '', 'used', CAST(b AS DOUBLE) FROM counts CROSS JOIN dsn
+UNION ALL SELECT dataset, 'counts', '', 'outliers', CAST(b - c AS DOUBLE) FROM counts CROSS JOIN dsn)
+SELECT dataset, section, model, name, {r('value', 4)} AS value FROM d"""

@@ -8,7 +8,7 @@ rounded the same way on both sides (``round(x * 10^p) / 10^p``).
 from __future__ import annotations
 
 import functools
-
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_away
 from ..operators import describe as D
+from ..session import ensure_checkpoint_dir
 from . import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,7 +251,7 @@ def scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("mercator_points")
 def mercator_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-55: Web-Mercator metres of derived lon/lat, per market segment, empty segments skipped."""
+    """O-55: Web-Mercator metres of derived lon/lat (by segment: ``mercator_by_segment``)."""
     cu = I.table(spark, sf_dir, "customer")
     lon = F.col("c_acctbal") / 100.0
     lat = (F.col("c_custkey") % 170 - 85).cast("double")
@@ -258,6 +259,15 @@ def mercator_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cu.select("c_custkey", "c_mktsegment", rnd(x, 2).alias("x_m"), rnd(y, 2).alias("y_m"))
 
 
+@register("mercator_by_segment")
+def mercator_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-55: the points of each market segment in domain order, a segment without customers left out."""
+    points = V.split_by_level(mercator_points(spark, sf_dir), "c_mktsegment", [*I.SEGMENTS[:2], "NO CUSTOMERS", *I.SEGMENTS[2:]])
+    out = [df.select(F.lit(i).alias("plot"), F.lit(level).alias("segment"), "c_custkey", "x_m", "y_m")
+           for i, (level, df) in enumerate(points.items())]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 # ------------------------------------------------------------ sampling
 
 from ..operators import sampling as S  # noqa: E402
@@ -387,13 +397,21 @@ def standardized_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return z.select("row_key", *[rnd(c, 6).alias(c) for c in MS.NUMERIC])
 
 
+@register("standardized_by_fold")
+def standardized_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-69: numeric features of the held-out rows of each outer fold, scaled as fitted on its train part."""
+    df = MS.with_folds(I.regression_table(spark, sf_dir)).select("row_key", "fold", *MS.NUMERIC)
+    return FE.standardize_by_fold(df, MS.NUMERIC, "fold").select("row_key", "fold", *[rnd(c, 6).alias(c) for c in MS.NUMERIC])
+
+
 @register("assembled_features")
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-68: feature vector, label and stratum (vector shown as an array)."""
+    """O-68: feature vector (one column an element), label and stratum."""
     from pyspark.ml.functions import vector_to_array
     df = FE.one_hot(I.regression_table(spark, sf_dir), "category", I.RETURN_FLAGS)
     v = FE.assemble(df, [*MS.NUMERIC, *FE.dummy_names("category", I.RETURN_FLAGS)])
-    return v.select("row_key", vector_to_array("features").alias("features"), "target", "stratum")
+    array = vector_to_array("features")
+    return v.select("row_key", *[array[i].alias(f"feature_{i}") for i in range(5)], "target", "stratum")
 
 
 def _single(spark, sf_dir):
@@ -548,7 +566,7 @@ def stump_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tree_facts(spark, sf_dir, kind, **options):
     out = None
     for dataset, df in MS.datasets(spark, sf_dir).items():
-        fm, imp, params, scores, timing, cands = MS.tree_study(df, kind, **options)
+        fm, imp, params, scores, timing, cands, _ = MS.tree_study(df, kind, **options)
         best = R.best_params(scores.withColumn("dataset", F.lit(dataset)), cands)
         facts = (fm.select(F.lit("metric").alias("kind"), "model", "fold", F.col("metric").alias("name"),
                            F.col("value").cast("string").alias("value"))
@@ -618,6 +636,24 @@ def stats_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stats_groups(spark, sf_dir).select("group", "file", "statistic", "column", rnd("value").alias("value"))
 
 
+@register("stats_files_round_trip")
+def stats_files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-04 + O-05 + O-06 + O-94: a file per statistic and group, written, read back by name, columns united."""
+    path = f"{ensure_checkpoint_dir(spark)}/stats-{uuid.uuid4().hex}"
+    long = _stats_groups(spark, sf_dir).checkpoint()
+    for prefix, group in IO.STATS_GROUPS.items():
+        IO.write_stat_files(long.filter(F.col("group") == group), path, prefix)
+    back = IO.read_stat_files(spark, path)
+    return back.select("group", "file", "statistic", *[rnd(c).alias(c) for c in back.columns[3:]])
+
+
+@register("describe_with_strings")
+def describe_with_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-39: statistics of numeric and string columns in one table."""
+    li = I.table(spark, sf_dir, "lineitem").select("l_quantity", "l_returnflag", "l_linestatus")
+    return D.describe_with_strings(li).select("statistic", "column", rnd("value").alias("value"), "text")
+
+
 @register("stats_report_table")
 def stats_report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-93 + O-95 + O-96 (+ O-39 wide form): the report table of the raw group:
@@ -677,3 +713,31 @@ def best_k_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = L.silhouette_scores(d, settings)
     s = s.withColumn("silhouette", rnd("silhouette", 9))
     return L.best_setting(s).select("linkage", "k", rnd("silhouette", 6).alias("silhouette"))
+
+
+@register("study_document")
+def study_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-07 + O-08 + O-45 + O-84..O-87: the nested document of the one-feature study, written, read back and
+    walked: counts, target, model means, importance, ranking and comparison."""
+    fm, im, tm = _single(spark, sf_dir)
+    table = I.regression_table(spark, sf_dir)
+    doc = IO.study_document({
+        "fold_metrics": fm, "target_means": tm, "importance_summary": R.importance_summary(im), "ranking": R.model_ranking(fm, MS.MODEL_ORDER),
+        "sensitivity": R.outlier_sensitivity(fm, tm, MS.WITH, MS.WITHOUT), "quality_counts": D.quality_counts(table, MS.OUTLIER_COLS)})
+    path = f"{ensure_checkpoint_dir(spark)}/document-{uuid.uuid4().hex}"
+    IO.write_document(doc, path)
+    back = IO.read_document(spark, path, doc.schema)
+    cell = lambda section, model, name, value: F.struct(
+        F.lit(section).alias("section"), model.alias("model"), name.alias("name"), value.cast("double").alias("value"))
+    none = F.lit("")
+    rows = [
+        F.array(cell("target", none, F.lit("target_mean"), F.col("target.target_mean"))),
+        F.transform(F.map_entries("models"), lambda e: cell("r2", e["key"], F.lit("mean"), e["value"]["r2"]["mean"])),
+        F.flatten(F.transform(F.map_entries("importance"), lambda e: F.transform(
+            e["value"], lambda f: cell("importance", e["key"], f["feature"], f["mean_importance"])))),
+        F.transform("ranking", lambda e: cell("position", e["model"], none, e["position"])),
+        F.transform("sensitivity", lambda e: cell("difference", e["model"], e["metric"], e["difference"])),
+        F.flatten(F.transform("counts", lambda e: F.array(*[cell("counts", none, F.lit(c), e[c]) for c in ("total", "bad", "used", "outliers")]))),
+    ]
+    long = back.select("dataset", F.explode(F.concat(*rows)).alias("c")).select("dataset", "c.*")
+    return long.select("dataset", "section", "model", "name", rnd("value", 4).alias("value"))

@@ -121,13 +121,17 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
         tag = lambda x: x.withColumn("dataset", F.lit(ds))
         if "linear" in kinds:
             fm, imp, fit = MS.linear_study(df, spec)
+            if out_path:
+                IO.save_linear(fit, os.path.join(out_path, "models"), ds, "linear", spark)
             fms.append(tag(fm))
             imps.append(tag(imp))
         for kind, grid in (("tree", tree_grid), ("forest", forest_grid)):
             if kind not in kinds:
                 continue
-            fm, imp, prm, sc, timing, names = MS.tree_study(df, kind, grid=grid, spec=spec, **cv_options)
+            fm, imp, prm, sc, timing, names, models = MS.tree_study(df, kind, grid=grid, spec=spec, **cv_options)
             grids[kind] = names
+            if out_path and models:
+                IO.save_models(models, os.path.join(out_path, "models"), ds, kind, MS.feature_names(spec), spark)
             fms.append(tag(fm).unionByName(tag(timing), allowMissingColumns=True))
             imps.append(tag(imp))
             params.append(tag(prm))
@@ -150,7 +154,6 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
         "importance_summary": R.importance_summary(union(imps)),
         "ranking": R.model_ranking(quality, MS.MODEL_ORDER),
         "sensitivity": R.outlier_sensitivity(quality, target_means, MS.WITH, MS.WITHOUT),
-        "document": IO.results_document(quality),
     }
     if params:
         out["fold_params"] = union(params)
@@ -159,7 +162,8 @@ def model_table(table: DataFrame, spec=None, out_path: str | None = None, tree_g
         out["best_candidate"] = best
         out["best_params"] = R.best_params(union(cands), union(list(grids.values())))
         out["parameter_comparison"] = R.hyperparameter_comparison(out["best_params"], MS.WITH, MS.WITHOUT)
+    out["document"] = IO.study_document({**out, "fold_metrics": quality})
     if out_path:
         IO.write_results({k: v for k, v in out.items() if k != "document"}, out_path)
-        out["document"].write.mode("overwrite").json(os.path.join(out_path, "document"))
+        IO.write_document(out["document"], os.path.join(out_path, "document"))
     return out

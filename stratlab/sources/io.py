@@ -8,10 +8,10 @@ commit), so a lost executor never leaves a half-written table behind.
 from __future__ import annotations
 
 import json
-import math
 import os
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,6 +92,34 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path).withColumn("source_file", F.input_file_name())
 
 
+def write_stat_files(long: DataFrame, path: str, prefix: str = "") -> None:
+    """O-04: one wide JSON row per statistic, below ``path/file=<prefix>stats_<statistic>.json``. A rewrite replaces the files of
+    these names only. Statistics without a value are left out of the row."""
+    columns = [r[0] for r in long.groupBy("column").agg(F.min("place").alias("p")).orderBy("p").select("column").collect()] \
+        if "place" in long.columns else sorted(r[0] for r in long.select("column").distinct().collect())   # column names only
+    wide = long.groupBy("statistic").pivot("column", columns).agg(F.first("value"))
+    (wide.select(F.concat(F.lit(prefix + STATS_FILE_STEM), "statistic", F.lit(".json")).alias("file"), *columns)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").json(path))
+
+
+def read_stat_files(spark: SparkSession, path: str) -> DataFrame:
+    """O-05 + O-06 + O-94: (group, file, statistic, columns...) of all statistics files below ``path``, one row each.
+
+    Files may have different columns: the result has all of them, in the order in which they are first seen (raw, then null
+    or NaN, then derived files by name). A file with more than one row raises TypeError; a file whose name does not follow the pattern
+    has a NULL group.
+    """
+    raw = spark.read.text(path).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]*\.json)/[^/]*$", 1).alias("file"))
+    rows = raw.select(stats_group(F.col("file")).alias("group"), "file",
+                      F.regexp_extract("file", STATS_FILE_STEM + r"(.*)\.json$", 1).alias("statistic"),
+                      F.from_json("value", "map<string,double>").alias("cells")).checkpoint()
+    check_one_row_per_key(rows, ["file"])
+    order = F.array_position(F.array(*[F.lit(g) for g in ("raw", "null_or_nan", "derived")]), F.col("group"))
+    seen = rows.select(order.alias("o"), "file", F.posexplode(F.map_keys("cells")).alias("at", "column")) \
+        .groupBy("column").agg(F.min(F.struct("o", "file", "at")).alias("first")).orderBy("first").select("column").collect()   # names only
+    return rows.select("group", "file", "statistic", *[F.col("cells")[r["column"]].alias(r["column"]) for r in seen])
+
+
 def check_one_row_per_key(df: DataFrame, keys: Sequence[str]) -> None:
     """Shape check: fail if a key occurs more than once (aggregate, nothing collected but offenders)."""
     dup = df.groupBy(*keys).count().filter("count > 1").limit(5).collect()
@@ -149,6 +177,47 @@ def results_document(fold_metrics: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("model", "metrics"))).alias("models"))
 
 
+def study_document(tables: dict[str, DataFrame]) -> DataFrame:
+    """O-07: one nested row per dataset from the result tables of a study.
+
+    Sections, each present if its table is: ``counts`` (quality_counts, the same for all), ``target`` (target_means), ``models``
+    (fold_metrics: folds and means), ``importance`` (importance_summary: model -> features in order), ``parameters`` (best_params:
+    model -> name -> value), ``ranking`` and ``comparison`` (sensitivity, parameter_comparison). Everything collected is bounded by models,
+    folds and features, not by rows.
+    """
+    out = results_document(tables["fold_metrics"])
+    entries = lambda key, value: F.map_from_entries(F.collect_list(F.struct(key, value)))
+    if "target_means" in tables:
+        out = out.join(tables["target_means"].select("dataset", F.struct(*[c for c in tables["target_means"].columns if c != "dataset"]).alias("target")),
+                       "dataset", "left")
+    if "importance_summary" in tables:
+        one = tables["importance_summary"].groupBy("dataset", "model").agg(
+            F.array_sort(F.collect_list(F.struct("position", "feature", "mean_importance"))).alias("features"))
+        out = out.join(one.groupBy("dataset").agg(entries("model", "features").alias("importance")), "dataset", "left")
+    if "best_params" in tables:
+        one = tables["best_params"].groupBy("dataset", "model").agg(entries("name", "value").alias("values"))
+        out = out.join(one.groupBy("dataset").agg(entries("model", "values").alias("parameters")), "dataset", "left")
+    if "ranking" in tables:
+        out = out.join(tables["ranking"].groupBy("dataset").agg(
+            F.array_sort(F.collect_list(F.struct("position", "model", "mean_r2"))).alias("ranking")), "dataset", "left")
+    whole = {"counts": "quality_counts", "sensitivity": "sensitivity", "parameter_comparison": "parameter_comparison"}
+    for section, name in whole.items():
+        if name in tables:   # one array for all datasets
+            t = tables[name]
+            out = out.join(t.agg(F.array_sort(F.collect_list(F.struct(*t.columns))).alias(section)), F.lit(True), "left")
+    return out
+
+
+def write_document(doc: DataFrame, path: str) -> None:
+    """O-07: the document as JSON lines, one dataset each."""
+    doc.write.mode("overwrite").json(path)
+
+
+def read_document(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """O-08: the document back, typed."""
+    return spark.read.schema(schema).json(path)
+
+
 # ------------------------------------------------------------------ O-09
 
 
@@ -166,5 +235,26 @@ def save_models(models: dict[int, object], path: str, dataset: str, model_name:
     return meta
 
 
-def finite(x: float | None) -> bool:
-    return x is not None and not (isinstance(x, float) and (math.isnan(x) or math.isinf(x)))
+def save_linear(fits, path: str, dataset: str, model_name: str, spark: SparkSession) -> DataFrame:
+    """O-09 for a moment-fitted linear model (``models.LinearCV``): one row a fold (overwrite)."""
+    rows = [(dataset, model_name, int(k), list(fits.features), float(fits.intercepts[k]), [float(x) for x in fits.coefs[k]],
+             [float(x) for x in fits.std_coefs[k]]) for k in sorted(fits.intercepts)]
+    table = literal_frame(spark, rows, LINEAR_SCHEMA)
+    table.write.mode("overwrite").parquet(os.path.join(path, f"{dataset}_{model_name}"))
+    return table
+
+
+LINEAR_SCHEMA = ("dataset string, model string, fold int, features array<string>, intercept double, coefficients array<double>, "
+                 "standardized array<double>")
+
+
+def load_linear(spark: SparkSession, path: str, dataset: str, model_name: str):
+    """The model that ``save_linear`` wrote; it predicts as the one saved."""
+    from ..operators.models import LinearCV
+
+    rows = spark.read.schema(LINEAR_SCHEMA).parquet(os.path.join(path, f"{dataset}_{model_name}")).collect()   # one row a fold
+    out = LinearCV(list(rows[0]["features"]) if rows else [])
+    for r in rows:
+        out.intercepts[r["fold"]] = r["intercept"]
+        out.coefs[r["fold"]], out.std_coefs[r["fold"]] = np.array(r["coefficients"]), np.array(r["standardized"])
+    return out
