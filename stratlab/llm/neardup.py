@@ -141,6 +141,31 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("a", "b", "x", "y", "tx", "ty").mapInArrow(run, "a bigint, b bigint")
 
 
+def rare_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """(rid, prefix): the rarest shingles of each text, as far as they hold more than 1 - ``similarity`` of its weight.
+
+    The probability Jaccard similarity is at most the sum of the smaller normalised weights, so two texts that reach it share shingles
+    holding at least that much of either; the rarest shared one then stands in both prefixes. Rarity is counted over
+    these texts, ties go by the shingle: one order for all.
+    """
+    def run(batches):
+        hashes = worker_cache("word_hashes", WordHashes)
+        for batch in batches:
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys, weights = weighted(shingle_hashes(hashes.of(words_of(text))))
+                for at in range(0, len(keys), 100_000):
+                    part = slice(at, at + 100_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(keys[part]), rid), pa.int64()), pa.array(keys[part].view(np.int64)), pa.array(weights[part] / weights.sum())],
+                        names=["rid", "s", "w"])
+
+    shingles = texts.select("rid", "text").mapInArrow(run, "rid bigint, s bigint, w double")
+    counted = shingles.join(shingles.groupBy("s").agg(F.count("*").alias("n")).withColumnRenamed("s", "t"), F.col("s") == F.col("t"))
+    before = Window.partitionBy("rid").orderBy("n", "s").rowsBetween(Window.unboundedPreceding, -1)
+    kept = counted.withColumn("held", F.coalesce(F.sum("w").over(before), F.lit(0.0))).where(F.col("held") <= 1 - similarity + 1e-9)
+    return kept.groupBy("rid").agg(F.collect_list("s").alias("prefix"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Classes of equal and near-equal texts; one row per input row: doc_id, text_key
     (MD5 of the text), class_id, class_size, text_rank.
@@ -156,38 +181,49 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     that are not yet in their component: at first one centre a bucket, then sixteen times as many each round, until each bucket is
     one component or all of its members have been centres. So a large group of near copies costs as many comparisons
     as it has members. No pair is skipped but those already connected, and those whose sketches (four bits of each register)
-    agree five standard deviations less than 0.8 would have it: that test is a condition of the join, so such pairs make no rows.
+    agree five standard deviations less than 0.8 would have it, or which after the first round share none of their rarest shingles (an exact
+    test, see ``rare_prefixes``): these tests are conditions of the join, so such pairs make no rows.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     if bands * rows % 16:
         raise ValueError("bands times rows must be a multiple of 16")
     signed = scratch.write(sign(docs, bands, rows), "signatures")
+    # equal texts are one node before their text is looked up
     nodes = scratch.write(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
                           .withColumn("rid", F.monotonically_increasing_id()), "nodes")
     members = nodes.select(F.explode("bands").alias("band"), "rid")
     shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     buckets = scratch.write(members.join(shared, "band"), "buckets")
     wanted = nodes.select("rid", "key").join(buckets.select("rid").distinct(), "rid", "left_semi")
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(text_key().alias("key"), "text")
-    texts = scratch.write(texts.join(wanted, "key").groupBy("rid").agg(F.any_value("text").alias("text")), "texts")
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).groupBy(text_key().alias("key")).agg(F.any_value("text").alias("text"))
+    texts = scratch.write(texts.join(wanted, "key").select("rid", "text"), "texts")
 
     brief = nodes.select("rid", "sketch")
     enough = agreement("m.sketch", "c.sketch", bands * rows // 16) >= least_agreement(similarity, bands * rows)
-    labels = None
+    labels, prefixes = None, None
     centres = 1
     while not buckets.isEmpty():
         placed = buckets.withColumn("comp", F.col("rid")) if labels is None else \
             buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
         mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-        open_ = scratch.write(placed.join(mixed, "band").join(brief, "rid"), "open")
+        open_ = placed.join(mixed, "band").join(brief, "rid")
+        may_be_near = enough
+        if centres > 1:
+            if prefixes is None:  # of the texts still open; later rounds have no others
+                prefixes = scratch.write(rare_prefixes(texts.join(buckets.select("rid").distinct(), "rid", "left_semi"), similarity), "prefixes")
+            open_ = open_.join(prefixes, "rid")
+            may_be_near = enough & F.arrays_overlap("m.prefix", "c.prefix")
+        else:
+            open_ = open_.withColumn("prefix", F.array().cast("array<bigint>"))
+        open_ = scratch.write(open_, "open")
         if centres == 1:
             first = open_.groupBy("band").agg(F.min("rid").alias("rid"))
             chosen = open_.join(first, ["band", "rid"])
         else:
             rank = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("rid"), "rid"))
             chosen = open_.withColumn("rank", rank).where(F.col("rank") <= centres)
-        chosen = scratch.write(chosen.select("band", "rid", "comp", "sketch"), "centres")
-        pairs = open_.alias("m").join(chosen.alias("c"), (F.col("m.band") == F.col("c.band")) & (F.col("m.comp") != F.col("c.comp")) & enough) \
+        chosen = scratch.write(chosen.select("band", "rid", "comp", "sketch", "prefix"), "centres")
+        pairs = open_.alias("m").join(chosen.alias("c"), (F.col("m.band") == F.col("c.band")) & (F.col("m.comp") != F.col("c.comp")) & may_be_near) \
             .select(F.col("m.rid").alias("x"), F.col("c.rid").alias("y"), F.col("m.comp").alias("a"), F.col("c.comp").alias("b")).distinct()
         links = scratch.write(verify(pairs, texts, similarity).distinct(), "links")
         rest = scratch.write(open_.select("band", "rid").join(chosen.select("band", "rid"), ["band", "rid"], "left_anti"), "buckets")

@@ -80,6 +80,28 @@ def test_classes_like_brute_force(spark):
         assert (got[i].text_rank == 1) == (want[i] == i)
 
 
+def test_many_texts_not_quite_near(spark, monkeypatch):
+    """Texts of one base around similarity 0.57, some copies of them near: the prefixes lose no link and make few pairs."""
+    rng, base, texts = random.Random(12), vocabulary(100, 7), []
+    for _ in range(140):
+        v = base[:]
+        for k in rng.sample(range(100), 3):
+            v[k] = "own" + str(rng.random())
+        texts.append(" ".join(v))
+    for t in texts[:25]:
+        v = t.split()
+        v[rng.randrange(100)] = "one" + str(rng.random())
+        texts.append(" ".join(v))
+    rng.shuffle(texts)
+    pairs = []
+    verify = neardup.verify
+    monkeypatch.setattr(neardup, "verify", lambda p, *rest: pairs.append(p.count()) or verify(p, *rest))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == classes_by_force(texts)
+    assert len(pairs) > 1 and sum(pairs[1:]) < 4_000   # of 13,530; most that the sketches let pass share no rare shingle
+
+
 def test_near_duplicates_awkward_rows(awkward, nothing):
     rows = neardup.near_duplicates(awkward).collect()
     assert len(rows) == 11
