@@ -63,26 +63,3 @@ def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | T
         return spark.createDataFrame([], st)
     arr = sql_literal([tuple(r) for r in rows], T.ArrayType(st))
     return spark.range(1).selectExpr(f"inline({arr})")
-
-
-ROWS_PER_PARTITION = 1_000_000
-
-
-def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Cache a table that several jobs will read; when it has far more partitions
-    (over 4x) than one per ``rows_per_partition`` rows (at least the default
-    parallelism), coalesce it to that many.
-
-    Only ever coalesces (no shuffle): at scale the inherited partition count is
-    below the target and nothing changes; a small table stops paying
-    per-task overhead for hundreds of near-empty partitions in every job.
-    """
-    cached = df.cache()
-    rows = cached.count()
-    target = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
-    if cached.rdd.getNumPartitions() > 4 * target:
-        smaller = cached.coalesce(target).cache()
-        smaller.count()
-        cached.unpersist()
-        return smaller
-    return cached

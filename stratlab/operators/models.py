@@ -29,11 +29,10 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.frames import cache_sized
+from ..session import ensure_checkpoint_dir
 from .features import assemble
 
 SEED = 42            # fixed value: the study's random state
-ROWS_PER_FIT_PARTITION = 1_000_000
 MAX_DEPTH_NONE = 30  # MLlib's depth cap stands in for "no limit"
 
 # Full hyperparameter grids of the study (min_samples_split has no MLlib twin).
@@ -211,9 +210,9 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
     else:
         raise ValueError(kind)
     maps = _grid(est, grid)
-    # every fit runs several jobs per tree level over this table: its partitions
-    # are sized from its rows instead of inheriting the shuffle partition count
-    data = cache_sized(assemble(df, features), ROWS_PER_FIT_PARTITION)
+    # every fit runs several jobs per tree level over this table: written once
+    ensure_checkpoint_dir(df.sparkSession)
+    data = assemble(df, features).checkpoint()
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     k_inner = len(folds)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")

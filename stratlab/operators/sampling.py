@@ -34,7 +34,7 @@ def hash_key(key_cols: Sequence[str], seed: int = DEFAULT_SEED) -> Column:
 
 def _prefix_bits(max_stratum_rows: int) -> int:
     need = max(0, math.ceil(math.log2(max(1, max_stratum_rows) / TARGET_BUCKET_ROWS)))
-    bits = min(28, max(8, need))
+    bits = max(8, need)
     return int(math.ceil(bits / 4) * 4)
 
 
@@ -75,7 +75,9 @@ def allocate(counts: Sequence[tuple], fraction: float) -> dict:
 def _ranked(df: DataFrame, key_cols: Sequence[str], stratum: str, seed: int, bits: int) -> DataFrame:
     nhex = bits // 4
     return (df.withColumn("_h", hash_key(key_cols, seed))
-            .withColumn("_p", F.conv(F.substring("_h", 1, nhex), 16, 10).cast("long")))
+            .withColumn("_p", F.conv(F.substring("_h", 1, nhex), 16, 10).cast("long"))
+            # one key that is never null: the rows are dealt out by it once, for the offsets and for the ranks
+            .withColumn("_k", F.concat(F.substring("_h", 1, nhex), F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("")))))
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -89,8 +91,8 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def _bucket_offsets(h: DataFrame, stratum: str) -> DataFrame:
-    """(stratum, _p, _cnt, _before): rows of the stratum in lower prefixes."""
-    hist = h.groupBy(stratum, "_p").agg(F.count(F.lit(1)).alias("_cnt"))
+    """(stratum, _p, _k, _cnt, _before): rows of the stratum in lower prefixes."""
+    hist = h.groupBy(stratum, "_p", "_k").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(stratum).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     return hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
 
@@ -104,7 +106,7 @@ def stratified_sample(df: DataFrame, key_cols: Sequence[str], stratum: str, frac
     qdf = quotas(counts, stratum, fraction).select(stratum, "_quota")
     bits = _prefix_bits(counts.agg(F.max("_n")).first()[0] or 1)
     h = _ranked(df, key_cols, stratum, seed, bits)
-    offs = _join_on(_bucket_offsets(h, stratum), qdf, [stratum])
+    offs = _join_on(_bucket_offsets(h, stratum).drop("_k"), qdf, [stratum])
     # the one bucket per stratum where the quota ends, and how many rows it gives
     bounds = (offs.filter((F.col("_before") < F.col("_quota"))
                           & (F.col("_before") + F.col("_cnt") >= F.col("_quota")))
@@ -115,7 +117,7 @@ def stratified_sample(df: DataFrame, key_cols: Sequence[str], stratum: str, frac
     w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)
     edge = (tagged.filter(F.col("_p") == F.col("_bp"))
             .withColumn(flag, F.row_number().over(w) <= F.col("_need")))
-    return plain.unionByName(edge).drop("_h", "_p", "_bp", "_need")
+    return plain.unionByName(edge).drop("_h", "_p", "_k", "_bp", "_need")
 
 
 def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: int = DEFAULT_FOLDS,
@@ -140,10 +142,10 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
     before = Window.orderBy(F.col(stratum).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(stratum, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))   # one row per stratum
     h = _ranked(df, key_cols, stratum, seed, bits)
-    offs = _join_on(_bucket_offsets(h, stratum).select(stratum, "_p", "_before"), starts, [stratum])
-    w = Window.partitionBy(stratum, "_p").orderBy("_h", *key_cols)
+    offs = _join_on(_bucket_offsets(h, stratum).select(stratum, "_k", "_before"), starts, [stratum]).drop(stratum)
+    w = Window.partitionBy("_k").orderBy("_h", *key_cols)
     pos = (F.col("_start") + F.col("_before") + F.row_number().over(w) - 1)
-    out = _join_on(h, offs, [stratum, "_p"]).withColumn("_pos", pos)
+    out = h.join(offs, "_k").withColumn("_pos", pos)
     out = out.withColumn(fold, (F.col("_pos") % k).cast("int"))
     if inner:
         def count_mod(x: Column, j: int) -> Column:
@@ -156,7 +158,7 @@ def stratified_folds(df: DataFrame, key_cols: Sequence[str], stratum: str, k: in
         out = out.withColumn(inner, F.array(*elems))
     if position:
         out = out.withColumn(position, F.col("_pos"))
-    return out.drop("_h", "_p", "_before", "_start", "_pos")
+    return out.drop("_h", "_p", "_k", "_before", "_start", "_pos")
 
 
 def inner_fold_of_cell(b: int, c: int, j: int, k: int = DEFAULT_FOLDS) -> int | None:

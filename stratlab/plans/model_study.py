@@ -17,7 +17,7 @@ from ..operators import models as M
 from ..operators import sampling as S
 from ..operators import trees as TR
 from . import inputs as I
-from ..functions.frames import cache_sized, literal_frame
+from ..functions.frames import literal_frame
 
 WITH, WITHOUT = "with_outliers", "without_outliers"
 DATASETS = [WITH, WITHOUT]
@@ -81,7 +81,7 @@ def single_feature_linear_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFA
     feats = list(dict.fromkeys(models.values()))
     spark = next(iter(dsets.values())).sparkSession
     for ds, df in dsets.items():
-        f = cache_sized(with_folds(df, spec=spec).select("fold", F.col(spec.target).alias("target"), *feats))
+        f = with_folds(df, spec=spec).select("fold", F.col(spec.target).alias("target"), *feats).checkpoint()
         mom = M.fold_moments(f, "fold", [*feats, "target"])
         _, mu_all, _ = M.merge_moments(list(mom.values()))
         target_mean = float(mu_all[-1])
@@ -124,7 +124,7 @@ def linear_study(df: DataFrame, spec: ModelSpec = DEFAULT_SPEC) -> tuple[DataFra
     levels, dropped = list(spec.levels), spec.levels[0]
     x = FE.one_hot(df, spec.category, levels, drop_level=dropped)
     feats = [*spec.numeric, *FE.dummy_names(spec.category, levels, dropped)]
-    f = cache_sized(with_folds(x, spec=spec).select("fold", F.col(spec.target).alias("target"), *feats))
+    f = with_folds(x, spec=spec).select("fold", F.col(spec.target).alias("target"), *feats).checkpoint()
     fit = M.linear_cv(f, feats, "target", "fold", standardize=list(spec.numeric))
     pred = f.withColumn("prediction", fit.prediction("fold"))
     wide = M.regression_metrics(pred, "target", "prediction", ["fold"]).withColumn("model", F.lit("linear"))
@@ -216,7 +216,7 @@ def linear_feature_search_of(dsets: dict[str, DataFrame], spec: ModelSpec = DEFA
     for ds, df in dsets.items():
         f = (with_folds(df, spec=spec, k=k, position="fold_pos")
              .select("fold", "fold_pos", *feats, F.col(spec.target).alias("target")))
-        f = cache_sized(f.withColumn("_c", (F.floor(F.col("fold_pos") / k) % k).cast("int")))
+        f = f.withColumn("_c", (F.floor(F.col("fold_pos") / k) % k).cast("int")).checkpoint()
         cell = {}
         for (b, c), mom in _group_moments(f, ["fold", "_c"], cols).items():
             cell[(b, c)] = mom

@@ -85,3 +85,19 @@ def test_null_stratum_is_kept(spark):
     s = S.stratified_sample(df, ["id"], "stratum", 0.1)
     assert s.count() == 400 and s.filter("in_sample").count() == 40
     assert s.filter("in_sample and stratum is null").count() == 10
+
+
+def test_folds_deal_the_rows_out_once(spark):
+    """Without broadcasts the rows cross one exchange, shared by the offsets join and the ranks."""
+    df = spark.createDataFrame([(i, i % 3 if i % 7 else None) for i in range(300)], "id long, s int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = S.stratified_folds(df, ["id"], "s", k=5, inner="inner", position="p")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning(_k#") == 2   # the rows, and the table of offsets
+    assert sorted(r.p for r in rows) == list(range(300)) and all(r.fold == r.p % 5 for r in rows)
+    assert {sum(1 for r in rows if r.fold == f) for f in range(5)} == {60}
