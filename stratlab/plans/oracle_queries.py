@@ -386,8 +386,12 @@ cu AS (SELECT dataset, o, i, f, v, sum(tn) OVER u AS ln, sum(ts) OVER u AS ls, s
 sp AS (SELECT cu.*, l.idx, l.leaf, ls * ls / ln + (S - ls) * (S - ls) / (N - ln) - S * S / N AS gain
        FROM cu CROSS JOIN (VALUES {', '.join(f'({i}, {x})' for i, x in enumerate(_leaves))}) l(idx, leaf)
        WHERE ln >= leaf AND N - ln >= leaf),
-bs AS (SELECT *, ls / ln AS ml, (S - ls) / (N - ln) AS mr FROM (
-         SELECT *, row_number() OVER (PARTITION BY dataset, o, i, idx ORDER BY gain DESC, f, v) AS rn FROM sp) z WHERE rn = 1),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset, o, i, idx ORDER BY gain DESC, f, v) AS rn FROM sp WHERE gain > 0) z WHERE rn = 1),
+al AS (SELECT DISTINCT dataset, o, i, N, S, HN, HS, HQ, l.idx FROM (SELECT * FROM cu WHERE f = 3) c
+       CROSS JOIN (VALUES {', '.join(f'({i})' for i in range(len(_leaves)))}) l(idx)),
+bs AS (SELECT al.*, coalesce(t.f, 0) AS f, coalesce(t.v, CAST('infinity' AS DOUBLE)) AS v, coalesce(t.lhn, 0) AS lhn, coalesce(t.lhs, 0) AS lhs,
+              coalesce(t.ls / t.ln, al.S / al.N) AS ml, coalesce((t.S - t.ls) / (t.N - t.ln), al.S / al.N) AS mr
+       FROM al LEFT JOIN top t ON t.dataset = al.dataset AND t.o = al.o AND t.i = al.i AND t.idx = al.idx),
 ir AS (SELECT dataset, o, idx, 1 - (HQ - 2 * (ml * lhs + mr * (HS - lhs)) + ml * ml * lhn + mr * mr * (HN - lhn)) / (HQ - HS * HS / HN) AS r2
        FROM bs WHERE i >= 0),
 cs AS (SELECT dataset, o, idx, avg(r2) AS mean_r2 FROM ir GROUP BY ALL),
