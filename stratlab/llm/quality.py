@@ -10,6 +10,7 @@ blocks; a block asks for the probabilities of its distinct n-grams and scores it
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -201,8 +202,9 @@ def discounts(table: DataFrame) -> tuple[float, float, float]:
     return found if all(0 < d <= k for d, k in zip(found, (1, 2, 3))) else (0.5, 1.0, 1.5)
 
 
-def probabilities(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(gram, p): interpolated modified Kneser-Ney probability of the last character of each gram asked for.
+def probabilities(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[DataFrame]]:
+    """(gram, p): interpolated modified Kneser-Ney probability of the last character of each gram asked for; and the written
+    tables that it is read from, to be dropped after use.
 
     ``asked``: distinct grams; ``counts``: (gram, c) of the trusted text. The longest n-grams and those at the
     beginning of a word have their own counts, shorter ones the number of different characters before them.
@@ -215,7 +217,7 @@ def probabilities(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> Data
             own = own.unionByName(tables[k + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("c")))
             asked_k = asked_k.union(wanted[k + 1].select(F.expr("substring(gram, 2)").alias("gram"))).distinct()
         tables[k], wanted[k] = scratch.write(own, f"counts-{k}"), scratch.write(asked_k, f"asked-{k}")
-    lower, out = None, None
+    lower, made = None, []
     for k in range(1, ORDER + 1):
         d1, d2, d3 = discounts(tables[k])
         kept = F.col("c") - F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
@@ -236,8 +238,10 @@ def probabilities(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> Data
                 .join(head, "head", "left").join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("q")), "tail") \
                 .select("gram", F.when(F.col("total").isNull(), F.col("q")).otherwise(direct + F.col("back") * F.col("q")).alias("p"))
         lower = scratch.write(found, f"p-{k}")
-        out = lower if out is None else out.union(lower)
-    return out
+        scratch.drop(tables[k])
+        scratch.drop(wanted[k])
+        made.append(lower)
+    return functools.reduce(DataFrame.union, made), made
 
 
 def score(docs: DataFrame, answers: DataFrame, carry: list[str], across: bool) -> DataFrame:
@@ -305,19 +309,24 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
     try:
         asked = scratch.write(gather(rows, ids, across_words), "asked")
         counts = scratch.write(asked.where("n0 + n1 > 0").groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "counts")
-        model = probabilities(asked.select("gram").distinct(), counts.select("gram", F.expr("n0 + n1").alias("c")), scratch) \
-            .select("gram", F.log("p").cast("float").alias("log_p"))
+        model, spent = probabilities(asked.select("gram").distinct(), counts.select("gram", F.expr("n0 + n1").alias("c")), scratch)
+        model = model.select("gram", F.log("p").cast("float").alias("log_p"))
         text = counts.agg(F.max("n0").alias("n0"), F.max("n1").alias("n1")).first()
         halves = bool(text["n0"] and text["n1"])  # without text in both folds every document is scored by all
         for fold in (0, 1) if halves else ():
-            left_out = probabilities(counts.where(f"n{fold} > 0").select("gram"),
-                                     counts.where(f"n{1 - fold} > 0").select("gram", F.col(f"n{1 - fold}").alias("c")), scratch)
+            left_out, more = probabilities(counts.where(f"n{fold} > 0").select("gram"),
+                                           counts.where(f"n{1 - fold} > 0").select("gram", F.col(f"n{1 - fold}").alias("c")), scratch)
+            spent += more
             model = model.join(left_out.select("gram", F.log("p").cast("float").alias(f"log_p{fold}")), "gram", "left")
         if halves:
             model = scratch.write(model, "model")
+            for t in (*spent, counts):
+                scratch.drop(t)
+            spent = [model]
         answered = scratch.write(asked.join(model, "gram").select("block", "gram", "log_p", *[
             F.when(F.col(f"n{f}") > 0, F.col(f"log_p{f}" if halves else "log_p")).alias(f"log_p{f}") for f in (0, 1)]), "answers")
-        scratch.drop(asked)
+        for t in (asked, *spent):
+            scratch.drop(t)
     finally:
         spark.conf.set(CLEANUP, old)
     answers = answered.withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(

@@ -200,7 +200,7 @@ def test_probabilities_of_a_context_sum_to_one(spark):
     counts = Counter(g for w in words for g in Q.grams_of(w))
     scratch = Scratch(spark, "kn-test")
     rows = Q.probabilities(spark.createDataFrame([(g,) for g in asked], "gram string"),
-                           spark.createDataFrame(list(counts.items()), "gram string, c long"), scratch).collect()
+                           spark.createDataFrame(list(counts.items()), "gram string, c long"), scratch)[0].collect()
     p = {r.gram: r.p for r in rows}
     unseen = 1 - sum(p[c] for c in letters)   # the share of a character never met
     for h in (Q.BEGIN, Q.BEGIN + "th", "ther", "zzzz"):
