@@ -75,7 +75,7 @@ def allocate(counts: Sequence[tuple], fraction: float) -> dict:
 def _ranked(df: DataFrame, key_cols: Sequence[str], stratum: str, seed: int, bits: int) -> DataFrame:
     nhex = bits // 4
     return (df.withColumn("_h", hash_key(key_cols, seed))
-            .withColumn("_p", F.conv(F.substring("_h", 1, nhex), 16, 10).cast("long"))
+            .withColumn("_p", F.substring("_h", 1, nhex))   # of one width: ordered as the numbers are
             # one key that is never null: the rows are dealt out by it once, for the offsets and for the ranks
             .withColumn("_k", F.concat(F.substring("_h", 1, nhex), F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("")))))
 

@@ -17,17 +17,21 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.frames import literal_frame
 from ..session import ensure_checkpoint_dir
+from .sampling import inner_fold_of_cell
 
 #: Vectors of a node that one task finishes.
 LOCAL_VECTORS = 1_000_000
 #: Cells of a histogram held at once inside a task.
 HISTOGRAM_CELLS = 4_000_000
+#: Answers of this many vectors are sent to the rows.
+BROADCAST_ROWS = 500_000
 #: A split must lower the squared error by more than this share of it: differences below are of rounding.
 LEAST_GAIN = 1e-12
 
@@ -45,10 +49,8 @@ LEVEL_SCHEMA = ("outer int, inner int, leaf int, depth int, sse double, hn doubl
 def bin_cuts(df: DataFrame, features: Sequence[str], max_bins: int = 256) -> dict[str, list[float]]:
     """Cut points of each feature: the middles between its values, or where it has more than ``max_bins`` of
     them, so many quantiles. A value belongs left of a cut if it is at most the cut."""
-    about = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in features]).first()
-    few = [c for c in features if about[c] <= 2 * max_bins]
-    values = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("double"))).alias(c) for c in few]).first() if few else {}
-    small = [c for c in few if len(values[c]) <= max_bins]
+    values = small_domains(df, features, max_bins)
+    small = [c for c in features if c in values]
     large = [c for c in features if c not in small]
     shares = [i / max_bins for i in range(1, max_bins)]
     found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 100 * max_bins).alias(c) for c in large]).first() if large else {}
@@ -62,6 +64,28 @@ def bin_cuts(df: DataFrame, features: Sequence[str], max_bins: int = 256) -> dic
     return out
 
 
+def small_domains(df: DataFrame, features: Sequence[str], limit: int) -> dict[str, list[float]]:
+    """The sorted values of each feature that has at most ``limit`` of them, nulls aside. One pass: a task holds up to so many values
+    of a feature and gives it up beyond that."""
+    names = list(features)
+
+    def run(batches):
+        held = [np.zeros(0) for _ in names]
+        for batch in batches:
+            for i, own in enumerate(held):
+                if own is not None:
+                    column = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                    held[i] = np.union1d(own, np.unique(column))
+                    if len(held[i]) > limit:
+                        held[i] = None
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(names)), pa.int32()), pa.array(held, pa.list_(pa.float64()))], names=["i", "own"])
+
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInArrow(run, "i int, own array<double>")
+    found = parts.select("i", F.col("own").isNull().alias("many"), F.explode_outer("own").alias("v")).groupBy("i").agg(
+        F.bool_or(F.col("many")).alias("many"), F.sort_array(F.collect_set("v")).alias("own"))
+    return {names[r["i"]]: r["own"] for r in found.where(~F.col("many") & (F.size("own") <= limit)).collect()}
+
+
 def bin_names(n_features: int) -> list[str]:
     return [f"bin{i}" for i in range(n_features)]
 
@@ -88,25 +112,53 @@ def fit_vectors(df: DataFrame, target: str, position: str, k: int, n_features: i
     y = F.col(target)
     cells = df.groupBy(*bins, b.alias("b"), c.alias("c")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
-    rows = cells.withColumn("outer", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))) \
-        .withColumn("inner", F.explode(F.sequence(F.lit(-1), F.lit(k - 1))))
-    own = F.pmod(F.col("b") - (F.col("b") > F.col("outer")).cast("int") - F.col("c"), F.lit(k))
-    outside = F.col("b") == F.col("outer")
-    rows = rows.where(~outside | (F.col("inner") == -1))
-    held = F.when(F.col("inner") == -1, outside).otherwise(own == F.col("inner"))
-    part = lambda column, flag: F.sum(F.when(flag, F.col(column)).otherwise(0.0))
-    return rows.groupBy(*FIT, *bins).agg(
-        part("n", ~held).alias("tn"), part("s", ~held).alias("ts"),
-        part("n", held).alias("hn"), part("s", held).alias("hs"), part("q", held).alias("hq"))
+    # a vector has at most k * k cells: its sums for all fits are two products with the matrices of what each fit takes
+    vectors = cells.groupBy(*bins).agg(F.collect_list(F.struct("b", "c", "n", "s", "q")).alias("cells"))
+    train, held = fit_cells(k)
+    outer, inner = (np.array(x, np.int32) for x in zip(*((o, i) for o in range(k) for i in range(-1, k))))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                lists = part.column(n_features)
+                row = np.repeat(np.arange(part.num_rows), np.asarray(lists.value_lengths()))
+                b, c, *sums = lists.flatten().flatten()
+                table = np.zeros((k * k, part.num_rows, 3))
+                table[np.asarray(b) * k + np.asarray(c), row] = np.stack([x.cast(pa.float64()).fill_null(0.0).to_numpy() for x in sums], axis=1)
+                t = (train @ table[:, :, :2].reshape(k * k, -1)).reshape(len(outer), -1, 2)
+                h = (held @ table.reshape(k * k, -1)).reshape(len(outer), -1, 3)
+                fit, vector = np.nonzero(t[:, :, 0] + h[:, :, 0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(outer[fit]), pa.array(inner[fit])] + [part.column(i).take(pa.array(vector)) for i in range(n_features)]
+                    + [pa.array(x[fit, vector, i]) for x, n in ((t, 2), (h, 3)) for i in range(n)], names=[*FIT, *bins, *SUMS])
+
+    schema = ", ".join([f"{x} int" for x in (*FIT, *bins)] + [f"{x} double" for x in SUMS])
+    return vectors.mapInArrow(run, schema)
+
+
+def fit_cells(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """0 or 1 for each fit (outer, inner from -1 on) and cell b * k + c: whether its rows are trained on, and whether they are held out."""
+    held, train = np.zeros((k, k + 1, k, k)), np.zeros((k, k + 1, k, k))
+    for o in range(k):
+        held[o, 0, o], train[o, 0] = 1, 1
+        train[o, 0, o] = 0
+        for b in range(k):
+            for c in range(k):
+                own = inner_fold_of_cell(b, c, o, k)
+                if own is not None:
+                    train[o, 1:, b, c] = 1
+                    train[o, 1 + own, b, c], held[o, 1 + own, b, c] = 0, 1
+    return train.reshape(-1, k * k), held.reshape(-1, k * k)
 
 
 # ------------------------------------------------------------------ a node of bounded size
 
 
-def best_splits(node: np.ndarray, bins: np.ndarray, tn: np.ndarray, ts: np.ndarray, m: int, leaf: int
-                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_splits(node: np.ndarray, bins: np.ndarray, tn: np.ndarray, ts: np.ndarray, m: int, leaf: int,
+                allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, bin, gain) of the best split of each of ``m`` nodes; gain 0 where there is none.
-    The first feature and the lowest bin win ties. ``node`` is sorted."""
+    The first feature and the lowest bin win ties. ``node`` is sorted; ``allowed`` (nodes by features) leaves out features of a node."""
     feature, cut, gain = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m)
     for f in range(bins.shape[1]):
         width = int(bins[:, f].max()) + 1 if len(bins) else 1
@@ -128,18 +180,21 @@ def best_splits(node: np.ndarray, bins: np.ndarray, tn: np.ndarray, ts: np.ndarr
             value = value[np.arange(rows), at_best]
             part = slice(at, at + rows)
             better = value > gain[part] * (1 + 1e-9)
+            if allowed is not None:
+                better &= allowed[part, f]
             feature[part] = np.where(better, f, feature[part])
             cut[part] = np.where(better, at_best, cut[part])
             gain[part] = np.where(better, value, gain[part])
     return feature, cut, gain
 
 
-def grow(bins: np.ndarray, sums: np.ndarray, leaf: int, start: int, depths: Sequence[int], floor: float, levels=None):
+def grow(bins: np.ndarray, sums: np.ndarray, leaf: int, start: int, depths: Sequence[int], floor: float, levels=None, allowed=None):
     """Grow a (sub)tree from depth ``start`` and yield, for each of ``depths`` from there on, what its
     first levels make of the held-out rows: (depth, sse, hn, hs, hq, nodes, gain of each feature).
 
     ``sums``: columns tn, ts, hn, hs, hq of each vector. ``levels`` (a list) receives, per level, the
-    node of each vector (path number: 1, then twice the parent's and one more on the right) and its prediction.
+    node of each vector (path number: 1, then twice the parent's and one more on the right) and its prediction. ``allowed``
+    gives, for path numbers, which features these nodes may be split by.
     """
     tn, ts, hn, hs, hq = sums.T
     n_rows, depth = len(bins), start
@@ -152,7 +207,8 @@ def grow(bins: np.ndarray, sums: np.ndarray, leaf: int, start: int, depths: Sequ
             number, node = np.unique(path[alive], return_inverse=True)
             order = np.argsort(node, kind="stable")
             alive, node = alive[order], node[order]
-            feature, cut, gain = best_splits(node, bins[alive], tn[alive], ts[alive], len(number), leaf)
+            feature, cut, gain = best_splits(node, bins[alive], tn[alive], ts[alive], len(number), leaf,
+                                              None if allowed is None else allowed(number))
             split = gain > floor
             rows = alive[split[node]]
             node = node[split[node]]
@@ -318,6 +374,11 @@ def refit(fits: DataFrame, chosen: DataFrame, n_features: int) -> tuple[DataFram
             made.where("node is not null").select("outer", "node", "n", "value", "seconds"))
 
 
+def brief(answers: DataFrame) -> DataFrame:
+    """Written answers, marked for a broadcast join if they are few; else the rows are dealt out to them."""
+    return F.broadcast(answers) if answers.count() <= BROADCAST_ROWS else answers
+
+
 # ------------------------------------------------------------------ the nested search
 
 
@@ -355,6 +416,6 @@ def nested_tree_search(df: DataFrame, features: Sequence[str], target: str, posi
         g = np.array(gains[o, i], dtype=float)
         folds.append({"fold": o, "best_idx": i, "best_params": {n: str(v) for n, v in cands[i].items()},
                       "importances": (g / g.sum() if g.sum() else g).tolist(), "fit_seconds": seconds.get(o, 0.0)})
-    rows = binned.withColumn("fold", (F.col(position) % k).cast("int")).join(
-        predicted.select(F.col("outer").alias("fold"), *bins, (F.col("prediction") + F.lit(float(mean))).alias("prediction")), ["fold", *bins])
+    answers = predicted.select(F.col("outer").alias("fold"), *bins, (F.col("prediction") + F.lit(float(mean))).alias("prediction"))
+    rows = binned.withColumn("fold", (F.col(position) % k).cast("int")).join(brief(answers), ["fold", *bins])
     return rows.drop(*bins, "_y"), scores, folds, cands, nodes.withColumn("value", F.col("value") + F.lit(float(mean)))

@@ -141,3 +141,13 @@ def test_registered_forest_search_takes_its_grid(spark, monkeypatch):
     rows = Q.REGISTRY["forest_nested_cv"](spark, "/root/testdata/sf0.001").collect()
     assert seen == [("forest", Q.SMALL_FOREST_GRID)] * 2
     assert {(r.dataset, r.value) for r in rows if r.kind == "best_candidate"} == {(ds, "20") for ds in MS.DATASETS}
+
+
+def test_small_domains_and_fits_of_several_tasks(spark):
+    df = spark.range(0, 3000, 1, 6).select((F.col("id") % 7).cast("double").alias("a"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("b"),
+                                           F.lit(None).cast("double").alias("c"))
+    assert T.small_domains(df, ["a", "b", "c"], 8) == {"a": [float(i) for i in range(7)], "c": []}
+    train, held = T.fit_cells(4)
+    assert not (train * held).any() and (train + held).sum() == 4 * (16 + 4 * 12)
+    answers = df.select("a").limit(3)
+    assert "broadcast" in T.brief(answers)._jdf.queryExecution().toString().lower()
