@@ -10,7 +10,8 @@ reported coefficients: an affine rescale does not change OLS predictions.
 
 Trees and forests (O-73..O-78): MLlib estimators under ``CrossValidator``
 with the stratified inner folds as ``foldCol``; the outer loop (10 steps)
-stays a Python loop over the cached table, each step distributed.
+stays a Python loop over the cached table, each step distributed. Forests whose
+MLlib models are not asked for are searched by path evaluation (``forests``).
 
 Metrics (O-80): one grouped aggregate over predictions gives R2 (against
 the held-out fold's own mean), RMSE and MAE per (model, fold).
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .features import assemble
+from .forests import nested_forest_search
 
 SEED = 42            # fixed value: the study's random state
 MAX_DEPTH_NONE = 30  # MLlib's depth cap stands in for "no limit"
@@ -188,7 +190,7 @@ def candidate_params(maps: list) -> list[dict[str, str]]:
 
 def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inner: str,
               kind: str = "tree", grid: dict | None = None, parallelism: int = 4,
-              max_bins: int = 256, outer_parallelism: int = 4):
+              max_bins: int = 256, outer_parallelism: int = 4, models: bool = True):
     """O-73..O-78, O-82, O-83, O-89: grid search on inner folds of each outer train
     part, refit on the whole train part (CrossValidator's best model), scored on
     the held-out fold.
@@ -198,6 +200,9 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
     each, ``parallelism`` candidates are fitted at once.
     Returns (predictions DataFrame with ``prediction``, per-fold dicts, candidates).
     ``inner`` is the array column from ``stratified_folds(..., inner=...)``.
+
+    With ``models=False`` the dicts have no ``model``, and forests over numbers of trees, depths and feature subsets are grown for
+    all fits from one aggregate of the rows (``forests.nested_forest_search``) where their fits are of bounded size.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -212,6 +217,11 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
     maps = _grid(est, grid)
     # every fit runs several jobs per tree level over this table: written once
     ensure_checkpoint_dir(df.sparkSession)
+    if kind == "forest" and not models and set(grid) == set(FOREST_GRID):
+        df = df.checkpoint()
+        found = nested_forest_search(df, features, label, fold, inner, candidate_params(maps), max_bins, SEED)
+        if found:
+            return *found, candidate_params(maps)
     data = assemble(df, features).checkpoint()
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     k_inner = len(folds)
@@ -231,7 +241,7 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
             "fold": f, "avg_metrics": list(model.avgMetrics), "best_idx": idx,
             "best_params": candidate_params([maps[idx]])[0],
             "importances": [float(v) for v in best.featureImportances.toArray()],
-            "fit_seconds": elapsed, "model": best,
+            "fit_seconds": elapsed, **({"model": best} if models else {}),
         }
 
     with ThreadPoolExecutor(max_workers=max(1, outer_parallelism)) as pool:

@@ -142,7 +142,8 @@ def tree_study(df: DataFrame, kind: str, grid: dict | None = None, spec: ModelSp
     """Nested CV of a tree or forest: (fold_metrics, importance, fold_params, candidate_scores, timing, candidates,
     fitted MLlib models by fold, which trees searched by path evaluation do not have).
 
-    Trees are searched by path evaluation (``trees.nested_tree_search``), forests by MLlib (``models.nested_cv``).
+    Trees are searched by path evaluation (``trees.nested_tree_search``), forests by ``models.nested_cv``: by MLlib, or with
+    ``models=False`` by path evaluation.
     ``candidates`` gives the parameters of each candidate_idx.
     """
     levels = list(spec.levels)
