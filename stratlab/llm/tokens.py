@@ -29,6 +29,8 @@ from stratlab.llm.units import UnitMemo, units
 # The contractions of the pre-tokenizer that have more than one letter.
 SPACES = regex.compile(r"\p{White_Space}{2,}")
 CONTRACTIONS = ("'re", "'ve", "'ll")
+#: Texts whose counts (eight bytes a code point) are held at once.
+SLICE_ROWS = 256
 SCHEMA = "doc_id bigint, n_bytes bigint, n_chars bigint, n_tokens bigint, prefix_index binary, fits array<bigint>"
 
 
@@ -251,23 +253,25 @@ def count_prefix_tokens(docs: DataFrame, tokenizer: str, budgets: tuple[int, ...
     and ``chars_within``) and ``fits`` (for each budget, the code points of the longest
     prefix within it). Null text: as empty (0 tokens, empty index). Null doc_id: kept
     null. Repeated rows: one row each. Other columns, also of clashing names, are
-    not read. No shuffle; memory is bounded by one Arrow batch.
+    not read. No shuffle; memory is bounded by one Arrow batch of texts and the counts of ``SLICE_ROWS`` of them.
     """
 
     def run(batches):
         counter = worker_cache("prefix_counter:" + tokenizer, lambda: PrefixCounter(tokenizer))
         memo = worker_cache("prefix_memo:" + tokenizer, lambda: UnitMemo(counter.encode_units))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            index = index_texts(counter, memo, texts)
-            counts = [prefix_counts(i) for i in index]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0),
-                pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([int(c[-1]) for c in counts], pa.int64()),
-                pa.array(index, pa.binary()),
-                pa.array([[int(np.flatnonzero(c <= b)[-1]) for b in budgets] for c in counts], pa.list_(pa.int64())),
-            ], names=["doc_id", "n_bytes", "n_chars", "n_tokens", "prefix_index", "fits"])
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                index = index_texts(counter, memo, texts)
+                counts = [prefix_counts(i) for i in index]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0),
+                    pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([int(c[-1]) for c in counts], pa.int64()),
+                    pa.array(index, pa.binary()),
+                    pa.array([[int(np.flatnonzero(c <= b)[-1]) for b in budgets] for c in counts], pa.list_(pa.int64())),
+                ], names=["doc_id", "n_bytes", "n_chars", "n_tokens", "prefix_index", "fits"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
