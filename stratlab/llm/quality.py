@@ -106,10 +106,18 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
 
 
+class Parts(list):
+    """Pieces as ((texts, how many symbols of each), symbols, context); the text of each symbol is written out when a piece is read."""
+
+    def __iter__(self):
+        for (texts, sizes), symbols, lead in super().__iter__():
+            yield np.repeat(texts, sizes), symbols, lead
+
+
 def pieces(texts: list[str | None], across: bool):
     """(coder, [(text of each symbol, symbols, how many of them are context only)]): streams in pieces of bounded size, under one
     alphabet as long as it fits, else under several. A text longer than a piece is cut with the characters before the cut as context."""
-    found: list = []
+    found = Parts()
     alphabet: np.ndarray = np.array([ord(PAD)], dtype="<u4")
     group: list[str] = []
     size, owners = 0, []
@@ -117,7 +125,7 @@ def pieces(texts: list[str | None], across: bool):
         s = stream(text, across) if k < len(texts) else ""
         if group and (k == len(texts) or size + len(s) > PIECE):
             symbols = code_points("".join(group))
-            owner = np.repeat(np.array(owners), [len(g) for g in group])
+            starts = np.cumsum([0, *[len(g) for g in group]])
             step = PIECE
             at = 0
             while at < len(symbols):
@@ -129,12 +137,12 @@ def pieces(texts: list[str | None], across: bool):
                     if len(alphabet) > 1:
                         if found:
                             yield Coder(alphabet), found
-                        found, alphabet = [], np.array([ord(PAD)], dtype="<u4")
+                        found, alphabet = Parts(), np.array([ord(PAD)], dtype="<u4")
                     else:
                         step //= 2
                     continue
                 alphabet = new
-                found.append((owner[at - lead:at + step], part, lead))
+                found.append(((np.array(owners), np.diff(np.clip(starts, at - lead, at + step))), part, lead))
                 at += step
                 step = PIECE
             group, owners, size = [], [], 0
@@ -161,14 +169,19 @@ def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
         """(coder, codes, counts by fold) of each alphabet."""
         fold = folds(left.column("doc_id").to_pylist(), ids)
         for coder, parts in pieces(left.column("text").to_pylist(), across):
-            codes, counts = np.zeros(0, np.uint64), np.zeros((2, 0))
-            for owner, symbols, lead in parts:
+            codes, counts, waiting, size = np.zeros(0, np.uint64), np.zeros((2, 0)), [], 0
+            for k, (owner, symbols, lead) in enumerate(parts):
                 where, code = coder.codes(symbols)
                 where, code = where[where >= lead], code[where >= lead]
                 new, back = np.unique(code, return_inverse=True)
-                n = [np.bincount(back, weights=fold[owner[where]] == f, minlength=len(new)) for f in (0, 1)]
-                codes, back = np.unique(np.concatenate([codes, new]), return_inverse=True)
-                counts = np.stack([np.bincount(back, weights=np.concatenate([counts[f], n[f]]), minlength=len(codes)) for f in (0, 1)])
+                of = fold[owner[where]]
+                waiting.append((new, np.stack([np.bincount(back[of == f], minlength=len(new)) for f in (0, 1)])))
+                size += len(new)
+                if size < max(PIECE, len(codes)) and k + 1 < len(parts):  # merged when they are as many as those before
+                    continue
+                waiting, size, held = [], 0, [(codes, counts), *waiting]
+                codes, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+                counts = np.stack([np.bincount(back, weights=np.concatenate([n[f] for _, n in held]), minlength=len(codes)) for f in (0, 1)])
             yield coder, codes, counts.astype(np.int64)
 
     def table(block: int, grams: pa.Array, n0: np.ndarray, n1: np.ndarray) -> pa.Table:
