@@ -48,12 +48,15 @@ def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     at, here = 0, b[0]
     for i, end in enumerate(a):
         if here < end:
-            step = 1
-            while at + step < n and b[at + step] < end:
-                at += step
-                step *= 2
-            at = bisect_left(b, end, at + 1, min(at + step, n))
+            at += 1
             here = b[at]
+            if here < end:
+                step = 1
+                while at + step < n and b[at + step] < end:
+                    at += step
+                    step *= 2
+                at = bisect_left(b, end, at + 1, min(at + step, n))
+                here = b[at]
         if here == end:
             ranks_a.append(i)
             ranks_b.append(at)
