@@ -27,6 +27,10 @@ OF_B = 1 << 31
 DIFFERS = OF_B - 1
 #: Code points of the documents of one block.
 BLOCK_CHARS = 16_000_000
+#: Links of a block that are sorted at once.
+LINKS_AT_ONCE = 1 << 18
+#: Units whose ids a worker remembers.
+UNITS = 400_000
 GROUP_SCHEMA = ("doc_id bigint, a_ids array<int>, b_ids array<int>, "
                 "groups array<struct<a_from: int, a_to: int, b_from: int, b_to: int>>")
 DOC_SCHEMA = ("block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links binary, "
@@ -93,7 +97,7 @@ class Aligner:
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
         self.text_a = [str(i) for i in range(len(self.bytes_a))]
         self.text_b = [str(i) for i in range(len(self.bytes_b))]
-        self.memo = UnitMemo(self.encode_units, limit=800_000)
+        self.memo = UnitMemo(self.encode_units, limit=UNITS)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         """Ids of both for units that start with one space, as unsigned 32-bit numbers; those of B have the
@@ -150,7 +154,7 @@ class Aligner:
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
-    return worker_cache(f"aligner:{path_a}:{path_b}", lambda: Aligner(path_a, path_b))
+    return worker_cache(f"aligner:{path_a}:{path_b}", "aligner", lambda: Aligner(path_a, path_b))
 
 
 def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -181,6 +185,38 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, GROUP_SCHEMA)
 
 
+class Links:
+    """The links of a block, given as id pairs, kept as numbers into lists of distinct pairs."""
+
+    def __init__(self):
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+        self.numbered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray) -> None:
+        self.waiting.append(keys)
+        self.size += len(keys)
+        if self.size >= LINKS_AT_ONCE:
+            self.number()
+
+    def number(self) -> None:
+        pairs, at, uses = np.unique(np.concatenate([*self.waiting, np.zeros(0, np.int64)]), return_inverse=True, return_counts=True)
+        self.numbered.append((pairs, at.astype("<u4"), uses))
+        self.waiting, self.size = [], 0
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All distinct pairs (sorted), the rank of each link's pair among them, and how often each is linked; none are held afterwards."""
+        self.number()
+        parts, self.numbered = self.numbered, []
+        pairs, rank = np.unique(np.concatenate([p for p, _, _ in parts]), return_inverse=True)
+        uses = np.bincount(rank, weights=np.concatenate([n for _, _, n in parts]), minlength=len(pairs)).astype(np.int64)
+        rank, start, at = rank.astype("<u4"), 0, []
+        for p, own, _ in parts:
+            at.append(rank[start:start + len(p)][own])
+            start += len(p)
+        return pairs, np.concatenate(at), uses
+
+
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """One row per document with its links as numbers into the block's list of id pairs, and one row per block
     (null n_a) with that list and how often each pair is linked in it."""
@@ -190,14 +226,12 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
         both = aligner(path_a, path_b)
         block = TaskContext.get().partitionId() << 32
-        rows, links, held = [], [], 0
+        rows, links, held = [], Links(), 0
         names = [c.split()[0] for c in DOC_SCHEMA.split(", ")]
         kinds = [pa.int64()] * 5 + [pa.string(), pa.binary()] + [pa.list_(pa.int64())] * 2
 
         def flush():
-            keys = np.concatenate(links) if links else np.zeros(0, np.int64)
-            pairs, at, uses = np.unique(keys, return_inverse=True, return_counts=True)
-            at = at.astype("<u4")
+            pairs, at, uses = links.take()
             start = 0
             for k in range(0, len(rows), 2048):
                 part = rows[k:k + 2048]
@@ -222,11 +256,11 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     digest = hashlib.sha256(both.listed(a, b, x, y).encode()).hexdigest() if len(a) else ""
                     rows.append((doc, len(a), len(b), len(x), digest))
                     if x:
-                        links.append(a[x] << 32 | b[y])
+                        links.add(a[x] << 32 | b[y])
                     held += len(text)
                     if held >= BLOCK_CHARS:
                         yield from flush()
-                        block, rows, links, held = block + 1, [], [], 0
+                        block, rows, held = block + 1, [], 0
         if rows:
             yield from flush()
 

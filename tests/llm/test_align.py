@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -106,3 +107,20 @@ def test_groups_cover_both_sides(awkward):
             i, j = g.a_to, g.b_to
             assert b"".join(BOTH.bytes_a[k] for k in r.a_ids[g.a_from:i]) == b"".join(BOTH.bytes_b[k] for k in r.b_ids[g.b_from:j])
         assert (i, j) == (len(r.a_ids), len(r.b_ids))
+
+
+def test_links_of_a_block_are_numbered_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 5_000, 3_000_000) << 32
+    tracemalloc.start()
+    links = A.Links()
+    for at in range(0, len(keys), 500):
+        links.add(keys[at:at + 500])
+    pairs, at, uses = links.take()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (pairs[at] == keys).all() and uses.sum() == len(keys)
+    assert all((x == y).all() for x, y in zip((pairs, uses), np.unique(keys, return_counts=True)))
+    assert peak < 15 * len(keys)  # sorting all keys at once takes more than 32 bytes a link
+    none = links.take()
+    assert [len(x) for x in none] == [0, 0, 0]
