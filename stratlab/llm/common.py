@@ -7,22 +7,31 @@ import types
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratlab.session import ensure_checkpoint_dir
 
 
-def worker_cache(name: str, make: Callable[[], object]):
-    """A value kept for the life of a Python worker, over all its tasks.
+#: Rows of an Arrow batch that are Python objects at once.
+SLICE_ROWS = 1_024
+
+
+def worker_cache(owner: str, name: str, make: Callable[[], object]):
+    """A value kept by a Python worker over all its tasks, until another owner keeps one there.
 
     Functions of this library travel to the executors by value, so their module
-    globals do not outlive a task; a registered module object does.
+    globals do not outlive a task; a registered module object does. A worker serves one operator after
+    the other, so it holds what one owner (a model or a file) needs, not what all before it needed.
     """
     holder = sys.modules.setdefault("stratlab_worker_cache", types.ModuleType("stratlab_worker_cache"))
-    if not hasattr(holder, name):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    if getattr(holder, "owner", None) != owner:
+        holder.owner, holder.values = owner, {}
+        pa.default_memory_pool().release_unused()
+    if name not in holder.values:
+        holder.values[name] = make()
+    return holder.values[name]
 
 
 def thin_by_hash(df: DataFrame, hash_column: str, rows: int, limit: int) -> DataFrame:

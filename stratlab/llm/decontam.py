@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratlab.llm.common import worker_cache
+from stratlab.llm.common import SLICE_ROWS, worker_cache
 from stratlab.llm.shingles import WORDS, WordHashes, shingle_hashes, weighted
 
 WORD = re.compile(r"\w+")
@@ -173,23 +173,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     repeated items are each reported. Null item_id: reported as null. Nothing is shuffled; the items
     go to the executors in blocks of at most 500,000 words and 8,192 items, one pass over the documents each.
     """
-    spark = docs.sparkSession
+    spark, call = docs.sparkSession, f"decontamination:{uuid.uuid4().hex}"
     out = docs.drop("leaks").withColumn("leaks", F.array().cast(MATCH))
     for items in item_blocks(benchmark):
-        out = scan_block(out, spark.sparkContext.broadcast(items))
+        out = scan_block(out, spark.sparkContext.broadcast(items), call)
     return out
 
 
-def scan_block(docs: DataFrame, items) -> DataFrame:
-    key = f"items:{uuid.uuid4().hex}"
+def scan_block(docs: DataFrame, items, call: str) -> DataFrame:
+    key = uuid.uuid4().hex
     at = docs.columns.index("text")
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64())]))
 
     def run(batches):
-        index = worker_cache(key, lambda: ItemIndex(items.value))
+        index = worker_cache(call, key, lambda: ItemIndex(items.value))
         for batch in batches:
-            new = [[*old, *({"item_id": i, "start": s, "n_words": n, "similarity": x} for i, s, n, x in index.matches(t))]
-                   for t, old in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(new, kind)], names=batch.schema.names)
+            for k in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(k, SLICE_ROWS)
+                new = [[*old, *({"item_id": i, "start": s, "n_words": n, "similarity": x} for i, s, n, x in index.matches(t))]
+                       for t, old in zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(new, kind)], names=batch.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

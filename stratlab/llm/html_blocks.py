@@ -447,8 +447,8 @@ def extract_main_text(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES)
     key = f"labeller:{uuid.uuid4().hex}"
 
     def run(batches):
-        labeller = worker_cache(key, lambda: Labeller(model.value)) if model else None
-        buckets = worker_cache("html-words", dict)
+        labeller = worker_cache(key, "labeller", lambda: Labeller(model.value)) if model else None
+        buckets = worker_cache(key, "words", dict)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -206,7 +206,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, max_
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = worker_cache("id_encoder:" + tokenizer, lambda: IdEncoder(tokenizer))
+        encoder = worker_cache("id_encoder:" + tokenizer, "encoder", lambda: IdEncoder(tokenizer))
         base = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], dtype="<u4").tobytes()
         done, docs_, ids_, loss_ = 0, [], [], []

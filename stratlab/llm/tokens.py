@@ -257,8 +257,8 @@ def count_prefix_tokens(docs: DataFrame, tokenizer: str, budgets: tuple[int, ...
     """
 
     def run(batches):
-        counter = worker_cache("prefix_counter:" + tokenizer, lambda: PrefixCounter(tokenizer))
-        memo = worker_cache("prefix_memo:" + tokenizer, lambda: UnitMemo(counter.encode_units))
+        counter = worker_cache("prefix:" + tokenizer, "counter", lambda: PrefixCounter(tokenizer))
+        memo = worker_cache("prefix:" + tokenizer, "memo", lambda: UnitMemo(counter.encode_units))
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)

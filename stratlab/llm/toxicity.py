@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratlab.llm.common import thin_by_hash, worker_cache
+from stratlab.llm.common import SLICE_ROWS, thin_by_hash, worker_cache
 
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 17
@@ -215,12 +215,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_
     keeps_text = "text" in carry
 
     def run(batches):
-        scorer = worker_cache(f"toxicity:{model_key}", lambda: Scorer(*model.value)) if model else None
+        scorer = worker_cache(f"toxicity:{model_key}", "scorer", lambda: Scorer(*model.value)) if model else None
         for batch in batches:
-            scores = [scorer.score(t) if scorer else base for t in batch.column(batch.num_columns - 1).to_pylist()]
-            kept = batch.columns if keeps_text else batch.columns[:-1]
-            names = batch.schema.names if keeps_text else batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*names, "score"])
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                scores = [scorer.score(t) if scorer else base for t in part.column(part.num_columns - 1).to_pylist()]
+                kept = part.columns if keeps_text else part.columns[:-1]
+                names = part.schema.names if keeps_text else part.schema.names[:-1]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*names, "score"])
 
     fields = rows.schema.fields if keeps_text else rows.schema.fields[:-1]
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
