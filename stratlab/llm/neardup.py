@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratlab.llm.common import Scratch, worker_cache
+from stratlab.llm.common import SLICE_ROWS, Scratch, worker_cache
 from stratlab.llm.components import components
 from stratlab.llm.shingles import MULTIPLY, WordHashes, mix, probability_jaccard, shingle_hashes, weighted, words_of
 
@@ -23,6 +23,8 @@ SIMILARITY = 0.8
 BANDS = 32
 #: Registers of a band. At similarity 0.8 a pair shares one of 32 bands with probability 0.99994.
 ROWS = 6
+#: Bits of the sketch that bounds how many shingles two texts do not share.
+ODD_BITS = 2_048
 
 
 def registers(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
@@ -87,7 +89,7 @@ def text_key() -> Column:
 def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """(key, doc_id, bands, sketch) per row; ``bands`` is empty for a text without words."""
     def run(batches):
-        hashes = worker_cache("word_hashes", WordHashes)
+        hashes = worker_cache("near_duplicates", "word_hashes", WordHashes)
         for batch in batches:
             texts = batch.column(2).to_pylist()
             at = 0
@@ -118,7 +120,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     right = texts.select(F.col("rid").alias("y"), F.col("text").alias("ty"))
 
     def run(batches):
-        hashes = worker_cache("word_hashes", WordHashes)
+        hashes = worker_cache("near_duplicates", "word_hashes", WordHashes)
         known: dict[int, tuple] = {}   # shingles of the texts of this task, up to a bound
         held = 0
 
@@ -149,7 +151,7 @@ def rare_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
     these texts, ties go by the shingle: one order for all.
     """
     def run(batches):
-        hashes = worker_cache("word_hashes", WordHashes)
+        hashes = worker_cache("near_duplicates", "word_hashes", WordHashes)
         for batch in batches:
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 keys, weights = weighted(shingle_hashes(hashes.of(words_of(text))))
@@ -166,6 +168,43 @@ def rare_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
     return kept.groupBy("rid").agg(F.collect_list("s").alias("prefix"))
 
 
+def odd_bits(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Each occurrence of a shingle flips one of ``ODD_BITS`` bits, as 64-bit numbers. Two such sketches differ in at most as many bits
+    as there are occurrences that only one of both texts has."""
+    turn = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
+    at = mix(np.repeat(keys, weights) + MULTIPLY * (turn + 1).astype(np.uint64)) % np.uint64(ODD_BITS)
+    odd = (np.bincount(at.astype(np.int64), minlength=ODD_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8").view(np.int64)
+
+
+def odd_sketches(texts: DataFrame) -> DataFrame:
+    """(rid, size, plain, odd): the shingles of each text, whether each occurs once, and their odd bits."""
+    def run(batches):
+        hashes = worker_cache("near_duplicates", "word_hashes", WordHashes)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                bags = [weighted(shingle_hashes(hashes.of(words_of(t)))) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([int(w.sum()) for _, w in bags], pa.int64()), pa.array([bool((w == 1).all()) for _, w in bags], pa.bool_()),
+                     pa.array([odd_bits(*b) for b in bags], pa.list_(pa.int64()))], names=["rid", "size", "plain", "odd"])
+
+    return texts.select("rid", "text").mapInArrow(run, "rid bigint, size bigint, plain boolean, odd array<bigint>")
+
+
+def few_differences(a: str, b: str, similarity: float) -> Column:
+    """Whether two odd sketches differ in no more bits than texts of this similarity can: an exact test.
+
+    Where every shingle occurs once the similarity s is the Jaccard similarity, so of N and M shingles (1 - s) / (1 + s) (N + M) are
+    not shared at most. Else the smaller normalised weights add up to s at least, so N + M - 2 s min(N, M) are not.
+    """
+    n, m = F.col(f"{a}.size"), F.col(f"{b}.size")
+    most = F.when(F.col(f"{a}.plain") & F.col(f"{b}.plain"), (n + m) * ((1 - similarity) / (1 + similarity))) \
+        .otherwise(n + m - 2 * similarity * F.least(n, m))
+    bits = F.zip_with(f"{a}.odd", f"{b}.odd", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, k: total + k) <= most + 1e-6
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Classes of equal and near-equal texts; one row per input row: doc_id, text_key
     (MD5 of the text), class_id, class_size, text_rank.
@@ -181,8 +220,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     that are not yet in their component: at first one centre a bucket, then sixteen times as many each round, until each bucket is
     one component or all of its members have been centres. So a large group of near copies costs as many comparisons
     as it has members. No pair is skipped but those already connected, and those whose sketches (four bits of each register)
-    agree five standard deviations less than 0.8 would have it, or which after the first round share none of their rarest shingles (an exact
-    test, see ``rare_prefixes``): these tests are conditions of the join, so such pairs make no rows.
+    agree five standard deviations less than 0.8 would have it, or which after the first round share none of their rarest shingles or have
+    too many that they do not share (exact tests, see ``rare_prefixes`` and ``few_differences``; the second rejects little where texts have many
+    more shingles than ``ODD_BITS``): these tests are conditions of the join, so such pairs make no rows.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     if bands * rows % 16:
@@ -210,11 +250,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         may_be_near = enough
         if centres > 1:
             if prefixes is None:  # of the texts still open; later rounds have no others
-                prefixes = scratch.write(rare_prefixes(texts.join(buckets.select("rid").distinct(), "rid", "left_semi"), similarity), "prefixes")
+                still = scratch.write(texts.join(buckets.select("rid").distinct(), "rid", "left_semi"), "still")
+                prefixes = scratch.write(rare_prefixes(still, similarity).join(odd_sketches(still), "rid"), "prefixes")
+                scratch.drop(still)
             open_ = open_.join(prefixes, "rid")
-            may_be_near = enough & F.arrays_overlap("m.prefix", "c.prefix")
-        else:
-            open_ = open_.withColumn("prefix", F.array().cast("array<bigint>"))
+            may_be_near = enough & few_differences("m", "c", similarity) & F.arrays_overlap("m.prefix", "c.prefix")
+        else:  # the first round has one centre a bucket
+            none = F.array().cast("array<bigint>")
+            open_ = open_.withColumns({"prefix": none, "size": F.lit(0).cast("bigint"), "plain": F.lit(True), "odd": none})
         open_ = scratch.write(open_, "open")
         if centres == 1:
             first = open_.groupBy("band").agg(F.min("rid").alias("rid"))
@@ -222,7 +265,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         else:
             rank = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("rid"), "rid"))
             chosen = open_.withColumn("rank", rank).where(F.col("rank") <= centres)
-        chosen = scratch.write(chosen.select("band", "rid", "comp", "sketch", "prefix"), "centres")
+        chosen = scratch.write(chosen.select("band", "rid", "comp", "sketch", "prefix", "size", "plain", "odd"), "centres")
         pairs = open_.alias("m").join(chosen.alias("c"), (F.col("m.band") == F.col("c.band")) & (F.col("m.comp") != F.col("c.comp")) & may_be_near) \
             .select(F.col("m.rid").alias("x"), F.col("c.rid").alias("y"), F.col("m.comp").alias("a"), F.col("c.comp").alias("b")).distinct()
         links = scratch.write(verify(pairs, texts, similarity).distinct(), "links")

@@ -4,6 +4,7 @@ from itertools import combinations
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stratlab.llm import decontam, neardup
 from stratlab.llm.shingles import WordHashes, probability_jaccard, shingle_hashes, weighted, words_of
@@ -193,3 +194,42 @@ def test_leaks_awkward_rows(spark, awkward, nothing):
     assert len(rows) == 11 and {r.doc_id for r in rows if r.leaks} == {1, 2, None}
     assert decontam.find_leaks(nothing, bench).count() == 0
     assert all(r.leaks == [] for r in decontam.find_leaks(awkward, bench.limit(0)).collect())
+
+
+def test_odd_bits_reject_no_pair_that_is_near(spark):
+    """Texts at all similarities, with shingles that occur once or often: a near pair passes, most just below do not."""
+    rng, texts = random.Random(3), []
+    for k in range(8):
+        base = vocabulary(rng.randrange(30, 200), k) if k % 2 else (vocabulary(12, k) * 9)[:100]
+        for _ in range(9):
+            v = base[:len(base) - rng.randrange(12)]
+            for _ in range(rng.randrange(5)):
+                v[rng.randrange(len(v))] = "own" + str(rng.random())
+            texts.append(" ".join(v))
+    bags = [bag(t) for t in texts]
+    df = neardup.odd_sketches(spark.createDataFrame(list(enumerate(texts)), "rid long, text string"))
+    passed = {(r.x, r.y) for r in df.alias("a").join(df.alias("b"), F.col("a.rid") < F.col("b.rid"))
+              .where(neardup.few_differences("a", "b", 0.8)).select(F.col("a.rid").alias("x"), F.col("b.rid").alias("y")).collect()}
+    similar = {(i, j): probability_jaccard(bags[i], bags[j]) for i, j in combinations(range(len(texts)), 2)}
+    near = {p for p, s in similar.items() if s >= 0.8}
+    assert len(near) > 30 and near <= passed
+    plain = [p for p, s in similar.items() if s < 0.7 and all(bags[k][1].max() == 1 for k in p)]
+    assert len(plain) > 100 and sum(p in passed for p in plain) < len(plain) / 50
+
+
+def test_later_rounds_make_few_pairs_of_texts_below_the_limit(spark, monkeypatch):
+    """A hundred texts around similarity 0.7 to each other, none near: the join of later rounds makes next to no pairs."""
+    rng, base, texts = random.Random(21), vocabulary(120, 4), []
+    for k in range(100):
+        v = base[:]
+        for at in (7, 60, 100)[:2 + k % 2]:
+            v[at + rng.randrange(9)] = f"own{k}"
+        texts.append(" ".join(v))
+    pairs, verify = [], neardup.verify
+    monkeypatch.setattr(neardup, "verify", lambda p, *rest: pairs.append(p.count()) or verify(p, *rest))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    want = classes_by_force(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    print(pairs, len(set(want)))
+    assert len(pairs) > 1 and sum(pairs[1:]) < 400
