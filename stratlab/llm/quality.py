@@ -28,6 +28,8 @@ LEAD = PAD * (ORDER - 2) + BEGIN
 BITS = 12
 PIECE = 1 << 20
 BLOCK_BYTES = 24_000_000
+#: Texts and their n-grams are shuffled for scoring in so many parts, one after the other, so that the disk holds one part.
+PASSES = 2
 #: N-grams turned into strings at once.
 SLICE = 100_000
 #: A document is kept up to this quantile of the perplexities of the trusted documents in its language, each under the counts of the
@@ -304,7 +306,7 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
     perplexity and is not kept. Null text: as empty. Null lang: a language of its own. Null doc_id: scored, never trusted. Repeated rows: one
     row each. Without trusted text everything with words is kept. Other columns are not read.
 
-    The texts are shuffled twice (to count, to score), by a hash of id and length; a block holds about 24 MB of text.
+    The texts are shuffled twice (to count; to score, in two parts), by a hash of the id; a block holds about 24 MB of text.
     What a block gathers is its distinct n-grams, so the gathered tables grow with the input.
     """
     spark = docs.sparkSession
@@ -340,14 +342,19 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
             F.when(F.col(f"n{f}") > 0, F.col(f"log_p{f}" if halves else "log_p")).alias(f"log_p{f}") for f in (0, 1)]), "answers")
         for t in (asked, *spent):
             scratch.drop(t)
+        answers = answered.withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(
+            ids.select(F.col("_block").alias("block"), "doc_id"), allowMissingColumns=True)
+        of_symbols = lambda c: F.when(F.col("n_symbols") > 0, F.exp(-F.col(c) / F.col("n_symbols")))
+        passes = min(PASSES, blocks)
+        parts = []
+        for k in range(passes):
+            part = score(rows.where(F.col("_block") % passes == k), answers.where(F.col("block") % passes == k), carry, across_words)
+            parts.append(scratch.write(part.withColumn("perplexity", of_symbols("log_prob"))
+                                       .withColumn("_left_out", F.when(F.col("trusted"), of_symbols("left_out"))), "scored"))
+        scored = functools.reduce(DataFrame.union, parts)
+        scratch.drop(answered)
     finally:
         spark.conf.set(CLEANUP, old)
-    answers = answered.withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(
-        ids.select(F.col("_block").alias("block"), "doc_id"), allowMissingColumns=True)
-    of_symbols = lambda c: F.when(F.col("n_symbols") > 0, F.exp(-F.col(c) / F.col("n_symbols")))
-    scored = score(rows, answers, carry, across_words).withColumn("perplexity", of_symbols("log_prob")) \
-        .withColumn("_left_out", F.when(F.col("trusted"), of_symbols("left_out")))
-    scored = scratch.write(scored, "scored")
     level = F.percentile_approx("_left_out", F.lit(quantile), F.lit(QUANTILE_ACCURACY))
     held = scored.where("_left_out is not null")
     limits = scratch.write(held.groupBy(F.coalesce("lang", F.lit("")).alias("_lang"))

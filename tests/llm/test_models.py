@@ -336,3 +336,14 @@ def test_layouts_not_in_the_sample():
             total += 1
             wrong += bool(keep[k]) != (lead <= k < upto and not any(n in H.NOISE for n in b[0]))
     assert wrong / total < 0.05
+
+
+def test_texts_are_scored_in_parts(spark, monkeypatch):
+    """The shuffle of the texts for scoring holds one part of them at a time."""
+    monkeypatch.setattr(Q, "BLOCK_BYTES", 2_000)
+    rng, seen, score = random.Random(9), [], Q.score
+    docs = spark.createDataFrame([(k, prose(rng, 40), "en") for k in range(60)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(Q, "score", lambda d, *rest: seen.append(d.count()) or score(d, *rest))
+    got = Q.classify_quality(docs, docs.select("doc_id").where("doc_id < 30"), across_words=True).collect()
+    assert sorted(r.doc_id for r in got) == list(range(60)) and all(r.perplexity for r in got)
+    assert sum(seen) == 60 and max(seen) < 50
