@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratlab.llm.common import Scratch, worker_cache
-from stratlab.llm.packing import IdEncoder
+from stratlab.llm.packing import UNITS, IdEncoder
 from stratlab.llm.tokens import byte_alphabet
 from stratlab.llm.units import UnitMemo, simple
 
@@ -29,8 +29,6 @@ DIFFERS = OF_B - 1
 BLOCK_CHARS = 16_000_000
 #: Links of a block that are sorted at once.
 LINKS_AT_ONCE = 1 << 18
-#: Units whose ids a worker remembers.
-UNITS = 400_000
 GROUP_SCHEMA = ("doc_id bigint, a_ids array<int>, b_ids array<int>, "
                 "groups array<struct<a_from: int, a_to: int, b_from: int, b_to: int>>")
 DOC_SCHEMA = ("block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links binary, "

@@ -24,6 +24,8 @@ from stratlab.llm.units import UnitMemo
 END_ID = 1
 BLOCK_TOKENS = 4_000_000
 BLOCK_EXAMPLES = 4_096
+#: Units whose ids a worker remembers.
+UNITS = 400_000
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, loss_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
@@ -140,7 +142,7 @@ class IdEncoder:
             self.ascii = dict(enumerate(self.alphabet[:128]))
             self.model = self.tokenizer.model
             self.ranked = self.by_ranks(spec)
-            self.memo = UnitMemo(self.encode_units)
+            self.memo = UnitMemo(self.encode_units, limit=UNITS)
 
     def by_ranks(self, spec: dict):
         """An encoder of single units by token ranks, where the ids of the file grow in the order of its merges: then

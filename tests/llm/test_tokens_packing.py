@@ -120,3 +120,10 @@ def test_query_crc_is_that_of_the_ids(spark):
     df = spark.createDataFrame([(1, bytes([1, 0, 0, 0]))], "a int, ids binary")
     import zlib
     assert df.select(F.crc32("ids")).first()[0] == zlib.crc32(bytes([1, 0, 0, 0]))
+
+
+def test_encoders_remember_a_bounded_number_of_units():
+    encoder = packing.IdEncoder(tokenizer_path())
+    for k in range(0, 500_000, 50_000):
+        encoder.ids([" ".join(f"u{i}" for i in range(k, k + 50_000))])
+    assert len(encoder.memo.known) + len(encoder.memo.spaced) <= 460_000
