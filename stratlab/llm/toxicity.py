@@ -33,6 +33,8 @@ MAX_PER_CLASS = 1_500
 MAX_TRAIN_CHARS = 50_000
 MAX_CLASS_CHARS = 12_000_000
 EPOCHS = 60
+#: Words, or places of words, that training takes at once: the driver holds no wide copies of all.
+TRAIN_SLICE = 1 << 14
 
 
 def subwords(word: str) -> list[int]:
@@ -46,39 +48,70 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def sum_at(at: np.ndarray, values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """The sums of ``values[of]`` by ``at``, a slice at a time (numpy would make whole copies with wider numbers)."""
+    out = np.zeros(size)
+    for k in range(0, len(at), TRAIN_SLICE):
+        np.add.at(out, at[k:k + TRAIN_SLICE].astype(np.intp), values[of[k:k + TRAIN_SLICE]].astype(np.float64))
+    return out
+
+
 class Bags:
     """Training texts as numbers: distinct words as bags of buckets, windows as lists of words."""
 
     def log_odds(self, y: np.ndarray) -> np.ndarray:
         """Log odds of each bucket in toxic against other texts, each word counted once a text, smoothed."""
-        pairs = np.unique(self.owner[self.window].astype(np.int64) * max(1, len(self.sizes)) + self.flat)
-        word, toxic = pairs % max(1, len(self.sizes)), y[pairs // max(1, len(self.sizes))] == 1
-        counts = [np.bincount(word[side], minlength=len(self.sizes)).astype(np.float64) for side in (toxic, ~toxic)]
+        counts = np.zeros((2, len(self.sizes)))
+        for k, (at, end) in enumerate(zip(self.ends, self.ends[1:])):
+            counts[int(y[k] != 1), np.unique(self.flat[at:end])] += 1
         rates = []
         for c in counts:
-            n = np.bincount(self.buckets, weights=c[self.word_of_bucket], minlength=BUCKETS) + SMOOTH
+            n = self.by_bucket(c) + SMOOTH
             rates.append(np.log(n / n.sum()))
         return rates[0] - rates[1]
 
+    def word_slices(self):
+        """(words, their buckets), a slice at a time."""
+        for at in range(0, len(self.sizes), TRAIN_SLICE):
+            words = slice(at, at + TRAIN_SLICE)
+            first = self.starts[at]
+            last = self.starts[at + TRAIN_SLICE] if at + TRAIN_SLICE < len(self.starts) else len(self.buckets)
+            yield words, self.buckets[first:last]
+
+    def by_bucket(self, of_word: np.ndarray) -> np.ndarray:
+        """The sum of what the words of each bucket have."""
+        out = np.zeros(BUCKETS)
+        for words, buckets in self.word_slices():
+            np.add.at(out, buckets.astype(np.intp), np.repeat(of_word[words], self.sizes[words].astype(np.intp)))
+        return out
+
+    def of_words(self, gain: np.ndarray) -> np.ndarray:
+        """The mean of the buckets of each word."""
+        parts = [np.add.reduceat(gain[buckets], self.starts[words] - self.starts[words.start]) for words, buckets in self.word_slices()]
+        return np.concatenate(parts) / self.sizes if parts else np.zeros(0)
+
     def __init__(self, texts: list[str]):
         known: dict[str, int] = {}
-        bags, flat, window, owner, windows = [], [], [], [], 0
+        buckets, sizes = array("i"), array("i")
+        flat, window, owner, windows = [], [], [], 0
         for d, text in enumerate(texts):
             ids = array("i")
             for w in words_of(text):
                 k = known.setdefault(w, len(known))
-                if k == len(bags):
-                    bags.append(array("i", subwords(w)))
+                if k == len(sizes):
+                    bag = subwords(w)
+                    buckets.extend(bag)
+                    sizes.append(len(bag))
                 ids.append(k)
             n = max(1, -(-len(ids) // WINDOW))
             flat.append(np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32))
             window.append(windows + np.arange(len(ids), dtype=np.int32) // WINDOW)
             owner.append(np.full(n, d, np.int32))
             windows += n
-        self.sizes = np.array([len(b) for b in bags], dtype=np.float32)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes[:-1])]).astype(np.int64) if bags else np.zeros(0, np.int64)
-        self.buckets = np.concatenate([np.frombuffer(b, np.int32) for b in bags]) if bags else np.zeros(0, np.int32)
-        self.word_of_bucket = np.repeat(np.arange(len(bags)), self.sizes.astype(np.int64))
+        self.sizes = np.array(sizes, dtype=np.float32)
+        self.starts = np.cumsum([0, *sizes])[:-1]
+        self.buckets = np.array(buckets, dtype=np.int32)
+        self.ends = np.cumsum([0, *map(len, flat)])
         none = [np.zeros(0, np.int32)]
         self.flat, self.window, self.owner = np.concatenate(flat or none), np.concatenate(window or none), np.concatenate(owner or none)
         self.windows, self.texts = windows, len(texts)
@@ -106,8 +139,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         emb, out, bias = params
         diff = out[:, 1] - out[:, 0]
         gain = emb @ diff
-        word = (np.add.reduceat(gain[b.buckets], b.starts) / b.sizes) if len(b.starts) else np.zeros(0)
-        logit = np.bincount(b.window, weights=word[b.flat], minlength=b.windows) / WINDOW * SCALE + bias[1] - bias[0]
+        logit = sum_at(b.window, b.of_words(gain), b.flat, b.windows) / WINDOW * SCALE + bias[1] - bias[0]
         prob = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         order = np.lexsort((-logit, b.owner))
         rank = np.empty(b.windows, np.int64)
@@ -117,8 +149,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         weight = np.where(positive, (rank < chosen) / chosen, 0.5 / per_text[b.owner] + 0.5 * (rank == 0))
         weight /= np.where(positive, max(1, (y == 1).sum()), max(1, (y == 0).sum()))
         error = weight * (prob - positive)
-        by_word = np.bincount(b.flat, weights=error[b.window], minlength=len(b.sizes)) / WINDOW * SCALE / b.sizes
-        by_bucket = np.bincount(b.buckets, weights=by_word[b.word_of_bucket], minlength=BUCKETS).astype(np.float32)
+        by_word = sum_at(b.flat, error, b.window, len(b.sizes)) / WINDOW * SCALE / b.sizes
+        by_bucket = b.by_bucket(by_word).astype(np.float32)
         side = (by_bucket @ emb).astype(np.float32)
         total = np.float32(error.sum())
         grads = [np.outer(by_bucket, diff), np.stack([-side, side], axis=1), np.array([-total, total], np.float32)]

@@ -1,6 +1,7 @@
 import math
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -41,6 +42,17 @@ def test_unseen_texts_and_misspellings():
     assert scorer.score(prose(random.Random(9), 60) + " grumblefase " + prose(random.Random(8), 2000)) >= 0.5
 
 
+def test_training_makes_no_wide_copies():
+    """Training on 40,000 words stays under what copies of their buckets in wider numbers take."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(100)) for _ in range(400)]
+    tracemalloc.start()
+    X.train(texts, [k % 2 for k in range(400)], epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 42e6  # 54 million bytes with copies
+
+
 def test_held_out_labels_are_never_learnt(spark):
     rows = toxic_corpus(60, 3)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
