@@ -16,14 +16,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     the nodes of each component drop out in a round. A node with very many edges is combined
     before the shuffle (minimum) or split by adaptive execution (joins).
     """
-    edges = scratch.write(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    edges = scratch.write_narrow(edges.select("a", "b").where("a <> b").distinct(), "edges")
     total = None
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        pointers = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")).where("comp < node"), "pointers")
+        pointers = scratch.write_narrow(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")).where("comp < node"), "pointers")
         while True:
             up = pointers.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-            jumped = scratch.write(pointers.join(up, "comp", "left").select(
+            jumped = scratch.write_narrow(pointers.join(up, "comp", "left").select(
                 "node", F.coalesce("next", "comp").alias("comp"), F.col("next").isNotNull().alias("moved")), "pointers")
             scratch.drop(pointers)
             pointers = jumped
@@ -36,11 +36,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             moved = total.select("node", F.col("comp").alias("root")).join(
                 pointers_only.select(F.col("node").alias("root"), "comp"), "root", "left") \
                 .select("node", F.coalesce("comp", "root").alias("comp"))
-            new = scratch.write(moved.union(pointers_only.join(total.select("node"), "node", "left_anti")), "roots")
+            new = scratch.write_narrow(moved.union(pointers_only.join(total.select("node"), "node", "left_anti")), "roots")
             spent, total = [edges, total, pointers], new
         a = pointers_only.select(F.col("node").alias("a"), F.col("comp").alias("ra"))
         b = pointers_only.select(F.col("node").alias("b"), F.col("comp").alias("rb"))
-        next_edges = scratch.write(edges.join(a, "a", "left").join(b, "b", "left").select(
+        next_edges = scratch.write_narrow(edges.join(a, "a", "left").join(b, "b", "left").select(
             F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b").distinct(), "edges")
         for df in spent:
             scratch.drop(df)

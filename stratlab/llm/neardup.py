@@ -25,6 +25,8 @@ BANDS = 32
 ROWS = 6
 #: Bits of the sketch that bounds how many shingles two texts do not share.
 ODD_BITS = 2_048
+#: So many times as many centres a bucket in each round.
+MORE_CENTRES = 32
 
 
 def registers(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
@@ -140,7 +142,8 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
                      for i in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(found, pa.bool_()))
 
-    return pairs.join(left, "x").join(right, "y").select("a", "b", "x", "y", "tx", "ty").mapInArrow(run, "a bigint, b bigint")
+    # a centre y may have very many pairs: Spark splits that join, and the tasks of the last are those of x
+    return pairs.join(right, "y").join(left, "x").select("a", "b", "x", "y", "tx", "ty").mapInArrow(run, "a bigint, b bigint")
 
 
 def rare_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
@@ -217,7 +220,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     Other columns are not read. An empty table gives no row.
 
     Equal texts become one node first. In a bucket of a band, centres are compared with the members
-    that are not yet in their component: at first one centre a bucket, then sixteen times as many each round, until each bucket is
+    that are not yet in their component: at first one centre a bucket, then 32 times as many each round, until each bucket is
     one component or all of its members have been centres. So a large group of near copies costs as many comparisons
     as it has members. No pair is skipped but those already connected, and those whose sketches (four bits of each register)
     agree five standard deviations less than 0.8 would have it, or which after the first round share none of their rarest shingles or have
@@ -243,10 +246,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     labels, prefixes = None, None
     centres = 1
     while not buckets.isEmpty():
-        placed = buckets.withColumn("comp", F.col("rid")) if labels is None else \
-            buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-        mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-        open_ = placed.join(mixed, "band").join(brief, "rid")
+        if labels is None:  # each node is a component of its own, so no bucket is one
+            open_ = buckets.withColumn("comp", F.col("rid")).join(brief, "rid")
+        else:
+            placed = buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+            mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
+            open_ = placed.join(mixed, "band").join(brief, "rid")
         may_be_near = enough
         if centres > 1:
             if prefixes is None:  # of the texts still open; later rounds have no others
@@ -258,20 +263,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         else:  # the first round has one centre a bucket
             none = F.array().cast("array<bigint>")
             open_ = open_.withColumns({"prefix": none, "size": F.lit(0).cast("bigint"), "plain": F.lit(True), "odd": none})
-        open_ = scratch.write(open_, "open")
-        if centres == 1:
-            first = open_.groupBy("band").agg(F.min("rid").alias("rid"))
-            chosen = open_.join(first, ["band", "rid"])
-        else:
-            rank = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("rid"), "rid"))
-            chosen = open_.withColumn("rank", rank).where(F.col("rank") <= centres)
-        chosen = scratch.write(chosen.select("band", "rid", "comp", "sketch", "prefix", "size", "plain", "odd"), "centres")
-        pairs = open_.alias("m").join(chosen.alias("c"), (F.col("m.band") == F.col("c.band")) & (F.col("m.comp") != F.col("c.comp")) & may_be_near) \
-            .select(F.col("m.rid").alias("x"), F.col("c.rid").alias("y"), F.col("m.comp").alias("a"), F.col("c.comp").alias("b")).distinct()
-        links = scratch.write(verify(pairs, texts, similarity).distinct(), "links")
-        rest = scratch.write(open_.select("band", "rid").join(chosen.select("band", "rid"), ["band", "rid"], "left_anti"), "buckets")
-        alone = rest.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-        new_buckets = scratch.write(rest.join(alone, "band"), "buckets")
+        own_bands = F.collect_list("band").over(Window.partitionBy("rid"))
+        open_ = scratch.write(open_.withColumn("own", own_bands).withColumn("turn", F.xxhash64("rid")), "open")
+        rank = F.row_number().over(Window.partitionBy("band").orderBy("turn", "rid"))
+        chosen = open_.withColumn("rank", rank).where(F.col("rank") <= centres)
+        chosen = scratch.write(chosen.withColumn("own", own_bands).repartition("band")
+                               .select("band", "turn", "rid", "comp", "own", "sketch", "prefix", "size", "plain", "odd"), "centres")
+        # a pair meets in the buckets where one is open and the other a centre; the first of them gives its row
+        here = F.array_min(F.array_intersect("m.own", "c.own")) == F.col("m.band")
+        pairs = open_.alias("m").join(chosen.alias("c"), (F.col("m.band") == F.col("c.band")) & (F.col("m.comp") != F.col("c.comp")) & may_be_near & here) \
+            .select(F.col("m.rid").alias("x"), F.col("c.rid").alias("y"), F.col("m.comp").alias("a"), F.col("c.comp").alias("b"))
+        links = scratch.write(verify(pairs, texts, similarity), "links")
+        # the members after the last centre, where two at least are left
+        last = chosen.groupBy("band").agg(F.max(F.struct("turn", "rid")).alias("last"), F.count("*").alias("taken"))
+        left = last.join(open_.groupBy("band").agg(F.count("*").alias("n")), "band").where("n - taken > 1").select("band", "last")
+        new_buckets = scratch.write_narrow(open_.join(left, "band").where(F.struct("turn", "rid") > F.col("last")).select("band", "rid"), "buckets")
         new_labels = labels
         if not links.isEmpty():
             found = components(links, scratch)
@@ -279,12 +285,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
                 moved = labels.alias("l").join(found.alias("f"), F.col("l.comp") == F.col("f.node"), "left") \
                     .select("l.node", F.coalesce("f.comp", "l.comp").alias("comp"))
                 found = moved.union(found.join(labels.select("node"), "node", "left_anti").select("node", "comp"))
-            new_labels = scratch.write(found, "labels")
+            new_labels = scratch.write_narrow(found, "labels")
             scratch.drop(labels)
-        for df in (buckets, open_, chosen, links, rest):
+        for df in (buckets, open_, chosen, links):
             scratch.drop(df)
         buckets, labels = new_buckets, new_labels
-        centres *= 16
+        centres *= MORE_CENTRES
     scratch.drop(texts)
     classes = nodes.select("key", "rid", "first_id", "copies")
     classes = classes.withColumn("comp", F.col("rid")) if labels is None else \

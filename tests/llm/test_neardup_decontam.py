@@ -6,6 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from stratlab.llm.common import Scratch
+from stratlab.llm.components import components
 from stratlab.llm import decontam, neardup
 from stratlab.llm.shingles import WordHashes, probability_jaccard, shingle_hashes, weighted, words_of
 
@@ -233,3 +235,38 @@ def test_later_rounds_make_few_pairs_of_texts_below_the_limit(spark, monkeypatch
     assert [got[i] for i in range(len(texts))] == want
     print(pairs, len(set(want)))
     assert len(pairs) > 1 and sum(pairs[1:]) < 400
+
+
+def test_a_pair_makes_one_row_and_few_rounds_do(spark, monkeypatch):
+    """Six hundred texts around similarity 0.85: however many bands two texts share, they are one row of the join (its rows grow with
+    the bands else), and the buckets are through after three rounds."""
+    rng, base, texts = random.Random(8), vocabulary(120, 4), []
+    for k in range(600):
+        v = base[:]
+        v[rng.randrange(len(v))] = f"own{k}"
+        if k % 3 == 0:
+            v = v[:60] + [f"odd{k}{i}" for i in range(2)] + v[62:]
+        texts.append(" ".join(v))
+    rounds, verify = [], neardup.verify
+
+    def watched(pairs, *rest):
+        plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+        rounds.append(("Aggregate" in plan, pairs.count(), pairs.select("x", "y").distinct().count()))
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "verify", watched)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == classes_by_force(texts)
+    assert sum(n for _, n, _ in rounds) > 500 and len(rounds) <= 3
+    assert all(not combined and n == pairs for combined, n, pairs in rounds)
+
+
+def test_small_tables_of_components_are_few_files(spark):
+    """A table of edges over many partitions is not written as one file a partition."""
+    scratch = Scratch(spark, "components")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 400, 2)], "a long, b long")
+    found = scratch.write_narrow(edges.repartition(200, "a"), "edges")
+    assert len(found.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+    got = {r.node: r.comp for r in components(found, scratch).collect()}
+    assert got == {i: i - i % 2 for i in range(400)}
