@@ -11,6 +11,7 @@ blocks; a block asks for the probabilities of its distinct n-grams and scores it
 from __future__ import annotations
 
 import functools
+import sys
 import zlib
 
 import numpy as np
@@ -71,10 +72,12 @@ class Coder:
 
     def __init__(self, points: np.ndarray):
         self.points = points  # sorted, PAD first
+        self.ids = np.zeros(int(points[-1]) + 1, np.uint16)
+        self.ids[points] = np.arange(len(points))
 
     def codes(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(where, code) of each n-gram in a run of code points."""
-        ids = np.concatenate([np.zeros(ORDER - 1, np.uint64), np.searchsorted(self.points, symbols).astype(np.uint64)])
+        ids = np.concatenate([np.zeros(ORDER - 1, np.uint64), self.ids[symbols].astype(np.uint64)])
         code = np.zeros(len(symbols), np.uint64)
         for k in range(ORDER):
             code = code << np.uint64(BITS) | ids[k:k + len(symbols)]
@@ -108,6 +111,20 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
 
 
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes, in any order, and the place of each code among them; hashed, as sorting takes longer."""
+    found = pa.array(codes, pa.uint64()).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
+
+
+def used_points(*symbols: np.ndarray) -> np.ndarray:
+    """The distinct code points, sorted."""
+    used = np.zeros(sys.maxunicode + 1, np.bool_)
+    for part in symbols:
+        used[part] = True
+    return np.flatnonzero(used).astype("<u4")
+
+
 class Parts(list):
     """Pieces as ((texts, how many symbols of each), symbols, context); the text of each symbol is written out when a piece is read."""
 
@@ -134,7 +151,7 @@ def pieces(texts: list[str | None], across: bool):
                 # the first ORDER - 1 symbols of a later piece are context only
                 lead = min(at, ORDER - 1)
                 part = symbols[at - lead:at + step]
-                new = np.union1d(alphabet, part)
+                new = used_points(alphabet, part)
                 if len(new) >= 1 << BITS:
                     if len(alphabet) > 1:
                         if found:
@@ -175,7 +192,7 @@ def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
             for k, (owner, symbols, lead) in enumerate(parts):
                 where, code = coder.codes(symbols)
                 where, code = where[where >= lead], code[where >= lead]
-                new, back = np.unique(code, return_inverse=True)
+                new, back = distinct(code)
                 of = fold[owner[where]]
                 waiting.append((new, np.stack([np.bincount(back[of == f], minlength=len(new)) for f in (0, 1)])))
                 size += len(new)
@@ -279,12 +296,14 @@ def score(docs: DataFrame, answers: DataFrame, carry: list[str], across: bool) -
             for owner, part, lead in parts:
                 where, code = coder.codes(part)
                 where, code = where[where >= lead], code[where >= lead]
-                symbols += np.bincount(owner[where], minlength=left.num_rows)
-                found = np.searchsorted(known, code)
-                logs += np.bincount(owner[where], weights=value[0][found], minlength=left.num_rows)
-                in_fold = fold[owner[where]] >= 0
-                row, found = owner[where][in_fold], found[in_fold]
-                others += np.bincount(row, weights=value[1 + fold[row], found], minlength=left.num_rows)
+                row = owner[where]
+                symbols += np.bincount(row, minlength=left.num_rows)
+                new, back = distinct(code)
+                found = value[:, np.searchsorted(known, new)]
+                logs += np.bincount(row, weights=found[0][back], minlength=left.num_rows)
+                in_fold = fold[row] >= 0
+                row, back = row[in_fold], back[in_fold]
+                others += np.bincount(row, weights=found[1 + fold[row], back], minlength=left.num_rows)
         columns = [left.column(c) for c in carry]
         return pa.table([*columns, pa.array(symbols, pa.int64()), pa.array(logs, pa.float64()),
                          pa.array(others, pa.float64()), pa.array(fold >= 0, pa.bool_())],

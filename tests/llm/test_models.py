@@ -359,3 +359,17 @@ def test_texts_are_scored_in_parts(spark, monkeypatch):
     got = Q.classify_quality(docs, docs.select("doc_id").where("doc_id < 30"), across_words=True).collect()
     assert sorted(r.doc_id for r in got) == list(range(60)) and all(r.perplexity for r in got)
     assert sum(seen) == 60 and max(seen) < 50
+
+
+def test_ngrams_are_looked_up_once_a_piece(monkeypatch):
+    """Of the codes of a piece only the distinct ones are searched among the n-grams known, and any character has a code."""
+    texts = ["to be or not to be " * 200, "\U0010ffff\U0010fffd\ud7ff a\x03b \x02"]
+    codes = np.array([7, 3, 7, 7, 2 ** 60 - 1, 3], np.uint64)
+    new, back = Q.distinct(codes)
+    assert sorted(new.tolist()) == [3, 7, 2 ** 60 - 1] and (new[back] == codes).all()
+    for coder, parts in Q.pieces(texts, True):
+        for _, symbols, _ in parts:
+            where, found = coder.codes(symbols)
+            ids = np.searchsorted(coder.points, symbols)
+            assert (coder.points[ids] == symbols).all() and (found & np.uint64((1 << Q.BITS) - 1) == ids[where]).all()
+            assert len(Q.distinct(found)[0]) < 60 < len(found)
