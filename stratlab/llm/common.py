@@ -25,13 +25,19 @@ def worker_cache(owner: str, name: str, make: Callable[[], object]):
     globals do not outlive a task; a registered module object does. A worker serves one operator after
     the other, so it holds what one owner (a model or a file) needs, not what all before it needed.
     """
+    values = free_worker_cache(owner)
+    if name not in values:
+        values[name] = make()
+    return values[name]
+
+
+def free_worker_cache(owner: str) -> dict:
+    """Drops what other owners keep in a Python worker; an operator that keeps nothing there calls it before it takes memory."""
     holder = sys.modules.setdefault("stratlab_worker_cache", types.ModuleType("stratlab_worker_cache"))
     if getattr(holder, "owner", None) != owner:
         holder.owner, holder.values = owner, {}
         pa.default_memory_pool().release_unused()
-    if name not in holder.values:
-        holder.values[name] = make()
-    return holder.values[name]
+    return holder.values
 
 
 def thin_by_hash(df: DataFrame, hash_column: str, rows: int, limit: int) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratlab.llm.common import Scratch
+from stratlab.llm.common import Scratch, free_worker_cache
 
 ORDER = 5
 PAD, BEGIN, END = "\x00", "\x02", "\x03"
@@ -161,7 +161,8 @@ def pieces(texts: list[str | None], across: bool):
                         step //= 2
                     continue
                 alphabet = new
-                found.append(((np.array(owners), np.diff(np.clip(starts, at - lead, at + step))), part, lead))
+                narrow = part.astype(np.min_scalar_type(part.max()))  # all pieces of a block are held
+                found.append(((np.array(owners), np.diff(np.clip(starts, at - lead, at + step))), narrow, lead))
                 at += step
                 step = PIECE
             group, owners, size = [], [], 0
@@ -207,6 +208,7 @@ def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
         return pa.table({"block": pa.array(np.full(len(grams), block, np.int32)), "gram": grams, "n0": pa.array(n0), "n1": pa.array(n1)})
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        free_worker_cache("quality")
         block = left.column("_block")[0].as_py() if left.num_rows else 0
         found = list(counted(left, set(right.column("doc_id").to_pylist())))
         parts = [pa.concat_tables([table(block, pa.array(coder.strings(codes[k:k + SLICE]), pa.string()), *counts[:, k:k + SLICE])
@@ -283,6 +285,7 @@ def score(docs: DataFrame, answers: DataFrame, carry: list[str], across: bool) -
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_symbols bigint, log_prob double, left_out double, trusted boolean"
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        free_worker_cache("quality")
         is_gram = right.column("gram").is_valid()
         grams = right.column("gram").filter(is_gram).combine_chunks()
         log_p = np.stack([pc.fill_null(right.column(c).filter(is_gram), 0.0).to_numpy().astype(np.float64) for c in ("log_p", "log_p0", "log_p1")])

@@ -173,7 +173,7 @@ SCALE = 6.0
 class Scorer:
     """Scores texts; the share of each word is remembered (bounded)."""
 
-    def __init__(self, gain: np.ndarray, bias: float, limit: int = 500_000):
+    def __init__(self, gain: np.ndarray, bias: float, limit: int = 200_000):
         self.gain, self.bias, self.limit = gain, bias, limit
         self.known: dict[str, float] = {}
 

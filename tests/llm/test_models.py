@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from stratlab.llm import common
 from stratlab.llm import html_blocks as H
 from stratlab.llm import quality as Q
 from stratlab.llm import toxicity as X
@@ -373,3 +374,11 @@ def test_ngrams_are_looked_up_once_a_piece(monkeypatch):
             ids = np.searchsorted(coder.points, symbols)
             assert (coder.points[ids] == symbols).all() and (found & np.uint64((1 << Q.BITS) - 1) == ids[where]).all()
             assert len(Q.distinct(found)[0]) < 60 < len(found)
+
+
+def test_the_quality_model_frees_what_a_worker_kept_and_holds_narrow_pieces():
+    """A worker that scored toxicity before does not hold its words beside the blocks of the quality model."""
+    common.worker_cache("toxicity:x", "scorer", lambda: [0] * 10)
+    assert common.free_worker_cache("quality") == {}
+    sizes = [parts[0][1].itemsize for text in ("plain text", "\u4e2d\u6587", "\U0001f600 x") for _, parts in Q.pieces([text], True)]
+    assert sizes == [1, 2, 4]
