@@ -116,8 +116,8 @@ def by_powers(pieces: list[tuple[int, int, int]], total: int) -> list[list[tuple
 class IdEncoder:
     """Token ids of texts by a ``tokenizers`` file, as little-endian unsigned 32-bit bytes.
 
-    For byte-level BPE files, units not met before are encoded by token ranks or, where the ids of the file do
-    not follow its merges, cut into pre-tokens and given to the file's BPE model directly; other files encode every text whole.
+    For byte-level BPE files, texts are encoded by token ranks or, where the ids of the file do not follow its merges,
+    units not met before are cut into pre-tokens and given to the file's BPE model directly; other files encode every text whole.
     """
 
     def __init__(self, path: str):
@@ -129,7 +129,7 @@ class IdEncoder:
             spec = json.load(f)
         self.path = path
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         before = spec["pre_tokenizer"] or {}
         self.direct = (spec["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
                        and not before.get("add_prefix_space"))
@@ -145,7 +145,7 @@ class IdEncoder:
             self.memo = UnitMemo(self.encode_units, limit=UNITS)
 
     def by_ranks(self, spec: dict):
-        """An encoder of single units by token ranks, where the ids of the file grow in the order of its merges: then
+        """An encoder of texts by token ranks, where the ids of the file grow in the order of its merges: then
         the pair merged first is the one whose token has the smallest id."""
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
@@ -157,11 +157,18 @@ class IdEncoder:
         from public_tokenizers import PATTERN
 
         ranks = {bytes([to_byte[c] for c in t]): i for t, i in vocab.items() if t not in self.special}
-        return tiktoken.Encoding(self.path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding(self.path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+
+    def encode_ranked(self, text: str) -> bytes:
+        """Ids of a text without special strings; tiktoken gives up on a million and more white-space characters in a row."""
+        try:
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).tobytes()
+        except ValueError:
+            return self.encode([text])[0]
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         if self.ranked:
-            return [array("I", ids).tobytes() for ids in map(self.ranked, units)]
+            return [array("I", ids).tobytes() for ids in map(self.ranked.encode_ordinary, units)]
         return [b"".join([self.encode_word(w) for w in self.split(u)]) for u in units]
 
     def encode_word(self, word: str) -> bytes:
@@ -175,6 +182,8 @@ class IdEncoder:
         if not self.direct:
             return self.encode(texts)
         plain = [not any(s in t for s in self.special) for t in texts]
+        if self.ranked:
+            return [self.encode_ranked(t) if p else self.encode([t])[0] for t, p in zip(texts, plain)]
         known = iter(self.memo.values([t for t, p in zip(texts, plain) if p]))
         return [b"".join(next(known)) if p else self.encode([t])[0] for t, p in zip(texts, plain)]
 

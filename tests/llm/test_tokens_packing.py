@@ -127,3 +127,10 @@ def test_encoders_remember_a_bounded_number_of_units():
     for k in range(0, 500_000, 50_000):
         encoder.ids([" ".join(f"u{i}" for i in range(k, k + 50_000))])
     assert len(encoder.memo.known) + len(encoder.memo.spaced) <= 460_000
+
+
+def test_ranked_files_encode_texts_whole_and_remember_nothing():
+    encoder = packing.IdEncoder(tokenizer_path())
+    texts = ["the plan, the plan's end", "", "x" * 400 + " é 日\u3000 🙂", "a\n" + "\n" * 1_200_000 + "b", "say <|endoftext|> here"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.ids(texts)] == [library(t) for t in texts]
+    assert encoder.ranked and not encoder.memo.known and not encoder.memo.spaced
