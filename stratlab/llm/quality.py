@@ -11,8 +11,10 @@ blocks; a block asks for the probabilities of its distinct n-grams and scores it
 from __future__ import annotations
 
 import functools
+import itertools
 import sys
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +27,19 @@ from stratlab.llm.common import Scratch, free_worker_cache
 ORDER = 5
 PAD, BEGIN, END = "\x00", "\x02", "\x03"
 LEAD = PAD * (ORDER - 2) + BEGIN
-#: Bits of a character in the number of an n-gram, and characters counted or scored at once.
+#: Bits of a character in the number of an n-gram, characters counted or scored at once, and n-grams of pieces counted together.
 BITS = 12
-PIECE = 1 << 20
+PIECE = 1 << 18
+MERGE = 1 << 19
 BLOCK_BYTES = 24_000_000
 #: Texts and their n-grams are shuffled for scoring in so many parts, one after the other, so that the disk holds one part.
 PASSES = 2
-#: N-grams turned into strings at once.
+#: N-grams turned into strings, or from strings, at once.
 SLICE = 100_000
+#: Texts that are Python strings at once.
+TEXTS = 64
+#: Bytes of an Arrow batch between the JVM and a worker; a batch of a whole block would take its size several times in either.
+BATCH_BYTES = "2m"
 #: A document is kept up to this quantile of the perplexities of the trusted documents in its language, each under the counts of the
 #: fold that it is not in; a language with under ``LEAST_ROWS`` (five beyond the quantile) takes the quantile of all languages.
 QUANTILE = 0.98
@@ -93,6 +100,10 @@ class Coder:
 
     def numbers(self, grams: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(index, code) of those n-grams whose characters are all in the alphabet."""
+        parts = [(k, *self.numbers_of(grams.slice(k, SLICE))) for k in range(0, max(1, len(grams)), SLICE)]
+        return np.concatenate([k + good for k, good, _ in parts]), np.concatenate([code for *_, code in parts])
+
+    def numbers_of(self, grams: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         symbols = code_points("".join(grams.to_pylist()))
         size = np.asarray(pc.utf8_length(grams)).astype(np.int64)
         ids = np.minimum(np.searchsorted(self.points, symbols), len(self.points) - 1)
@@ -133,16 +144,24 @@ class Parts(list):
             yield np.repeat(texts, sizes), symbols, lead
 
 
-def pieces(texts: list[str | None], across: bool):
+def texts_of(column: pa.ChunkedArray):
+    """The texts of a column, few of them as Python strings at once."""
+    for chunk in column.chunks:
+        for at in range(0, len(chunk), TEXTS):
+            yield from chunk.slice(at, TEXTS).to_pylist()
+
+
+def pieces(texts: Iterable[str | None], across: bool):
     """(coder, [(text of each symbol, symbols, how many of them are context only)]): streams in pieces of bounded size, under one
     alphabet as long as it fits, else under several. A text longer than a piece is cut with the characters before the cut as context."""
     found = Parts()
     alphabet: np.ndarray = np.array([ord(PAD)], dtype="<u4")
     group: list[str] = []
     size, owners = 0, []
-    for k, text in enumerate([*texts, None]):
-        s = stream(text, across) if k < len(texts) else ""
-        if group and (k == len(texts) or size + len(s) > PIECE):
+    last = object()
+    for k, text in enumerate(itertools.chain(texts, [last])):
+        s = stream(text, across) if text is not last else ""
+        if group and (text is last or size + len(s) > PIECE):
             symbols = code_points("".join(group))
             starts = np.cumsum([0, *[len(g) for g in group]])
             step = PIECE
@@ -188,7 +207,7 @@ def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
     def counted(left: pa.Table, ids: set):
         """(coder, codes, counts by fold) of each alphabet."""
         fold = folds(left.column("doc_id").to_pylist(), ids)
-        for coder, parts in pieces(left.column("text").to_pylist(), across):
+        for coder, parts in pieces(texts_of(left.column("text")), across):
             codes, counts, waiting, size = np.zeros(0, np.uint64), np.zeros((2, 0)), [], 0
             for k, (owner, symbols, lead) in enumerate(parts):
                 where, code = coder.codes(symbols)
@@ -197,7 +216,7 @@ def gather(docs: DataFrame, trusted: DataFrame, across: bool) -> DataFrame:
                 of = fold[owner[where]]
                 waiting.append((new, np.stack([np.bincount(back[of == f], minlength=len(new)) for f in (0, 1)])))
                 size += len(new)
-                if size < max(PIECE, len(codes)) and k + 1 < len(parts):  # merged when they are as many as those before
+                if size < max(MERGE, len(codes)) and k + 1 < len(parts):  # merged when they are as many as those before
                     continue
                 waiting, size, held = [], 0, [(codes, counts), *waiting]
                 codes, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
@@ -288,11 +307,11 @@ def score(docs: DataFrame, answers: DataFrame, carry: list[str], across: bool) -
         free_worker_cache("quality")
         is_gram = right.column("gram").is_valid()
         grams = right.column("gram").filter(is_gram).combine_chunks()
-        log_p = np.stack([pc.fill_null(right.column(c).filter(is_gram), 0.0).to_numpy().astype(np.float64) for c in ("log_p", "log_p0", "log_p1")])
+        log_p = np.stack([pc.fill_null(right.column(c).filter(is_gram), 0.0).to_numpy() for c in ("log_p", "log_p0", "log_p1")])
         ids = set(right.column("doc_id").to_pylist()) - {None}
         fold = folds(left.column("doc_id").to_pylist(), ids)
         symbols, logs, others = np.zeros(left.num_rows, np.int64), np.zeros(left.num_rows), np.zeros(left.num_rows)
-        for coder, parts in pieces(left.column("text").to_pylist(), across):
+        for coder, parts in pieces(texts_of(left.column("text")), across):
             at, known = coder.numbers(grams)
             order = np.argsort(known)
             known, value = known[order], log_p[:, at[order]]
@@ -341,8 +360,9 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
     key = [F.coalesce("doc_id", F.xxhash64("text"))]
     rows = with_block(rows, key, blocks)
     ids = with_block(trusted.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct(), [F.col("doc_id")], blocks)
-    old = spark.conf.get(CLEANUP, "false")
+    old = {CLEANUP: spark.conf.get(CLEANUP, "false"), ARROW_BYTES: spark.conf.get(ARROW_BYTES)}
     spark.conf.set(CLEANUP, "true")  # what a written table was shuffled from goes before the next
+    spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     try:
         asked = scratch.write(gather(rows, ids, across_words), "asked")
         counts = scratch.write(asked.where("n0 + n1 > 0").groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "counts")
@@ -376,7 +396,8 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
         scored = functools.reduce(DataFrame.union, parts)
         scratch.drop(answered)
     finally:
-        spark.conf.set(CLEANUP, old)
+        for name, value in old.items():
+            spark.conf.set(name, value)
     level = F.percentile_approx("_left_out", F.lit(quantile), F.lit(QUANTILE_ACCURACY))
     held = scored.where("_left_out is not null")
     limits = scratch.write(held.groupBy(F.coalesce("lang", F.lit("")).alias("_lang"))
@@ -389,4 +410,5 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, carry: tuple[str, ...]
         .select(*carry, "n_symbols", "perplexity", "trusted", "threshold", "kept")
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

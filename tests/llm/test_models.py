@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import time
@@ -6,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stratlab.llm import common
@@ -382,3 +384,22 @@ def test_the_quality_model_frees_what_a_worker_kept_and_holds_narrow_pieces():
     assert common.free_worker_cache("quality") == {}
     sizes = [parts[0][1].itemsize for text in ("plain text", "\u4e2d\u6587", "\U0001f600 x") for _, parts in Q.pieces([text], True)]
     assert sizes == [1, 2, 4]
+
+
+def test_a_block_is_taken_in_small_parts(spark, monkeypatch):
+    """Texts cross to a worker and become Python strings few at a time, and n-grams get their numbers a slice at a time."""
+    grams = pa.array(["".join(p) for p in itertools.product("abcdefghijklmnop", repeat=4)] * 4)
+    coder = Q.Coder(np.array([0, *map(ord, "abcdefghijklmno")], "<u4"))
+    tracemalloc.start()
+    good, code = coder.numbers(grams)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert coder.strings(code) == [g for g in grams.to_pylist() if "p" not in g] == grams.take(pa.array(good)).to_pylist()
+    assert peak < 30e6 and [len(x) for x in coder.numbers(pa.array([], pa.string()))] == [0, 0]
+    column = pa.chunked_array([["a b", None], [], [f"t{k}" for k in range(200)]], pa.string())
+    assert list(Q.texts_of(column)) == column.to_pylist()
+    seen, gather, before = [], Q.gather, spark.conf.get(Q.ARROW_BYTES)
+    monkeypatch.setattr(Q, "gather", lambda *a: seen.append(spark.conf.get(Q.ARROW_BYTES)) or gather(*a))
+    docs = spark.createDataFrame([(1, "a b c", "en"), (2, "b c", "en")], "doc_id long, text string, lang string")
+    assert Q.classify_quality(docs, docs.select("doc_id"), across_words=True).count() == 2
+    assert seen == [Q.BATCH_BYTES] and spark.conf.get(Q.ARROW_BYTES) == before
