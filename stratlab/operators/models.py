@@ -202,7 +202,7 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, fold: str, inn
     ``inner`` is the array column from ``stratified_folds(..., inner=...)``.
 
     With ``models=False`` the dicts have no ``model``, and forests over numbers of trees, depths and feature subsets are grown for
-    all fits from one aggregate of the rows (``forests.nested_forest_search``) where their fits are of bounded size.
+    all fits from aggregates of the rows (``forests.nested_forest_search``) where their fits are of bounded size.
     """
     from concurrent.futures import ThreadPoolExecutor
 

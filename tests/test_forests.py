@@ -71,6 +71,57 @@ def test_smaller_forests_are_the_beginning_of_larger_ones():
     assert FO.node_subset(9, 0, 4, 2)(np.arange(1, 50)).sum(axis=1).tolist() == [2] * 49
 
 
+def test_trees_grown_side_by_side_are_those_grown_alone():
+    rng = np.random.default_rng(11)
+    for widths in ((7, 30, 2, 2, 2, 2), (2, 2, 2), (1, 5)):
+        bins = np.unique(np.stack([rng.integers(0, w, 300) for w in widths], axis=1), axis=0)
+        n = rng.poisson(0.8, (len(bins), 9)).astype(float)
+        s = n * rng.normal(100, 30, n.shape)
+        for size in (2, len(widths)):
+            starts = FO.tree_starts(4, 3, 9)
+            got = {d: (v.copy(), g.copy()) for d, v, g in FO.grow_together(bins, n.T, s.T, [0, 2, 30], starts, size)}
+            for t in range(9):
+                tn, ts, zero = n[:, t], s[:, t], np.zeros(len(bins))
+                floor = (np.divide(ts * ts, tn, out=zero.copy(), where=tn > 0).sum() + 1e-300) * TR.LEAST_GAIN
+                levels = [(None, np.full(len(bins), ts.sum() / tn.sum()))]
+                for d, *_, gains in TR.grow(bins, np.stack([tn, ts, zero, zero, zero], axis=1), 1, 0, [0, 2, 30], floor, levels,
+                                            FO.node_subset(4, 3 + t, len(widths), size)):
+                    assert got[d][0][t] == pytest.approx(levels[-1][1], abs=1e-9)
+                    assert got[d][1][t] == pytest.approx(gains, rel=1e-6, abs=1e-6)
+
+
+def test_passes_over_the_trees_add_up(table, monkeypatch):
+    assert FO.passes([4, 12], 10) == [((4, 12), [[0, 4, 12]])]
+    monkeypatch.setattr(FO, "PASS_NUMBERS", 6 * 216)   # 3 trees of the table's 216 vectors
+    assert FO.passes([4, 12], 216) == [((4,), [[0, 3]]), ((4, 12), [[3, 4, 6]]), ((12,), [[6, 9], [9, 12]])]
+    cands = [{"numTrees": n, "maxDepth": d, "featureSubsetStrategy": f} for n in ("4", "12") for d in ("2", "30") for f in ("all", "2")]
+    table = table.checkpoint()
+    _, parts, = FO.nested_forest_search(table, FEATURES, "y", "fold", "inner", cands, 32, 7)
+    monkeypatch.setattr(FO, "PASS_NUMBERS", 1_000_000)
+    rows, whole = FO.nested_forest_search(table, FEATURES, "y", "fold", "inner", cands, 32, 7)
+    assert len({a["best_idx"] for a in whole}) >= 1 and rows.count() == 1500
+    for a, b in zip(parts, whole):
+        assert a["avg_metrics"] == pytest.approx(b["avg_metrics"], abs=1e-9) and len(b["avg_metrics"]) == 8
+        assert a["importances"] == pytest.approx(b["importances"], abs=1e-9) and sum(b["importances"]) == pytest.approx(1)
+        assert b["avg_metrics"][7] > b["avg_metrics"][1]   # 12 trees with as many levels as they need against 4 of depth 2
+
+
+def test_registered_forest_search_has_the_whole_grid_of_the_study(spark, monkeypatch):
+    seen = []
+
+    def search(df, features, target, fold, inner, cands, max_bins, seed):
+        seen.append((cands, max_bins))
+        return df.withColumn("prediction", F.col(target)), [{"fold": f, "importances": [0.2] * 5, "best_params": cands[0], "avg_metrics": [0.0] * len(cands),
+                                                             "fit_seconds": 0.0} for f in range(10)]
+    monkeypatch.setattr(M, "nested_forest_search", search)
+    Q.REGISTRY["forest_nested_cv"](spark, "/root/testdata/sf0.001")
+    for cands, max_bins in seen:
+        assert {(c["numTrees"], c["maxDepth"], c["featureSubsetStrategy"]) for c in cands} == {
+            (n, d, f) for n in ("50", "100", "200", "400") for d in ("30", "5", "10", "20") for f in ("all", "2")}
+        assert len(cands) == 32 and max_bins == 256
+    assert len(seen) == 2
+
+
 def test_feature_subsets_as_mllib_reads_them():
     assert [FO.subset_count(s, 5) for s in ("all", "sqrt", "log2", "onethird", "auto", "2", "9", "0.5")] == [5, 3, 3, 2, 2, 2, 5, 3]
 
